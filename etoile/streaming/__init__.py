@@ -1,0 +1,7 @@
+"""Streaming.
+
+The source system reads every input once, in batch, and has no stream, watermark, window
+or state. Nothing is built here on purpose: adding a streaming operator would be a feature
+the source system does not have. The batch ETL (``etoile.plans.jobs``) is idempotent
+(overwrite per table), so it can be re-run on a schedule.
+"""
