@@ -2,10 +2,20 @@
 
 Every operator takes the warehouse tables as DataFrames and returns the report frame with
 the source's column names. Joins are inner (a fact row whose dimension row is missing
-drops out, as in the source). Dimension joins are left to Catalyst + AQE: a dimension
-whose estimated size is under ``spark.sql.autoBroadcastJoinThreshold`` is broadcast, a
-larger one (clients at scale) is joined by shuffle, and AQE re-plans from the real
-shuffle sizes. Only the date dimension (bounded by the calendar) is broadcast by hint.
+drops out, as in the source).
+
+Plan shape (checked with ``explain``): fact scan -> dimension joins -> one aggregate.
+The dimensions are joined *before* aggregating, so ``COUNT(DISTINCT commande_id)`` is
+planned by Catalyst as partial aggregate on (keys, commande_id) -> one exchange ->
+final aggregate on keys: a single large exchange, combined map-side, so a hot key or a
+hot order is reduced before it is shuffled.
+
+Join strategy: the date dimension has one row per calendar day, a size bounded by the
+calendar and not by the data, so it is broadcast by hint. The client, product and seller
+dimensions grow with the data: they are left to the planner's size check
+(``spark.sql.autoBroadcastJoinThreshold`` on the plan statistics, and AQE's runtime
+threshold on the real shuffle size); beyond it the join is a shuffle join, with AQE's
+skew-join split for a hot key.
 
 Rounding follows ``etoile.functions.numeric``: exact DECIMAL sums, engine-stable averages.
 """
@@ -17,6 +27,7 @@ from pyspark.sql import functions as F
 
 from etoile.functions.numeric import MONEY_SCALE, SCORE_SCALE, rounded_avg, rounded_sum
 
+
 def price() -> Column:
     """Item revenue (price only): KPI 2, 3 and the dashboard's categories."""
     return F.col("prix_unitaire")
@@ -28,96 +39,107 @@ def revenue() -> Column:
             + F.col("frais_livraison").cast(f"decimal(18,{MONEY_SCALE})"))
 
 
-def _dates(dim_temps: DataFrame, *cols: str) -> DataFrame:
+def revenue_total() -> Column:
+    """ROUND(SUM(price + freight), 2), exact."""
+    return F.round(F.sum(revenue()), 2).cast("double")
+
+
+def dates(dim_temps: DataFrame, *cols: str) -> DataFrame:
+    """Date-dimension columns for a join on ``temps_id``; broadcast (bounded by the calendar)."""
     return F.broadcast(dim_temps.select("temps_id", *cols))
 
 
-def order_grain(fact: DataFrame, *keys: str) -> DataFrame:
-    """Pre-aggregate items to (order, keys...): revenue, price sum and item count.
+def with_dates(fact: DataFrame, dim_temps: DataFrame, *cols: str) -> DataFrame:
+    return fact.join(dates(dim_temps, *cols), "temps_id")
 
-    Exact (DECIMAL sums); every later report on these keys re-aggregates the partial sums,
-    and COUNT(DISTINCT order) is then taken over order-grain rows, 4x fewer than items.
-    """
-    return fact.groupBy("commande_id", *keys).agg(
-        F.sum(revenue()).alias("_rev"),
-        F.sum(price().cast(f"decimal(18,{MONEY_SCALE})")).alias("_px"),
-        F.count(price()).alias("_npx"),
-    )
 
+def with_clients(fact: DataFrame, dim_client: DataFrame, *cols: str) -> DataFrame:
+    return fact.join(dim_client.select("client_id", *cols), "client_id")
 
-def _sum2(col: str):
-    return F.round(F.sum(col), 2).cast("double")
 
+def with_products(fact: DataFrame, dim_produit: DataFrame, *cols: str) -> DataFrame:
+    return fact.join(dim_produit.select("produit_id", *cols), "produit_id")
 
-def _avg2(sum_col: str, n_col: str, digits: int = 2):
-    s = F.sum(sum_col).cast("double")
-    p = float(10 ** digits)
-    return F.signum(s) * F.floor(F.abs(s) / F.sum(n_col) * F.lit(p) + F.lit(0.5)) / F.lit(p)
+
+def nb_orders() -> Column:
+    return F.countDistinct("commande_id")
 
 
 def kpi1_ca_mensuel_region(fact: DataFrame, dim_temps: DataFrame, dim_client: DataFrame) -> DataFrame:
     """K1: revenue (price + freight), distinct orders and mean item price per month and region."""
-    g = (order_grain(fact, "temps_id", "client_id")
-         .join(_dates(dim_temps, "annee", "mois", "nom_mois"), "temps_id")
-         .join(dim_client.select("client_id", "region"), "client_id"))
-    return (g.groupBy("annee", "mois", "nom_mois", "region")
-            .agg(_sum2("_rev").alias("ca_total"),
-                 F.countDistinct("commande_id").alias("nb_commandes"),
-                 _avg2("_px", "_npx").alias("panier_moyen"))
+    f = with_clients(with_dates(fact, dim_temps, "annee", "mois", "nom_mois"), dim_client, "region")
+    return (f.groupBy("annee", "mois", "nom_mois", "region")
+            .agg(revenue_total().alias("ca_total"),
+                 nb_orders().alias("nb_commandes"),
+                 rounded_avg(price(), 2).alias("panier_moyen"))
             .orderBy("annee", "mois", F.desc("ca_total")))
 
 
 def kpi2_ca_mensuel_categorie(fact: DataFrame, dim_temps: DataFrame, dim_produit: DataFrame) -> DataFrame:
     """K2: item revenue (price only) and items sold per month and category."""
-    f = (fact.join(_dates(dim_temps, "annee", "mois"), "temps_id")
-         .join(dim_produit.select("produit_id", "categorie"), "produit_id"))
+    f = with_products(with_dates(fact, dim_temps, "annee", "mois"), dim_produit, "categorie")
     return (f.groupBy("annee", "mois", "categorie")
             .agg(rounded_sum(price()).alias("ca_categorie"), F.count(F.lit(1)).alias("nb_articles_vendus"))
             .orderBy("annee", "mois", F.desc("ca_categorie")))
 
 
 def kpi3_top_vendeurs(fact: DataFrame, dim_vendeur: DataFrame, limit: int = 20) -> DataFrame:
-    """K3: top sellers by mean satisfaction (rated items only); ties broken by seller id."""
+    """K3: top sellers by mean satisfaction (rated items only); ties broken by seller id.
+
+    ``orderBy(...).limit(n)`` plans as TakeOrderedAndProject: each partition keeps its own
+    top n, only n rows per partition reach the final merge.
+    """
     f = (fact.filter(F.col("score_satisfaction").isNotNull())
          .join(dim_vendeur.select("vendeur_id", "etat"), "vendeur_id"))
     agg = f.groupBy("vendeur_id", "etat").agg(
         rounded_avg("score_satisfaction", 2, SCORE_SCALE).alias("score_moyen"),
-        F.countDistinct("commande_id").alias("nb_commandes"),
+        nb_orders().alias("nb_commandes"),
         rounded_sum(price()).alias("ca_total"))
     return agg.orderBy(F.desc("score_moyen"), F.asc("vendeur_id")).limit(limit)
 
 
+def delay_by_state(fact: DataFrame, dim_client: DataFrame, with_range: bool = True,
+                   mean_name: str = "delai_moyen_jours") -> DataFrame:
+    """Positive delivery delays per client state (K4; the dashboard's D3 without min/max)."""
+    f = with_clients(fact.filter(F.col("delai_livraison_jours") > 0), dim_client, "etat", "region")
+    aggs = [rounded_avg("delai_livraison_jours", 1).alias(mean_name)]
+    if with_range:
+        aggs += [F.round(F.min("delai_livraison_jours"), 1).alias("delai_min"),
+                 F.round(F.max("delai_livraison_jours"), 1).alias("delai_max")]
+    aggs.append(nb_orders().alias("nb_commandes"))
+    return f.groupBy("etat", "region").agg(*aggs).orderBy(F.desc(mean_name), F.asc("etat"))
+
+
 def kpi4_delai_etat(fact: DataFrame, dim_client: DataFrame) -> DataFrame:
     """K4: delivery delay (positive delays only) per client state."""
-    f = (fact.filter(F.col("delai_livraison_jours") > 0)
-         .join(dim_client.select("client_id", "etat", "region"), "client_id"))
-    return (f.groupBy("etat", "region")
-            .agg(rounded_avg("delai_livraison_jours", 1).alias("delai_moyen_jours"),
-                 F.round(F.min("delai_livraison_jours"), 1).alias("delai_min"),
-                 F.round(F.max("delai_livraison_jours"), 1).alias("delai_max"),
-                 F.countDistinct("commande_id").alias("nb_commandes"))
-            .orderBy(F.desc("delai_moyen_jours")))
+    return delay_by_state(fact, dim_client)
 
 
 def kpi5_top_categories_satisfaction(fact: DataFrame, dim_produit: DataFrame, limit: int = 10,
                                      min_ratings: int = 50) -> DataFrame:
     """K5: best-rated categories having more than ``min_ratings`` rated items."""
-    f = (fact.filter(F.col("score_satisfaction").isNotNull())
-         .join(dim_produit.select("produit_id", "categorie"), "produit_id"))
+    f = with_products(fact.filter(F.col("score_satisfaction").isNotNull()), dim_produit, "categorie")
     agg = f.groupBy("categorie").agg(rounded_avg("score_satisfaction", 2, SCORE_SCALE).alias("score_moyen"),
                                      F.count(F.lit(1)).alias("nb_evaluations"))
     return (agg.filter(F.col("nb_evaluations") > min_ratings)
             .orderBy(F.desc("score_moyen"), F.asc("categorie")).limit(limit))
 
 
-def periode_trimestre(annee="annee", trimestre="trimestre"):
+def periode_trimestre(annee="annee", trimestre="trimestre") -> Column:
+    """``<year>-T<quarter>``."""
     return F.concat(F.col(annee).cast("string"), F.lit("-T"), F.col(trimestre).cast("string"))
 
 
+def quarterly_revenue(fact: DataFrame, dim_temps: DataFrame, with_orders: bool = True) -> DataFrame:
+    """Revenue (and distinct orders) per quarter: K6, and the series of D5 and M21."""
+    aggs = [revenue_total().alias("ca_total")]
+    if with_orders:
+        aggs.append(nb_orders().alias("nb_commandes"))
+    g = with_dates(fact, dim_temps, "annee", "trimestre").groupBy("annee", "trimestre").agg(*aggs)
+    return (g.select("annee", "trimestre", periode_trimestre().alias("periode"), *[a for a in g.columns[2:]])
+            .orderBy("annee", "trimestre"))
+
+
 def kpi6_ca_trimestriel(fact: DataFrame, dim_temps: DataFrame) -> DataFrame:
     """K6: revenue and distinct orders per quarter."""
-    g = order_grain(fact, "temps_id").join(_dates(dim_temps, "annee", "trimestre"), "temps_id")
-    return (g.groupBy("annee", "trimestre")
-            .agg(_sum2("_rev").alias("ca_total"), F.countDistinct("commande_id").alias("nb_commandes"))
-            .select("annee", "trimestre", periode_trimestre().alias("periode"), "ca_total", "nb_commandes")
-            .orderBy("annee", "trimestre"))
+    return quarterly_revenue(fact, dim_temps)

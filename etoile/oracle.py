@@ -10,6 +10,12 @@ from __future__ import annotations
 
 from etoile.functions.lookups import DEFAULT_CATEGORY, DEFAULT_REGION, REGION_BY_STATE
 from etoile.sources import testdata as td
+from etoile.sources.schemas import FOREIGN_KEYS, PRIMARY_KEYS, RANGE_CHECKS, not_null_columns  # noqa: F401
+
+# warehouse table -> CTE name in the oracle SQL
+VIEW = {"DIM_TEMPS": "dim_temps", "DIM_CLIENT": "dim_client", "DIM_PRODUIT": "dim_produit",
+        "DIM_VENDEUR": "dim_vendeur", "FAIT_VENTES": "fait_ventes"}
+RAW_TABLES = ("orders", "items", "customers", "products", "sellers", "reviews", "translation", "payments")
 
 MONEY = 4
 SCORE = 12

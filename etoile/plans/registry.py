@@ -9,9 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from etoile import oracle as O
-from etoile.operators import kpis, star
+from etoile.operators import classify, dashboard, forecast, kpis, quality, segments, star
 from etoile.sources.testdata import raw_from_testdata
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +182,404 @@ ORDER BY t.annee, t.trimestre"""))
 def q_kpi6(spark, sf):
     s = star_tables(spark, sf)
     return kpis.kpi6_ca_trimestriel(s["FAIT_VENTES"], s["DIM_TEMPS"])
+
+
+# ------------------------------------------------------------------ Q: data quality
+
+def _star(spark, sf):
+    return star_tables(spark, sf)
+
+
+_PK_SQL = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, 'pk_{'_'.join(k)}' AS check_name, COUNT(*) AS nb_violations "
+    f"FROM (SELECT {', '.join(k)} FROM {O.VIEW[t]} GROUP BY {', '.join(k)} HAVING COUNT(*) > 1)"
+    for t, k in O.PRIMARY_KEYS.items())
+
+
+@register("dq_pk", O.with_star(_PK_SQL))
+def q_dq_pk(spark, sf):
+    return quality.primary_key_duplicates(_star(spark, sf))
+
+
+_FK_SQL = " UNION ALL ".join(
+    f"SELECT 'FAIT_VENTES' AS table_name, 'fk_{c}_{d}' AS check_name, COUNT(*) AS nb_violations "
+    f"FROM fait_ventes f WHERE f.{c} IS NOT NULL AND NOT EXISTS "
+    f"(SELECT 1 FROM {O.VIEW[d]} x WHERE x.{dc} = f.{c})"
+    for c, d, dc in O.FOREIGN_KEYS)
+
+
+@register("dq_fk", O.with_star(_FK_SQL))
+def q_dq_fk(spark, sf):
+    return quality.foreign_key_orphans(_star(spark, sf))
+
+
+_RANGE_SQL = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, 'range_{c}' AS check_name, "
+    f"COUNT(CASE WHEN NOT ({c} BETWEEN {lo} AND {hi}) THEN 1 END) AS nb_violations FROM {O.VIEW[t]}"
+    for t, c, lo, hi in O.RANGE_CHECKS)
+
+
+@register("dq_ranges", O.with_star(_RANGE_SQL))
+def q_dq_ranges(spark, sf):
+    return quality.range_violations(_star(spark, sf))
+
+
+_NN_SQL = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, 'not_null_{c}' AS check_name, "
+    f"COUNT(CASE WHEN {c} IS NULL THEN 1 END) AS nb_violations FROM {O.VIEW[t]}"
+    for t in O.PRIMARY_KEYS for c in O.not_null_columns(t))
+
+
+@register("dq_not_null", O.with_star(_NN_SQL))
+def q_dq_not_null(spark, sf):
+    return quality.null_violations(_star(spark, sf))
+
+
+@register("dq_defaults", O.with_star(
+    "SELECT commande_id, item_id, client_id, produit_id, vendeur_id, temps_id, "
+    "COALESCE(prix_unitaire, CAST(0.0 AS DOUBLE)) AS prix_unitaire, "
+    "COALESCE(frais_livraison, CAST(0.0 AS DOUBLE)) AS frais_livraison, "
+    "montant_total, score_satisfaction, delai_livraison_jours FROM fait_ventes"))
+def q_dq_defaults(spark, sf):
+    return quality.apply_defaults(_star(spark, sf)["FAIT_VENTES"], "FAIT_VENTES")
+
+
+@register("dq_defaults_produit", O.with_star(
+    "SELECT produit_id, COALESCE(categorie, 'unknown') AS categorie, poids_g FROM dim_produit"))
+def q_dq_defaults_produit(spark, sf):
+    return quality.apply_defaults(_star(spark, sf)["DIM_PRODUIT"], "DIM_PRODUIT")
+
+
+@register("table_counts", O.with_star(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, COUNT(*) AS nb FROM {O.VIEW[t]}" for t in O.PRIMARY_KEYS)))
+def q_table_counts(spark, sf):
+    return quality.table_counts(_star(spark, sf))
+
+
+@register("source_counts", O.with_star(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, COUNT(*) AS nb FROM src_{t}" for t in O.RAW_TABLES)))
+def q_source_counts(spark, sf):
+    return quality.table_counts(raw(spark, sf), O.RAW_TABLES)
+
+
+# ------------------------------------------------------------------ D: dashboard data
+
+_DASH_CA_SQL = f"""
+SELECT t.annee, t.mois, t.nom_mois, c.region,
+       {O.rsum(O.REV)} AS ca_total,
+       COUNT(DISTINCT f.commande_id) AS nb_commandes,
+       {O.ravg('f.prix_unitaire', 2)} AS panier_moyen,
+       CAST(t.annee AS VARCHAR) || '-' || lpad(CAST(t.mois AS VARCHAR), 2, '0') AS periode
+FROM fait_ventes f JOIN dim_temps t ON f.temps_id = t.temps_id JOIN dim_client c ON f.client_id = c.client_id
+GROUP BY t.annee, t.mois, t.nom_mois, c.region"""
+_DASH_DELAI_SQL = f"""
+SELECT c.etat, c.region, {O.ravg('f.delai_livraison_jours', 1)} AS delai_moyen,
+       COUNT(DISTINCT f.commande_id) AS nb_commandes
+FROM fait_ventes f JOIN dim_client c ON f.client_id = c.client_id
+WHERE f.delai_livraison_jours > 0 GROUP BY c.etat, c.region"""
+_DASH_CAT_SQL = f"""
+SELECT p.categorie, {O.rsum('f.prix_unitaire')} AS ca_categorie,
+       {O.ravg('f.score_satisfaction', 2, O.SCORE)} AS score_moyen, COUNT(*) AS nb_ventes
+FROM fait_ventes f JOIN dim_produit p ON f.produit_id = p.produit_id
+GROUP BY p.categorie ORDER BY ca_categorie DESC, p.categorie ASC LIMIT 15"""
+_DASH = [f"dash_ca AS ({_DASH_CA_SQL})", f"dash_delai AS ({_DASH_DELAI_SQL})", f"dash_cat AS ({_DASH_CAT_SQL})"]
+
+
+def _monthly(spark, sf):
+    s = _star(spark, sf)
+    return dashboard.monthly_revenue(s["FAIT_VENTES"], s["DIM_TEMPS"], s["DIM_CLIENT"])
+
+
+def _delays(spark, sf):
+    s = _star(spark, sf)
+    return dashboard.delay_by_state(s["FAIT_VENTES"], s["DIM_CLIENT"])
+
+
+@register("dash_ca", O.with_star("SELECT * FROM dash_ca", _DASH))
+def q_dash_ca(spark, sf):
+    return _monthly(spark, sf)
+
+
+@register("dash_top_categories", O.with_star("SELECT * FROM dash_cat", _DASH))
+def q_dash_top_categories(spark, sf):
+    s = _star(spark, sf)
+    return dashboard.top_categories(s["FAIT_VENTES"], s["DIM_PRODUIT"])
+
+
+@register("dash_categories_chart", O.with_star(
+    "SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY ca_categorie ASC, categorie DESC) AS INTEGER) AS ordre "
+    "FROM dash_cat", _DASH))
+def q_dash_categories_chart(spark, sf):
+    s = _star(spark, sf)
+    return dashboard.categories_chart(dashboard.top_categories(s["FAIT_VENTES"], s["DIM_PRODUIT"]))
+
+
+@register("dash_delai", O.with_star("SELECT * FROM dash_delai", _DASH))
+def q_dash_delai(spark, sf):
+    return _delays(spark, sf)
+
+
+@register("dash_scores", O.with_star(
+    "SELECT score_satisfaction, COUNT(*) AS nb FROM fait_ventes WHERE score_satisfaction IS NOT NULL "
+    "GROUP BY score_satisfaction"))
+def q_dash_scores(spark, sf):
+    return dashboard.score_distribution(_star(spark, sf)["FAIT_VENTES"])
+
+
+@register("dash_trend", O.with_star(f"""
+SELECT t.annee, t.trimestre, CAST(t.annee AS VARCHAR) || '-T' || CAST(t.trimestre AS VARCHAR) AS periode,
+       {O.rsum(O.REV)} AS ca_total
+FROM fait_ventes f JOIN dim_temps t ON f.temps_id = t.temps_id GROUP BY t.annee, t.trimestre"""))
+def q_dash_trend(spark, sf):
+    s = _star(spark, sf)
+    return dashboard.quarterly_trend(s["FAIT_VENTES"], s["DIM_TEMPS"])
+
+
+@register("dash_headline", O.with_star(f"""
+SELECT a.ca_total, a.nb_commandes, b.score_global, c.delai_global FROM
+  (SELECT {O.rsum('ca_total')} AS ca_total, SUM(nb_commandes) AS nb_commandes FROM dash_ca) a,
+  (SELECT {O.ravg('score_satisfaction', 2, O.SCORE)} AS score_global FROM fait_ventes
+   WHERE score_satisfaction IS NOT NULL) b,
+  (SELECT {O.ravg('delai_livraison_jours', 1)} AS delai_global FROM fait_ventes
+   WHERE delai_livraison_jours > 0) c""", _DASH))
+def q_dash_headline(spark, sf):
+    s = _star(spark, sf)
+    return dashboard.headline(_monthly(spark, sf), s["FAIT_VENTES"])
+
+
+@register("dash_regions", O.with_star(
+    "SELECT 'Toutes' AS region, 0 AS ordre UNION ALL "
+    "SELECT region, CAST(ROW_NUMBER() OVER (ORDER BY region) AS INTEGER) AS ordre "
+    "FROM (SELECT DISTINCT region FROM dash_ca)", _DASH))
+def q_dash_regions(spark, sf):
+    return dashboard.region_choices(_monthly(spark, sf))
+
+
+def _ca_region_sql(region: str | None) -> str:
+    where = f"WHERE region = '{region}'" if region else ""
+    return O.with_star(f"SELECT periode, {O.rsum('ca_total')} AS ca_total FROM dash_ca {where} GROUP BY periode",
+                       _DASH)
+
+
+def _delai_region_sql(region: str | None) -> str:
+    where = f"WHERE region = '{region}'" if region else ""
+    return O.with_star(f"""
+SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY delai_moyen ASC, etat DESC) AS INTEGER) AS ordre FROM (
+  SELECT * FROM dash_delai {where} ORDER BY delai_moyen DESC, etat ASC LIMIT 20)""", _DASH)
+
+
+@register("dash_ca_region", _ca_region_sql(None))
+def q_dash_ca_region(spark, sf):
+    return dashboard.monthly_revenue_for(_monthly(spark, sf))
+
+
+@register("dash_ca_region_nordeste", _ca_region_sql("Nordeste"))
+def q_dash_ca_region_nordeste(spark, sf):
+    return dashboard.monthly_revenue_for(_monthly(spark, sf), "Nordeste")
+
+
+@register("dash_delai_region", _delai_region_sql(None))
+def q_dash_delai_region(spark, sf):
+    return dashboard.slowest_states_for(_delays(spark, sf))
+
+
+@register("dash_delai_region_sudeste", _delai_region_sql("Sudeste"))
+def q_dash_delai_region_sudeste(spark, sf):
+    return dashboard.slowest_states_for(_delays(spark, sf), "Sudeste")
+
+
+# ------------------------------------------------------------------ M21-M28: forecast
+
+_TREND = [f"""trend AS (
+  SELECT t.annee, t.trimestre, CAST(t.annee AS VARCHAR) || '-T' || CAST(t.trimestre AS VARCHAR) AS periode,
+         {O.rsum(O.REV)} AS ca_total,
+         CAST(ROW_NUMBER() OVER (ORDER BY t.annee, t.trimestre) - 1 AS INTEGER) AS t
+  FROM fait_ventes f JOIN dim_temps t ON f.temps_id = t.temps_id GROUP BY t.annee, t.trimestre)""",
+          """sums AS (
+  SELECT COUNT(*) AS n, SUM(CAST(t AS BIGINT)) AS st, SUM(CAST(t AS BIGINT) * CAST(t AS BIGINT)) AS stt,
+         SUM(CAST(ca_total AS DECIMAL(38,2))) AS sy,
+         SUM(CAST(t AS DECIMAL(38,0)) * CAST(ca_total AS DECIMAL(38,2))) AS sty,
+         SUM(CAST(ca_total AS DECIMAL(38,2)) * CAST(ca_total AS DECIMAL(38,2))) AS syy
+  FROM trend WHERE ca_total IS NOT NULL)""",
+          """parts AS (
+  SELECT n, st, sy, CAST(n * stt - st * st AS DOUBLE) AS den, CAST(n * sty - st * sy AS DOUBLE) AS num,
+         CAST(n * syy - sy * sy AS DOUBLE) AS var_y FROM sums)""",
+          """model AS (
+  SELECT CASE WHEN den <> 0 THEN num / den END AS pente,
+         (CAST(sy AS DOUBLE) - (CASE WHEN den <> 0 THEN num / den END) * CAST(st AS DOUBLE)) / n AS ordonnee,
+         CASE WHEN den <> 0 AND var_y <> 0 THEN (num * num) / (den * var_y) END AS r2, n
+  FROM parts)"""]
+
+
+@register("trend_index", O.with_star("SELECT * FROM trend", _TREND))
+def q_trend_index(spark, sf):
+    s = _star(spark, sf)
+    return forecast.trend_index(s["FAIT_VENTES"], s["DIM_TEMPS"])
+
+
+@register("forecast_model", O.with_star("SELECT * FROM model", _TREND))
+def q_forecast_model(spark, sf):
+    s = _star(spark, sf)
+    return forecast.forecast_model(s["FAIT_VENTES"], s["DIM_TEMPS"])
+
+
+@register("forecast_series", O.with_star("""
+SELECT tr.t, tr.annee, tr.trimestre, tr.periode, tr.ca_total, m.ordonnee + m.pente * tr.t AS ca_prevu,
+       'reel' AS type FROM trend tr, model m
+UNION ALL
+SELECT CAST(l.t_last + s.step AS INTEGER) AS t,
+       CAST(FLOOR((l.annee * 4 + l.trimestre - 1 + s.step) / 4) AS INTEGER) AS annee,
+       CAST((l.annee * 4 + l.trimestre - 1 + s.step) % 4 + 1 AS INTEGER) AS trimestre,
+       CAST(FLOOR((l.annee * 4 + l.trimestre - 1 + s.step) / 4) AS INTEGER) || '-T'
+         || CAST((l.annee * 4 + l.trimestre - 1 + s.step) % 4 + 1 AS INTEGER) AS periode,
+       CAST(NULL AS DOUBLE) AS ca_total, m.ordonnee + m.pente * (l.t_last + s.step) AS ca_prevu,
+       'prevision' AS type
+FROM (SELECT t AS t_last, annee, trimestre FROM trend ORDER BY t DESC LIMIT 1) l,
+     (SELECT * FROM range(1, 3) r(step)) s, model m""", _TREND))
+def q_forecast_series(spark, sf):
+    s = _star(spark, sf)
+    return forecast.forecast_series(s["FAIT_VENTES"], s["DIM_TEMPS"])
+
+
+# ------------------------------------------------------------------ M1-M10: segments
+
+_PROFILE = [f"""profile AS (
+  SELECT client_id, COUNT(DISTINCT commande_id) AS freq_achat,
+         {O.ravg('prix_unitaire', 2)} AS montant_moyen,
+         {O.rsum(O.REV)} AS ca_total,
+         {O.ravg('score_satisfaction', 2, O.SCORE)} AS score_moyen,
+         {O.ravg('delai_livraison_jours', 1)} AS delai_moyen
+  FROM fait_ventes GROUP BY client_id HAVING COUNT(DISTINCT commande_id) >= 1)"""]
+
+
+def _fact(spark, sf):
+    return _star(spark, sf)["FAIT_VENTES"]
+
+
+@register("client_profile", O.with_star("SELECT * FROM profile", _PROFILE))
+def q_client_profile(spark, sf):
+    return segments.client_profile(_fact(spark, sf))
+
+
+_Z = ", ".join(
+    f"CAST(COALESCE({c}, 0) AS DOUBLE) AS {c}" for c in segments.FEATURES)
+_ZSQL = ("SELECT client_id, " + ", ".join(segments.FEATURES) + ", "
+         + ", ".join(f"ROUND(CASE WHEN s_{c} > 0 THEN ({c} - m_{c}) / s_{c} ELSE CAST(0.0 AS DOUBLE) END, 9) AS z_{c}"
+                     for c in segments.FEATURES)
+         + " FROM feat, (SELECT " + ", ".join(f"AVG({c}) AS m_{c}, STDDEV_POP({c}) AS s_{c}"
+                                               for c in segments.FEATURES) + " FROM feat) st")
+
+
+@register("client_zscores", O.with_star(_ZSQL, _PROFILE + [f"feat AS (SELECT client_id, {_Z} FROM profile)"]))
+def q_client_zscores(spark, sf):
+    z = segments.client_zscores(_fact(spark, sf))
+    return z.select("client_id", *segments.FEATURES,
+                    *[F.round(c, 9).alias(c) for c in segments.Z_FEATURES])
+
+
+@register("client_sample", O.with_star(
+    "SELECT * FROM profile ORDER BY md5(CAST(client_id AS VARCHAR) || '42'), client_id LIMIT 3000", _PROFILE))
+def q_client_sample(spark, sf):
+    return segments.client_sample(segments.client_profile(_fact(spark, sf)))
+
+
+@register("elbow_curve")
+def q_elbow_curve(spark, sf):
+    return segments.elbow_curve(segments.client_zscores(_fact(spark, sf)))
+
+
+def _segments(spark, sf):
+    return segments.segment(segments.client_zscores(_fact(spark, sf)))[0]
+
+
+@register("client_segments")
+def q_client_segments(spark, sf):
+    return _segments(spark, sf)
+
+
+@register("segment_summary")
+def q_segment_summary(spark, sf):
+    return segments.segment_summary(_segments(spark, sf))
+
+
+@register("segment_sizes")
+def q_segment_sizes(spark, sf):
+    return segments.segment_sizes(_segments(spark, sf))
+
+
+# ------------------------------------------------------------------ M11-M20: classifier
+
+_TRAIN = ["""training AS (
+  SELECT f.commande_id, f.item_id, f.score_satisfaction, f.prix_unitaire, f.frais_livraison,
+         f.delai_livraison_jours, p.categorie, c.region,
+         CAST(f.score_satisfaction >= 4 AS INTEGER) AS bonne_note
+  FROM fait_ventes f JOIN dim_produit p ON f.produit_id = p.produit_id JOIN dim_client c ON f.client_id = c.client_id
+  WHERE f.score_satisfaction IS NOT NULL AND f.delai_livraison_jours > 0)""",
+          """split AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY bonne_note ORDER BY
+              md5(concat_ws('|', CAST(commande_id AS VARCHAR), CAST(item_id AS VARCHAR), '42')), commande_id, item_id)
+            <= CEIL(COUNT(*) OVER (PARTITION BY bonne_note) * 0.25) AS is_test
+  FROM training)"""]
+
+
+def _training(spark, sf):
+    s = _star(spark, sf)
+    return classify.training_set(s["FAIT_VENTES"], s["DIM_PRODUIT"], s["DIM_CLIENT"])
+
+
+@register("order_training_set", O.with_star("SELECT * FROM training", _TRAIN))
+def q_order_training_set(spark, sf):
+    return _training(spark, sf)
+
+
+@register("onehot_levels", O.with_star(" UNION ALL ".join(
+    f"SELECT '{c}' AS variable, niveau, '{c}_' || niveau AS colonne FROM "
+    f"(SELECT DISTINCT {c} AS niveau FROM training) WHERE niveau <> (SELECT MIN({c}) FROM training)"
+    for c in classify.CATEGORICAL), _TRAIN))
+def q_onehot_levels(spark, sf):
+    return classify.onehot_levels(_training(spark, sf))
+
+
+@register("stratified_split", O.with_star("SELECT * FROM split", _TRAIN))
+def q_stratified_split(spark, sf):
+    return classify.stratified_split(_training(spark, sf))
+
+
+@register("class_weights", O.with_star("""
+SELECT bonne_note, COUNT(*) AS nb,
+       CAST(SUM(COUNT(*)) OVER () AS DOUBLE) / CAST(COUNT(*) OVER () * COUNT(*) AS DOUBLE) AS poids
+FROM split WHERE NOT is_test GROUP BY bonne_note""", _TRAIN))
+def q_class_weights(spark, sf):
+    return classify.class_weights(classify.stratified_split(_training(spark, sf)).filter(~F.col("is_test")))
+
+
+def _tree(spark, sf):
+    split = classify.stratified_split(_training(spark, sf))
+    model, pred = classify.fit_tree(split)
+    return model, pred, split
+
+
+@register("tree_predictions")
+def q_tree_predictions(spark, sf):
+    return _tree(spark, sf)[1]
+
+
+@register("tree_accuracy")
+def q_tree_accuracy(spark, sf):
+    return classify.accuracy(_tree(spark, sf)[1])
+
+
+@register("tree_report")
+def q_tree_report(spark, sf):
+    return classify.report(_tree(spark, sf)[1])
+
+
+@register("tree_confusion")
+def q_tree_confusion(spark, sf):
+    return classify.confusion(_tree(spark, sf)[1])
+
+
+@register("tree_importances")
+def q_tree_importances(spark, sf):
+    model, _pred, split = _tree(spark, sf)
+    return classify.importances(model, split)
