@@ -118,8 +118,11 @@ def _pipeline(max_depth: int, seed: int) -> Pipeline:
 def fit_tree(split: DataFrame, max_depth: int = MAX_DEPTH, seed: int = SEED) -> tuple[PipelineModel, DataFrame]:
     """Fit on the training part (with balanced weights); predictions on the test part.
 
+    The split is checkpointed first (reliable, in ``spark.checkpoint.dir``): the indexers,
+    the encoder and each tree level read it instead of recomputing the star.
     Returns the fitted pipeline and ``(commande_id, item_id, bonne_note, prediction)`` on test.
     """
+    split = split.checkpoint(eager=True)
     train = split.filter(~F.col("is_test"))
     weights = class_weights(train).select(LABEL, "poids")
     train = train.join(F.broadcast(weights), LABEL)  # one row per class

@@ -6,12 +6,18 @@
   standard deviations are one aggregate row attached by a broadcast of that single row.
 * K-Means is ``pyspark.ml.clustering.KMeans`` (distributed Lloyd iterations, k-means||
   init). The source keeps the best of ``n_init`` restarts; so does ``best_kmeans``, with
-  one seed per restart. The feature frame is persisted for the restarts and released.
+  one seed per restart. The restarts are independent Spark jobs, submitted from a small
+  thread pool so they share the cluster (as ``CrossValidator(parallelism=)`` does).
+* The feature frame is checkpointed once (reliable checkpoint in ``spark.checkpoint.dir``):
+  every restart reads it instead of recomputing the star, and a lost executor costs a
+  re-read, not a re-run of the ETL.
 * Segment labels go by rank of mean revenue (smallest = segment 1), ties by cluster id.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
@@ -28,6 +34,7 @@ K_RANGE = range(2, 9)
 N_INIT = 10
 SEED = 42
 SAMPLE_SIZE = 3000
+PARALLELISM = 4      # concurrent K-Means fits
 # Segment label by rank of mean revenue (1 = smallest).
 SEGMENT_LABELS = [
     "Segment 1 — Petits acheteurs",
@@ -75,42 +82,45 @@ def assemble(z: DataFrame, cols=Z_FEATURES) -> DataFrame:
     return VectorAssembler(inputCols=list(cols), outputCol="features").transform(z)
 
 
-def best_kmeans(data: DataFrame, k: int, n_init: int = N_INIT, seed: int = SEED,
-                max_iter: int = 300, tol: float = 1e-4) -> tuple[KMeansModel, float]:
-    """Best of ``n_init`` K-Means fits (lowest within-cluster sum of squares)."""
-    best, best_cost = None, None
-    for i in range(n_init):
-        model = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tol, featuresCol="features").fit(data)
-        cost = model.summary.trainingCost
-        if best_cost is None or cost < best_cost:
-            best, best_cost = model, cost
-    return best, best_cost
+def _fit(data: DataFrame, k: int, seed: int, max_iter: int, tol: float) -> tuple[float, int, KMeansModel]:
+    model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features").fit(data)
+    return float(model.summary.trainingCost), seed, model
+
+
+def best_kmeans(data: DataFrame, k: int, n_init: int = N_INIT, seed: int = SEED, max_iter: int = 300,
+                tol: float = 1e-4, parallelism: int = PARALLELISM) -> tuple[KMeansModel, float]:
+    """Best of ``n_init`` K-Means fits (lowest within-cluster sum of squares; ties: lowest seed)."""
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        fits = list(pool.map(lambda s: _fit(data, k, s, max_iter, tol), range(seed, seed + n_init)))
+    cost, _seed, model = min(fits, key=lambda r: (r[0], r[1]))
+    return model, cost
+
+
+def features_checkpoint(z: DataFrame) -> DataFrame:
+    """Assembled features, checkpointed (lineage cut; survives executor loss)."""
+    return assemble(z).checkpoint(eager=True)
 
 
-def elbow_curve(z: DataFrame, k_range=K_RANGE, n_init: int = N_INIT, seed: int = SEED) -> DataFrame:
+def elbow_curve(z: DataFrame, k_range=K_RANGE, n_init: int = N_INIT, seed: int = SEED,
+                parallelism: int = PARALLELISM) -> DataFrame:
     """M4: ``(k, inertie)`` for each k, best of ``n_init`` restarts."""
-    data = assemble(z).select("features").persist()
-    try:
-        rows = [(k, float(best_kmeans(data, k, n_init, seed)[1])) for k in k_range]
-    finally:
-        data.unpersist()
+    data = features_checkpoint(z).select("features")
+    rows = [(k, best_kmeans(data, k, n_init, seed, parallelism=parallelism)[1]) for k in k_range]
     return z.sparkSession.createDataFrame(rows, "k int, inertie double")
 
 
-def segment(z: DataFrame, k: int = K, n_init: int = N_INIT, seed: int = SEED) -> tuple[DataFrame, KMeansModel]:
+def segment(z: DataFrame, k: int = K, n_init: int = N_INIT, seed: int = SEED,
+            parallelism: int = PARALLELISM) -> tuple[DataFrame, KMeansModel]:
     """M5-M7: cluster id and label per client; returns the frame and the fitted model."""
-    data = assemble(z).persist()
-    try:
-        model, _cost = best_kmeans(data.select("features"), k, n_init, seed)
-        clustered = model.transform(data).withColumnRenamed("prediction", "segment").drop("features")
-        means = clustered.groupBy("segment").agg(*[F.avg(c).alias(f"_m_{c}") for c in FEATURES])
-        rank = F.row_number().over(Window.orderBy(F.col("_m_ca_total").asc(), F.col("segment").asc()))
-        labels = F.array(*[F.lit(x) for x in SEGMENT_LABELS])
-        names = means.select("segment", F.element_at(labels, rank).alias("segment_label"))
-        out = clustered.join(F.broadcast(names), "segment")  # k rows
-        return out.select("client_id", *FEATURES, *Z_FEATURES, "segment", "segment_label"), model
-    finally:
-        data.unpersist()
+    data = features_checkpoint(z)
+    model, _cost = best_kmeans(data.select("features"), k, n_init, seed, parallelism=parallelism)
+    clustered = model.transform(data).withColumnRenamed("prediction", "segment").drop("features")
+    means = clustered.groupBy("segment").agg(*[F.avg(c).alias(f"_m_{c}") for c in FEATURES])
+    rank = F.row_number().over(Window.orderBy(F.col("_m_ca_total").asc(), F.col("segment").asc()))
+    labels = F.array(*[F.lit(x) for x in SEGMENT_LABELS])
+    names = means.select("segment", F.element_at(labels, rank).alias("segment_label"))  # k rows
+    out = clustered.join(F.broadcast(names), "segment")
+    return out.select("client_id", *FEATURES, *Z_FEATURES, "segment", "segment_label"), model
 
 
 def segment_summary(segments: DataFrame) -> DataFrame:
