@@ -9,10 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from etoile import oracle as O
-from etoile.operators import classify, dashboard, forecast, kpis, quality, segments, star
+from etoile.operators import classify, quality, segments, star
+from etoile.plans.reports import REPORTS
 from etoile.sources.testdata import raw_from_testdata
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,24 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def sql_only(name: str, sql: str) -> None:
+    """A report of the warehouse tables (``plans.reports``) with its DuckDB oracle."""
+    QUERIES[name] = from_star(name)
+    ORACLE[name] = sql
+
+
+def mining(name: str) -> None:
+    """A model-fitting report: no SQL equivalent (rows-only check)."""
+    QUERIES[name] = from_star(name)
+
+
+def from_star(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return REPORTS[name](star_tables(spark, sf_dir))
+    run.__name__ = f"q_{name}"
+    return run
+
+
 def raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return raw_from_testdata(spark, sf_dir)
 
@@ -56,24 +74,16 @@ def q_delivered(spark, sf):
     return star.delivered_orders(raw(spark, sf)["orders"])
 
 
-@register("dim_temps", O.with_star("SELECT * FROM dim_temps"))
-def q_dim_temps(spark, sf):
-    return star_tables(spark, sf)["DIM_TEMPS"]
+sql_only("dim_temps", O.with_star("SELECT * FROM dim_temps"))
 
 
-@register("dim_client", O.with_star("SELECT * FROM dim_client"))
-def q_dim_client(spark, sf):
-    return star_tables(spark, sf)["DIM_CLIENT"]
+sql_only("dim_client", O.with_star("SELECT * FROM dim_client"))
 
 
-@register("dim_produit", O.with_star("SELECT * FROM dim_produit"))
-def q_dim_produit(spark, sf):
-    return star_tables(spark, sf)["DIM_PRODUIT"]
+sql_only("dim_produit", O.with_star("SELECT * FROM dim_produit"))
 
 
-@register("dim_vendeur", O.with_star("SELECT * FROM dim_vendeur"))
-def q_dim_vendeur(spark, sf):
-    return star_tables(spark, sf)["DIM_VENDEUR"]
+sql_only("dim_vendeur", O.with_star("SELECT * FROM dim_vendeur"))
 
 
 @register("order_scores", O.with_star("SELECT * FROM order_scores"))
@@ -95,14 +105,12 @@ def q_translated(spark, sf):
     return star.translated_products(r["products"], r["translation"])
 
 
-@register("fait_ventes", O.with_star("SELECT * FROM fait_ventes"))
-def q_fait(spark, sf):
-    return star_tables(spark, sf)["FAIT_VENTES"]
+sql_only("fait_ventes", O.with_star("SELECT * FROM fait_ventes"))
 
 
 # ------------------------------------------------------------------ K: KPI queries
 
-@register("kpi1_ca_mensuel_region", O.with_star(f"""
+sql_only("kpi1_ca_mensuel_region", O.with_star(f"""
 SELECT t.annee, t.mois, t.nom_mois, c.region,
        {O.rsum(O.REV)} AS ca_total,
        COUNT(DISTINCT f.commande_id) AS nb_commandes,
@@ -110,24 +118,18 @@ SELECT t.annee, t.mois, t.nom_mois, c.region,
 FROM fait_ventes f JOIN dim_temps t ON f.temps_id = t.temps_id JOIN dim_client c ON f.client_id = c.client_id
 GROUP BY t.annee, t.mois, t.nom_mois, c.region
 ORDER BY t.annee, t.mois, ca_total DESC"""))
-def q_kpi1(spark, sf):
-    s = star_tables(spark, sf)
-    return kpis.kpi1_ca_mensuel_region(s["FAIT_VENTES"], s["DIM_TEMPS"], s["DIM_CLIENT"])
 
 
-@register("kpi2_ca_mensuel_categorie", O.with_star(f"""
+sql_only("kpi2_ca_mensuel_categorie", O.with_star(f"""
 SELECT t.annee, t.mois, p.categorie,
        {O.rsum('f.prix_unitaire')} AS ca_categorie,
        COUNT(*) AS nb_articles_vendus
 FROM fait_ventes f JOIN dim_temps t ON f.temps_id = t.temps_id JOIN dim_produit p ON f.produit_id = p.produit_id
 GROUP BY t.annee, t.mois, p.categorie
 ORDER BY t.annee, t.mois, ca_categorie DESC"""))
-def q_kpi2(spark, sf):
-    s = star_tables(spark, sf)
-    return kpis.kpi2_ca_mensuel_categorie(s["FAIT_VENTES"], s["DIM_TEMPS"], s["DIM_PRODUIT"])
 
 
-@register("kpi3_top_vendeurs", O.with_star(f"""
+sql_only("kpi3_top_vendeurs", O.with_star(f"""
 SELECT v.vendeur_id, v.etat,
        {O.ravg('f.score_satisfaction', 2, O.SCORE)} AS score_moyen,
        COUNT(DISTINCT f.commande_id) AS nb_commandes,
@@ -137,12 +139,9 @@ WHERE f.score_satisfaction IS NOT NULL
 GROUP BY v.vendeur_id, v.etat
 ORDER BY score_moyen DESC, v.vendeur_id ASC
 LIMIT 20"""))
-def q_kpi3(spark, sf):
-    s = star_tables(spark, sf)
-    return kpis.kpi3_top_vendeurs(s["FAIT_VENTES"], s["DIM_VENDEUR"])
 
 
-@register("kpi4_delai_etat", O.with_star(f"""
+sql_only("kpi4_delai_etat", O.with_star(f"""
 SELECT c.etat, c.region,
        {O.ravg('f.delai_livraison_jours', 1)} AS delai_moyen_jours,
        ROUND(MIN(f.delai_livraison_jours), 1) AS delai_min,
@@ -152,12 +151,9 @@ FROM fait_ventes f JOIN dim_client c ON f.client_id = c.client_id
 WHERE f.delai_livraison_jours > 0
 GROUP BY c.etat, c.region
 ORDER BY delai_moyen_jours DESC"""))
-def q_kpi4(spark, sf):
-    s = star_tables(spark, sf)
-    return kpis.kpi4_delai_etat(s["FAIT_VENTES"], s["DIM_CLIENT"])
 
 
-@register("kpi5_top_categories_satisfaction", O.with_star(f"""
+sql_only("kpi5_top_categories_satisfaction", O.with_star(f"""
 SELECT p.categorie,
        {O.ravg('f.score_satisfaction', 2, O.SCORE)} AS score_moyen,
        COUNT(*) AS nb_evaluations
@@ -167,28 +163,19 @@ GROUP BY p.categorie
 HAVING COUNT(*) > 50
 ORDER BY score_moyen DESC, p.categorie ASC
 LIMIT 10"""))
-def q_kpi5(spark, sf):
-    s = star_tables(spark, sf)
-    return kpis.kpi5_top_categories_satisfaction(s["FAIT_VENTES"], s["DIM_PRODUIT"])
 
 
-@register("kpi6_ca_trimestriel", O.with_star(f"""
+sql_only("kpi6_ca_trimestriel", O.with_star(f"""
 SELECT t.annee, t.trimestre, CAST(t.annee AS VARCHAR) || '-T' || CAST(t.trimestre AS VARCHAR) AS periode,
        {O.rsum(O.REV)} AS ca_total,
        COUNT(DISTINCT f.commande_id) AS nb_commandes
 FROM fait_ventes f JOIN dim_temps t ON f.temps_id = t.temps_id
 GROUP BY t.annee, t.trimestre
 ORDER BY t.annee, t.trimestre"""))
-def q_kpi6(spark, sf):
-    s = star_tables(spark, sf)
-    return kpis.kpi6_ca_trimestriel(s["FAIT_VENTES"], s["DIM_TEMPS"])
 
 
 # ------------------------------------------------------------------ Q: data quality
 
-def _star(spark, sf):
-    return star_tables(spark, sf)
-
 
 _PK_SQL = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, 'pk_{'_'.join(k)}' AS check_name, COUNT(*) AS nb_violations "
@@ -196,9 +183,7 @@ _PK_SQL = " UNION ALL ".join(
     for t, k in O.PRIMARY_KEYS.items())
 
 
-@register("dq_pk", O.with_star(_PK_SQL))
-def q_dq_pk(spark, sf):
-    return quality.primary_key_duplicates(_star(spark, sf))
+sql_only("dq_pk", O.with_star(_PK_SQL))
 
 
 _FK_SQL = " UNION ALL ".join(
@@ -208,9 +193,7 @@ _FK_SQL = " UNION ALL ".join(
     for c, d, dc in O.FOREIGN_KEYS)
 
 
-@register("dq_fk", O.with_star(_FK_SQL))
-def q_dq_fk(spark, sf):
-    return quality.foreign_key_orphans(_star(spark, sf))
+sql_only("dq_fk", O.with_star(_FK_SQL))
 
 
 _RANGE_SQL = " UNION ALL ".join(
@@ -219,9 +202,7 @@ _RANGE_SQL = " UNION ALL ".join(
     for t, c, lo, hi in O.RANGE_CHECKS)
 
 
-@register("dq_ranges", O.with_star(_RANGE_SQL))
-def q_dq_ranges(spark, sf):
-    return quality.range_violations(_star(spark, sf))
+sql_only("dq_ranges", O.with_star(_RANGE_SQL))
 
 
 _NN_SQL = " UNION ALL ".join(
@@ -230,35 +211,28 @@ _NN_SQL = " UNION ALL ".join(
     for t in O.PRIMARY_KEYS for c in O.not_null_columns(t))
 
 
-@register("dq_not_null", O.with_star(_NN_SQL))
-def q_dq_not_null(spark, sf):
-    return quality.null_violations(_star(spark, sf))
+sql_only("dq_not_null", O.with_star(_NN_SQL))
 
 
-@register("dq_defaults", O.with_star(
+sql_only("dq_defaults", O.with_star(
     "SELECT commande_id, item_id, client_id, produit_id, vendeur_id, temps_id, "
     "COALESCE(prix_unitaire, CAST(0.0 AS DOUBLE)) AS prix_unitaire, "
     "COALESCE(frais_livraison, CAST(0.0 AS DOUBLE)) AS frais_livraison, "
     "montant_total, score_satisfaction, delai_livraison_jours FROM fait_ventes"))
-def q_dq_defaults(spark, sf):
-    return quality.apply_defaults(_star(spark, sf)["FAIT_VENTES"], "FAIT_VENTES")
 
 
-@register("dq_defaults_produit", O.with_star(
+sql_only("dq_defaults_produit", O.with_star(
     "SELECT produit_id, COALESCE(categorie, 'unknown') AS categorie, poids_g FROM dim_produit"))
-def q_dq_defaults_produit(spark, sf):
-    return quality.apply_defaults(_star(spark, sf)["DIM_PRODUIT"], "DIM_PRODUIT")
 
 
-@register("table_counts", O.with_star(" UNION ALL ".join(
+sql_only("table_counts", O.with_star(" UNION ALL ".join(
     f"SELECT '{t}' AS table_name, COUNT(*) AS nb FROM {O.VIEW[t]}" for t in O.PRIMARY_KEYS)))
-def q_table_counts(spark, sf):
-    return quality.table_counts(_star(spark, sf))
 
 
 @register("source_counts", O.with_star(" UNION ALL ".join(
     f"SELECT '{t}' AS table_name, COUNT(*) AS nb FROM src_{t}" for t in O.RAW_TABLES)))
 def q_source_counts(spark, sf):
+    """Rows per source table."""
     return quality.table_counts(raw(spark, sf), O.RAW_TABLES)
 
 
@@ -285,74 +259,44 @@ GROUP BY p.categorie ORDER BY ca_categorie DESC, p.categorie ASC LIMIT 15"""
 _DASH = [f"dash_ca AS ({_DASH_CA_SQL})", f"dash_delai AS ({_DASH_DELAI_SQL})", f"dash_cat AS ({_DASH_CAT_SQL})"]
 
 
-def _monthly(spark, sf):
-    s = _star(spark, sf)
-    return dashboard.monthly_revenue(s["FAIT_VENTES"], s["DIM_TEMPS"], s["DIM_CLIENT"])
-
-
-def _delays(spark, sf):
-    s = _star(spark, sf)
-    return dashboard.delay_by_state(s["FAIT_VENTES"], s["DIM_CLIENT"])
-
+sql_only("dash_ca", O.with_star("SELECT * FROM dash_ca", _DASH))
 
-@register("dash_ca", O.with_star("SELECT * FROM dash_ca", _DASH))
-def q_dash_ca(spark, sf):
-    return _monthly(spark, sf)
 
+sql_only("dash_top_categories", O.with_star("SELECT * FROM dash_cat", _DASH))
 
-@register("dash_top_categories", O.with_star("SELECT * FROM dash_cat", _DASH))
-def q_dash_top_categories(spark, sf):
-    s = _star(spark, sf)
-    return dashboard.top_categories(s["FAIT_VENTES"], s["DIM_PRODUIT"])
 
-
-@register("dash_categories_chart", O.with_star(
+sql_only("dash_categories_chart", O.with_star(
     "SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY ca_categorie ASC, categorie DESC) AS INTEGER) AS ordre "
     "FROM dash_cat", _DASH))
-def q_dash_categories_chart(spark, sf):
-    s = _star(spark, sf)
-    return dashboard.categories_chart(dashboard.top_categories(s["FAIT_VENTES"], s["DIM_PRODUIT"]))
 
 
-@register("dash_delai", O.with_star("SELECT * FROM dash_delai", _DASH))
-def q_dash_delai(spark, sf):
-    return _delays(spark, sf)
+sql_only("dash_delai", O.with_star("SELECT * FROM dash_delai", _DASH))
 
 
-@register("dash_scores", O.with_star(
+sql_only("dash_scores", O.with_star(
     "SELECT score_satisfaction, COUNT(*) AS nb FROM fait_ventes WHERE score_satisfaction IS NOT NULL "
     "GROUP BY score_satisfaction"))
-def q_dash_scores(spark, sf):
-    return dashboard.score_distribution(_star(spark, sf)["FAIT_VENTES"])
 
 
-@register("dash_trend", O.with_star(f"""
+sql_only("dash_trend", O.with_star(f"""
 SELECT t.annee, t.trimestre, CAST(t.annee AS VARCHAR) || '-T' || CAST(t.trimestre AS VARCHAR) AS periode,
        {O.rsum(O.REV)} AS ca_total
 FROM fait_ventes f JOIN dim_temps t ON f.temps_id = t.temps_id GROUP BY t.annee, t.trimestre"""))
-def q_dash_trend(spark, sf):
-    s = _star(spark, sf)
-    return dashboard.quarterly_trend(s["FAIT_VENTES"], s["DIM_TEMPS"])
 
 
-@register("dash_headline", O.with_star(f"""
+sql_only("dash_headline", O.with_star(f"""
 SELECT a.ca_total, a.nb_commandes, b.score_global, c.delai_global FROM
   (SELECT {O.rsum('ca_total')} AS ca_total, SUM(nb_commandes) AS nb_commandes FROM dash_ca) a,
   (SELECT {O.ravg('score_satisfaction', 2, O.SCORE)} AS score_global FROM fait_ventes
    WHERE score_satisfaction IS NOT NULL) b,
   (SELECT {O.ravg('delai_livraison_jours', 1)} AS delai_global FROM fait_ventes
    WHERE delai_livraison_jours > 0) c""", _DASH))
-def q_dash_headline(spark, sf):
-    s = _star(spark, sf)
-    return dashboard.headline(_monthly(spark, sf), s["FAIT_VENTES"])
 
 
-@register("dash_regions", O.with_star(
+sql_only("dash_regions", O.with_star(
     "SELECT 'Toutes' AS region, 0 AS ordre UNION ALL "
     "SELECT region, CAST(ROW_NUMBER() OVER (ORDER BY region) AS INTEGER) AS ordre "
     "FROM (SELECT DISTINCT region FROM dash_ca)", _DASH))
-def q_dash_regions(spark, sf):
-    return dashboard.region_choices(_monthly(spark, sf))
 
 
 def _ca_region_sql(region: str | None) -> str:
@@ -368,24 +312,16 @@ SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY delai_moyen ASC, etat DESC) AS INTEGE
   SELECT * FROM dash_delai {where} ORDER BY delai_moyen DESC, etat ASC LIMIT 20)""", _DASH)
 
 
-@register("dash_ca_region", _ca_region_sql(None))
-def q_dash_ca_region(spark, sf):
-    return dashboard.monthly_revenue_for(_monthly(spark, sf))
+sql_only("dash_ca_region", _ca_region_sql(None))
 
 
-@register("dash_ca_region_nordeste", _ca_region_sql("Nordeste"))
-def q_dash_ca_region_nordeste(spark, sf):
-    return dashboard.monthly_revenue_for(_monthly(spark, sf), "Nordeste")
+sql_only("dash_ca_region_nordeste", _ca_region_sql("Nordeste"))
 
 
-@register("dash_delai_region", _delai_region_sql(None))
-def q_dash_delai_region(spark, sf):
-    return dashboard.slowest_states_for(_delays(spark, sf))
+sql_only("dash_delai_region", _delai_region_sql(None))
 
 
-@register("dash_delai_region_sudeste", _delai_region_sql("Sudeste"))
-def q_dash_delai_region_sudeste(spark, sf):
-    return dashboard.slowest_states_for(_delays(spark, sf), "Sudeste")
+sql_only("dash_delai_region_sudeste", _delai_region_sql("Sudeste"))
 
 
 # ------------------------------------------------------------------ M21-M28: forecast
@@ -411,19 +347,13 @@ _TREND = [f"""trend AS (
   FROM parts)"""]
 
 
-@register("trend_index", O.with_star("SELECT * FROM trend", _TREND))
-def q_trend_index(spark, sf):
-    s = _star(spark, sf)
-    return forecast.trend_index(s["FAIT_VENTES"], s["DIM_TEMPS"])
+sql_only("trend_index", O.with_star("SELECT * FROM trend", _TREND))
 
 
-@register("forecast_model", O.with_star("SELECT * FROM model", _TREND))
-def q_forecast_model(spark, sf):
-    s = _star(spark, sf)
-    return forecast.forecast_model(s["FAIT_VENTES"], s["DIM_TEMPS"])
+sql_only("forecast_model", O.with_star("SELECT * FROM model", _TREND))
 
 
-@register("forecast_series", O.with_star("""
+sql_only("forecast_series", O.with_star("""
 SELECT tr.t, tr.annee, tr.trimestre, tr.periode, tr.ca_total, m.ordonnee + m.pente * tr.t AS ca_prevu,
        'reel' AS type FROM trend tr, model m
 UNION ALL
@@ -436,9 +366,6 @@ SELECT CAST(l.t_last + s.step AS INTEGER) AS t,
        'prevision' AS type
 FROM (SELECT t AS t_last, annee, trimestre FROM trend ORDER BY t DESC LIMIT 1) l,
      (SELECT * FROM range(1, 3) r(step)) s, model m""", _TREND))
-def q_forecast_series(spark, sf):
-    s = _star(spark, sf)
-    return forecast.forecast_series(s["FAIT_VENTES"], s["DIM_TEMPS"])
 
 
 # ------------------------------------------------------------------ M1-M10: segments
@@ -452,13 +379,7 @@ _PROFILE = [f"""profile AS (
   FROM fait_ventes GROUP BY client_id HAVING COUNT(DISTINCT commande_id) >= 1)"""]
 
 
-def _fact(spark, sf):
-    return _star(spark, sf)["FAIT_VENTES"]
-
-
-@register("client_profile", O.with_star("SELECT * FROM profile", _PROFILE))
-def q_client_profile(spark, sf):
-    return segments.client_profile(_fact(spark, sf))
+sql_only("client_profile", O.with_star("SELECT * FROM profile", _PROFILE))
 
 
 _Z = ", ".join(
@@ -470,41 +391,15 @@ _ZSQL = ("SELECT client_id, " + ", ".join(segments.FEATURES) + ", "
                                                for c in segments.FEATURES) + " FROM feat) st")
 
 
-@register("client_zscores", O.with_star(_ZSQL, _PROFILE + [f"feat AS (SELECT client_id, {_Z} FROM profile)"]))
-def q_client_zscores(spark, sf):
-    z = segments.client_zscores(_fact(spark, sf))
-    return z.select("client_id", *segments.FEATURES,
-                    *[F.round(c, 9).alias(c) for c in segments.Z_FEATURES])
+sql_only("client_zscores", O.with_star(_ZSQL, _PROFILE + [f"feat AS (SELECT client_id, {_Z} FROM profile)"]))
 
 
-@register("client_sample", O.with_star(
+sql_only("client_sample", O.with_star(
     "SELECT * FROM profile ORDER BY md5(CAST(client_id AS VARCHAR) || '42'), client_id LIMIT 3000", _PROFILE))
-def q_client_sample(spark, sf):
-    return segments.client_sample(segments.client_profile(_fact(spark, sf)))
-
-
-@register("elbow_curve")
-def q_elbow_curve(spark, sf):
-    return segments.elbow_curve(segments.client_zscores(_fact(spark, sf)))
-
-
-def _segments(spark, sf):
-    return segments.segment(segments.client_zscores(_fact(spark, sf)))[0]
-
-
-@register("client_segments")
-def q_client_segments(spark, sf):
-    return _segments(spark, sf)
-
-
-@register("segment_summary")
-def q_segment_summary(spark, sf):
-    return segments.segment_summary(_segments(spark, sf))
-
-
-@register("segment_sizes")
-def q_segment_sizes(spark, sf):
-    return segments.segment_sizes(_segments(spark, sf))
+mining("elbow_curve")
+mining("client_segments")
+mining("segment_summary")
+mining("segment_sizes")
 
 
 # ------------------------------------------------------------------ M11-M20: classifier
@@ -522,64 +417,24 @@ _TRAIN = ["""training AS (
   FROM training)"""]
 
 
-def _training(spark, sf):
-    s = _star(spark, sf)
-    return classify.training_set(s["FAIT_VENTES"], s["DIM_PRODUIT"], s["DIM_CLIENT"])
-
+sql_only("order_training_set", O.with_star("SELECT * FROM training", _TRAIN))
 
-@register("order_training_set", O.with_star("SELECT * FROM training", _TRAIN))
-def q_order_training_set(spark, sf):
-    return _training(spark, sf)
 
-
-@register("onehot_levels", O.with_star(" UNION ALL ".join(
+sql_only("onehot_levels", O.with_star(" UNION ALL ".join(
     f"SELECT '{c}' AS variable, niveau, '{c}_' || niveau AS colonne FROM "
     f"(SELECT DISTINCT {c} AS niveau FROM training) WHERE niveau <> (SELECT MIN({c}) FROM training)"
     for c in classify.CATEGORICAL), _TRAIN))
-def q_onehot_levels(spark, sf):
-    return classify.onehot_levels(_training(spark, sf))
 
 
-@register("stratified_split", O.with_star("SELECT * FROM split", _TRAIN))
-def q_stratified_split(spark, sf):
-    return classify.stratified_split(_training(spark, sf))
+sql_only("stratified_split", O.with_star("SELECT * FROM split", _TRAIN))
 
 
-@register("class_weights", O.with_star("""
+sql_only("class_weights", O.with_star("""
 SELECT bonne_note, COUNT(*) AS nb,
        CAST(SUM(COUNT(*)) OVER () AS DOUBLE) / CAST(COUNT(*) OVER () * COUNT(*) AS DOUBLE) AS poids
 FROM split WHERE NOT is_test GROUP BY bonne_note""", _TRAIN))
-def q_class_weights(spark, sf):
-    return classify.class_weights(classify.stratified_split(_training(spark, sf)).filter(~F.col("is_test")))
-
-
-def _tree(spark, sf):
-    split = classify.stratified_split(_training(spark, sf))
-    model, pred = classify.fit_tree(split)
-    return model, pred, split
-
-
-@register("tree_predictions")
-def q_tree_predictions(spark, sf):
-    return _tree(spark, sf)[1]
-
-
-@register("tree_accuracy")
-def q_tree_accuracy(spark, sf):
-    return classify.accuracy(_tree(spark, sf)[1])
-
-
-@register("tree_report")
-def q_tree_report(spark, sf):
-    return classify.report(_tree(spark, sf)[1])
-
-
-@register("tree_confusion")
-def q_tree_confusion(spark, sf):
-    return classify.confusion(_tree(spark, sf)[1])
-
-
-@register("tree_importances")
-def q_tree_importances(spark, sf):
-    model, _pred, split = _tree(spark, sf)
-    return classify.importances(model, split)
+mining("tree_predictions")
+mining("tree_accuracy")
+mining("tree_report")
+mining("tree_confusion")
+mining("tree_importances")
\ No newline at end of file
