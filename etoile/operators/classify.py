@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from etoile.operators import kpis
 from etoile.operators.dashboard import attach_scalars
+from etoile.session import reliable_checkpoint
 
 NUMERIC = ["prix_unitaire", "frais_livraison", "delai_livraison_jours"]
 CATEGORICAL = ["categorie", "region"]
@@ -122,7 +123,7 @@ def fit_tree(split: DataFrame, max_depth: int = MAX_DEPTH, seed: int = SEED) ->
     the encoder and each tree level read it instead of recomputing the star.
     Returns the fitted pipeline and ``(commande_id, item_id, bonne_note, prediction)`` on test.
     """
-    split = split.checkpoint(eager=True)
+    split = reliable_checkpoint(split)
     train = split.filter(~F.col("is_test"))
     weights = class_weights(train).select(LABEL, "poids")
     train = train.join(F.broadcast(weights), LABEL)  # one row per class

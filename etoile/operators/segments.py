@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from etoile.functions.numeric import SCORE_SCALE, rounded_avg
 from etoile.operators import kpis
 from etoile.operators.dashboard import attach_scalars
+from etoile.session import reliable_checkpoint
 
 FEATURES = ["freq_achat", "montant_moyen", "ca_total"]
 Z_FEATURES = [f"z_{c}" for c in FEATURES]
@@ -34,7 +35,7 @@ K_RANGE = range(2, 9)
 N_INIT = 10
 SEED = 42
 SAMPLE_SIZE = 3000
-PARALLELISM = 4      # concurrent K-Means fits
+PARALLELISM = 8      # concurrent K-Means fits (independent jobs)
 # Segment label by rank of mean revenue (1 = smallest).
 SEGMENT_LABELS = [
     "Segment 1 — Petits acheteurs",
@@ -87,25 +88,40 @@ def _fit(data: DataFrame, k: int, seed: int, max_iter: int, tol: float) -> tuple
     return float(model.summary.trainingCost), seed, model
 
 
+def _fits(data: DataFrame, pairs: list[tuple[int, int]], max_iter: int, tol: float,
+          parallelism: int) -> list[tuple[int, float, int, KMeansModel]]:
+    """Fit every (k, seed) pair; independent jobs run ``parallelism`` at a time."""
+    def one(pair):
+        k, seed = pair
+        return (k, *_fit(data, k, seed, max_iter, tol))
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        return list(pool.map(one, pairs))
+
+
+def _best(fits, k: int):
+    cost, _seed, model = min(((c, s, m) for kk, c, s, m in fits if kk == k), key=lambda r: (r[0], r[1]))
+    return model, cost
+
+
 def best_kmeans(data: DataFrame, k: int, n_init: int = N_INIT, seed: int = SEED, max_iter: int = 300,
                 tol: float = 1e-4, parallelism: int = PARALLELISM) -> tuple[KMeansModel, float]:
     """Best of ``n_init`` K-Means fits (lowest within-cluster sum of squares; ties: lowest seed)."""
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        fits = list(pool.map(lambda s: _fit(data, k, s, max_iter, tol), range(seed, seed + n_init)))
-    cost, _seed, model = min(fits, key=lambda r: (r[0], r[1]))
-    return model, cost
+    fits = _fits(data, [(k, s) for s in range(seed, seed + n_init)], max_iter, tol, parallelism)
+    return _best(fits, k)
 
 
 def features_checkpoint(z: DataFrame) -> DataFrame:
     """Assembled features, checkpointed (lineage cut; survives executor loss)."""
-    return assemble(z).checkpoint(eager=True)
+    return reliable_checkpoint(assemble(z))
 
 
 def elbow_curve(z: DataFrame, k_range=K_RANGE, n_init: int = N_INIT, seed: int = SEED,
                 parallelism: int = PARALLELISM) -> DataFrame:
     """M4: ``(k, inertie)`` for each k, best of ``n_init`` restarts."""
     data = features_checkpoint(z).select("features")
-    rows = [(k, best_kmeans(data, k, n_init, seed, parallelism=parallelism)[1]) for k in k_range]
+    pairs = [(k, s) for k in k_range for s in range(seed, seed + n_init)]
+    fits = _fits(data, pairs, 300, 1e-4, parallelism)
+    rows = [(k, _best(fits, k)[1]) for k in k_range]
     return z.sparkSession.createDataFrame(rows, "k int, inertie double")
 
 

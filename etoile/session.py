@@ -19,6 +19,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         SparkSession.builder.master(master)
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
@@ -49,3 +50,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     target = conf_dir or tempfile.mkdtemp(prefix="etoile-ckpt-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(target)
     return spark.sparkContext.getCheckpointDir()
+
+
+def reliable_checkpoint(df):
+    """``df.checkpoint()`` into the shared checkpoint folder (resolved from the session).
+
+    Cuts the lineage: later jobs read the written data, and a lost executor costs a
+    re-read rather than a recomputation from the sources.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
