@@ -174,6 +174,11 @@ GROUP BY t.annee, t.trimestre
 ORDER BY t.annee, t.trimestre"""))
 
 
+# A10: the same KPIs run as SQL text through spark.sql (same oracles as K6 and K3)
+sql_only("sql_ca_trimestriel", ORACLE["kpi6_ca_trimestriel"])
+sql_only("sql_top_vendeurs", ORACLE["kpi3_top_vendeurs"])
+
+
 # ------------------------------------------------------------------ Q: data quality
 
 

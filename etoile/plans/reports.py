@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from etoile.operators import classify, dashboard, forecast, kpis, quality, segments
+from etoile.sources.warehouse import run_sql
 
 Tables = dict[str, DataFrame]
 REPORTS: dict[str, Callable[[Tables], DataFrame]] = {}
@@ -136,3 +137,38 @@ REPORTS["tree_confusion"] = lambda t: classify.confusion(_tree(t)[1])
 def _importances(t: Tables) -> DataFrame:
     model, _pred, split = _tree(t)
     return classify.importances(model, split)
+
+
+# A10: reports written as SQL text, run by ``spark.sql`` over the warehouse tables as temp views
+# (the source runs its KPI file this way). Same rounding rule as the DataFrame operators.
+SQL_REPORTS = {
+    "sql_ca_trimestriel": """
+SELECT t.annee, t.trimestre, CONCAT(CAST(t.annee AS STRING), '-T', CAST(t.trimestre AS STRING)) AS periode,
+       CAST(ROUND(SUM(CAST(f.prix_unitaire AS DECIMAL(18,4)) + CAST(f.frais_livraison AS DECIMAL(18,4))), 2)
+            AS DOUBLE) AS ca_total,
+       COUNT(DISTINCT f.commande_id) AS nb_commandes
+FROM FAIT_VENTES f JOIN DIM_TEMPS t ON f.temps_id = t.temps_id
+GROUP BY t.annee, t.trimestre
+ORDER BY t.annee, t.trimestre""",
+    "sql_top_vendeurs": """
+SELECT v.vendeur_id, v.etat,
+       SIGN(s) * FLOOR(ABS(s) / n * 100D + 0.5D) / 100D AS score_moyen,
+       nb_commandes, ca_total
+FROM (SELECT f.vendeur_id, CAST(SUM(CAST(f.score_satisfaction AS DECIMAL(28,12))) AS DOUBLE) AS s,
+             COUNT(f.score_satisfaction) AS n, COUNT(DISTINCT f.commande_id) AS nb_commandes,
+             CAST(ROUND(SUM(CAST(f.prix_unitaire AS DECIMAL(18,4))), 2) AS DOUBLE) AS ca_total
+      FROM FAIT_VENTES f WHERE f.score_satisfaction IS NOT NULL GROUP BY f.vendeur_id) a
+JOIN DIM_VENDEUR v ON a.vendeur_id = v.vendeur_id
+ORDER BY score_moyen DESC, v.vendeur_id ASC
+LIMIT 20""",
+}
+
+
+def _sql_report(sql: str) -> Callable[[Tables], DataFrame]:
+    def run(t: Tables) -> DataFrame:
+        return run_sql(_f(t).sparkSession, sql, t)
+    return run
+
+
+for _n, _sql in SQL_REPORTS.items():
+    REPORTS[_n] = _sql_report(_sql)
