@@ -4,29 +4,24 @@
   aggregate keyed by client then order, combined map-side).
 * Z-scores use population statistics, as the source's scaler does; the global means and
   standard deviations are one aggregate row attached by a broadcast of that single row.
-* K-Means is ``pyspark.ml.clustering.KMeans`` (distributed Lloyd iterations, k-means||
-  init). The source keeps the best of ``n_init`` restarts; so does ``best_kmeans``, with
-  one seed per restart. The restarts are independent Spark jobs, submitted from a small
-  thread pool so they share the cluster (as ``CrossValidator(parallelism=)`` does).
+* K-Means: the source keeps the best of ``n_init`` k-means++ restarts for each k. All
+  restarts (and, for the elbow curve, all values of k) advance together in
+  ``etoile.operators.kmeans``: one pass over the features per Lloyd iteration for every
+  fit, instead of one pass per iteration per fit.
 * The feature frame is checkpointed once (reliable checkpoint in ``spark.checkpoint.dir``):
-  every restart reads it instead of recomputing the star, and a lost executor costs a
+  every pass reads it instead of recomputing the star, and a lost executor costs a
   re-read, not a re-run of the ETL.
 * Segment labels go by rank of mean revenue (smallest = segment 1), ties by cluster id.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from etoile.functions.numeric import SCORE_SCALE, rounded_avg
-from etoile.operators import kpis
+from etoile.operators import kmeans, kpis
 from etoile.operators.dashboard import attach_scalars
-from etoile.session import reliable_checkpoint
 
 FEATURES = ["freq_achat", "montant_moyen", "ca_total"]
 Z_FEATURES = [f"z_{c}" for c in FEATURES]
@@ -35,7 +30,8 @@ K_RANGE = range(2, 9)
 N_INIT = 10
 SEED = 42
 SAMPLE_SIZE = 3000
-PARALLELISM = 8      # concurrent K-Means fits (independent jobs)
+MAX_ITER = 300
+TOL = 1e-4
 # Segment label by rank of mean revenue (1 = smallest).
 SEGMENT_LABELS = [
     "Segment 1 — Petits acheteurs",
@@ -79,64 +75,29 @@ def client_zscores(fact: DataFrame) -> DataFrame:
     return zscores(feature_matrix(client_profile(fact)))
 
 
-def assemble(z: DataFrame, cols=Z_FEATURES) -> DataFrame:
-    return VectorAssembler(inputCols=list(cols), outputCol="features").transform(z)
-
-
-def _fit(data: DataFrame, k: int, seed: int, max_iter: int, tol: float) -> tuple[float, int, KMeansModel]:
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features").fit(data)
-    return float(model.summary.trainingCost), seed, model
-
-
-def _fits(data: DataFrame, pairs: list[tuple[int, int]], max_iter: int, tol: float,
-          parallelism: int) -> list[tuple[int, float, int, KMeansModel]]:
-    """Fit every (k, seed) pair; independent jobs run ``parallelism`` at a time."""
-    def one(pair):
-        k, seed = pair
-        return (k, *_fit(data, k, seed, max_iter, tol))
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        return list(pool.map(one, pairs))
-
-
-def _best(fits, k: int):
-    cost, _seed, model = min(((c, s, m) for kk, c, s, m in fits if kk == k), key=lambda r: (r[0], r[1]))
-    return model, cost
-
-
-def best_kmeans(data: DataFrame, k: int, n_init: int = N_INIT, seed: int = SEED, max_iter: int = 300,
-                tol: float = 1e-4, parallelism: int = PARALLELISM) -> tuple[KMeansModel, float]:
-    """Best of ``n_init`` K-Means fits (lowest within-cluster sum of squares; ties: lowest seed)."""
-    fits = _fits(data, [(k, s) for s in range(seed, seed + n_init)], max_iter, tol, parallelism)
-    return _best(fits, k)
-
-
-def features_checkpoint(z: DataFrame) -> DataFrame:
-    """Assembled features, checkpointed (lineage cut; survives executor loss)."""
-    return reliable_checkpoint(assemble(z))
+def _models(k_range, n_init: int, seed: int) -> list[tuple[int, int]]:
+    return [(k, s) for k in k_range for s in range(seed, seed + n_init)]
 
 
 def elbow_curve(z: DataFrame, k_range=K_RANGE, n_init: int = N_INIT, seed: int = SEED,
-                parallelism: int = PARALLELISM) -> DataFrame:
-    """M4: ``(k, inertie)`` for each k, best of ``n_init`` restarts."""
-    data = features_checkpoint(z).select("features")
-    pairs = [(k, s) for k in k_range for s in range(seed, seed + n_init)]
-    fits = _fits(data, pairs, 300, 1e-4, parallelism)
-    rows = [(k, _best(fits, k)[1]) for k in k_range]
+                max_iter: int = MAX_ITER, tol: float = TOL) -> DataFrame:
+    """M4: ``(k, inertie)`` for each k, best of ``n_init`` restarts (all fits in shared passes)."""
+    fits = kmeans.fit_many(z, Z_FEATURES, _models(k_range, n_init, seed), max_iter, tol)
+    rows = [(k, float(f.cost)) for k, f in sorted(kmeans.best_per_k(fits).items())]
     return z.sparkSession.createDataFrame(rows, "k int, inertie double")
 
 
-def segment(z: DataFrame, k: int = K, n_init: int = N_INIT, seed: int = SEED,
-            parallelism: int = PARALLELISM) -> tuple[DataFrame, KMeansModel]:
-    """M5-M7: cluster id and label per client; returns the frame and the fitted model."""
-    data = features_checkpoint(z)
-    model, _cost = best_kmeans(data.select("features"), k, n_init, seed, parallelism=parallelism)
-    clustered = model.transform(data).withColumnRenamed("prediction", "segment").drop("features")
+def segment(z: DataFrame, k: int = K, n_init: int = N_INIT, seed: int = SEED, max_iter: int = MAX_ITER,
+            tol: float = TOL) -> tuple[DataFrame, kmeans.KMeansFit]:
+    """M5-M7: cluster id and label per client; returns the frame and the chosen fit."""
+    best = kmeans.best_per_k(kmeans.fit_many(z, Z_FEATURES, _models([k], n_init, seed), max_iter, tol))[k]
+    clustered = kmeans.assign(z, Z_FEATURES, best.centers)
     means = clustered.groupBy("segment").agg(*[F.avg(c).alias(f"_m_{c}") for c in FEATURES])
     rank = F.row_number().over(Window.orderBy(F.col("_m_ca_total").asc(), F.col("segment").asc()))
     labels = F.array(*[F.lit(x) for x in SEGMENT_LABELS])
     names = means.select("segment", F.element_at(labels, rank).alias("segment_label"))  # k rows
     out = clustered.join(F.broadcast(names), "segment")
-    return out.select("client_id", *FEATURES, *Z_FEATURES, "segment", "segment_label"), model
+    return out.select("client_id", *FEATURES, *Z_FEATURES, "segment", "segment_label"), best
 
 
 def segment_summary(segments: DataFrame) -> DataFrame:

@@ -79,11 +79,11 @@ def test_m3_zscores_population_std_and_constant_feature(spark):
 
 def test_t23_segment_labels_follow_mean_revenue(spark):
     s = star_tables(spark, SF_SMALL)
-    segs, model = segments.segment(segments.client_zscores(s["FAIT_VENTES"]), n_init=2)
+    segs, best = segments.segment(segments.client_zscores(s["FAIT_VENTES"]), n_init=2)
     means = {r.segment_label: r.m for r in segs.groupBy("segment_label").agg(F.avg("ca_total").alias("m")).collect()}
     ordered = [means[label] for label in segments.SEGMENT_LABELS]
     assert ordered == sorted(ordered)
-    assert len(model.clusterCenters()) == segments.K
+    assert best.centers.shape == (segments.K, 3) and best.cost > 0
 
 
 def test_elbow_curve_shape(spark):
@@ -124,3 +124,33 @@ def test_tree_reports_invariants(spark):
     assert len(imp) <= 10 and sum(r.importance for r in imp) <= 1.0001
     w = {r.bonne_note: r for r in classify.class_weights(split.filter(~F.col("is_test"))).collect()}
     assert math.isclose(sum(r.nb * r.poids for r in w.values()), sum(r.nb for r in w.values()))
+
+
+def test_distributed_kmeans_equals_brute_force_lloyd(spark):
+    import numpy as np
+
+    from etoile.operators import kmeans
+    rng = np.random.default_rng(0)
+    pts = np.vstack([rng.normal(c, 0.3, size=(40, 2)) for c in ((0, 0), (5, 5), (0, 6))])
+    df = spark.createDataFrame([(f"c{i}", float(x), float(y)) for i, (x, y) in enumerate(pts)],
+                               "client_id string, a double, b double").repartition(3)
+    fits = kmeans.fit_many(df, ["a", "b"], [(3, 7), (2, 7)], max_iter=100, tol=1e-8)
+    # brute force: same init (k-means++ on the same bounded sample, here all points), plain Lloyd
+    sample = np.array(sorted(((__import__("hashlib").md5(f"c{i}|init".encode()).hexdigest(), f"c{i}", p)
+                              for i, p in enumerate(pts)), key=lambda r: (r[0], r[1])), dtype=object)
+    x = np.array([p for _h, _i, p in sample], dtype=float)
+    for f in fits:
+        c = kmeans._kmeanspp(x, f.k, f.seed)
+        for _ in range(100):
+            lab = ((pts[:, None, :] - c[None]) ** 2).sum(2).argmin(1)
+            new = np.array([pts[lab == j].mean(0) if (lab == j).any() else c[j] for j in range(f.k)])
+            done = ((new - c) ** 2).sum() <= 1e-8 * pts.var(0).mean()
+            c = new
+            if done:
+                break
+        cost = ((pts - c[((pts[:, None, :] - c[None]) ** 2).sum(2).argmin(1)]) ** 2).sum()
+        assert np.allclose(np.sort(f.centers, 0), np.sort(c, 0))
+        assert math.isclose(f.cost, cost, rel_tol=1e-9)
+    best3 = kmeans.best_per_k(fits)[3]
+    got = kmeans.assign(df, ["a", "b"], best3.centers).groupBy("segment").count().collect()
+    assert sorted(r["count"] for r in got) == [40, 40, 40]
