@@ -67,17 +67,17 @@ def headline(monthly: DataFrame, fact: DataFrame) -> DataFrame:
     does), global mean score and global mean positive delay; one row.
 
     Summing the per-group distinct counts equals the global distinct count because an order
-    has one date and one client. The three inputs are global aggregates of one row each;
-    they are combined by a key-less join of single rows (bounded by construction).
+    has one date and one client. The score and delay means are one pass over the fact
+    (conditional inputs: AVG skips NULLs), attached as a one-row aggregate.
     """
     totals = monthly.agg(
         F.round(F.sum(F.col("ca_total").cast(f"decimal(18,{MONEY_SCALE})")), 2).cast("double").alias("ca_total"),
         F.sum("nb_commandes").alias("nb_commandes"))
-    score = (fact.filter(F.col("score_satisfaction").isNotNull())
-             .agg(rounded_avg("score_satisfaction", 2, SCORE_SCALE).alias("score_global")))
-    delay = fact.filter(F.col("delai_livraison_jours") > 0).agg(
-        rounded_avg("delai_livraison_jours", 1).alias("delai_global"))
-    return attach_scalars(attach_scalars(totals, score), delay)
+    means = fact.agg(
+        rounded_avg(F.col("score_satisfaction"), 2, SCORE_SCALE).alias("score_global"),
+        rounded_avg(F.when(F.col("delai_livraison_jours") > 0, F.col("delai_livraison_jours")), 1)
+        .alias("delai_global"))
+    return attach_scalars(totals, means)
 
 
 def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:

@@ -157,10 +157,14 @@ def fait_ventes(items: DataFrame, delivered: DataFrame, scores: DataFrame, payme
     )
 
 
-def build_star(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The whole transform, lazily; returns the five warehouse tables."""
+def build_star(raw: dict[str, DataFrame], temps: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The whole transform, lazily; returns the five warehouse tables.
+
+    ``temps``: an already written date dimension to key the fact with (the ETL job writes
+    it first), instead of deriving the dates again.
+    """
     delivered = delivered_orders(raw["orders"])
-    temps = dim_temps(delivered)
+    temps = dim_temps(delivered) if temps is None else temps
     return {
         "DIM_TEMPS": temps,
         "DIM_CLIENT": dim_client(raw["customers"]),

@@ -41,11 +41,20 @@ def layout_for_write(name: str, df: DataFrame) -> DataFrame:
 
 
 def run_etl(spark: SparkSession, raw: dict[str, DataFrame], warehouse: str) -> dict[str, str]:
-    """B26 + A9: build the five tables and write them (replacing any previous load)."""
-    tables = star.build_star(raw)
-    paths = {}
+    """B26 + A9: build the five tables and write them (replacing any previous load).
+
+    The date dimension is written first and read back to key the fact (its surrogate keys
+    are then exactly the written ones, and the dates are not derived twice).
+    """
+    root = warehouse.rstrip("/")
+    temps_path = f"{root}/DIM_TEMPS"
+    star.dim_temps(star.delivered_orders(raw["orders"])).write.mode("overwrite").parquet(temps_path)
+    tables = star.build_star(raw, temps=spark.read.parquet(temps_path))
+    paths = {"DIM_TEMPS": temps_path}
     for name in STAR_NAMES:
-        path = f"{warehouse.rstrip('/')}/{name}"
+        if name == "DIM_TEMPS":
+            continue
+        path = f"{root}/{name}"
         layout_for_write(name, tables[name]).write.mode("overwrite").parquet(path)
         paths[name] = path
     return paths
