@@ -8,9 +8,10 @@
 * Stratified split (exact per-class test sizes ``ceil(share * n_class)``, seeded and
   engine independent): each row's rank inside its class is by ``md5(key || seed)``. Rather
   than a window over a whole class (half the data in one task), the rank is found in two
-  aggregate passes: a per-class histogram over the first 4 hex digits of the hash (at most
-  2 x 65,536 rows) gives, per class, the bucket holding the cut; only the rows of that one
-  bucket (about 1/65,536 of the class) are ranked by a window.
+  aggregate passes: a per-class histogram over the first hex digits of the hash gives, per
+  class, the bucket holding the cut; only the rows of that one bucket are ranked by a
+  window. The number of digits follows the row count so that a bucket holds about
+  ``EDGE_BUCKET_ROWS`` rows (the histogram then has about n / EDGE_BUCKET_ROWS rows).
 * Class weights ``n / (2 n_class)`` (the "balanced" rule) go in as ``weightCol``.
 * Tree: ``DecisionTreeClassifier(maxDepth=5, seed=42)``; reports are aggregates over the
   predictions (accuracy, per-class precision/recall/F1/support, confusion, importances).
@@ -18,6 +19,9 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
@@ -26,7 +30,7 @@ from pyspark.sql import functions as F
 
 from etoile.operators import kpis
 from etoile.operators.dashboard import attach_scalars
-from etoile.session import reliable_checkpoint
+from etoile.session import materialize
 
 NUMERIC = ["prix_unitaire", "frais_livraison", "delai_livraison_jours"]
 CATEGORICAL = ["categorie", "region"]
@@ -37,7 +41,8 @@ SEED = 42
 MAX_DEPTH = 5
 TOP_FEATURES = 10
 GOOD_SCORE = 4
-BUCKET_HEX_DIGITS = 4
+EDGE_BUCKET_ROWS = 100_000   # rows ranked by the one window (the bucket holding the cut)
+MAX_HEX_DIGITS = 8
 
 
 def training_set(fact: DataFrame, dim_produit: DataFrame, dim_client: DataFrame) -> DataFrame:
@@ -67,13 +72,23 @@ def _hash(key_cols, seed) -> F.Column:
     return F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key_cols], F.lit(str(seed))))
 
 
+def bucket_digits(n: int, target: int = EDGE_BUCKET_ROWS) -> int:
+    """Hex digits of the hash prefix so that one bucket holds about ``target`` rows."""
+    return max(1, min(MAX_HEX_DIGITS, math.ceil(math.log(max(n, 1) / target, 16)) if n > target else 1))
+
+
 def stratified_split(df: DataFrame, label: str = LABEL, key_cols=KEY, test_share: float = TEST_SHARE,
-                     seed: int = SEED) -> DataFrame:
+                     seed: int = SEED, edge_rows: int = EDGE_BUCKET_ROWS) -> DataFrame:
     """Adds ``is_test``: per class, the ``ceil(test_share * n)`` rows of smallest hash.
 
-    Ties on the hash (duplicate keys) are broken by the key columns.
+    Ties on the hash (duplicate keys) are broken by the key columns. The hashed input is
+    written once as a table in the checkpoint folder (one computation of the joins behind
+    it, whatever reads the split next).
     """
-    h = df.withColumn("_h", _hash(key_cols, seed)).withColumn("_b", F.substring("_h", 1, BUCKET_HEX_DIGITS))
+    # read three times below (histogram, boundary bucket, other rows): materialized once
+    h = materialize(df.withColumn("_h", _hash(key_cols, seed)), "split-input")
+    digits = bucket_digits(h.count(), edge_rows)   # row count from the Parquet footers
+    h = h.withColumn("_b", F.substring("_h", 1, digits))
     hist = h.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_nb"))
     # bounded: at most (classes x 16^digits) rows
     w = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -119,15 +134,19 @@ def _pipeline(max_depth: int, seed: int) -> Pipeline:
 def fit_tree(split: DataFrame, max_depth: int = MAX_DEPTH, seed: int = SEED) -> tuple[PipelineModel, DataFrame]:
     """Fit on the training part (with balanced weights); predictions on the test part.
 
-    The split is checkpointed first (reliable, in ``spark.checkpoint.dir``): the indexers,
-    the encoder and each tree level read it instead of recomputing the star.
+    The split is persisted during the fit (the indexers, the encoder and each tree level
+    read it); its own input is already materialized, so later reads of the predictions
+    recompute only the cheap split step, never the star.
     Returns the fitted pipeline and ``(commande_id, item_id, bonne_note, prediction)`` on test.
     """
-    split = reliable_checkpoint(split)
-    train = split.filter(~F.col("is_test"))
-    weights = class_weights(train).select(LABEL, "poids")
-    train = train.join(F.broadcast(weights), LABEL)  # one row per class
-    model = _pipeline(max_depth, seed).fit(train)
+    split = split.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        train = split.filter(~F.col("is_test"))
+        weights = class_weights(train).select(LABEL, "poids")
+        train = train.join(F.broadcast(weights), LABEL)  # one row per class
+        model = _pipeline(max_depth, seed).fit(train)
+    finally:
+        split.unpersist()
     test = split.filter(F.col("is_test"))
     pred = model.transform(test).select(*KEY, LABEL, F.col("prediction").cast("int").alias("prediction"))
     return model, pred

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from etoile.session import reliable_checkpoint
+from etoile.session import materialize
 
 INIT_SAMPLE = 10_000
 
@@ -108,7 +108,7 @@ def _pass(data: DataFrame, cols: list[str], fits: list[KMeansFit]):
 def fit_many(data: DataFrame, cols: list[str], models: list[tuple[int, int]], max_iter: int = 300,
              tol: float = 1e-4, id_col: str = "client_id", init_sample: int = INIT_SAMPLE) -> list[KMeansFit]:
     """Fit one K-Means model per ``(k, seed)`` in ``models``; all advance in the same passes."""
-    data = reliable_checkpoint(data.select(id_col, *cols))
+    data = materialize(data.select(id_col, *cols), "kmeans-input")
     # the source's rule: stop when the summed squared center shift <= tol * mean feature variance
     var = data.agg(*[F.var_pop(c) for c in cols]).first()
     tol_abs = tol * float(np.mean([v or 0.0 for v in var]))

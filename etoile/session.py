@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -60,3 +61,16 @@ def reliable_checkpoint(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    A written table cuts the lineage like ``checkpoint()`` does, but stays columnar and
+    compressed, and the planner sees its real size (file statistics) when it chooses joins.
+    """
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/etoile-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)

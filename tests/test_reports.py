@@ -154,3 +154,13 @@ def test_distributed_kmeans_equals_brute_force_lloyd(spark):
     best3 = kmeans.best_per_k(fits)[3]
     got = kmeans.assign(df, ["a", "b"], best3.centers).groupBy("segment").count().collect()
     assert sorted(r["count"] for r in got) == [40, 40, 40]
+
+
+def test_m14_split_does_not_depend_on_bucket_resolution(spark):
+    rows = [(f"o{i}", i % 4, int(i % 5 == 0)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "commande_id string, item_id int, bonne_note int")
+    assert classify.bucket_digits(3000, 10) == 3 and classify.bucket_digits(3000, 100_000) == 1
+    sets = [{(r.commande_id, r.item_id) for r in classify.stratified_split(df, edge_rows=e).filter("is_test").collect()}
+            for e in (100_000, 30, 3)]
+    assert sets[0] == sets[1] == sets[2]
+    assert len(sets[0]) == math.ceil(0.25 * 600) + math.ceil(0.25 * 2400)
