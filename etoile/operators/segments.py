@@ -8,9 +8,9 @@
   restarts (and, for the elbow curve, all values of k) advance together in
   ``etoile.operators.kmeans``: one pass over the features per Lloyd iteration for every
   fit, instead of one pass per iteration per fit.
-* The feature frame is checkpointed once (reliable checkpoint in ``spark.checkpoint.dir``):
-  every pass reads it instead of recomputing the star, and a lost executor costs a
-  re-read, not a re-run of the ETL.
+* The feature frame is written once as a table in ``spark.checkpoint.dir``: every pass
+  reads it instead of recomputing the star, and a lost executor costs a re-read, not a
+  re-run of the ETL.
 * Segment labels go by rank of mean revenue (smallest = segment 1), ties by cluster id.
 """
 

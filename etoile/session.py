@@ -53,16 +53,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-def reliable_checkpoint(df):
-    """``df.checkpoint()`` into the shared checkpoint folder (resolved from the session).
-
-    Cuts the lineage: later jobs read the written data, and a lost executor costs a
-    re-read rather than a recomputation from the sources.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def materialize(df, name: str = "table"):
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
