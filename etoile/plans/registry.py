@@ -291,7 +291,7 @@ FROM fait_ventes f JOIN dim_temps t ON f.temps_id = t.temps_id GROUP BY t.annee,
 
 sql_only("dash_headline", O.with_star(f"""
 SELECT a.ca_total, a.nb_commandes, b.score_global, c.delai_global FROM
-  (SELECT {O.rsum('ca_total')} AS ca_total, SUM(nb_commandes) AS nb_commandes FROM dash_ca) a,
+  (SELECT {O.rsum('ca_total')} AS ca_total, CAST(SUM(nb_commandes) AS BIGINT) AS nb_commandes FROM dash_ca) a,
   (SELECT {O.ravg('score_satisfaction', 2, O.SCORE)} AS score_global FROM fait_ventes
    WHERE score_satisfaction IS NOT NULL) b,
   (SELECT {O.ravg('delai_livraison_jours', 1)} AS delai_global FROM fait_ventes
