@@ -116,3 +116,30 @@ def slowest_states_for(delays: DataFrame, region: str = ALL_REGIONS, top: int =
     slow = _for_region(delays, region).orderBy(F.desc("delai_moyen"), F.asc("etat")).limit(top)
     w = Window.orderBy(F.asc("delai_moyen"), F.desc("etat"))
     return slow.withColumn("ordre", F.row_number().over(w)).orderBy("ordre")
+
+
+def dashboard_frames(fact: DataFrame, dim_temps: DataFrame, dim_client: DataFrame, dim_produit: DataFrame,
+                     region: str = ALL_REGIONS) -> dict[str, DataFrame]:
+    """Every chart's data at once, as the source's dashboard loads it at start.
+
+    The base aggregates (monthly x region, per state, top categories, scores, quarters) are
+    persisted: they are bounded by the calendar, the states, the score values and the top-k,
+    not by the fact, so they stay small whatever the data volume. The region filter and the
+    derived frames then read these small frames and never the fact again.
+    """
+    base = {
+        "dash_ca": monthly_revenue(fact, dim_temps, dim_client),
+        "dash_delai": delay_by_state(fact, dim_client),
+        "dash_top_categories": top_categories(fact, dim_produit),
+        "dash_scores": score_distribution(fact),
+        "dash_trend": quarterly_trend(fact, dim_temps),
+    }
+    base = {k: v.persist() for k, v in base.items()}
+    return {
+        **base,
+        "dash_headline": headline(base["dash_ca"], fact),
+        "dash_regions": region_choices(base["dash_ca"]),
+        "dash_ca_region": monthly_revenue_for(base["dash_ca"], region),
+        "dash_delai_region": slowest_states_for(base["dash_delai"], region),
+        "dash_categories_chart": categories_chart(base["dash_top_categories"]),
+    }

@@ -20,7 +20,9 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from etoile.functions.lookups import ALL_REGIONS
 from etoile.operators import star
+from etoile.operators.dashboard import dashboard_frames
 from etoile.plans.reports import MINING, REPORTS
 from etoile.sources.csv import read_raw_csv
 from etoile.sources.testdata import raw_from_testdata
@@ -67,6 +69,13 @@ def reports(spark: SparkSession, warehouse: str, names=None, with_mining: bool =
     return {n: REPORTS[n](tables) for n in names}
 
 
+def dashboard(spark: SparkSession, warehouse: str, region: str = ALL_REGIONS) -> dict[str, DataFrame]:
+    """The dashboard's frames over the written warehouse: base aggregates computed once and
+    persisted, every chart derived from them (see ``dashboard.dashboard_frames``)."""
+    t = read_star(spark, warehouse)
+    return dashboard_frames(t["FAIT_VENTES"], t["DIM_TEMPS"], t["DIM_CLIENT"], t["DIM_PRODUIT"], region)
+
+
 def write_reports(frames: dict[str, DataFrame], out: str) -> None:
     for name, df in frames.items():
         df.write.mode("overwrite").parquet(f"{out.rstrip('/')}/{name}")

@@ -62,3 +62,16 @@ def test_quality_is_clean_on_test_data(spark):
     for name in ("dq_pk", "dq_fk", "dq_ranges", "dq_not_null"):
         bad = [tuple(r) for r in QUERIES[name](spark, SF_SMALL).collect() if r.nb_violations]
         assert bad == [], name
+
+
+def test_dashboard_frames_equal_single_reports(spark):
+    wh = tempfile.mkdtemp(prefix="etoile-dash-", dir="/tmp") + "/warehouse"
+    jobs.run_etl(spark, raw_from_testdata(spark, SF_SMALL), wh)
+    frames = jobs.dashboard(spark, wh, "Sudeste")
+    single = jobs.reports(spark, wh, ["dash_ca", "dash_headline", "dash_delai_region_sudeste", "dash_regions"])
+    same = {"dash_ca": "dash_ca", "dash_headline": "dash_headline", "dash_delai_region": "dash_delai_region_sudeste",
+            "dash_regions": "dash_regions"}
+    for mine, ref in same.items():
+        assert sorted(tuple(r) for r in frames[mine].collect()) == sorted(tuple(r) for r in single[ref].collect())
+    plan = frames["dash_ca_region"]._jdf.queryExecution().executedPlan().toString()
+    assert "InMemoryTableScan" in plan          # the region filter reads the cached aggregate
