@@ -127,20 +127,42 @@ FACT_COLUMNS = ["commande_id", "item_id", "client_id", "produit_id", "vendeur_id
                 "delai_livraison_jours"]
 
 
-def fait_ventes(items: DataFrame, delivered: DataFrame, scores: DataFrame, payments_per_order: DataFrame,
+def order_level(delivered: DataFrame, scores: DataFrame, payments_per_order: DataFrame,
                 temps: DataFrame) -> DataFrame:
-    """Item-grain fact.
+    """Everything the fact takes from the order, one row per delivered order.
 
-    items ⋈ delivered orders (inner), ⋈ review mean (left), ⋈ payment total (left): all on
-    the order id, sharing one partitioning. The date lookup is a broadcast of the date
-    dimension (one row per day: bounded by the calendar, not by the data volume).
+    Delivered orders ⟕ review mean ⟕ payment total are all keyed by the order id with at most
+    one row per order (the means and totals are pre-aggregated), so these joins cannot skew.
+    The date key (broadcast of the date dimension, bounded by the calendar) and the delay
+    are computed once per order, not once per item.
     """
     o = delivered.select("order_id", "customer_id", "order_purchase_timestamp", "order_delivered_customer_date")
-    f = (items.join(o, on="order_id", how="inner")
-         .join(scores, on="order_id", how="left")
-         .join(payments_per_order, on="order_id", how="left"))
+    o = o.join(scores, on="order_id", how="left").join(payments_per_order, on="order_id", how="left")
     dates = F.broadcast(temps.select(F.col("date_achat").alias("_d"), "temps_id"))
-    f = f.join(dates, F.to_date(f.order_purchase_timestamp) == dates._d, "left")
+    o = o.join(dates, F.to_date(o.order_purchase_timestamp) == dates._d, "left")
+    return o.select(
+        "order_id", "customer_id", "temps_id", "montant_total", "score_moyen",
+        delay_days(F.col("order_purchase_timestamp"), F.col("order_delivered_customer_date"))
+        .alias("delai_livraison_jours"))
+
+
+def fait_ventes(items: DataFrame, delivered: DataFrame, scores: DataFrame, payments_per_order: DataFrame,
+                temps: DataFrame, stage=None) -> DataFrame:
+    """Item-grain fact.
+
+    The source joins items ⋈ delivered orders (inner), then ⟕ review mean and ⟕ payment total.
+    The per-order inputs are unique per order, so the same rows come from joining them first
+    (``order_level``) and then items ⋈ that table once: a single join on the order id whose
+    build side has one row per key. A hot order (many items) is then split by AQE's skew-join
+    handling (or the order table is broadcast while under the size threshold), which a chain
+    of joins inside one stage would not allow. ``stage`` (the ETL job passes
+    ``session.materialize``) writes the order table first, so both join inputs are plain
+    shuffles of scanned tables: the shape AQE's skew split works on.
+    """
+    o = order_level(delivered, scores, payments_per_order, temps)
+    if stage is not None:
+        o = stage(o, "order-level")
+    f = items.join(o, on="order_id", how="inner")
     return f.select(
         F.col("order_id").alias("commande_id"),
         F.col("order_item_id").alias("item_id"),
@@ -152,16 +174,15 @@ def fait_ventes(items: DataFrame, delivered: DataFrame, scores: DataFrame, payme
         F.col("freight_value").cast(T.DoubleType()).alias("frais_livraison"),
         F.col("montant_total"),
         F.col("score_moyen").alias("score_satisfaction"),
-        delay_days(F.col("order_purchase_timestamp"), F.col("order_delivered_customer_date"))
-        .alias("delai_livraison_jours"),
+        F.col("delai_livraison_jours"),
     )
 
 
-def build_star(raw: dict[str, DataFrame], temps: DataFrame | None = None) -> dict[str, DataFrame]:
+def build_star(raw: dict[str, DataFrame], temps: DataFrame | None = None, stage=None) -> dict[str, DataFrame]:
     """The whole transform, lazily; returns the five warehouse tables.
 
     ``temps``: an already written date dimension to key the fact with (the ETL job writes
-    it first), instead of deriving the dates again.
+    it first), instead of deriving the dates again. ``stage``: see ``fait_ventes``.
     """
     delivered = delivered_orders(raw["orders"])
     temps = dim_temps(delivered) if temps is None else temps
@@ -171,5 +192,5 @@ def build_star(raw: dict[str, DataFrame], temps: DataFrame | None = None) -> dic
         "DIM_PRODUIT": dim_produit(raw["products"], raw["translation"]),
         "DIM_VENDEUR": dim_vendeur(raw["sellers"]),
         "FAIT_VENTES": fait_ventes(raw["items"], delivered, order_scores(raw["reviews"]),
-                                   order_payments(raw["payments"]), temps),
+                                   order_payments(raw["payments"]), temps, stage),
     }
