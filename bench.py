@@ -61,6 +61,7 @@ def main() -> None:
             t = timed(lambda: run(df))
             best = t if best is None else min(best, t)
         times[name] = best
+
     def dashboard_all():
         frames = jobs.dashboard(spark, warehouse)
         for df in frames.values():
