@@ -8,7 +8,7 @@ fit (about 70 x 40 passes). Here every fit advances in the same pass:
   its nearest center under *every* model (numpy on Arrow batches) and emits per
   ``(model, cluster)`` partial sums, counts and costs — at most sum(k) rows per partition;
 * ``groupBy(model, cluster)`` merges the partials; the driver receives only the new
-  centers (sum of k over all models: a few hundred rows) and broadcasts them back;
+  centers (sum of k over all models: a few hundred rows) and ships them with the next pass;
 * a model stops once the summed squared shift of its centers is at most ``tol`` times the
   mean feature variance (the source's rule); the loop ends when all have converged or after
   ``max_iter`` passes; a last pass computes each model's cost.
@@ -56,10 +56,13 @@ def _kmeanspp(x: np.ndarray, k: int, seed: int) -> np.ndarray:
     return np.array(centers, dtype=float)
 
 
-def _partials(cols: list[str], layout: list[tuple[int, int]], centers_b):
-    """mapInPandas function: per-(model, cluster) count, cost and coordinate sums of a partition."""
+def _partials(cols: list[str], layout: list[tuple[int, int]], centers: np.ndarray):
+    """mapInPandas function: per-(model, cluster) count, cost and coordinate sums of a partition.
+
+    The centers (sum of k over the models x d numbers) travel with the task closure.
+    """
     def fn(batches):
-        c = centers_b.value                     # (sum k, d)
+        c = centers                             # (sum k, d)
         c2 = (c ** 2).sum(1)
         total = len(c)
         d = c.shape[1]
@@ -90,19 +93,13 @@ def _pass(data: DataFrame, cols: list[str], fits: list[KMeansFit]):
     for f in fits:
         layout.append((start, f.k))
         start += f.k
-    sc = data.sparkSession.sparkContext
-    centers_b = sc.broadcast(np.vstack([f.centers for f in fits]))   # sum(k) x d: bounded
-    try:
-        schema = "model int, cluster int, n long, cost double, " + ", ".join(
-            f"s_{i} double" for i in range(len(cols)))
-        rows = (data.select(*cols).mapInPandas(_partials(cols, layout, centers_b), schema)
-                .groupBy("model", "cluster")
-                .agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"),
-                     *[F.sum(f"s_{i}").alias(f"s_{i}") for i in range(len(cols))])
-                .collect())                                         # sum(k) rows
-    finally:
-        centers_b.destroy()
-    return rows
+    centers = np.vstack([f.centers for f in fits])                   # sum(k) x d: bounded
+    schema = "model int, cluster int, n long, cost double, " + ", ".join(f"s_{i} double" for i in range(len(cols)))
+    return (data.select(*cols).mapInPandas(_partials(cols, layout, centers), schema)
+            .groupBy("model", "cluster")
+            .agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"),
+                 *[F.sum(f"s_{i}").alias(f"s_{i}") for i in range(len(cols))])
+            .collect())                                             # sum(k) rows
 
 
 def fit_many(data: DataFrame, cols: list[str], models: list[tuple[int, int]], max_iter: int = 300,

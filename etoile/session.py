@@ -53,6 +53,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def checkpoint_root(spark: SparkSession) -> str:
+    """The shared checkpoint folder, for classic sessions and Spark Connect sessions alike."""
+    try:
+        spark.sparkContext  # noqa: B018 (classic session only)
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            raise RuntimeError("set spark.checkpoint.dir to a folder the cluster shares") from None
+        return root
+    return ensure_checkpoint_dir(spark)
+
+
 def materialize(df, name: str = "table"):
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
@@ -60,7 +72,7 @@ def materialize(df, name: str = "table"):
     compressed, and the planner sees its real size (file statistics) when it chooses joins.
     """
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
+    root = checkpoint_root(spark).rstrip("/")
     path = f"{root}/etoile-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)
