@@ -69,3 +69,38 @@ def test_hot_order_join_is_split_and_complete(spark, monkeypatch):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hot_client_kpi_join_is_split_and_equal(spark):
+    from etoile.operators import kpis
+    n = 30_000
+    ids = spark.range(n)
+    fact = ids.select(
+        F.concat(F.lit("o"), (F.col("id") % 9000).cast("string")).alias("commande_id"),
+        (F.col("id") + 1).cast("int").alias("item_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("c"), (F.col("id") % 2000).cast("string")))
+        .alias("client_id"),
+        F.lit("p1").alias("produit_id"), F.lit("s1").alias("vendeur_id"),
+        (F.col("id") % 28 + 1).cast("int").alias("temps_id"),
+        (F.col("id") % 97 + 1).cast("double").alias("prix_unitaire"), F.lit(1.0).alias("frais_livraison"))
+    temps = spark.range(1, 29).select(F.col("id").cast("int").alias("temps_id"), F.lit(2018).alias("annee"),
+                                      F.lit(2).alias("mois"), F.lit("February").alias("nom_mois"))
+    clients = spark.range(2000).select(F.concat(F.lit("c"), F.col("id").cast("string")).alias("client_id"),
+                                       F.when(F.col("id") % 2 == 0, "Sul").otherwise("Norte").alias("region"))
+    clients = clients.unionByName(spark.createDataFrame([("hot", "Sudeste")], "client_id string, region string"))
+    expected = sorted(tuple(r) for r in kpis.kpi1_ca_mensuel_region(fact, temps, clients).collect())
+    old = {k: spark.conf.get(k, None) for k in CONF}
+    for k, v in CONF.items():
+        spark.conf.set(k, v)
+    try:
+        df = kpis.kpi1_ca_mensuel_region(fact, temps, clients)
+        got = sorted(tuple(r) for r in df.collect())
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert "SortMergeJoin(skew=true)" in plan
+    assert got == expected
