@@ -56,16 +56,30 @@ def _kmeanspp(x: np.ndarray, k: int, seed: int) -> np.ndarray:
     return np.array(centers, dtype=float)
 
 
+def _groups(layout: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """Runs of consecutive models with the same k: ``(first center index, k, number of models)``."""
+    out: list[list[int]] = []
+    for start, k in layout:
+        if out and out[-1][1] == k and out[-1][0] + out[-1][1] * out[-1][2] == start:
+            out[-1][2] += 1
+        else:
+            out.append([start, k, 1])
+    return [tuple(g) for g in out]
+
+
 def _partials(cols: list[str], layout: list[tuple[int, int]], centers: np.ndarray):
     """mapInPandas function: per-(model, cluster) count, cost and coordinate sums of a partition.
 
-    The centers (sum of k over the models x d numbers) travel with the task closure.
+    The centers (sum of k over the models x d numbers) travel with the task closure. Models
+    with the same k are assigned together (one argmin over a (rows, models, k) block), and
+    counts, costs and sums of every model are single ``bincount`` calls.
     """
+    groups = _groups(layout)
+
     def fn(batches):
         c = centers                             # (sum k, d)
         c2 = (c ** 2).sum(1)
-        total = len(c)
-        d = c.shape[1]
+        total, d = c.shape
         n = np.zeros(total, dtype=np.int64)
         cost = np.zeros(total)
         s = np.zeros((total, d))
@@ -74,12 +88,15 @@ def _partials(cols: list[str], layout: list[tuple[int, int]], centers: np.ndarra
             if not len(x):
                 continue
             dist = (x ** 2).sum(1)[:, None] - 2.0 * x @ c.T + c2[None, :]
-            for start, k in layout:
-                j = start + dist[:, start:start + k].argmin(1)
-                n += np.bincount(j, minlength=total)
-                cost += np.bincount(j, weights=((x - c[j]) ** 2).sum(1), minlength=total)
-                for dim in range(d):
-                    s[:, dim] += np.bincount(j, weights=x[:, dim], minlength=total)
+            nearest = np.concatenate(
+                [dist[:, g0:g0 + k * m].reshape(len(x), m, k).argmin(2) + (g0 + k * np.arange(m))[None, :]
+                 for g0, k, m in groups], axis=1)          # (rows, models): global center index
+            flat = nearest.ravel()
+            models = nearest.shape[1]
+            n += np.bincount(flat, minlength=total)
+            cost += np.bincount(flat, weights=((x[:, None, :] - c[nearest]) ** 2).sum(2).ravel(), minlength=total)
+            for dim in range(d):
+                s[:, dim] += np.bincount(flat, weights=np.repeat(x[:, dim], models), minlength=total)
         model = np.concatenate([[m] * k for m, (_start, k) in enumerate(layout)])
         cluster = np.concatenate([np.arange(k) for _start, k in layout])
         out = {"model": model.astype("int32"), "cluster": cluster.astype("int32"), "n": n, "cost": cost}

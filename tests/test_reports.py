@@ -134,7 +134,8 @@ def test_distributed_kmeans_equals_brute_force_lloyd(spark):
     pts = np.vstack([rng.normal(c, 0.3, size=(40, 2)) for c in ((0, 0), (5, 5), (0, 6))])
     df = spark.createDataFrame([(f"c{i}", float(x), float(y)) for i, (x, y) in enumerate(pts)],
                                "client_id string, a double, b double").repartition(3)
-    fits = kmeans.fit_many(df, ["a", "b"], [(3, 7), (2, 7)], max_iter=100, tol=1e-8)
+    fits = kmeans.fit_many(df, ["a", "b"], [(3, 7), (3, 8), (2, 7)], max_iter=100, tol=1e-8)
+    assert kmeans._groups([(0, 3), (3, 3), (6, 2)]) == [(0, 3, 2), (6, 2, 1)]
     # brute force: same init (k-means++ on the same bounded sample, here all points), plain Lloyd
     sample = np.array(sorted(((__import__("hashlib").md5(f"c{i}|init".encode()).hexdigest(), f"c{i}", p)
                               for i, p in enumerate(pts)), key=lambda r: (r[0], r[1])), dtype=object)
