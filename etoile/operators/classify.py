@@ -4,7 +4,7 @@
   ``bonne_note = score >= 4`` on the order-averaged score (items of one order share it).
 * One-hot with the first level (alphabetical) of each categorical dropped, as the source's
   dummies: ``StringIndexer(alphabetDesc)`` puts that level last and ``OneHotEncoder``
-  drops the last index.
+  drops the last index. Like the source, the levels come from all rows, before the split.
 * Stratified split (exact per-class test sizes ``ceil(share * n_class)``, seeded and
   engine independent): each row's rank inside its class is by ``md5(key || seed)``. Rather
   than a window over a whole class (half the data in one task), the rank is found in two
@@ -120,33 +120,38 @@ def class_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
             .orderBy(label))
 
 
-def _pipeline(max_depth: int, seed: int) -> Pipeline:
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", stringOrderType="alphabetDesc", handleInvalid="keep")
-           for c in CATEGORICAL]
+def _encoder() -> Pipeline:
+    """Dummies as the source's: every level of each categorical, the alphabetically first
+    dropped (``alphabetDesc`` puts it last, ``dropLast`` removes it), then the numeric columns."""
+    idx = StringIndexer(inputCols=CATEGORICAL, outputCols=[f"{c}_idx" for c in CATEGORICAL],
+                        stringOrderType="alphabetDesc")   # one pass for all columns
     ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in CATEGORICAL], outputCols=[f"{c}_vec" for c in CATEGORICAL],
-                        dropLast=True, handleInvalid="keep")
+                        dropLast=True)
     vec = VectorAssembler(inputCols=NUMERIC + [f"{c}_vec" for c in CATEGORICAL], outputCol="features")
-    tree = DecisionTreeClassifier(labelCol=LABEL, featuresCol="features", weightCol="poids",
-                                  maxDepth=max_depth, seed=seed)
-    return Pipeline(stages=[*idx, ohe, vec, tree])
+    return Pipeline(stages=[idx, ohe, vec])
 
 
 def fit_tree(split: DataFrame, max_depth: int = MAX_DEPTH, seed: int = SEED) -> tuple[PipelineModel, DataFrame]:
-    """Fit on the training part (with balanced weights); predictions on the test part.
-
-    The split is persisted during the fit (the indexers, the encoder and each tree level
-    read it); its own input is already materialized, so later reads of the predictions
-    recompute only the cheap split step, never the star.
-    Returns the fitted pipeline and ``(commande_id, item_id, bonne_note, prediction)`` on test.
+    """Dummies over all rows (the source encodes before splitting), a balanced-weight
+    tree fitted on the training part, predictions on the test part.
+
+    The split is persisted during the fit (the encoder and each tree level read it); its own
+    input is already materialized, so later reads of the predictions recompute only the
+    cheap split step, never the star.
+    Returns the fitted pipeline (encoder stages + tree) and
+    ``(commande_id, item_id, bonne_note, prediction)`` on the test part.
     """
     split = split.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        train = split.filter(~F.col("is_test"))
+        encoder = _encoder().fit(split)
+        train = encoder.transform(split.filter(~F.col("is_test")))
         weights = class_weights(train).select(LABEL, "poids")
         train = train.join(F.broadcast(weights), LABEL)  # one row per class
-        model = _pipeline(max_depth, seed).fit(train)
+        tree = DecisionTreeClassifier(labelCol=LABEL, featuresCol="features", weightCol="poids",
+                                      maxDepth=max_depth, seed=seed).fit(train)
     finally:
         split.unpersist()
+    model = PipelineModel(stages=[*encoder.stages, tree])
     test = split.filter(F.col("is_test"))
     pred = model.transform(test).select(*KEY, LABEL, F.col("prediction").cast("int").alias("prediction"))
     return model, pred
@@ -201,7 +206,10 @@ def feature_names(model: PipelineModel, pred_frame: DataFrame) -> list[str]:
     """Names of the assembled feature slots, from the vector's ML attribute metadata."""
     meta = model.transform(pred_frame.limit(0)).schema["features"].metadata["ml_attr"]["attrs"]
     slots = sorted((a["idx"], a["name"]) for group in meta.values() for a in group)
-    return [name for _i, name in slots]
+    names = [name for _i, name in slots]
+    for c in CATEGORICAL:   # dummy names as in ``onehot_levels``: <variable>_<level>
+        names = [f"{c}_{n[len(c) + 5:]}" if n.startswith(f"{c}_vec_") else n for n in names]
+    return names
 
 
 def importances(model: PipelineModel, sample: DataFrame, top: int = TOP_FEATURES) -> DataFrame:

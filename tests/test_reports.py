@@ -165,3 +165,13 @@ def test_m14_split_does_not_depend_on_bucket_resolution(spark):
             for e in (100_000, 30, 3)]
     assert sets[0] == sets[1] == sets[2]
     assert len(sets[0]) == math.ceil(0.25 * 600) + math.ceil(0.25 * 2400)
+
+
+def test_importance_names_match_dummy_columns(spark):
+    s = star_tables(spark, SF_SMALL)
+    split = classify.stratified_split(classify.training_set(s["FAIT_VENTES"], s["DIM_PRODUIT"], s["DIM_CLIENT"]))
+    model, _pred = classify.fit_tree(split)
+    names = classify.feature_names(model, split)
+    dummies = {r.colonne for r in classify.onehot_levels(split).collect()}
+    assert names[:3] == classify.NUMERIC
+    assert set(names[3:]) == dummies
