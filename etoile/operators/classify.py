@@ -29,7 +29,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from etoile.operators import kpis
-from etoile.operators.dashboard import attach_scalars
 from etoile.session import materialize
 
 NUMERIC = ["prix_unitaire", "frais_livraison", "delai_livraison_jours"]
@@ -57,9 +56,9 @@ def onehot_levels(train: DataFrame, cols=CATEGORICAL) -> DataFrame:
     """The dummy columns kept: ``(variable, niveau, colonne)``, first level dropped."""
     parts = []
     for c in cols:
-        levels = train.select(F.col(c).alias("niveau")).distinct()
-        first = levels.agg(F.min("niveau").alias("_first"))
-        kept = attach_scalars(levels, first).filter(F.col("niveau") != F.col("_first"))
+        levels = train.select(F.col(c).alias("niveau")).distinct()      # distinct levels: bounded
+        kept = (levels.withColumn("_first", F.min("niveau").over(Window.partitionBy()))
+                .filter(F.col("niveau") != F.col("_first")))
         parts.append(kept.select(F.lit(c).alias("variable"), "niveau",
                                  F.concat(F.lit(c + "_"), F.col("niveau")).alias("colonne")))
     out = parts[0]
@@ -113,10 +112,10 @@ def stratified_split(df: DataFrame, label: str = LABEL, key_cols=KEY, test_share
 
 def class_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
     """``(label, nb, poids)`` with ``poids = n / (n_classes * n_class)``."""
-    counts = train.groupBy(label).agg(F.count(F.lit(1)).alias("nb"))
-    tot = counts.agg(F.sum("nb").alias("_n"), F.count(F.lit(1)).alias("_k"))
-    return (attach_scalars(counts, tot)
-            .select(label, "nb", (F.col("_n") / (F.col("_k") * F.col("nb"))).alias("poids"))
+    counts = train.groupBy(label).agg(F.count(F.lit(1)).alias("nb"))   # one row per class
+    every = Window.partitionBy()
+    return (counts.select(label, "nb", (F.sum("nb").over(every)
+                                        / (F.count(F.lit(1)).over(every) * F.col("nb"))).alias("poids"))
             .orderBy(label))
 
 

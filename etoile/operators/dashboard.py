@@ -67,28 +67,20 @@ def headline(monthly: DataFrame, fact: DataFrame) -> DataFrame:
     does), global mean score and global mean positive delay; one row.
 
     Summing the per-group distinct counts equals the global distinct count because an order
-    has one date and one client. The score and delay means are one pass over the fact
-    (conditional inputs: AVG skips NULLs), attached as a one-row aggregate.
+    has one date and one client. The monthly rows and the fact rows are stacked (each side
+    fills only its own columns) and reduced by one global aggregate: no join.
     """
-    totals = monthly.agg(
-        F.round(F.sum(F.col("ca_total").cast(f"decimal(18,{MONEY_SCALE})")), 2).cast("double").alias("ca_total"),
-        F.sum("nb_commandes").alias("nb_commandes"))
-    means = fact.agg(
-        rounded_avg(F.col("score_satisfaction"), 2, SCORE_SCALE).alias("score_global"),
-        rounded_avg(F.when(F.col("delai_livraison_jours") > 0, F.col("delai_livraison_jours")), 1)
-        .alias("delai_global"))
-    return attach_scalars(totals, means)
-
-
-def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Append the columns of a one-row global aggregate to every row of ``df``.
-
-    The right side is exactly one row (a global ``agg``), so broadcasting it is bounded;
-    it is joined on a constant key, i.e. a broadcast hash join, never a pair product.
-    """
-    k = "__one"
-    return (df.withColumn(k, F.lit(1))
-            .join(F.broadcast(one_row.withColumn(k, F.lit(1))), k).drop(k))
+    dec = f"decimal(18,{MONEY_SCALE})"
+    a = monthly.select(F.col("ca_total").cast(dec).alias("_ca"), F.col("nb_commandes").alias("_nb"),
+                       F.lit(None).cast("double").alias("_score"), F.lit(None).cast("double").alias("_delay"))
+    b = fact.select(F.lit(None).cast(dec).alias("_ca"), F.lit(None).cast("long").alias("_nb"),
+                    F.col("score_satisfaction").cast("double").alias("_score"),
+                    F.when(F.col("delai_livraison_jours") > 0, F.col("delai_livraison_jours")).alias("_delay"))
+    return a.unionByName(b).agg(
+        F.round(F.sum("_ca"), 2).cast("double").alias("ca_total"),
+        F.sum("_nb").alias("nb_commandes"),
+        rounded_avg("_score", 2, SCORE_SCALE).alias("score_global"),
+        rounded_avg("_delay", 1).alias("delai_global"))
 
 
 def region_choices(monthly: DataFrame) -> DataFrame:

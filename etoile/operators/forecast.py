@@ -7,11 +7,10 @@ of exact sums and a closed form: no ML stage, no driver loop.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from etoile.operators import kpis
-from etoile.operators.dashboard import attach_scalars
 
 HORIZON = 2
 
@@ -23,6 +22,29 @@ def trend_index(fact: DataFrame, dim_temps: DataFrame) -> DataFrame:
     return q.withColumn("t", (F.row_number().over(w) - 1).cast("int")).orderBy("t")
 
 
+SUMS = ("n", "st", "stt", "sy", "sty", "syy")
+
+
+def _line_sums(t: Column, y: Column, scale: int) -> list[Column]:
+    """Exact sums of the least-squares normal equations (aggregate expressions, in ``SUMS`` order)."""
+    yd = y.cast(f"decimal(38,{scale})")   # y carries ``scale`` decimals (cents)
+    tl = t.cast("long")
+    keep = y.isNotNull()
+    return [F.count(F.when(keep, 1)), F.sum(F.when(keep, tl)), F.sum(F.when(keep, tl * tl)), F.sum(yd),
+            F.sum(tl.cast("decimal(38,0)") * yd), F.sum(yd * yd)]
+
+
+def _line(n, st, stt, sy, sty, syy) -> dict[str, Column]:
+    """Closed form: slope, intercept and R² from the exact sums."""
+    den = (n * stt - st * st).cast("double")
+    num = (n * sty - st * sy).cast("double")
+    var_y = (n * syy - sy * sy).cast("double")
+    pente = F.when(den != 0, num / den)
+    return {"pente": pente,
+            "ordonnee": (sy.cast("double") - pente * st.cast("double")) / n,
+            "r2": F.when((den != 0) & (var_y != 0), (num * num) / (den * var_y))}
+
+
 def fit_line(series: DataFrame, x: str = "t", y: str = "ca_total", scale: int = 2) -> DataFrame:
     """One row ``(pente, ordonnee, r2, n)``: least-squares line of y on x, and R².
 
@@ -30,21 +52,10 @@ def fit_line(series: DataFrame, x: str = "t", y: str = "ca_total", scale: int =
     order rows are added in, so the line is the same whatever the partitioning, and the
     few double operations that follow are the same in any SQL engine.
     """
-    t = F.col(x).cast("long")
-    yd = F.col(y).cast(f"decimal(38,{scale})")   # y carries ``scale`` decimals (cents)
-    s = series.filter(F.col(y).isNotNull()).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(t).alias("st"), F.sum(t * t).alias("stt"),
-        F.sum(yd).alias("sy"), F.sum(t.cast("decimal(38,0)") * yd).alias("sty"),
-        F.sum(yd * yd).alias("syy"))
-    den = (F.col("n") * F.col("stt") - F.col("st") * F.col("st")).cast("double")
-    num = (F.col("n") * F.col("sty") - F.col("st") * F.col("sy")).cast("double")
-    var_y = (F.col("n") * F.col("syy") - F.col("sy") * F.col("sy")).cast("double")
-    pente = F.when(den != 0, num / den)
-    return s.select(
-        pente.alias("pente"),
-        ((F.col("sy").cast("double") - pente * F.col("st").cast("double")) / F.col("n")).alias("ordonnee"),
-        F.when((den != 0) & (var_y != 0), (num * num) / (den * var_y)).alias("r2"),
-        F.col("n"))
+    s = series.agg(*[c.alias(name) for c, name in zip(_line_sums(F.col(x), F.col(y), scale), SUMS)])
+    line = _line(*[F.col(c) for c in SUMS])
+    return s.select(line["pente"].alias("pente"), line["ordonnee"].alias("ordonnee"), line["r2"].alias("r2"),
+                    F.col("n"))
 
 
 def forecast_model(fact: DataFrame, dim_temps: DataFrame) -> DataFrame:
@@ -62,21 +73,25 @@ def forecast_series(fact: DataFrame, dim_temps: DataFrame, horizon: int = HORIZO
     Columns: ``t, annee, trimestre, periode, ca_total, ca_prevu, type``; ``type`` is
     ``reel`` for quarters present and ``prevision`` for the ``horizon`` quarters that follow
     the last one present (labels follow the data; the source hard-codes two labels).
+    The series has one row per quarter (bounded by the calendar): the line's sums are
+    window aggregates over it, and the future rows are generated from its last row.
     """
     series = trend_index(fact, dim_temps)
-    model = fit_line(series)
-    last = series.agg(F.max("t").alias("t_last"),
-                      F.max_by(F.struct("annee", "trimestre"), "t").alias("q_last"))
-    actual = attach_scalars(series, model).select(
-        "t", "annee", "trimestre", "periode", "ca_total",
-        (F.col("ordonnee") + F.col("pente") * F.col("t")).alias("ca_prevu"), F.lit("reel").alias("type"))
-    steps = series.sparkSession.range(1, horizon + 1).select(F.col("id").cast("int").alias("step"))
-    fut = attach_scalars(attach_scalars(steps, last), model)
-    yr, qt = _next_quarter("q_last.annee", "q_last.trimestre", F.col("step"))
-    future = fut.select(
-        (F.col("t_last") + F.col("step")).cast("int").alias("t"), yr.alias("annee"), qt.alias("trimestre"),
-        F.lit(None).cast("double").alias("ca_total"),
-        (F.col("ordonnee") + F.col("pente") * (F.col("t_last") + F.col("step"))).alias("ca_prevu"),
-        F.lit("prevision").alias("type"))
-    future = future.withColumn("periode", kpis.periode_trimestre()).select(*actual.columns)
+    every = Window.partitionBy()
+    sums = [agg.over(every) for agg in _line_sums(F.col("t"), F.col("ca_total"), 2)]
+    line = _line(*sums)
+    s = series.select("t", "annee", "trimestre", "periode", "ca_total",
+                      line["pente"].alias("_pente"), line["ordonnee"].alias("_ordonnee"),
+                      F.max("t").over(every).alias("_t_last"))
+    actual = s.select("t", "annee", "trimestre", "periode", "ca_total",
+                      (F.col("_ordonnee") + F.col("_pente") * F.col("t")).alias("ca_prevu"),
+                      F.lit("reel").alias("type"))
+    last = s.filter(F.col("t") == F.col("_t_last")).withColumn(
+        "_step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
+    yr, qt = _next_quarter("annee", "trimestre", F.col("_step"))
+    future = (last.select((F.col("t") + F.col("_step")).cast("int").alias("t"), yr.alias("annee"),
+                          qt.alias("trimestre"), F.lit(None).cast("double").alias("ca_total"),
+                          (F.col("_ordonnee") + F.col("_pente") * (F.col("t") + F.col("_step"))).alias("ca_prevu"),
+                          F.lit("prevision").alias("type"))
+              .withColumn("periode", kpis.periode_trimestre()).select(*actual.columns))
     return actual.unionByName(future).orderBy("t")

@@ -3,7 +3,7 @@
 * The profile is one aggregate per client (the distinct-order count plans as a two-level
   aggregate keyed by client then order, combined map-side).
 * Z-scores use population statistics, as the source's scaler does; the global means and
-  standard deviations are one aggregate row attached by a broadcast of that single row.
+  standard deviations are one aggregate row, applied as literals.
 * K-Means: the source keeps the best of ``n_init`` k-means++ restarts for each k. All
   restarts (and, for the elbow curve, all values of k) advance together in
   ``etoile.operators.kmeans``: one pass over the features per Lloyd iteration for every
@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from etoile.functions.numeric import SCORE_SCALE, rounded_avg
 from etoile.operators import kmeans, kpis
-from etoile.operators.dashboard import attach_scalars
 
 FEATURES = ["freq_achat", "montant_moyen", "ca_total"]
 Z_FEATURES = [f"z_{c}" for c in FEATURES]
@@ -62,13 +61,19 @@ def feature_matrix(profile: DataFrame, features=FEATURES) -> DataFrame:
 
 
 def zscores(features: DataFrame, cols=FEATURES) -> DataFrame:
-    """M3: ``(x - mean) / std_pop`` per feature; a constant feature gives 0."""
-    stats = features.agg(*[F.avg(c).alias(f"_m_{c}") for c in cols],
-                         *[F.stddev_pop(c).alias(f"_s_{c}") for c in cols])
-    z = attach_scalars(features, stats)
-    return z.select("client_id", *cols, *[
-        F.when(F.col(f"_s_{c}") > 0, (F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}"))
-         .otherwise(F.lit(0.0)).alias(f"z_{c}") for c in cols])
+    """M3: ``(x - mean) / std_pop`` per feature; a constant feature gives 0.
+
+    The means and standard deviations are one global aggregate (2 numbers per feature),
+    fetched and applied as literals, as a fitted scaler does: no join, no window.
+    """
+    stats = features.agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
+                         *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]).first()
+    def z(c):
+        m, sd = stats[f"m_{c}"], stats[f"s_{c}"]
+        if not sd:
+            return F.lit(0.0)
+        return (F.col(c) - F.lit(float(m))) / F.lit(float(sd))
+    return features.select("client_id", *cols, *[z(c).alias(f"z_{c}") for c in cols])
 
 
 def client_zscores(fact: DataFrame) -> DataFrame:

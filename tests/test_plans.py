@@ -26,6 +26,11 @@ def test_no_python_udf_in_any_sql_query(plans):
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
 
 
+def test_no_cross_join_in_any_sql_query(plans):
+    for name, p in plans.items():
+        assert "CartesianProduct" not in p and "NestedLoopJoin" not in p, name
+
+
 def test_status_filter_and_columns_reach_the_orders_scan(plans):
     p = plans["fait_ventes"]
     scan = [line for line in p.splitlines() if "orders.parquet" in line][0]
