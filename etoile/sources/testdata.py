@@ -61,7 +61,12 @@ def adapt_orders(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 
 
 def adapt_items(lineitem: DataFrame) -> DataFrame:
-    # Same partitioning key as every later fact join (order id): no extra exchange.
+    """Items with ``order_item_id`` = position inside the order (the test data repeats line numbers).
+
+    A window partitioned by order: fine for orders of a few lines, as here; an order holding a
+    large share of all lines would be one large (spilling) task. Real sources carry
+    ``order_item_id`` and need no numbering.
+    """
     w = Window.partitionBy("l_orderkey").orderBy(*ITEM_ORDER)
     freight = F.round(F.col("l_extendedprice").cast("decimal(12,2)") * F.col("l_tax").cast("decimal(4,2)"), 2)
     return lineitem.select(
