@@ -16,15 +16,15 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from etoile.plans import jobs  # noqa: E402
 from etoile.plans.registry import QUERIES  # noqa: E402
 from etoile.plans.reports import MINING, REPORTS  # noqa: E402
-from etoile.session import build_session  # noqa: E402
+from etoile.session import build_session, checkpoint_root  # noqa: E402
 from etoile.sources.testdata import raw_from_testdata  # noqa: E402
 
 
@@ -44,8 +44,8 @@ def main() -> None:
     repeat = max(1, int(os.environ.get("BENCH_REPEAT", "2")))
     with_mining = os.environ.get("BENCH_MINING", "1") != "0"
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=2 * cpus, app="etoile-bench")
-    scratch = tempfile.mkdtemp(prefix="etoile-bench-", dir="/tmp")
-    warehouse = f"{scratch}/warehouse"
+    # the shared folder the session names (a scratch one only when unset, as in local runs)
+    warehouse = f"{checkpoint_root(spark).rstrip('/')}/etoile-bench-{uuid.uuid4().hex}/warehouse"
 
     times: dict[str, float] = {}
     # warm-up (JVM, codegen caches): the flagship once from the raw tables
