@@ -10,6 +10,7 @@ Usage::
     python -m etoile.plans.jobs etl --csv RAW_DIR --warehouse OUT_DIR
     python -m etoile.plans.jobs etl --testdata SF_DIR --warehouse OUT_DIR
     python -m etoile.plans.jobs reports --warehouse OUT_DIR --out REPORT_DIR [names...]
+    python -m etoile.plans.jobs dashboard --warehouse OUT_DIR --out CHART_DIR [--region Sudeste]
 """
 
 from __future__ import annotations
@@ -99,6 +100,10 @@ def main(argv=None) -> int:
     r.add_argument("--warehouse", required=True)
     r.add_argument("--out", required=True)
     r.add_argument("names", nargs="*")
+    d = sub.add_parser("dashboard")
+    d.add_argument("--warehouse", required=True)
+    d.add_argument("--out", required=True)
+    d.add_argument("--region", default=ALL_REGIONS)
     a = ap.parse_args(argv)
     spark = build_session()
     if a.cmd == "etl":
@@ -107,8 +112,10 @@ def main(argv=None) -> int:
         counts = read_star(spark, a.warehouse)
         for n, df in counts.items():
             print(n, df.agg(F.count(F.lit(1))).first()[0])
-    else:
+    elif a.cmd == "reports":
         write_reports(reports(spark, a.warehouse, a.names or None), a.out)
+    else:
+        write_reports(dashboard(spark, a.warehouse, a.region), a.out)
     spark.stop()
     return 0
 
