@@ -112,7 +112,9 @@ def _pass(data: DataFrame, cols: list[str], fits: list[KMeansFit]):
         start += f.k
     centers = np.vstack([f.centers for f in fits])                   # sum(k) x d: bounded
     schema = "model int, cluster int, n long, cost double, " + ", ".join(f"s_{i} double" for i in range(len(cols)))
+    # partials are already combined per partition (<= partitions x sum(k) rows): one reducer
     return (data.select(*cols).mapInPandas(_partials(cols, layout, centers), schema)
+            .repartition(1)
             .groupBy("model", "cluster")
             .agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"),
                  *[F.sum(f"s_{i}").alias(f"s_{i}") for i in range(len(cols))])
