@@ -5,64 +5,65 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import weakref
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "etoile",
+_WRITTEN: dict[int, str] = {}     # frames of materialize() and their folders
+
+
+def build_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "etoile",
                   extra: dict | None = None) -> SparkSession:
-    """Session for tests, the bench and local runs.
+    """The session of a job, a test or the bench.
 
-    On a cluster, submit with your own settings instead; nothing in the library depends on
-    these values except the UTC session time zone (timestamps are TIMESTAMP_NTZ end to end).
+    Settings that were submitted (``spark-submit --master``, ``--conf``) stand: master, shuffle
+    partitions and driver memory get a default only where nothing was submitted. Explicit arguments win.
     """
-    builder = (
-        SparkSession.builder.master(master)
-        .appName(app)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("ETOILE_DRIVER_MEMORY", "16g"))
-    )
-    for k, v in (extra or {}).items():
-        builder = builder.config(k, v)
+    submitted = SparkConf()
+    builder = SparkSession.builder
+    settings = {
+        "spark.app.name": app,
+        "spark.master": "local[*]",
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.session.timeZone": "UTC",
+    }
+    if not submitted.contains("spark.master"):
+        settings["spark.driver.memory"] = os.environ.get("ETOILE_DRIVER_MEMORY", "16g")
+    chosen = {"spark.master": master, "spark.sql.shuffle.partitions": shuffle_partitions}
+    for k, v in settings.items():
+        if not submitted.contains(k):
+            builder = builder.config(k, v)
+    for k, v in {**chosen, **(extra or {})}.items():
+        if v is not None:
+            builder = builder.config(k, str(v))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    checkpoint_root(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names; set a scratch one only if unset.
+def checkpoint_root(spark: SparkSession) -> str:
+    """The folder for intermediate tables, as ``spark.checkpoint.dir`` names it.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage (HDFS/S3/ABFS), so
-    checkpointed data survives the loss of any executor. Only local runs and tests fall back
-    to a fresh scratch folder.
+    On a cluster that setting must name storage that every executor shares; without it this
+    raises. Only a local master falls back to a scratch folder of this machine.
     """
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    target = conf_dir or tempfile.mkdtemp(prefix="etoile-ckpt-", dir="/tmp")
-    spark.sparkContext.setCheckpointDir(target)
-    return spark.sparkContext.getCheckpointDir()
-
-
-def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder, for classic sessions and Spark Connect sessions alike."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root
     try:
-        spark.sparkContext  # noqa: B018 (classic session only)
+        context = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
-        root = spark.conf.get("spark.checkpoint.dir", None)
-        if not root:
-            raise RuntimeError("set spark.checkpoint.dir to a folder the cluster shares") from None
-        return root
-    return ensure_checkpoint_dir(spark)
+        raise RuntimeError("set spark.checkpoint.dir to a folder the cluster shares") from None
+    if context.getCheckpointDir():
+        return context.getCheckpointDir()
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder the cluster shares")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="etoile-ckpt-", dir="/tmp"))
+    return context.getCheckpointDir()
 
 
 def materialize(df, name: str = "table"):
@@ -75,4 +76,16 @@ def materialize(df, name: str = "table"):
     root = checkpoint_root(spark).rstrip("/")
     path = f"{root}/etoile-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _WRITTEN[id(out)] = path
+    weakref.finalize(out, _WRITTEN.pop, id(out), None)
+    return out
+
+
+def dematerialize(df) -> None:
+    """Delete the table behind a frame of ``materialize``, once every result that reads it is written."""
+    path = _WRITTEN.pop(id(df), None)
+    if path:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
