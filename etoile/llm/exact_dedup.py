@@ -5,8 +5,8 @@ are named as pairs, and so on until one name stands for the whole text. Names co
 sorting the distinct blocks (or pairs), so two texts share a name exactly if they are equal.
 
 * A text with a block, or pair, that no other text has is unique at once and needs no name. A
-  count of 64-bit fingerprints (eight bytes a block) finds most of these, so that their blocks
-  are never shipped. Fingerprints only rule texts out; names are given to, and matched by,
+  count of 64-bit fingerprints (eight bytes a block) finds most of these; a bitmap of fixed size tells a
+  second scan which texts to ship. Fingerprints only rule texts out; names are given to, and matched by,
   the blocks' content, so no collision can join two texts.
 * All groupings combine map-side and all joins back are on counted keys, so that a
   block held by a third of the rows is one row for each task, then a join that Spark splits.
@@ -22,47 +22,58 @@ from __future__ import annotations
 import hashlib
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from etoile.llm.sieve import passes, sieve
 from etoile.llm.text import utf8
 from etoile.session import dematerialize, materialize
 
 BLOCK_BYTES = 4096
 
 
-def _digests(block_bytes: int, content: bool):
-    """Per row: digest of the text, and its blocks or their fingerprints."""
-    def cut(t: bytes) -> list[bytes]:
-        return [t[i:i + block_bytes] for i in range(0, len(t), block_bytes)] or [b""]
+def _cut(text: bytes, block_bytes: int) -> list[bytes]:
+    return [text[i:i + block_bytes] for i in range(0, len(text), block_bytes)] or [b""]
 
+
+def _key(text: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(text) - (1 << 63)
+
+
+def _marks(block_bytes: int):
+    """Of each row: a key of the text, and the fingerprints of its blocks."""
     def run(batches):
         for batch in batches:
             texts = utf8(batch.column("text"), lower=True)
-            if content:
-                parts = pa.array([cut(t) for t in texts], pa.list_(pa.binary()))
-            else:
-                parts = pa.array([[xxhash.xxh3_64_intdigest(b) - (1 << 63) for b in cut(t)] for t in texts],
-                                 pa.list_(pa.int64()))
-            digests = pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), digests, parts], ["doc_id", "text_sha256", "parts"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([_key(t) for t in texts], pa.int64()),
+                 pa.array([[_key(b) for b in _cut(t, block_bytes)] for t in texts], pa.list_(pa.int64()))], ["key", "marks"])
     return run
 
 
-def _digested(docs: DataFrame, block_bytes: int, content: bool) -> DataFrame:
-    kind = "array<binary>" if content else "array<long>"
-    return docs.mapInArrow(_digests(block_bytes, content), f"doc_id long, text_sha256 string, parts {kind}")
+def _blocks(block_bytes: int, wanted):
+    """Of each row: its columns, the digest of the text, and its blocks if its key may be wanted."""
+    def run(batches):
+        for batch in batches:
+            texts = utf8(batch.column("text"), lower=True)
+            some = passes(wanted.value, np.array([_key(t) for t in texts], dtype=np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
+                 pa.array([_cut(t, block_bytes) if s else None for t, s in zip(texts, some)], pa.list_(pa.binary()))],
+                [*batch.schema.names, "text_sha256", "parts"])
+    return run
 
 
 def _named(state: DataFrame, keys: list[str]) -> DataFrame:
     """(row, pos, keys...) -> (row, names): for rows whose every key occurs more than once, the names in order.
 
-    Sorting the distinct keys gives the names; the sorted table is written, so that they hold.
+    Sorting the distinct keys of each task gives the names; the sorted table is written, so that they hold.
     """
     often = state.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    names = materialize(often.orderBy(*keys).withColumn("name", F.monotonically_increasing_id()), "names")
+    names = materialize(often.sortWithinPartitions(*keys).withColumn("name", F.monotonically_increasing_id()), "names")
     sizes = state.groupBy("row").agg(F.count("*").alias("n"))
     held = (state.join(names, keys).groupBy("row")
             .agg(F.sort_array(F.collect_list(F.struct("pos", "name"))).alias("s")))     # one row's own blocks
@@ -91,26 +102,45 @@ def text_names(rows: DataFrame) -> DataFrame:
     return reduce(DataFrame.union, done)
 
 
+def _identified(docs: DataFrame, block_bytes: int, keep: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows, ids). rows: the columns ``keep`` of every row, a number ``row``, and whether it may have an equal (``parts``). ids: those that
+    may, with ``depth`` and ``name`` of the text; null where it has no equal."""
+    marks = materialize(docs.select("text").mapInArrow(_marks(block_bytes), "key long, marks array<long>")
+                        .withColumn("row", F.monotonically_increasing_id()), "marks")
+    each = marks.select("row", F.explode("marks").alias("mark"))
+    often = materialize(each.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark"), "often")
+    alone = each.join(often, "mark", "left_anti").select("row")
+    wanted = sieve(marks.join(alone, "row", "left_anti").select("key"))
+    schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes) + ", text_sha256 string, parts array<binary>"
+    rows = materialize(docs.mapInArrow(_blocks(block_bytes, wanted), schema).select(*keep, "text_sha256", "parts")
+                       .withColumn("row", F.monotonically_increasing_id()), "blocks")
+    dematerialize(marks)
+    dematerialize(often)
+    some = rows.where("parts is not null")
+    ids = materialize(some.select("row", "doc_id", "text_sha256").join(text_names(some), "row", "left"), "ids")
+    return rows, ids
+
+
+def _best(ids: DataFrame) -> DataFrame:
+    return (ids.where("name is not null").groupBy("depth", "name")
+            .agg(F.max(F.struct("doc_id", "row")).alias("best"), F.count("*").alias("group_size")))
+
+
 def exact_groups(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    marks = materialize(_digested(docs, block_bytes, content=False), "marks")
-    each = marks.select("doc_id", F.explode("parts").alias("k"))
-    often = each.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k")
-    # ids of one row that has a block of its own: unique, done
-    single = marks.groupBy("doc_id").agg(F.count("*").alias("n")).where("n = 1 and doc_id is not null").select("doc_id")
-    alone = materialize(each.join(often, "k", "left_anti").select("doc_id").distinct().join(single, "doc_id"), "alone")
-    some = docs.join(alone.withColumnRenamed("doc_id", "id"), F.col("doc_id") == F.col("id"), "left_anti")
-    rows = materialize(_digested(some, block_bytes, content=True)
-                       .withColumn("row", F.monotonically_increasing_id()), "blocks")
-    names = text_names(rows)
-    ids = rows.select("row", "doc_id", "text_sha256").join(names, "row", "left")
-    best = (ids.where("name is not null").groupBy("depth", "name")
-            .agg(F.max(F.struct("doc_id", "row")).alias("best"), F.count("*").alias("group_size")))
-    shared = (ids.where("name is not null").join(best, ["depth", "name"])
+    rows, ids = _identified(docs, block_bytes, ["doc_id"])
+    shared = (ids.join(_best(ids), ["depth", "name"])
               .select("doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
                       (F.col("row") == F.col("best.row")).alias("kept"), "text_sha256"))
-    lone = (ids.where("name is null").select("doc_id", "text_sha256")
-              .union(marks.join(alone, "doc_id").select("doc_id", "text_sha256")))
-    return shared.union(lone.select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
+    single = rows.where("parts is null").select("doc_id", "text_sha256").union(ids.where("name is null").select("doc_id", "text_sha256"))
+    return shared.union(single.select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
                                       F.lit(True).alias("kept"), "text_sha256"))
+
+
+def distinct_texts(docs: DataFrame, columns: list[str], block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The columns of ``docs`` (doc_id and text among them), of one row for each text: the one that ``exact_groups`` keeps."""
+    rows, ids = _identified(docs.select(*columns), block_bytes, columns)
+    gone = ids.join(_best(ids), ["depth", "name"]).where(F.col("row") != F.col("best.row")).select("row")
+    some = rows.where("parts is not null").join(gone, "row", "left_anti")       # only texts that may have an equal are shuffled
+    return rows.where("parts is null").select(*columns).union(some.select(*columns))

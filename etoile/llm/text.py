@@ -50,14 +50,15 @@ class Words:
 
     ``start``, ``size``: byte range of each word in the joined buffer; ``first``: index of each
     text's first word, with the total at the end; ``text``: index of the text of each word.
+    ``solid_bytes``: the bytes that words are made of (never the line end).
     """
 
-    def __init__(self, texts: list[bytes]):
+    def __init__(self, texts: list[bytes], solid_bytes: np.ndarray = ~_SPACE):
         joined = b"\n".join(texts)
         self.buffer = np.frombuffer(joined + b"\0" * 8, dtype=np.uint8)
         n = len(joined)
         solid = np.zeros(n + 2, dtype=np.int8)
-        solid[1:-1] = ~_SPACE[self.buffer[:n]]
+        solid[1:-1] = solid_bytes[self.buffer[:n]]
         edge = np.diff(solid)
         self.start = np.flatnonzero(edge == 1)
         self.size = np.flatnonzero(edge == -1) - self.start
