@@ -1,27 +1,58 @@
-"""The corpus pipeline: documents through operators in stages, each written and read again."""
+"""The corpus pipeline: documents through five operators, each stage written and read again by the next.
+
+Every stage works on all rows of the stage before; all but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from etoile.llm import exact_dedup
+from etoile.llm import bpe, exact_dedup, mixing, ordinal, signature_join
+from etoile.llm.queries import VOCABULARY
+from etoile.llm.sieve import without
 from etoile.session import materialize
 
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose top grade (good and not toxic) is more likely than not; the others go."""
+    labels = ordinal.graded(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return ordinal.grade(docs, labels, carry=["lang", "source", "n_chars"]).where("selected").select(*COLUMNS)
+
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, one row stays."""
-    kept = exact_dedup.exact_groups(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select("doc_id", "text", "lang", "source", "n_chars")
+    """Of equal texts, the row with the largest id stays."""
+    return exact_dedup.distinct_texts(docs.select(*COLUMNS), COLUMNS)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by five-word shingles with similarity 0.8 or more, the one with the smallest id stays."""
+    groups = signature_join.jaccard_components(docs, k=5, num=80, den=100)
+    gone = materialize(groups.where("doc_id <> component_id").select("doc_id"), "near-copies")
+    return without(docs.select(*COLUMNS), "doc_id", gone)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A sample whose expected tokens have the target shares of sources, languages and topics."""
+    return mixing.probabilities(docs, carry=["text", "lang", "source", "n_chars"]).where("drawn").select(*COLUMNS)
+
+
+def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id and token ids of every text."""
+    return bpe.encode(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, offsets=False)
 
 
-STAGES = [("exact_dedup", drop_copies)]
+STAGES = [("quality_classifier", good_documents), ("exact_dedup", drop_copies), ("ngram_jaccard_join", drop_near_copies),
+          ("mix_sources", mix_sources), ("byte_bpe", encode_texts)]
 
-#: The language-independent model fits and the token ids of these stages are beyond SQL.
+#: The fitted classifier and the token ids are beyond SQL; tests/llm compares the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows that come out of the last stage, from all of ``documents``."""
+    """The rows of the last stage, from all of ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), "stage")

@@ -130,15 +130,16 @@ def _each(batches, path: str, pattern: str, make, names: list[str], schema: list
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), *columns], ["doc_id", *names])
 
 
-def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id, ids (array<long>), starts and ends (array<int>, code points) of each row's text."""
+def encode(docs: DataFrame, path: str, pattern: str, offsets: bool = True) -> DataFrame:
+    """doc_id, ids (array<int>), and with ``offsets`` starts and ends (array<int>, code points), of each row's text."""
+    names = ["ids", "starts", "ends"] if offsets else ["ids"]
+
     def make(codec, ids):
-        return (ids.astype(np.int64), *codec.offsets(ids, codec.decode(ids)))
+        return (ids.astype(np.int32), *(codec.offsets(ids, codec.decode(ids)) if offsets else ()))
 
     def run(batches):
-        return _each(batches, path, pattern, make, ["ids", "starts", "ends"],
-                     [pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())])
-    return _two(docs).mapInArrow(run, "doc_id long, ids array<long>, starts array<int>, ends array<int>")
+        return _each(batches, path, pattern, make, names, [pa.list_(pa.int32())] * len(names))
+    return _two(docs).mapInArrow(run, "doc_id long, " + ", ".join(f"{n} array<int>" for n in names))
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:

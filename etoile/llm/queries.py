@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from etoile.llm import bpe, exact_dedup
+from etoile.llm import bpe, ctw, exact_dedup, forest, licences, mixing, ordinal, repeats, sanitise, signature_join
+from etoile.llm.oracle import ORACLE  # noqa: F401 (part of this module's interface)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -23,20 +24,61 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in documents; with ``revealing_terms``, the number of term spans."""
+    return (sanitise.find_spans(table(spark, sf_dir, "documents"))
+            .select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", F.size("terms").alias("revealing_terms")))
+
+
+@query
+def op2_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_join.jaccard_components(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+
+
+@query
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a tree: source / language / thousands of the id / id."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 1000), "doc_id")
+    out = licences.scan(docs.select(F.col("doc_id").alias("file"), path.alias("path"), "text"))
+    return out.select(F.col("file").alias("doc_id"), "license", "origin", F.round("cosine", 6).alias("cosine"))
+
+
+@query
+def op4_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = ordinal.graded(table(spark, sf_dir, "labels"))
+    return (ordinal.grade(table(spark, sf_dir, "documents"), labels)
+            .select("doc_id", "expected_grade", "tail", "selected"))
+
+
 @query
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), digests=True).withColumnRenamed("kept", "kept_sha256")
+
+
 @query
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
-ORACLE["op5_exact_dedup"] = """
-WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
-           FROM documents)
-SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
-       doc_id = max(doc_id) OVER g AS kept, sha256(t) AS text_sha256
-FROM d WINDOW g AS (PARTITION BY t)
-"""
+@query
+def op8_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.probabilities(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("mix_source").alias("source"), F.col("mix_language").alias("language"), F.col("mix_topic").alias("topic"),
+                      F.col("mix_tokens").alias("tokens"), F.round("probability", 9).alias("probability"), "drawn")
+
+
+@query
+def op10_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.neighbours(table(spark, sf_dir, "embeddings"))
