@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from etoile.llm import bpe, exact_dedup, mixing, ordinal, signature_join
 from etoile.llm.queries import VOCABULARY
 from etoile.llm.sieve import without
-from etoile.session import materialize
+from etoile.session import materialize, ship_package
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -53,6 +53,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage, from all of ``documents``."""
+    ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), "stage")

@@ -122,8 +122,9 @@ def _identified(docs: DataFrame, block_bytes: int, keep: list[str]) -> tuple[Dat
 
 
 def _best(ids: DataFrame) -> DataFrame:
-    return (ids.where("name is not null").groupBy("depth", "name")
-            .agg(F.max(F.struct("doc_id", "row")).alias("best"), F.count("*").alias("group_size")))
+    """One row per shared text; written, so that a join with it is of two plain shuffles, which Spark splits at a hot text."""
+    return materialize(ids.where("name is not null").groupBy("depth", "name")
+                       .agg(F.max(F.struct("doc_id", "row")).alias("best"), F.count("*").alias("group_size")), "best")
 
 
 def exact_groups(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:

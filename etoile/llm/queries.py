@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
@@ -10,14 +11,19 @@ from pyspark.sql import functions as F
 
 from etoile.llm import bpe, ctw, exact_dedup, forest, licences, mixing, ordinal, repeats, sanitise, signature_join
 from etoile.llm.oracle import ORACLE  # noqa: F401 (part of this module's interface)
+from etoile.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return fn(spark, sf_dir)
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -39,7 +39,7 @@ from etoile.llm.text import Words, chunked, inside, utf8, window_hashes
 from etoile.session import materialize
 
 WINDOW = 13
-SKETCH_BITS, SLICE_BITS, ROWS = 29, 23, 2     # counters per row, counters per merging task, rows
+SKETCH_BITS, SLICE_BITS, ROWS = 29, 21, 2     # counters per row, counters per merging task, rows
 RANGES = 64                                    # ranges of keys at least; more with the number of tasks
 BLOCK_WINDOWS = 2_000_000                      # windows of a block (a longer text is a block of its own)
 _LAST = np.iinfo(np.int64).max
@@ -100,7 +100,7 @@ def _merge_slice(pdf: pd.DataFrame) -> pd.DataFrame:
 def sketch(docs: DataFrame, k: int) -> dict[int, bytes]:
     """Slice of the sketch -> its counters of two or more, compressed."""
     rows = (docs.mapInArrow(_partial_sketch(k), "slice int, cells binary").groupBy("slice")
-            .applyInPandas(_merge_slice, "slice int, often binary").toLocalIterator())       # ROWS x 2^(29-23) rows
+            .applyInPandas(_merge_slice, "slice int, often binary").toLocalIterator())       # ROWS x 2^(29-21) rows
     return {r.slice: bytes(r.often) for r in rows}
 
 
