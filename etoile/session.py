@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 import weakref
@@ -12,6 +13,7 @@ from pyspark.sql import SparkSession
 
 
 _WRITTEN: dict[int, str] = {}     # frames of materialize() and their folders
+_FOLDERS: set[str] = set()        # all folders of materialize() that are still there
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "etoile",
@@ -78,14 +80,35 @@ def materialize(df, name: str = "table"):
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     _WRITTEN[id(out)] = path
+    _FOLDERS.add(path)
     weakref.finalize(out, _WRITTEN.pop, id(out), None)
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+    _FOLDERS.discard(path)
+
+
 def dematerialize(df) -> None:
     """Delete the table behind a frame of ``materialize``, once every result that reads it is written."""
     path = _WRITTEN.pop(id(df), None)
     if path:
-        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
-        folder = jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(conf).delete(folder, True)
+        _delete(df.sparkSession, path)
+
+
+def clear_materialized(spark: SparkSession) -> None:
+    """Delete every table that ``materialize`` wrote in this process: at the end of a job."""
+    for path in list(_FOLDERS):
+        _delete(spark, path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, as a zip, for functions that run there (once per session)."""
+    if getattr(spark, "_etoile_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    made = shutil.make_archive(f"{tempfile.mkdtemp(prefix='etoile-code-')}/etoile", "zip", root, "etoile")
+    spark.sparkContext.addPyFile(made)
+    spark._etoile_shipped = True
