@@ -63,7 +63,7 @@ def _partial_sketch(k: int):
         for row, cells in enumerate(_counters(h)):
             cells = np.sort(cells)
             # the first and the second of equal neighbours: a count of two says as much as any larger one
-            cells = cells[np.concatenate([[True] * min(2, len(cells)), cells[2:] != cells[:-2]])]
+            cells = cells[np.concatenate([np.ones(min(2, len(cells)), dtype=bool), cells[2:] != cells[:-2]])]
             bounds = np.searchsorted(cells >> np.uint32(SLICE_BITS), np.arange((1 << (SKETCH_BITS - SLICE_BITS)) + 1))
             for s in range(len(bounds) - 1):
                 if bounds[s] < bounds[s + 1]:

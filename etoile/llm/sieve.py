@@ -15,36 +15,54 @@ from pyspark.sql import functions as F
 from etoile.llm.lists import pack, unpack
 from etoile.llm.text import mix
 
-BITS, SLICE_BITS = 26, 20          # 8 MB, in 64 slices
+BITS, SLICE_BITS = 27, 21          # 16 MB, in 64 slices
 
 
 def _cells(keys: np.ndarray) -> np.ndarray:
     return (mix(keys.astype(np.int64).view(np.uint64)) >> np.uint64(64 - BITS)).astype(np.uint32)
 
 
-def _partial(batches):
-    held = [np.zeros(0, dtype=np.uint32)]
-    for batch in batches:
-        held = [np.unique(np.concatenate([*held, _cells(batch.column(0).to_numpy(zero_copy_only=False))]))]
-    cells = held[0]
-    bounds = np.searchsorted(cells >> np.uint32(SLICE_BITS), np.arange((1 << (BITS - SLICE_BITS)) + 1))
-    parts = [(s, pack(cells[a:b] & np.uint32((1 << SLICE_BITS) - 1)))
-             for s, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])) if a < b]
-    yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in parts], pa.int32()), pa.array([b for _, b in parts], pa.binary())],
-                                     ["slice", "cells"])
+def _twice(cells: np.ndarray) -> np.ndarray:
+    """Sorted cells, each at most twice."""
+    return cells[np.concatenate([np.ones(min(2, len(cells)), dtype=bool), cells[2:] != cells[:-2]])]
 
 
-def _merged(pdf: pd.DataFrame) -> pd.DataFrame:
-    bits = np.zeros(1 << SLICE_BITS, dtype=bool)
-    for blob in pdf["cells"]:
-        bits[unpack(blob, np.uint32)[0]] = True
-    return pd.DataFrame({"slice": [int(pdf["slice"].iloc[0])], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
+def _partial(twice: bool):
+    def run(batches):
+        parts, held = [np.zeros(0, dtype=np.uint32)], 0
+        for batch in batches:
+            parts.append(_cells(batch.column(0).to_numpy(zero_copy_only=False)))
+            held += len(parts[-1])
+            if held > 4_000_000:
+                parts, held = [merged(parts)], 0
+        cells = merged(parts)
+        bounds = np.searchsorted(cells >> np.uint32(SLICE_BITS), np.arange((1 << (BITS - SLICE_BITS)) + 1))
+        blobs = [(s, pack(cells[a:b] & np.uint32((1 << SLICE_BITS) - 1)))
+                 for s, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])) if a < b]
+        yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in blobs], pa.int32()), pa.array([b for _, b in blobs], pa.binary())],
+                                         ["slice", "cells"])
+
+    def merged(parts):
+        cells = np.concatenate(parts)
+        return _twice(np.sort(cells)) if twice else np.unique(cells)
+    return run
+
+
+def _merged(twice: bool):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        counts = np.zeros(1 << SLICE_BITS, dtype=np.uint8)
+        for blob in pdf["cells"]:
+            cells, n = np.unique(unpack(blob, np.uint32)[0], return_counts=True)
+            counts[cells] = np.minimum(counts[cells] + n, 2)
+        bits = np.packbits(counts >= (2 if twice else 1), bitorder="little")
+        return pd.DataFrame({"slice": [int(pdf["slice"].iloc[0])], "bits": [bits.tobytes()]})
+    return run
 
 
-def sieve(keys: DataFrame):
-    """Broadcast bitmap of the one long column of ``keys`` (no nulls)."""
-    rows = (keys.mapInArrow(_partial, "slice int, cells binary").groupBy("slice")
-            .applyInPandas(_merged, "slice int, bits binary").collect())             # 64 rows at most
+def sieve(keys: DataFrame, twice: bool = False):
+    """Broadcast bitmap of the one long column of ``keys`` (no nulls). ``twice``: of the keys that are there more than once."""
+    rows = (keys.mapInArrow(_partial(twice), "slice int, cells binary").groupBy("slice")
+            .applyInPandas(_merged(twice), "slice int, bits binary").collect())          # 64 rows at most
     bitmap = np.zeros(1 << (BITS - 3), dtype=np.uint8)
     for r in rows:
         size = 1 << (SLICE_BITS - 3)

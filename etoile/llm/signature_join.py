@@ -11,7 +11,8 @@ Distributed plan.
 1. Equal sets are one *representative* (a grouped key), so that copies cost one row.
 2. Routing. With t = num / den, sets that link share one of the first |X| - ceil(t |X|) + 1 tokens of both, in any order of tokens that all sets share. The
    order is by how often a token occurs, in classes from a count-min sketch of fixed size (4 MB, a broadcast), then by key: what many documents share comes last.
-   Only tokens that two representatives have as such a token make buckets. Buckets hold bitmaps and sizes, not sets.
+   Only tokens that two representatives have as such a token make buckets: a bitmap of fixed size of the tokens met twice lets most others
+   go before anything is shuffled. Buckets hold bitmaps and sizes, not sets.
 3. In each bucket one tree is traversed with itself, and the surviving pairs' *coarse* components go on as at most one edge per member (never as pairs).
    A bucket of more than ``BUCKET`` members is cut; a task takes two parts of it.
 4. Representatives of a coarse component meet once with their whole sets: a tree again, then exact counts for pairs that are not yet connected.
@@ -32,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from etoile.llm.components import components
+from etoile.llm.components import components, sized
 from etoile.llm.lists import pack, unpack
 from etoile.llm.sieve import passes, sieve
 from etoile.llm.text import Words, chunked, mix, utf8, window_hashes
@@ -347,16 +348,31 @@ def _two_parts(rows: DataFrame, key: str) -> DataFrame:
     return out.withColumn("pair", pair).withColumn("part", (F.col("part") > F.col("other")).cast("int")).drop("other", "parts")
 
 
+def _routed(often):
+    """(token, rep, size) of the routing tokens that others may have too."""
+    def run(batches):
+        for batch in batches:
+            route = batch.column("route")
+            tokens = route.flatten().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(batch.num_rows), np.diff(route.offsets.to_numpy()))
+            some = passes(often.value, tokens)
+            yield pa.RecordBatch.from_arrays([pa.array(tokens[some]), batch.column("rep").take(pa.array(row[some])),
+                                              batch.column("size").take(pa.array(row[some]))], ["token", "rep", "size"])
+    return run
+
+
 def coarse_edges(reps: DataFrame, num: int, den: int) -> DataFrame:
-    routed = reps.select("rep", F.explode("route").alias("token"))
-    who = [F.count("*").alias("members"), F.min("rep").alias("lo"), F.max("rep").alias("hi"),
-           F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y")]
-    # buckets of the same members (two texts share many tokens) are one bucket
-    counts = (routed.groupBy("token").agg(*who).where("members > 1")
+    often = sieve(reps.select(F.explode("route").alias("token")), twice=True)
+    routed = materialize(reps.select("rep", "size", "route").mapInArrow(_routed(often), "token long, rep long, size long"), "routed")
+    who = [F.count("*").alias("members"), F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.bit_xor(F.xxhash64("rep")).alias("x"),
+           F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y"), F.min("size").alias("least"), F.max("size").alias("most")]
+    # two members of sizes too far apart are no bucket; buckets of the same members (two texts share many tokens) are one
+    counts = (routed.groupBy("token").agg(*who).where(f"members > 2 or (members = 2 and {den} * least >= {num} * most)")
               .groupBy("members", "lo", "hi", "x", "y").agg(F.min("token").alias("token")).select("token", "members"))
     counts = materialize(counts, "buckets")
-    rows = materialize(routed.join(counts, "token").join(reps.select("rep", "size", "bits"), "rep")
+    rows = materialize(routed.select("token", "rep").join(counts, "token").join(reps.select("rep", "size", "bits"), "rep")
                        .select("token", "rep", "size", "bits", "members"), "members")
+    dematerialize(routed)
     parts = F.ceil(F.col("members") / F.lit(BUCKET)).cast("int")
     small = rows.where(F.col("members") <= BUCKET)
     edges = (small.repartition("token").sortWithinPartitions("token")
@@ -430,8 +446,8 @@ def _known(members: DataFrame, edges: DataFrame) -> DataFrame:
     return members.join(found, "rep", "left").withColumn("known", F.coalesce("found", "rep")).drop("found")
 
 
-def exact_edges(members: DataFrame, num: int, den: int) -> DataFrame:
-    """``members``: rep, cluster, n (members of the cluster), tokens. Edges (u, v) whose components are those of all links."""
+def exact_edges(members: DataFrame, count: int, num: int, den: int) -> DataFrame:
+    """``members``: rep, cluster, n (members of the cluster), tokens; ``count`` of them at most. Edges (u, v) whose components are those of all links."""
     parts = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
     rows = (members.withColumn("parts", parts).withColumn("part", _part_of(F.col("rep"), F.col("parts")))
             .withColumn("known", F.col("rep")).withColumn("block", F.xxhash64("cluster", "part")))
@@ -443,7 +459,7 @@ def exact_edges(members: DataFrame, num: int, den: int) -> DataFrame:
     # two of each component of each block
     now = materialize(_known(large, edges), "known")
     ends = now.groupBy("cluster", "part", "known").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"))
-    lead = materialize(ends.select("cluster", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("rep")), "leads")
+    lead = materialize(sized(ends.select("cluster", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("rep")), count), "leads")
     rounds = lead.groupBy("cluster").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("rounds"))
     few = (now.join(lead.join(rounds, "cluster").select("rep", "rounds"), "rep")
            .withColumn("block", F.xxhash64("cluster", _part_of(F.col("known"), F.col("rounds")))))
@@ -489,14 +505,15 @@ def jaccard_components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 10
             .agg(F.min("doc_id").alias("least"), F.first("size").alias("size"), F.first("route").alias("route"), F.first("bits").alias("bits"))
             .withColumn("rep", F.monotonically_increasing_id()))
     reps = materialize(reps, "reps")
-    clusters = components(coarse_edges(reps, num, den))
-    clusters = materialize(clusters.select(F.col("node").alias("rep"), F.col("label").alias("cluster")), "clusters")
+    coarse = coarse_edges(reps, num, den)
+    rows = 2 * coarse.count()                                                                 # its nodes, at most
+    clusters = components(coarse).select(F.col("node").alias("rep"), F.col("label").alias("cluster"))
     counted = clusters.join(clusters.groupBy("cluster").agg(F.count("*").alias("n")), "cluster")
-    placed = materialize(counted.join(reps.select("rep", "key1", "key2"), "rep"), "placed")
+    placed = materialize(sized(counted.join(reps.select("rep", "key1", "key2"), "rep"), rows), "placed")
     sets = docs.select("text").mapInArrow(_sets_of(k, sieve(placed.select("key1"))), "key1 long, key2 long, tokens binary")
     members = materialize(placed.join(sets.dropDuplicates(["key1", "key2"]), ["key1", "key2"]).drop("key1", "key2"), "sets")
-    linked = components(exact_edges(members, num, den)).select(F.col("node").alias("rep"), "label")
-    linked = materialize(linked, "linked")
+    linked = components(exact_edges(members, rows, num, den)).select(F.col("node").alias("rep"), "label")
+    linked = materialize(sized(linked, rows), "linked")
     dematerialize(members)
     labelled = reps.select("rep", "key1", "key2", "least").join(linked, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     least = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
