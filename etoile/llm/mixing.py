@@ -4,13 +4,13 @@ Documents are summed to cells (source, language, topic) of tokens. Raking scales
 margin in turn, ``SWEEPS`` times. A cell's ratio of raked weight to tokens, divided by the largest ratio, is the probability of its documents: at most 1,
 so nothing is capped and the expected tokens of the sample have the raked margins. A document is drawn by a uniform number that is a digest of its id.
 
-Targets of languages and topics are parameters (a level that is not named shares the level ``other``), so these margins have a bounded number of levels and their sums
+Targets of languages and topics are parameters (levels that are not named are one level ``other``, which keeps its observed share unless it has a target), so these margins have a bounded number of levels and their sums
 may visit the driver. Sources may be many: their targets are shares of the observed ones to the power ``SOURCE_POWER`` (1: as observed, 0: all alike), and
 their factors never leave the executors. Each sweep reads the written cell table, one row per cell that occurs. A source that holds a
 third of the rows is one row per cell and task before it is shuffled.
 
 Rules. A null source, language or topic is a level of its own, ``(none)``; null text has no tokens and probability of its cell. A cell without tokens
-has probability 0 ratio and is kept whole, as it weighs nothing. Equal ids, and so repeated rows, are drawn alike; a null id reads as ``null``. A
+has probability 1, as it weighs nothing. Equal ids, and so repeated rows, are drawn alike; a null id reads as ``null``. A
 target for a level that does not occur has no effect. An empty table gives an empty result. Other columns may have any name.
 """
 
@@ -48,10 +48,12 @@ def _by(level: str, factors: dict[str, float]) -> Column:
 
 
 def _shares(sums: dict[str, float], targets: dict[str, float]) -> dict[str, float]:
-    """Targets of the levels that occur, as shares of the whole."""
-    there = {k: targets.get(k, 0.0) for k, v in sums.items() if v > 0}
-    total = sum(there.values())
-    return {k: t / total for k, t in there.items()} if total > 0 else {k: sums[k] / sum(sums.values()) for k in there}
+    """Targets of the levels that occur, as shares of the whole; ``other`` keeps its observed share if it has no target."""
+    whole = sum(sums.values())
+    there = {k: targets[k] for k, v in sums.items() if v > 0 and k in targets}
+    free = {k: v / whole for k, v in sums.items() if v > 0 and k not in targets}
+    total, left = sum(there.values()), 1.0 - sum(free.values())
+    return {k: t / total * left for k, t in there.items()} | (free if there else {k: f / sum(free.values()) for k, f in free.items()})
 
 
 def _sums(cells: DataFrame, level: str, weight: Column) -> dict[str, float]:

@@ -69,8 +69,11 @@ def _mixing() -> str:
              "aim_source AS MATERIALIZED (SELECT source, p / (SELECT sum(p) FROM p) AS aim FROM p)"]
     for name, targets in (("language", mixing.LANGUAGES), ("topic", mixing.TOPICS)):
         steps += [f"raw_{name}({name}, t) AS (VALUES {values(targets)})",
-                  f"""aim_{name} AS MATERIALIZED (SELECT {name}, coalesce(t, 0) / sum(coalesce(t, 0)) OVER () AS aim
-                    FROM (SELECT {name} FROM w0 GROUP BY {name} HAVING sum(tokens) > 0) LEFT JOIN raw_{name} USING ({name}))"""]
+                  f"""there_{name} AS (SELECT {name}, t, sum(tokens) / (SELECT sum(tokens) FROM w0) AS seen
+                    FROM w0 LEFT JOIN raw_{name} USING ({name}) GROUP BY {name}, t HAVING sum(tokens) > 0)""",
+                  f"""aim_{name} AS MATERIALIZED (SELECT {name}, CASE WHEN t IS NULL THEN seen ELSE
+                    t / (SELECT sum(t) FROM there_{name}) * (1 - (SELECT coalesce(sum(seen), 0) FROM there_{name} WHERE t IS NULL)) END AS aim
+                    FROM there_{name})"""]
     n = 0
     for _ in range(mixing.SWEEPS):
         for margin in ("source", "language", "topic"):

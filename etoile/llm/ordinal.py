@@ -8,7 +8,8 @@ so one score orders all texts. It gives the expected grade, sum over k of P(grad
 
 Features of a whole text: its distinct lower-cased words (letters and digits; 24-bit buckets), its word shapes (runs of upper case, lower case, digit,
 symbol; so that shouting or markup is one feature whatever the words), and the shares in ``SHARES``. A bucket has a weight only
-if at least ``MIN_TEXTS`` sample texts have it.
+if at least ``MIN_TEXTS`` sample texts have it and its score test against the model without buckets is at least ``SCREEN`` standard errors:
+of the very many words of long texts, chance finds next to none.
 
 The fit uses a bounded sample of labelled rows, ``SAMPLE_ROWS`` = 20,000 (the smallest hashes of ``doc_id``), whatever the size
 of ``labels``; its features are a few tens of MB. Every document is scored, in one scan without a shuffle; the only
@@ -32,9 +33,9 @@ from pyspark.sql import functions as F
 from etoile.llm.text import Words, chunked, mix, utf8
 
 SAMPLE_ROWS = 20_000
-MIN_TEXTS = 8
+MIN_TEXTS, SCREEN = 5, 4.0
 BUCKET_BITS = 24
-STEPS, RATE, RIDGE = 150, 0.05, 2e-4
+STEPS, RATE, RIDGE = 400, 0.05, 1e-4
 SHARES = ("upper", "digit", "symbol", "space", "new_words", "new_lines", "log_words", "word_length")
 
 _CLASS = np.full(256, 3, dtype=np.uint8)                      # 3: symbols
@@ -120,43 +121,54 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
                      rows["grade"].to_numpy(dtype=np.int64))
 
 
+def _slopes(score: np.ndarray, theta: np.ndarray, grade: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each row's log likelihood: derivative by its score, and by the threshold below and above its grade."""
+    rows = np.arange(len(grade))
+    # P(grade = g) = s_{g-1} - s_g with s_k = P(grade > k); s_{-1} = 1, s_G = 0
+    s = _sigmoid(score[:, None] - theta)
+    edge = np.zeros((len(grade), 1))
+    full, slope = np.concatenate([edge + 1, s, edge], 1), np.concatenate([edge, s * (1 - s), edge], 1)
+    prob = np.maximum(full[rows, grade] - full[rows, grade + 1], 1e-12)
+    low, high = slope[rows, grade] / prob, slope[rows, grade + 1] / prob
+    return low - high, low, high
+
+
+def _fit(x: np.ndarray, text: np.ndarray, column: np.ndarray, columns: int, grade: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bucket weights, share weights, thresholds): penalised maximum likelihood by Adam over all rows."""
+    rows, levels, wide = len(grade), max(int(grade.max()), 1), x.shape[1]
+    above = (grade[:, None] > np.arange(levels)).mean(0).clip(1e-3, 1 - 1e-3)
+    theta = np.log((1 - above) / above)
+    p = np.concatenate([np.zeros(columns + wide), theta[:1], np.log(np.maximum(np.diff(theta), 0.1))])
+    m, v, end = np.zeros_like(p), np.zeros_like(p), columns + wide
+    for step in range(1, STEPS + 1):
+        w, u, gaps = p[:columns], p[columns:end], np.exp(p[end + 1:])
+        theta = np.cumsum(np.concatenate([p[end:end + 1], gaps]))
+        by_score, low, high = _slopes(np.bincount(text, weights=w[column], minlength=rows) + x @ u, theta, grade)
+        by_theta = np.zeros(levels)
+        np.add.at(by_theta, grade[grade > 0] - 1, -low[grade > 0])
+        np.add.at(by_theta, grade[grade < levels], high[grade < levels])
+        tail = np.cumsum(by_theta[::-1])[::-1]                            # a threshold moves with every step up to it
+        g = -np.concatenate([np.bincount(column, weights=by_score[text], minlength=columns), x.T @ by_score, tail[:1], tail[1:] * gaps]) / rows
+        g[:end] += RIDGE * p[:end]
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        p -= RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
+    return p[:columns], p[columns:end], np.cumsum(np.concatenate([p[end:end + 1], np.exp(p[end + 1:])]))
+
+
 def _optimise(buckets: list[np.ndarray], shares: np.ndarray, grade: np.ndarray) -> Model:
-    """Penalised maximum likelihood by Adam over all sample rows."""
-    flat = np.concatenate(buckets)
-    names, at, n = np.unique(flat, return_inverse=True, return_counts=True)
+    names, at, n = np.unique(np.concatenate(buckets), return_inverse=True, return_counts=True)
     text = np.repeat(np.arange(len(buckets)), [len(b) for b in buckets])
-    often = n >= min(MIN_TEXTS, max(2, len(buckets) // 20))
-    keep = often[at]
-    column, text = (np.cumsum(often) - 1)[at[keep]], text[keep]
-    names = names[often]
     mean, scale = shares.mean(0), shares.std(0) + 1e-6
     x = np.clip((shares - mean) / scale, -4, 4)
-    levels = max(int(grade.max()), 1)
-    above = grade[:, None] > np.arange(levels)
-    theta = np.log((1 - above.mean(0)).clip(1e-3, 1 - 1e-3) / above.mean(0).clip(1e-3, 1 - 1e-3))
-    p = np.concatenate([np.zeros(len(names) + x.shape[1]), [theta[0]], np.log(np.maximum(np.diff(theta), 0.1))])
-    m, v, k, rows = np.zeros_like(p), np.zeros_like(p), len(names), len(grade)
-    for step in range(1, STEPS + 1):
-        w, u = p[:k], p[k:k + x.shape[1]]
-        theta = np.cumsum(np.concatenate([p[k + x.shape[1]:][:1], np.exp(p[k + x.shape[1] + 1:])]))
-        score = np.bincount(text, weights=w[column], minlength=rows) + x @ u
-        # P(grade = g) = s_{g-1} - s_g with s_k = P(grade > k); s_{-1} = 1, s_G = 0
-        s = _sigmoid(score[:, None] - theta)
-        full = np.concatenate([np.ones((rows, 1)), s, np.zeros((rows, 1))], 1)
-        prob = np.maximum(full[np.arange(rows), grade] - full[np.arange(rows), grade + 1], 1e-12)
-        slope = np.concatenate([np.zeros((rows, 1)), s * (1 - s), np.zeros((rows, 1))], 1)
-        low, high = slope[np.arange(rows), grade], slope[np.arange(rows), grade + 1]
-        d_score = -(low - high) / prob / rows
-        d_theta = np.zeros(levels)
-        np.add.at(d_theta, np.maximum(grade - 1, 0), np.where(grade > 0, low / prob, 0) / rows)
-        np.add.at(d_theta, np.minimum(grade, levels - 1), np.where(grade < levels, -high / prob, 0) / rows)
-        tail = np.cumsum(d_theta[::-1])[::-1]                       # theta_k moves with every later step
-        g = np.concatenate([np.bincount(column, weights=d_score[text], minlength=k) + RIDGE * w, x.T @ d_score + RIDGE * u,
-                            tail[:1], tail[1:] * np.exp(p[k + x.shape[1] + 1:])])
-        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        p -= RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
-    theta = np.cumsum(np.concatenate([p[k + x.shape[1]:][:1], np.exp(p[k + x.shape[1] + 1:])]))
-    return Model(names.astype(np.int32), p[:k], mean, scale, p[k:k + x.shape[1]], theta)
+    none = np.zeros(0, dtype=np.int64)
+    _, u, theta = _fit(x, none, none, 0, grade)
+    rest = _slopes(x @ u, theta, grade)[0]
+    total = np.bincount(at, weights=rest[text], minlength=len(names))
+    spread = np.sqrt(np.bincount(at, weights=rest[text] ** 2, minlength=len(names)) * 0.5 + n * (rest ** 2).mean() * 0.5) + 1e-12
+    chosen = (n >= MIN_TEXTS) & (np.abs(total - n * rest.mean()) >= SCREEN * spread)
+    keep = chosen[at]
+    w, u, theta = _fit(x, text[keep], (np.cumsum(chosen) - 1)[at[keep]], int(chosen.sum()), grade)
+    return Model(names[chosen].astype(np.int32), w, mean, scale, u, theta)
 
 
 def predict(model: Model, texts: list[bytes]) -> np.ndarray:

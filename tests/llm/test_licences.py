@@ -17,7 +17,7 @@ ROWS = [
     (1, "a/LICENSE", "Released under the MIT License.\nmore text follows here"),
     (2, "a/b/c/main.c", "int main"),
     (3, "a/b/COPYING", "This work is licensed under the GNU General Public License, version 3."),
-    (4, "a/b/c/d.c", "// Licensed under the Apache License, Version 2.0.\nint d"),
+    (4, "a/b/c/d.c", "// Licensed under the Apache License, Version 2.0.\nint d and so many more words of a program that it is a header only"),
     (5, "z/x.c", "nothing"),
     (6, "a/y.c", "a licence to fish is no match of anything at all"),
     (7, "q/1", "All rights reserved."),                     # licence lines are half of its words: speaks for q
@@ -39,7 +39,8 @@ def brute(rows, min_cosine=licences.MIN_COSINE):
     own, said = {}, Counter()
     for n, k, line in heads:
         v = vec(line)
-        score, name = min((-round(sum(v.get(w, 0) * x for w, x in (u := vec(t)).items()) / norm(u) / norm(v), 9), name) for name, t in licences.TEMPLATES.items())
+        models = {name: vec(t) for name, t in licences.TEMPLATES.items()}
+        score, name = min((-round(sum(v.get(w, 0) * x for w, x in u.items()) / norm(u) / norm(v), 9), name) for name, u in models.items())
         if -score >= min_cosine:
             said[n] += len(line.split())
             own[n] = min(own.get(n, (1, "", 0)), (score, name, k))
