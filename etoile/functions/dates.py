@@ -28,7 +28,6 @@ def date_parts(date_col: Column) -> dict[str, Column]:
     }
 
 
-def parse_timestamp(col: Column, fmt: str | None = None) -> Column:
-    """Parse text to TIMESTAMP_NTZ; unparseable text becomes null instead of failing."""
-    parsed = F.try_to_timestamp(col, F.lit(fmt)) if fmt else F.try_to_timestamp(col)
-    return parsed.cast("timestamp_ntz")
+def parse_timestamp(col: Column) -> Column:
+    """Text to TIMESTAMP_NTZ, whatever the session's time zone; unparseable text becomes null."""
+    return col.try_cast("timestamp_ntz")

@@ -8,6 +8,9 @@ The rule used everywhere:
 * an average rounded to ``n`` digits is ``sign(S) * floor(|S| / count * 10^n + 0.5) / 10^n``
   with ``S`` the exact sum: round half away from zero, written as plain IEEE operations
   that any SQL engine evaluates identically.
+
+Contract of money: at most 4 decimals and below 10^14 in absolute value, DECIMAL(18,4). Finer
+values are rounded to 4 decimals by the cast; larger ones raise (ANSI mode), they are never cut silently.
 """
 
 from __future__ import annotations
@@ -37,14 +40,13 @@ def rounded_sum(col, digits: int = 2, scale: int = MONEY_SCALE) -> Column:
 
 def rounded_avg(col, digits: int, scale: int = MONEY_SCALE) -> Column:
     """AVG(x) rounded half away from zero to ``digits`` decimals, stable across engines."""
-    s = exact_sum(col, scale)
-    p = float(10 ** digits)
-    return F.signum(s) * F.floor(F.abs(s) / F.count(_c(col)) * F.lit(p) + F.lit(0.5)) / F.lit(p)
+    return average_of(exact_sum(col, scale), F.count(_c(col)), digits)
 
 
-def round_money(col, digits: int = 2) -> Column:
-    """Round a double to cents through DECIMAL (half up on the decimal value)."""
-    return F.round(_c(col).cast("decimal(18,4)"), digits).cast("double")
+def average_of(total: Column, count: Column, digits: int) -> Column:
+    """``total / count`` rounded half away from zero; null when there is nothing to average."""
+    p = float(10 ** digits)
+    return F.when(count > 0, F.signum(total) * F.floor(F.abs(total) / count * F.lit(p) + F.lit(0.5)) / F.lit(p))
 
 
 def round_half_even(col, digits: int = 1) -> Column:

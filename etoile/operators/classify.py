@@ -7,25 +7,27 @@
   drops the last index. Like the source, the levels come from all rows, before the split.
 * Stratified split (exact per-class test sizes ``ceil(share * n_class)``, seeded and
   engine independent): each row's rank inside its class is by ``md5(key || seed)``. Rather
-  than a window over a whole class (half the data in one task), the rank is found in two
-  aggregate passes: a per-class histogram over the first hex digits of the hash gives, per
-  class, the bucket holding the cut; only the rows of that one bucket are ranked by a
-  window. The number of digits follows the row count so that a bucket holds about
-  ``EDGE_BUCKET_ROWS`` rows (the histogram then has about n / EDGE_BUCKET_ROWS rows).
+  than a window over a whole class (half the data in one task), the cut is found digit by digit: a
+  count of the next hex digit below the current prefix (16 rows per class, combined map-side) says
+  in which bucket the cut lies, until that bucket has at most ``EDGE_BUCKET_ROWS`` rows; only these
+  are ranked by a window.
 * Class weights ``n / (2 n_class)`` (the "balanced" rule) go in as ``weightCol``.
-* Tree: ``DecisionTreeClassifier(maxDepth=5, seed=42)``; reports are aggregates over the
+* Tree: ``DecisionTreeClassifier(maxDepth=5, seed=42, maxBins=MAX_BINS)``. The library bins continuous features: it
+  picks at most ``max_bins`` thresholds per feature from a bounded sample of rows. The number of bins is a parameter (it must not
+  be below the number of levels of a categorical; dummies have two). Reports are aggregates over the
   predictions (accuracy, per-class precision/recall/F1/support, confusion, importances).
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from etoile.operators import kpis
@@ -41,7 +43,10 @@ MAX_DEPTH = 5
 TOP_FEATURES = 10
 GOOD_SCORE = 4
 EDGE_BUCKET_ROWS = 100_000   # rows ranked by the one window (the bucket holding the cut)
-MAX_HEX_DIGITS = 8
+MAX_HEX_DIGITS = 32
+MAX_BINS = 32                # thresholds per continuous feature
+# The report's class names.
+CLASS_NAMES = {0: "Mauvaise note (< 4)", 1: "Bonne note (≥ 4)"}
 
 
 def training_set(fact: DataFrame, dim_produit: DataFrame, dim_client: DataFrame) -> DataFrame:
@@ -71,9 +76,27 @@ def _hash(key_cols, seed) -> F.Column:
     return F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key_cols], F.lit(str(seed))))
 
 
-def bucket_digits(n: int, target: int = EDGE_BUCKET_ROWS) -> int:
-    """Hex digits of the hash prefix so that one bucket holds about ``target`` rows."""
-    return max(1, min(MAX_HEX_DIGITS, math.ceil(math.log(max(n, 1) / target, 16)) if n > target else 1))
+def _cuts(h: DataFrame, label: str, test_share: float, edge_rows: int) -> dict:
+    """Per class: ``(prefix, before, wanted)``; the cut lies in the bucket ``prefix``, after ``before`` smaller rows."""
+    sizes = {r[0]: r["nb"] for r in h.groupBy(label).agg(F.count(F.lit(1)).alias("nb")).collect()}     # one row per class
+    cuts = {c: ("", 0, math.ceil(n * test_share)) for c, n in sizes.items()}
+    held = dict(sizes)
+    for digits in range(1, MAX_HEX_DIGITS + 1):
+        wide = [c for c in cuts if held[c] > edge_rows]
+        if not wide:
+            break
+        inside = reduce(Column.__or__, [F.col(label).eqNullSafe(F.lit(c)) & F.col("_h").startswith(cuts[c][0]) for c in wide])
+        rows = (h.filter(inside).groupBy(label, F.substring("_h", 1, digits).alias("_b"))
+                .agg(F.count(F.lit(1)).alias("nb")).collect())                                             # 16 per class
+        for c in wide:
+            prefix, before, wanted = cuts[c]
+            for r in sorted((r for r in rows if r[0] == c), key=lambda r: r["_b"]):
+                prefix, held[c] = r["_b"], r["nb"]
+                if before + r["nb"] >= wanted:
+                    break
+                before += r["nb"]
+            cuts[c] = (prefix, before, wanted)
+    return cuts
 
 
 def stratified_split(df: DataFrame, label: str = LABEL, key_cols=KEY, test_share: float = TEST_SHARE,
@@ -81,33 +104,21 @@ def stratified_split(df: DataFrame, label: str = LABEL, key_cols=KEY, test_share
     """Adds ``is_test``: per class, the ``ceil(test_share * n)`` rows of smallest hash.
 
     Ties on the hash (duplicate keys) are broken by the key columns. The hashed input is
-    written once as a table in the checkpoint folder (one computation of the joins behind
-    it, whatever reads the split next).
+    written once as a table in the checkpoint folder, and the cuts are counted, while the frame is
+    built: one computation of the joins behind it, whatever reads the split next.
     """
-    # read three times below (histogram, boundary bucket, other rows): materialized once
     h = materialize(df.withColumn("_h", _hash(key_cols, seed)), "split-input")
-    digits = bucket_digits(h.count(), edge_rows)   # row count from the Parquet footers
-    h = h.withColumn("_b", F.substring("_h", 1, digits))
-    hist = h.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_nb"))
-    # bounded: at most (classes x 16^digits) rows
-    w = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = (hist.withColumn("_cum", F.sum("_nb").over(w))
-            .withColumn("_n", F.sum("_nb").over(Window.partitionBy(label))))
-    hist = hist.withColumn("_m", F.ceil(F.col("_n") * F.lit(test_share)).cast("long"))
-    cut = (hist.filter(F.col("_cum") >= F.col("_m"))
-           .groupBy(label).agg(F.min_by(F.struct("_b", (F.col("_cum") - F.col("_nb")).alias("_before"), "_m"),
-                                        "_b").alias("_c"))
-           .select(label, F.col("_c._b").alias("_cut_b"), F.col("_c._before").alias("_before"),
-                   F.col("_c._m").alias("_m")))
-    # per class one row: broadcast is bounded by the number of classes
-    h = h.join(F.broadcast(cut), label, "left")
-    edge = h.filter(F.col("_b") == F.col("_cut_b"))
-    rest = h.filter((F.col("_b") != F.col("_cut_b")) | F.col("_cut_b").isNull())
+    edge, test = F.lit(False), F.lit(False)
+    before, wanted = F.lit(0), F.lit(0)
+    for c, (prefix, rows, want) in _cuts(h, label, test_share, edge_rows).items():
+        own, head = F.col(label).eqNullSafe(F.lit(c)), F.substring("_h", 1, len(prefix))
+        edge = F.when(own, head == prefix).otherwise(edge)
+        test = F.when(own, head < prefix).otherwise(test)
+        before, wanted = F.when(own, rows).otherwise(before), F.when(own, want).otherwise(wanted)
     rank = F.row_number().over(Window.partitionBy(label).orderBy("_h", *key_cols))
-    edge = edge.withColumn("is_test", (rank + F.col("_before")) <= F.col("_m"))
-    rest = rest.withColumn("is_test", F.coalesce(F.col("_b") < F.col("_cut_b"), F.lit(False)))
-    drop = ["_h", "_b", "_cut_b", "_before", "_m"]
-    return edge.unionByName(rest).drop(*drop)
+    near = h.filter(edge).withColumn("is_test", (rank + before) <= wanted)
+    rest = h.filter(~edge).withColumn("is_test", test)
+    return near.unionByName(rest).drop("_h")
 
 
 def class_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
@@ -130,7 +141,7 @@ def _encoder() -> Pipeline:
     return Pipeline(stages=[idx, ohe, vec])
 
 
-def fit_tree(split: DataFrame, max_depth: int = MAX_DEPTH, seed: int = SEED) -> tuple[PipelineModel, DataFrame]:
+def fit_tree(split: DataFrame, max_depth: int = MAX_DEPTH, seed: int = SEED, max_bins: int = MAX_BINS) -> tuple[PipelineModel, DataFrame]:
     """Dummies over all rows (the source encodes before splitting), a balanced-weight
     tree fitted on the training part, predictions on the test part.
 
@@ -147,7 +158,7 @@ def fit_tree(split: DataFrame, max_depth: int = MAX_DEPTH, seed: int = SEED) ->
         weights = class_weights(train).select(LABEL, "poids")
         train = train.join(F.broadcast(weights), LABEL)  # one row per class
         tree = DecisionTreeClassifier(labelCol=LABEL, featuresCol="features", weightCol="poids",
-                                      maxDepth=max_depth, seed=seed).fit(train)
+                                      maxDepth=max_depth, maxBins=max_bins, seed=seed).fit(train)
     finally:
         split.unpersist()
     model = PipelineModel(stages=[*encoder.stages, tree])
@@ -171,7 +182,7 @@ def confusion(pred: DataFrame, label: str = LABEL, classes=(0, 1)) -> DataFrame:
 
 
 def report(pred: DataFrame, label: str = LABEL, classes=(0, 1)) -> DataFrame:
-    """Per class precision, recall, F1 and support, then macro and weighted averages."""
+    """Per class precision, recall, F1 and support, the accuracy line, then macro and weighted averages."""
     y, p = F.col(label), F.col("prediction")
     aggs = []
     for c in classes:
@@ -183,7 +194,7 @@ def report(pred: DataFrame, label: str = LABEL, classes=(0, 1)) -> DataFrame:
     for c in classes:
         prec = F.when(F.col(f"pp{c}") > 0, F.col(f"tp{c}") / F.col(f"pp{c}")).otherwise(F.lit(0.0))
         rec = F.when(F.col(f"sup{c}") > 0, F.col(f"tp{c}") / F.col(f"sup{c}")).otherwise(F.lit(0.0))
-        rows.append(s.select(F.lit(str(c)).alias("classe"), prec.alias("precision"), rec.alias("rappel"),
+        rows.append(s.select(F.lit(CLASS_NAMES.get(c, str(c))).alias("classe"), prec.alias("precision"), rec.alias("rappel"),
                              F.col(f"sup{c}").alias("support")))
     per = rows[0]
     for r in rows[1:]:
@@ -198,7 +209,12 @@ def report(pred: DataFrame, label: str = LABEL, classes=(0, 1)) -> DataFrame:
                        (F.sum(F.col("precision") * F.col("support")) / n).alias("precision"),
                        (F.sum(F.col("rappel") * F.col("support")) / n).alias("rappel"), n.alias("support"),
                        (F.sum(F.col("f1") * F.col("support")) / n).alias("f1"))
-    return per.unionByName(macro).unionByName(weighted)
+    hits = reduce(Column.__add__, [F.col(f"tp{c}") for c in classes])
+    total = reduce(Column.__add__, [F.col(f"sup{c}") for c in classes])
+    share = F.when(total > 0, hits / total)
+    right = s.select(F.lit("accuracy").alias("classe"), share.alias("precision"), share.alias("rappel"),
+                     total.alias("support"), share.alias("f1"))
+    return per.unionByName(right).unionByName(macro).unionByName(weighted)
 
 
 def feature_names(model: PipelineModel, pred_frame: DataFrame) -> list[str]:
@@ -211,6 +227,12 @@ def feature_names(model: PipelineModel, pred_frame: DataFrame) -> list[str]:
     return names
 
 
+def rule_predictions(split: DataFrame, max_delay: float) -> DataFrame:
+    """Predictions of a stated rule on the test part (good if the delay is at most ``max_delay``), in the form of ``fit_tree``'s."""
+    good = (F.col("delai_livraison_jours") <= max_delay).cast("int")
+    return split.filter(F.col("is_test")).select(*KEY, LABEL, good.alias("prediction"))
+
+
 def importances(model: PipelineModel, sample: DataFrame, top: int = TOP_FEATURES) -> DataFrame:
     """The ``top`` feature importances, 4 decimals, largest first."""
     names = feature_names(model, sample)

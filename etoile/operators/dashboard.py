@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from etoile.functions.lookups import ALL_REGIONS
-from etoile.functions.numeric import MONEY_SCALE, SCORE_SCALE, rounded_avg, rounded_sum
+from etoile.functions.numeric import MONEY_SCALE, SCORE_SCALE
 from etoile.operators import kpis
 
 
@@ -31,11 +31,11 @@ def monthly_revenue(fact: DataFrame, dim_temps: DataFrame, dim_client: DataFrame
 
 def top_categories(fact: DataFrame, dim_produit: DataFrame, limit: int = 15) -> DataFrame:
     """Categories by item revenue, with mean score (rated items) and item count."""
-    f = kpis.with_products(fact, dim_produit, "categorie")
+    f = kpis.with_products(fact.groupBy("produit_id").agg(*kpis.product_sums()), dim_produit, "categorie")
     agg = f.groupBy("categorie").agg(
-        rounded_sum(kpis.price()).alias("ca_categorie"),
-        rounded_avg("score_satisfaction", 2, SCORE_SCALE).alias("score_moyen"),
-        F.count(F.lit(1)).alias("nb_ventes"))
+        kpis.merged_sum("_price").alias("ca_categorie"),
+        kpis.merged_avg("_score", "_scored", 2).alias("score_moyen"),
+        F.sum("_items").alias("nb_ventes"))
     return agg.orderBy(F.desc("ca_categorie"), F.asc("categorie")).limit(limit)
 
 
@@ -62,25 +62,29 @@ def quarterly_trend(fact: DataFrame, dim_temps: DataFrame) -> DataFrame:
     return kpis.quarterly_revenue(fact, dim_temps, with_orders=False)
 
 
-def headline(monthly: DataFrame, fact: DataFrame) -> DataFrame:
+def global_sums(fact: DataFrame) -> DataFrame:
+    """D8 base, one row: exact sums and counts of scores and of positive delays."""
+    delay = F.when(F.col("delai_livraison_jours") > 0, F.col("delai_livraison_jours"))
+    return fact.agg(F.sum(F.col("score_satisfaction").cast(f"decimal(28,{SCORE_SCALE})")).alias("_score"),
+                    F.count("score_satisfaction").alias("_scored"),
+                    F.sum(delay.cast(f"decimal(18,{MONEY_SCALE})")).alias("_delay"), F.count(delay).alias("_delayed"))
+
+
+def headline(monthly: DataFrame, sums: DataFrame) -> DataFrame:
     """Total revenue and orders (sums over the monthly x region frame, as the source
     does), global mean score and global mean positive delay; one row.
 
     Summing the per-group distinct counts equals the global distinct count because an order
-    has one date and one client. The monthly rows and the fact rows are stacked (each side
+    has one date and one client. The monthly rows and the row of ``global_sums`` are stacked (each side
     fills only its own columns) and reduced by one global aggregate: no join.
     """
     dec = f"decimal(18,{MONEY_SCALE})"
-    a = monthly.select(F.col("ca_total").cast(dec).alias("_ca"), F.col("nb_commandes").alias("_nb"),
-                       F.lit(None).cast("double").alias("_score"), F.lit(None).cast("double").alias("_delay"))
-    b = fact.select(F.lit(None).cast(dec).alias("_ca"), F.lit(None).cast("long").alias("_nb"),
-                    F.col("score_satisfaction").cast("double").alias("_score"),
-                    F.when(F.col("delai_livraison_jours") > 0, F.col("delai_livraison_jours")).alias("_delay"))
-    return a.unionByName(b).agg(
+    a = monthly.select(F.col("ca_total").cast(dec).alias("_ca"), F.col("nb_commandes").alias("_nb"))
+    return a.unionByName(sums, allowMissingColumns=True).agg(
         F.round(F.sum("_ca"), 2).cast("double").alias("ca_total"),
         F.sum("_nb").alias("nb_commandes"),
-        rounded_avg("_score", 2, SCORE_SCALE).alias("score_global"),
-        rounded_avg("_delay", 1).alias("delai_global"))
+        kpis.merged_avg("_score", "_scored", 2).alias("score_global"),
+        kpis.merged_avg("_delay", "_delayed", 1).alias("delai_global"))
 
 
 def region_choices(monthly: DataFrame) -> DataFrame:
@@ -114,7 +118,7 @@ def dashboard_frames(fact: DataFrame, dim_temps: DataFrame, dim_client: DataFram
                      region: str = ALL_REGIONS) -> dict[str, DataFrame]:
     """Every chart's data at once, as the source's dashboard loads it at start.
 
-    The base aggregates (monthly x region, per state, top categories, scores, quarters) are
+    The base aggregates (monthly x region, per state, top categories, scores, quarters, global sums) are
     persisted: they are bounded by the calendar, the states, the score values and the top-k,
     not by the fact, so they stay small whatever the data volume. The region filter and the
     derived frames then read these small frames and never the fact again.
@@ -125,11 +129,13 @@ def dashboard_frames(fact: DataFrame, dim_temps: DataFrame, dim_client: DataFram
         "dash_top_categories": top_categories(fact, dim_produit),
         "dash_scores": score_distribution(fact),
         "dash_trend": quarterly_trend(fact, dim_temps),
+        "sums": global_sums(fact),
     }
     base = {k: v.persist() for k, v in base.items()}
+    sums = base.pop("sums")
     return {
         **base,
-        "dash_headline": headline(base["dash_ca"], fact),
+        "dash_headline": headline(base["dash_ca"], sums),
         "dash_regions": region_choices(base["dash_ca"]),
         "dash_ca_region": monthly_revenue_for(base["dash_ca"], region),
         "dash_delai_region": slowest_states_for(base["dash_delai"], region),

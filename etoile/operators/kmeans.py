@@ -7,15 +7,18 @@ fit (about 70 x 40 passes). Here every fit advances in the same pass:
 * each iteration is one Spark job: per partition, ``mapInPandas`` assigns every point to
   its nearest center under *every* model (numpy on Arrow batches) and emits per
   ``(model, cluster)`` partial sums, counts and costs — at most sum(k) rows per partition;
-* ``groupBy(model, cluster)`` merges the partials; the driver receives only the new
-  centers (sum of k over all models: a few hundred rows) and ships them with the next pass;
+* ``groupBy(model, cluster)`` merges the partials, combined per partition and spread over the
+  reducers; the driver receives only the new centers (sum of k over all models: a few hundred rows)
+  and ships them with the next pass;
 * a model stops once the summed squared shift of its centers is at most ``tol`` times the
   mean feature variance (the source's rule); the loop ends when all have converged or after
   ``max_iter`` passes; a last pass computes each model's cost.
 
-Initialisation is k-means++ (as the source's default), run per model (its own seed) on one
-sample of at most ``init_sample`` points (the smallest ``md5(id)``: a top-k, bounded). An
-empty cluster keeps its previous center.
+Initialisation is k-means++ (as the source's default) over all points, also in shared passes: the
+c-th center of every model is drawn in one pass. A point's key is ``-ln(u) / d2``, with ``u`` a hash of
+the point's id, the model's seed and the step, and ``d2`` its squared distance to the centers so far;
+the point with the smallest key is a draw with probability proportional to ``d2`` (the first center:
+``d2 = 1``). A partition sends one point per model. An empty cluster keeps its previous center.
 """
 
 from __future__ import annotations
@@ -24,13 +27,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from etoile.session import materialize
-
-INIT_SAMPLE = 10_000
-
 
 @dataclass
 class KMeansFit:
@@ -42,18 +41,55 @@ class KMeansFit:
     converged: bool = False
 
 
-def _kmeanspp(x: np.ndarray, k: int, seed: int) -> np.ndarray:
-    """k-means++ seeding on the (bounded) sample ``x``."""
-    rng = np.random.default_rng(seed)
-    n = len(x)
-    centers = [x[rng.integers(n)]]
-    d2 = ((x - centers[0]) ** 2).sum(1)
-    for _ in range(1, k):
-        total = d2.sum()
-        i = int(rng.choice(n, p=d2 / total)) if total > 0 else int(rng.integers(n))
-        centers.append(x[i])
-        d2 = np.minimum(d2, ((x - x[i]) ** 2).sum(1))
-    return np.array(centers, dtype=float)
+def uniform(h: np.ndarray, seed: int, step: int) -> np.ndarray:
+    """A number in (0, 1) for every 64-bit hash, seed and step."""
+    with np.errstate(over="ignore"):
+        x = h.astype(np.int64).view(np.uint64) + np.uint64((seed * 0x9E3779B97F4A7C15 + step * 0xD1B54A32D192ED03) % 2 ** 64)
+        for shift in (30, 27):
+            x = (x ^ (x >> np.uint64(shift))) * np.uint64(0xBF58476D1CE4E5B9)
+        x ^= x >> np.uint64(31)
+    return ((x >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0 ** 53
+
+
+def draw_keys(x: np.ndarray, h: np.ndarray, seed: int, chosen: np.ndarray) -> np.ndarray:
+    """Keys of the points for the next center after ``chosen`` (rows); the smallest is drawn. All points on a center: by hash alone."""
+    race = -np.log(uniform(h, seed, len(chosen)))
+    if not len(chosen):
+        return race
+    d2 = ((x[:, None, :] - chosen[None, :, :]) ** 2).sum(2).min(1)
+    with np.errstate(divide="ignore"):
+        return np.where(d2 > 0, race / d2, np.inf)
+
+
+def _drawn(cols: list[str], fits: list[KMeansFit]):
+    """mapInPandas function: per model, the partition's point of smallest key (infinite keys by race alone)."""
+    models = [(m, f.seed, f.centers) for m, f in enumerate(fits)]
+
+    def fn(batches):
+        best: dict[int, tuple] = {}
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            x, h = pdf[cols].to_numpy(dtype=float), pdf["_h"].to_numpy()
+            for m, seed, chosen in models:
+                key, race = draw_keys(x, h, seed, chosen), uniform(h, seed, len(chosen))
+                i = int(np.lexsort((h, race, key))[0])
+                cand = (float(key[i]), float(race[i]), int(h[i]), *x[i].tolist())
+                best[m] = min(best.get(m, cand), cand)
+        yield pd.DataFrame([(m, *c) for m, c in sorted(best.items())], columns=["model", "key", "race", "h", *cols])
+    return fn
+
+
+def seed_centers(data: DataFrame, cols: list[str], fits: list[KMeansFit]) -> None:
+    """k-means++ centers of every fit, one pass over ``data`` (columns ``_h`` and ``cols``) per center."""
+    schema = "model int, key double, race double, h long, " + ", ".join(f"`{c}` double" for c in cols)
+    point = F.struct("key", "race", "h", *cols)
+    for step in range(max(f.k for f in fits)):
+        todo = [f for f in fits if f.k > step]
+        rows = (data.select("_h", *cols).mapInPandas(_drawn(cols, todo), schema)
+                .groupBy("model").agg(F.min(point).alias("p")).collect())              # one row per model
+        for r in rows:
+            todo[r.model].centers = np.vstack([todo[r.model].centers, [r.p[c] for c in cols]])
 
 
 def _groups(layout: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
@@ -112,38 +148,46 @@ def _pass(data: DataFrame, cols: list[str], fits: list[KMeansFit]):
         start += f.k
     centers = np.vstack([f.centers for f in fits])                   # sum(k) x d: bounded
     schema = "model int, cluster int, n long, cost double, " + ", ".join(f"s_{i} double" for i in range(len(cols)))
-    # partials are already combined per partition (<= partitions x sum(k) rows): one reducer
     return (data.select(*cols).mapInPandas(_partials(cols, layout, centers), schema)
-            .repartition(1)
             .groupBy("model", "cluster")
             .agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"),
                  *[F.sum(f"s_{i}").alias(f"s_{i}") for i in range(len(cols))])
             .collect())                                             # sum(k) rows
 
 
+def _step(data: DataFrame, cols: list[str], fits: list[KMeansFit]) -> list[float]:
+    """One Lloyd step of every fit; the squared shift of each one's centers."""
+    new = [f.centers.copy() for f in fits]
+    for r in _pass(data, cols, fits):
+        if r.n > 0:
+            new[r.model][r.cluster] = np.array([r[f"s_{i}"] for i in range(len(cols))]) / r.n
+    shifts = [float(((n - f.centers) ** 2).sum()) for n, f in zip(new, fits)]
+    for n, f in zip(new, fits):
+        f.centers = n
+    return shifts
+
+
 def fit_many(data: DataFrame, cols: list[str], models: list[tuple[int, int]], max_iter: int = 300,
-             tol: float = 1e-4, id_col: str = "client_id", init_sample: int = INIT_SAMPLE) -> list[KMeansFit]:
-    """Fit one K-Means model per ``(k, seed)`` in ``models``; all advance in the same passes."""
-    data = materialize(data.select(id_col, *cols), "kmeans-input")
+             tol: float = 1e-4, id_col: str = "client_id") -> list[KMeansFit]:
+    """Fit one K-Means model per ``(k, seed)`` in ``models``; all advance in the same passes.
+
+    ``data`` should be a written table (every pass reads it). Fewer points than the largest k is an error.
+    """
+    data = data.select(F.xxhash64(id_col).alias("_h"), *cols)
     # the source's rule: stop when the summed squared center shift <= tol * mean feature variance
-    var = data.agg(*[F.var_pop(c) for c in cols]).first()
-    tol_abs = tol * float(np.mean([v or 0.0 for v in var]))
-    h = F.md5(F.concat(F.col(id_col).cast("string"), F.lit("|init")))
-    sample = (data.withColumn("_h", h).orderBy("_h", id_col).limit(init_sample)   # top-k: bounded
-              .select(*cols).toPandas().to_numpy(dtype=float))
-    fits = [KMeansFit(k, seed, _kmeanspp(sample, min(k, len(sample)), seed)) for k, seed in models]
+    stats = data.agg(F.count(F.lit(1)).alias("n"), *[F.var_pop(c).alias(c) for c in cols]).first()
+    most = max(k for k, _ in models)
+    if stats.n < most:
+        raise ValueError(f"{stats.n} points are fewer than {most} clusters")
+    tol_abs = tol * float(np.mean([stats[c] or 0.0 for c in cols]))
+    fits = [KMeansFit(k, seed, np.zeros((0, len(cols)))) for k, seed in models]
+    seed_centers(data, cols, fits)
     for it in range(1, max_iter + 1):
         active = [f for f in fits if not f.converged]
         if not active:
             break
-        rows = _pass(data, cols, active)
-        for m, f in enumerate(active):
-            new = f.centers.copy()
-            for r in rows:
-                if r.model == m and r.n > 0:
-                    new[r.cluster] = np.array([r[f"s_{i}"] for i in range(len(cols))]) / r.n
-            shift = float(((new - f.centers) ** 2).sum())
-            f.centers, f.iterations = new, it
+        for f, shift in zip(active, _step(data, cols, active)):
+            f.iterations = it
             f.converged = bool(shift <= tol_abs)
     for r in _pass(data, cols, fits):
         fits[r.model].cost = (0.0 if np.isnan(fits[r.model].cost) else fits[r.model].cost) + r.cost
@@ -158,9 +202,25 @@ def best_per_k(fits: list[KMeansFit]) -> dict[int, KMeansFit]:
     return best
 
 
+def _distances(cols: list[str], centers: np.ndarray) -> Column:
+    """Squared distances to the centers (literals: k x d, bounded), as an array."""
+    return F.array(*[sum(((F.col(c) - F.lit(float(v))) ** 2 for c, v in zip(cols, row)), F.lit(0.0)) for row in centers])
+
+
 def assign(df: DataFrame, cols: list[str], centers: np.ndarray, out: str = "segment") -> DataFrame:
-    """Nearest-center index as a built-in expression (centers are literals: k x d, bounded)."""
-    dists = [sum(((F.col(c) - F.lit(float(v))) ** 2 for c, v in zip(cols, row)), F.lit(0.0))
-             for row in centers]
-    arr = F.array(*dists)
+    """Nearest-center index as a built-in expression."""
+    arr = _distances(cols, centers)
     return df.withColumn(out, (F.array_position(arr, F.array_min(arr)) - 1).cast("int"))
+
+
+def inertia(df: DataFrame, cols: list[str], centers: np.ndarray) -> DataFrame:
+    """``(inertie)``: summed squared distance to the nearest center."""
+    return df.agg(F.sum(F.array_min(_distances(cols, centers))).alias("inertie"))
+
+
+def lloyd(df: DataFrame, cols: list[str], centers: np.ndarray, steps: int) -> np.ndarray:
+    """The centers after so many steps from given ones; an empty cluster keeps its center."""
+    fits = [KMeansFit(len(centers), 0, np.asarray(centers, dtype=float))]
+    for _ in range(steps):
+        _step(df, cols, fits)
+    return fits[0].centers

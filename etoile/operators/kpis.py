@@ -4,11 +4,12 @@ Every operator takes the warehouse tables as DataFrames and returns the report f
 the source's column names. Joins are inner (a fact row whose dimension row is missing
 drops out, as in the source).
 
-Plan shape (checked with ``explain``): fact scan -> dimension joins -> one aggregate.
-The dimensions are joined *before* aggregating, so ``COUNT(DISTINCT commande_id)`` is
-planned by Catalyst as partial aggregate on (keys, commande_id) -> one exchange ->
-final aggregate on keys: a single large exchange, combined map-side, so a hot key or a
-hot order is reduced before it is shuffled.
+Plan shape (checked with ``explain``). Where the measures add up (sums and counts: K2, K5 and the
+dashboard's categories), the fact is aggregated per product (and month) before the product
+dimension is joined, and a seller's whole report row (K3) before its dimension: what is joined is one row per key, so a
+hot product or seller is combined map-side. K1 and K4 count distinct orders by attributes of the client, so the dimension is joined
+first; ``COUNT(DISTINCT commande_id)`` is then planned as partial aggregate on (keys,
+commande_id) -> one exchange -> final aggregate on keys.
 
 Join strategy: the date dimension has one row per calendar day, a size bounded by the
 calendar and not by the data, so it is broadcast by hint. The client, product and seller
@@ -25,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from etoile.functions.numeric import MONEY_SCALE, SCORE_SCALE, rounded_avg, rounded_sum
+from etoile.functions.numeric import MONEY_SCALE, SCORE_SCALE, average_of, rounded_avg, rounded_sum
 
 
 def price() -> Column:
@@ -65,6 +66,22 @@ def nb_orders() -> Column:
     return F.countDistinct("commande_id")
 
 
+def product_sums() -> list[Column]:
+    """Exact sums and counts of a product's fact rows, to be merged per category after the join."""
+    return [F.sum(price().cast(f"decimal(18,{MONEY_SCALE})")).alias("_price"), F.count(F.lit(1)).alias("_items"),
+            F.sum(F.col("score_satisfaction").cast(f"decimal(28,{SCORE_SCALE})")).alias("_score"),
+            F.count("score_satisfaction").alias("_scored")]
+
+
+def merged_sum(col: str, digits: int = 2) -> Column:
+    return F.round(F.sum(col), digits).cast("double")
+
+
+def merged_avg(total: str, count: str, digits: int) -> Column:
+    """``rounded_avg`` from exact sums and counts of parts."""
+    return average_of(F.sum(total).cast("double"), F.sum(count), digits)
+
+
 def kpi1_ca_mensuel_region(fact: DataFrame, dim_temps: DataFrame, dim_client: DataFrame) -> DataFrame:
     """K1: revenue (price + freight), distinct orders and mean item price per month and region."""
     f = with_clients(with_dates(fact, dim_temps, "annee", "mois", "nom_mois"), dim_client, "region")
@@ -77,9 +94,9 @@ def kpi1_ca_mensuel_region(fact: DataFrame, dim_temps: DataFrame, dim_client: Da
 
 def kpi2_ca_mensuel_categorie(fact: DataFrame, dim_temps: DataFrame, dim_produit: DataFrame) -> DataFrame:
     """K2: item revenue (price only) and items sold per month and category."""
-    f = with_products(with_dates(fact, dim_temps, "annee", "mois"), dim_produit, "categorie")
-    return (f.groupBy("annee", "mois", "categorie")
-            .agg(rounded_sum(price()).alias("ca_categorie"), F.count(F.lit(1)).alias("nb_articles_vendus"))
+    per_product = with_dates(fact, dim_temps, "annee", "mois").groupBy("annee", "mois", "produit_id").agg(*product_sums())
+    return (with_products(per_product, dim_produit, "categorie").groupBy("annee", "mois", "categorie")
+            .agg(merged_sum("_price").alias("ca_categorie"), F.sum("_items").alias("nb_articles_vendus"))
             .orderBy("annee", "mois", F.desc("ca_categorie")))
 
 
@@ -89,12 +106,12 @@ def kpi3_top_vendeurs(fact: DataFrame, dim_vendeur: DataFrame, limit: int = 20)
     ``orderBy(...).limit(n)`` plans as TakeOrderedAndProject: each partition keeps its own
     top n, only n rows per partition reach the final merge.
     """
-    f = (fact.filter(F.col("score_satisfaction").isNotNull())
-         .join(dim_vendeur.select("vendeur_id", "etat"), "vendeur_id"))
-    agg = f.groupBy("vendeur_id", "etat").agg(
+    per_seller = fact.filter(F.col("score_satisfaction").isNotNull()).groupBy("vendeur_id").agg(
         rounded_avg("score_satisfaction", 2, SCORE_SCALE).alias("score_moyen"),
         nb_orders().alias("nb_commandes"),
         rounded_sum(price()).alias("ca_total"))
+    agg = (per_seller.join(dim_vendeur.select("vendeur_id", "etat"), "vendeur_id")
+           .select("vendeur_id", "etat", "score_moyen", "nb_commandes", "ca_total"))
     return agg.orderBy(F.desc("score_moyen"), F.asc("vendeur_id")).limit(limit)
 
 
@@ -118,9 +135,9 @@ def kpi4_delai_etat(fact: DataFrame, dim_client: DataFrame) -> DataFrame:
 def kpi5_top_categories_satisfaction(fact: DataFrame, dim_produit: DataFrame, limit: int = 10,
                                      min_ratings: int = 50) -> DataFrame:
     """K5: best-rated categories having more than ``min_ratings`` rated items."""
-    f = with_products(fact.filter(F.col("score_satisfaction").isNotNull()), dim_produit, "categorie")
-    agg = f.groupBy("categorie").agg(rounded_avg("score_satisfaction", 2, SCORE_SCALE).alias("score_moyen"),
-                                     F.count(F.lit(1)).alias("nb_evaluations"))
+    per_product = fact.filter(F.col("score_satisfaction").isNotNull()).groupBy("produit_id").agg(*product_sums())
+    agg = (with_products(per_product, dim_produit, "categorie").groupBy("categorie")
+           .agg(merged_avg("_score", "_scored", 2).alias("score_moyen"), F.sum("_scored").alias("nb_evaluations")))
     return (agg.filter(F.col("nb_evaluations") > min_ratings)
             .orderBy(F.desc("score_moyen"), F.asc("categorie")).limit(limit))
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from etoile.functions.numeric import SCORE_SCALE, rounded_avg
 from etoile.operators import kmeans, kpis
+from etoile.session import materialize
 
 FEATURES = ["freq_achat", "montant_moyen", "ca_total"]
 Z_FEATURES = [f"z_{c}" for c in FEATURES]
@@ -64,7 +65,8 @@ def zscores(features: DataFrame, cols=FEATURES) -> DataFrame:
     """M3: ``(x - mean) / std_pop`` per feature; a constant feature gives 0.
 
     The means and standard deviations are one global aggregate (2 numbers per feature),
-    fetched and applied as literals, as a fitted scaler does: no join, no window.
+    fetched and applied as literals, as a fitted scaler does: no join, no window. That is a job
+    while the plan is built, so ``features`` should be a written table (``client_zscores``).
     """
     stats = features.agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
                          *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]).first()
@@ -77,7 +79,8 @@ def zscores(features: DataFrame, cols=FEATURES) -> DataFrame:
 
 
 def client_zscores(fact: DataFrame) -> DataFrame:
-    return zscores(feature_matrix(client_profile(fact)))
+    """M1-M3 with the feature table written once: statistics, fits and assignments all read it."""
+    return zscores(materialize(feature_matrix(client_profile(fact)), "features"))
 
 
 def _models(k_range, n_init: int, seed: int) -> list[tuple[int, int]]:
@@ -96,13 +99,23 @@ def segment(z: DataFrame, k: int = K, n_init: int = N_INIT, seed: int = SEED, ma
             tol: float = TOL) -> tuple[DataFrame, kmeans.KMeansFit]:
     """M5-M7: cluster id and label per client; returns the frame and the chosen fit."""
     best = kmeans.best_per_k(kmeans.fit_many(z, Z_FEATURES, _models([k], n_init, seed), max_iter, tol))[k]
-    clustered = kmeans.assign(z, Z_FEATURES, best.centers)
+    return label_segments(z, best.centers), best
+
+
+def label_segments(z: DataFrame, centers) -> DataFrame:
+    """M5-M7 for given centers: nearest center (ties to the lower index) and the label by rank of mean revenue."""
+    clustered = kmeans.assign(z, Z_FEATURES, centers)
     means = clustered.groupBy("segment").agg(*[F.avg(c).alias(f"_m_{c}") for c in FEATURES])
     rank = F.row_number().over(Window.orderBy(F.col("_m_ca_total").asc(), F.col("segment").asc()))
     labels = F.array(*[F.lit(x) for x in SEGMENT_LABELS])
     names = means.select("segment", F.element_at(labels, rank).alias("segment_label"))  # k rows
     out = clustered.join(F.broadcast(names), "segment")
-    return out.select("client_id", *FEATURES, *Z_FEATURES, "segment", "segment_label"), best
+    return out.select("client_id", *FEATURES, *Z_FEATURES, "segment", "segment_label")
+
+
+def inertia(z: DataFrame, centers) -> DataFrame:
+    """M4 for given centers: summed squared distance of the clients to their nearest center."""
+    return kmeans.inertia(z, Z_FEATURES, centers)
 
 
 def segment_summary(segments: DataFrame) -> DataFrame:
@@ -125,3 +138,10 @@ def client_sample(profile: DataFrame, n: int = SAMPLE_SIZE, seed: int = SEED) ->
     """
     h = F.md5(F.concat(F.col("client_id").cast("string"), F.lit(str(seed))))
     return profile.withColumn("_h", h).orderBy("_h", "client_id").limit(n).drop("_h")
+
+
+def segment_sample(profile: DataFrame, segments: DataFrame, n: int = SAMPLE_SIZE, seed: int = SEED) -> DataFrame:
+    """M10 as exported: the sampled clients with their segment and label."""
+    sample = F.broadcast(client_sample(profile, n, seed))                  # n rows
+    return segments.select("client_id", "segment", "segment_label").join(sample, "client_id").select(
+        *profile.columns, "segment", "segment_label")

@@ -1 +1 @@
-"""Plans: whole jobs, the registry of reports, and plan inspection helpers."""
+"""Plans: whole jobs and the registry of reports."""

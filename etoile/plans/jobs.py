@@ -5,9 +5,12 @@ file is): the star is computed once, written, and each report reads the written
 so reports never re-run the ETL, and a report job that loses an executor re-reads
 Parquet instead of recomputing joins.
 
+On a cluster: ``spark-submit --master ... --conf spark.checkpoint.dir=SHARED --py-files etoile.zip
+etoile/plans/jobs.py ...``; master, memory and shuffle settings are the submitted ones.
+
 Usage::
 
-    python -m etoile.plans.jobs etl --csv RAW_DIR --warehouse OUT_DIR
+    python -m etoile.plans.jobs etl --csv RAW_DIR --warehouse OUT_DIR [--files orders=olist_orders.csv ...]
     python -m etoile.plans.jobs etl --testdata SF_DIR --warehouse OUT_DIR
     python -m etoile.plans.jobs reports --warehouse OUT_DIR --out REPORT_DIR [names...]
     python -m etoile.plans.jobs dashboard --warehouse OUT_DIR --out CHART_DIR [--region Sudeste]
@@ -24,11 +27,11 @@ from pyspark.sql import functions as F
 from etoile.functions.lookups import ALL_REGIONS
 from etoile.operators import star
 from etoile.operators.dashboard import dashboard_frames
-from etoile.plans.reports import MINING, REPORTS
-from etoile.session import materialize
+from etoile.plans.reports import MINING, REPORTS, Tables
+from etoile.session import clear_materialized, materialize
 from etoile.sources.csv import read_raw_csv
 from etoile.sources.testdata import raw_from_testdata
-from etoile.sources.warehouse import STAR_NAMES, read_star
+from etoile.sources.warehouse import STAR_NAMES, name_load, new_load, read_star
 
 
 def layout_for_write(name: str, df: DataFrame) -> DataFrame:
@@ -45,31 +48,32 @@ def layout_for_write(name: str, df: DataFrame) -> DataFrame:
 
 
 def run_etl(spark: SparkSession, raw: dict[str, DataFrame], warehouse: str) -> dict[str, str]:
-    """B26 + A9: build the five tables and write them (replacing any previous load).
+    """B26 + A9: build the five tables, write them and make them the current load (see ``sources.warehouse``).
 
-    The date dimension is written first and read back to key the fact (its surrogate keys
+    A load that fails leaves the tables of the load before it readable. The date dimension is written first and read back to key the fact (its surrogate keys
     are then exactly the written ones, and the dates are not derived twice). The per-order
     table is staged in the checkpoint folder before the one large join (items ⋈ orders), so
     that join reads two plain shuffles (AQE can split a hot order) and an executor lost
     during it does not recompute the order-side joins.
     """
-    root = warehouse.rstrip("/")
+    root = new_load(warehouse)
     temps_path = f"{root}/DIM_TEMPS"
-    star.dim_temps(star.delivered_orders(raw["orders"])).write.mode("overwrite").parquet(temps_path)
+    star.dim_temps(star.delivered_orders(raw["orders"])).write.parquet(temps_path)
     tables = star.build_star(raw, temps=spark.read.parquet(temps_path), stage=materialize)
     paths = {"DIM_TEMPS": temps_path}
     for name in STAR_NAMES:
         if name == "DIM_TEMPS":
             continue
         path = f"{root}/{name}"
-        layout_for_write(name, tables[name]).write.mode("overwrite").parquet(path)
+        layout_for_write(name, tables[name]).write.parquet(path)
         paths[name] = path
+    name_load(spark, root)
     return paths
 
 
 def reports(spark: SparkSession, warehouse: str, names=None, with_mining: bool = True) -> dict[str, DataFrame]:
-    """Every report (or ``names``) over the written warehouse, lazily."""
-    tables = read_star(spark, warehouse)
+    """Every report (or ``names``) over the written warehouse, lazily; features, fits and predictions are made once for all."""
+    tables = Tables(read_star(spark, warehouse))
     names = list(names or [n for n in REPORTS if with_mining or n not in MINING])
     return {n: REPORTS[n](tables) for n in names}
 
@@ -96,6 +100,7 @@ def main(argv=None) -> int:
     src.add_argument("--csv")
     src.add_argument("--testdata")
     e.add_argument("--warehouse", required=True)
+    e.add_argument("--files", nargs="*", default=[], metavar="TABLE=FILE", help="names of the CSV files that differ from TABLE.csv")
     r = sub.add_parser("reports")
     r.add_argument("--warehouse", required=True)
     r.add_argument("--out", required=True)
@@ -107,7 +112,8 @@ def main(argv=None) -> int:
     a = ap.parse_args(argv)
     spark = build_session()
     if a.cmd == "etl":
-        raw = read_raw_csv(spark, a.csv) if a.csv else raw_from_testdata(spark, a.testdata)
+        files = dict(f.split("=", 1) for f in a.files)
+        raw = read_raw_csv(spark, a.csv, files) if a.csv else raw_from_testdata(spark, a.testdata)
         run_etl(spark, raw, a.warehouse)
         counts = read_star(spark, a.warehouse)
         for n, df in counts.items():
@@ -116,6 +122,7 @@ def main(argv=None) -> int:
         write_reports(reports(spark, a.warehouse, a.names or None), a.out)
     else:
         write_reports(dashboard(spark, a.warehouse, a.region), a.out)
+    clear_materialized(spark)
     spark.stop()
     return 0
 

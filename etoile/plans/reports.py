@@ -13,14 +13,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from etoile.operators import classify, dashboard, forecast, kpis, quality, segments
+from etoile.operators import classify, dashboard, forecast, kmeans, kpis, quality, segments
+from etoile.session import materialize
 from etoile.sources.warehouse import run_sql
 
-Tables = dict[str, DataFrame]
+
+class Tables(dict[str, DataFrame]):
+    """Warehouse tables, and what reports over the same tables share: stored features, fits, predictions."""
+
+    def __init__(self, tables: dict[str, DataFrame]):
+        super().__init__(tables)
+        self.shared: dict[str, object] = {}
+
+    def once(self, name: str, make: Callable[[], object]):
+        if name not in self.shared:
+            self.shared[name] = make()
+        return self.shared[name]
+
+
 REPORTS: dict[str, Callable[[Tables], DataFrame]] = {}
 
 # Reports that fit models (rows-only checks; minutes, not seconds, at scale).
-MINING = ("elbow_curve", "client_segments", "segment_summary", "segment_sizes", "tree_predictions",
+MINING = ("elbow_curve", "client_segments", "segment_summary", "segment_sizes", "segment_sample", "tree_predictions",
           "tree_accuracy", "tree_report", "tree_confusion", "tree_importances")
 
 
@@ -79,7 +93,7 @@ REPORTS["dash_categories_chart"] = lambda t: dashboard.categories_chart(_top_cat
 REPORTS["dash_delai"] = _delays
 REPORTS["dash_scores"] = lambda t: dashboard.score_distribution(_f(t))
 REPORTS["dash_trend"] = lambda t: dashboard.quarterly_trend(_f(t), t["DIM_TEMPS"])
-REPORTS["dash_headline"] = lambda t: dashboard.headline(_monthly(t), _f(t))
+REPORTS["dash_headline"] = lambda t: dashboard.headline(_monthly(t), dashboard.global_sums(_f(t)))
 REPORTS["dash_regions"] = lambda t: dashboard.region_choices(_monthly(t))
 REPORTS["dash_ca_region"] = lambda t: dashboard.monthly_revenue_for(_monthly(t))
 REPORTS["dash_ca_region_nordeste"] = lambda t: dashboard.monthly_revenue_for(_monthly(t), "Nordeste")
@@ -93,19 +107,49 @@ REPORTS["forecast_series"] = lambda t: forecast.forecast_series(_f(t), t["DIM_TE
 
 # segments
 REPORTS["client_profile"] = lambda t: segments.client_profile(_f(t))
-REPORTS["client_zscores"] = lambda t: segments.client_zscores(_f(t)).select(
-    "client_id", *segments.FEATURES, *[F.round(c, 9).alias(c) for c in segments.Z_FEATURES])
 REPORTS["client_sample"] = lambda t: segments.client_sample(segments.client_profile(_f(t)))
-REPORTS["elbow_curve"] = lambda t: segments.elbow_curve(segments.client_zscores(_f(t)))
+
+
+def _z(t: Tables) -> DataFrame:
+    return t.once("z", lambda: segments.client_zscores(_f(t)))
+
+
+REPORTS["client_zscores"] = lambda t: _z(t).select(
+    "client_id", *segments.FEATURES, *[F.round(c, 9).alias(c) for c in segments.Z_FEATURES])
+REPORTS["elbow_curve"] = lambda t: segments.elbow_curve(_z(t))
 
 
 def _segments(t: Tables) -> DataFrame:
-    return segments.segment(segments.client_zscores(_f(t)))[0]
+    return t.once("segments", lambda: materialize(segments.segment(_z(t))[0], "segments"))
 
 
 REPORTS["client_segments"] = _segments
 REPORTS["segment_summary"] = lambda t: segments.segment_summary(_segments(t))
 REPORTS["segment_sizes"] = lambda t: segments.segment_sizes(_segments(t))
+REPORTS["segment_sample"] = lambda t: segments.segment_sample(segments.client_profile(_f(t)), _segments(t))
+
+# the same steps from stated centers: what a fit leaves to be done, without the draw
+CENTERS = [[-0.5, -0.5, -0.5], [0.0, 0.75, 0.25], [1.0, -0.25, 0.5], [1.5, 0.5, 2.0]]
+LLOYD_STEPS = 3
+
+
+def _given(t: Tables) -> DataFrame:
+    return t.once("given", lambda: segments.label_segments(_z(t), CENTERS))
+
+
+REPORTS["segments_given"] = lambda t: _given(t).select("client_id", "segment", "segment_label")
+REPORTS["segment_summary_given"] = lambda t: segments.segment_summary(_given(t))
+REPORTS["segment_sizes_given"] = lambda t: segments.segment_sizes(_given(t))
+REPORTS["segment_sample_given"] = lambda t: segments.segment_sample(segments.client_profile(_f(t)), _given(t))
+REPORTS["inertia_given"] = lambda t: segments.inertia(_z(t), CENTERS).select(F.round("inertie", 6).alias("inertie"))
+
+
+@report("lloyd_given")
+def _lloyd(t: Tables) -> DataFrame:
+    centers = kmeans.lloyd(_z(t), segments.Z_FEATURES, CENTERS, LLOYD_STEPS)
+    rows = [(i, *map(float, c)) for i, c in enumerate(centers)]
+    df = _f(t).sparkSession.createDataFrame(rows, "segment int, " + ", ".join(f"{c} double" for c in segments.Z_FEATURES))
+    return df.select("segment", *[F.round(c, 6).alias(c) for c in segments.Z_FEATURES])
 
 
 # classifier
@@ -114,13 +158,22 @@ def _training(t: Tables) -> DataFrame:
 
 
 def _split(t: Tables) -> DataFrame:
-    return classify.stratified_split(_training(t))
+    return t.once("split", lambda: classify.stratified_split(_training(t)))
 
 
 def _tree(t: Tables):
-    split = _split(t)
-    model, pred = classify.fit_tree(split)
-    return model, pred, split
+    """(model, stored predictions): one fit for all reports of a job."""
+    def fit():
+        model, pred = classify.fit_tree(_split(t))
+        return model, materialize(pred, "predictions")
+    return t.once("tree", fit)
+
+
+RULE_DELAY = 30.0
+
+
+def _rule(t: Tables) -> DataFrame:
+    return classify.rule_predictions(_split(t), RULE_DELAY)
 
 
 REPORTS["order_training_set"] = _training
@@ -133,10 +186,14 @@ REPORTS["tree_report"] = lambda t: classify.report(_tree(t)[1])
 REPORTS["tree_confusion"] = lambda t: classify.confusion(_tree(t)[1])
 
 
+REPORTS["rule_accuracy"] = lambda t: classify.accuracy(_rule(t))
+REPORTS["rule_report"] = lambda t: classify.report(_rule(t))
+REPORTS["rule_confusion"] = lambda t: classify.confusion(_rule(t))
+
+
 @report("tree_importances")
 def _importances(t: Tables) -> DataFrame:
-    model, _pred, split = _tree(t)
-    return classify.importances(model, split)
+    return classify.importances(_tree(t)[0], _split(t))
 
 
 # A10: reports written as SQL text, run by ``spark.sql`` over the warehouse tables as temp views

@@ -2,8 +2,8 @@
 
 Read by header with every column as text, keep only the columns the ETL uses, then cast.
 Casting uses ``try_cast``/``try_to_timestamp`` so malformed values become null, which is
-what the downstream filters expect. ``multiLine`` is on because review texts contain
-newlines inside quotes.
+what the downstream filters expect. Only the reviews are read as ``multiLine`` (their texts contain
+newlines inside quotes); the other files can be split into tasks.
 """
 
 from __future__ import annotations
@@ -15,12 +15,13 @@ from pyspark.sql import types as T
 from etoile.functions.dates import parse_timestamp
 from etoile.sources.schemas import RAW_COLUMNS
 
+MULTILINE = ("reviews",)
 DEFAULT_FILES = {name: f"{name}.csv" for name in RAW_COLUMNS}
 
 
 def read_csv_table(spark: SparkSession, path: str, table: str, id_type: str = "string") -> DataFrame:
     raw = (spark.read.option("header", True).option("quote", '"').option("escape", '"')
-           .option("multiLine", True).option("mode", "PERMISSIVE").csv(path))
+           .option("multiLine", table in MULTILINE).option("mode", "PERMISSIVE").csv(path))
     cols = []
     for name, dtype in RAW_COLUMNS[table]:
         c = F.col(name)

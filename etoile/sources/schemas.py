@@ -74,6 +74,3 @@ DEFAULTS = {
 def not_null_columns(table: str) -> list[str]:
     return [name for name, _t, nullable in STAR_TABLES[table] if not nullable]
 
-
-def column_names(table: str) -> list[str]:
-    return [name for name, _t, _n in STAR_TABLES[table]]

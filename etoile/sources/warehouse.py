@@ -1,31 +1,46 @@
-"""Warehouse sink and reader (parquet per table), SQL views and row counts."""
+"""Warehouse of Parquet tables: loads in versions, the reader of the current one, SQL views.
+
+Each load writes its five tables under a folder of its own, ``load-<id>``, and is then named by one small row
+appended to ``_loads``. Readers take the load named last. A load that fails is never named, so the tables before it stay readable as a whole.
+"""
 
 from __future__ import annotations
 
-from functools import reduce
+import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 STAR_NAMES = ("DIM_TEMPS", "DIM_CLIENT", "DIM_PRODUIT", "DIM_VENDEUR", "FAIT_VENTES")
+KEEP_LOADS = 2          # the current load and the one before it (for readers that began on it)
 
 
-def write_star(tables: dict[str, DataFrame], root: str, mode: str = "overwrite") -> dict[str, str]:
-    """Write each table as parquet under ``root/<TABLE>``; replaces existing tables.
+def new_load(root: str) -> str:
+    """Folder of a load that is not named yet."""
+    return f"{root.rstrip('/')}/load-{uuid.uuid4().hex}"
+
+
+def _named(spark: SparkSession, root: str) -> list[str]:
+    """Folders of the named loads, the last one first."""
+    rows = spark.read.schema("at long, load string").json(f"{root.rstrip('/')}/_loads")
+    return [f"{root.rstrip('/')}/{r.load}" for r in rows.orderBy(F.desc("at"), F.desc("load")).limit(100).collect()]
 
-    The fact is written with its rows clustered by order id (the ETL's last exchange is on
-    the order key), so per-order pre-aggregation in the reports collapses map-side.
-    """
-    paths = {}
-    for name, df in tables.items():
-        path = f"{root.rstrip('/')}/{name}"
-        df.write.mode(mode).parquet(path)
-        paths[name] = path
-    return paths
+
+def name_load(spark: SparkSession, folder: str) -> None:
+    """Make a written load the current one, and delete loads before the last two."""
+    root, load = folder.rsplit("/", 1)
+    spark.range(1).select(F.lit(time.time_ns()).alias("at"), F.lit(load).alias("load")).write.mode("append").json(f"{root}/_loads")
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    for old in _named(spark, root)[KEEP_LOADS:]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(old)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def read_star(spark: SparkSession, root: str, names=STAR_NAMES) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{root.rstrip('/')}/{n}") for n in names}
+    """The tables of the current load."""
+    folder = _named(spark, root)[0]
+    return {n: spark.read.parquet(f"{folder}/{n}") for n in names}
 
 
 def register_views(tables: dict[str, DataFrame]) -> None:
@@ -36,13 +51,5 @@ def register_views(tables: dict[str, DataFrame]) -> None:
 def run_sql(spark: SparkSession, sql: str, tables: dict[str, DataFrame] | None = None) -> DataFrame:
     """Run SQL over the warehouse tables (registered as temp views) and return a frame."""
     if tables:
-        register_views(tables)
+        register_views({n: df for n, df in tables.items() if n in STAR_NAMES})
     return spark.sql(sql)
-
-
-def row_counts(tables: dict[str, DataFrame], names=None) -> DataFrame:
-    """(table_name, nb): one aggregate per table, unioned."""
-    names = list(names or tables.keys())
-    parts = [tables[n].agg(F.count(F.lit(1)).alias("nb")).select(F.lit(n).alias("table_name"), "nb")
-             for n in names]
-    return reduce(DataFrame.unionByName, parts)

@@ -75,3 +75,79 @@ def test_dashboard_frames_equal_single_reports(spark):
         assert sorted(tuple(r) for r in frames[mine].collect()) == sorted(tuple(r) for r in single[ref].collect())
     plan = frames["dash_ca_region"]._jdf.queryExecution().executedPlan().toString()
     assert "InMemoryTableScan" in plan          # the region filter reads the cached aggregate
+
+
+def test_a_failed_load_leaves_the_tables_before_it(spark, monkeypatch):
+    import pytest
+    from etoile.sources.warehouse import read_star
+    wh = tempfile.mkdtemp(prefix="etoile-wh-", dir="/tmp") + "/warehouse"
+    raw = raw_from_testdata(spark, SF_SMALL)
+    jobs.run_etl(spark, raw, wh)
+    before = read_star(spark, wh)["FAIT_VENTES"].count()
+
+    def broken(name, df):
+        if name == "FAIT_VENTES":
+            raise RuntimeError("lost")
+        return df
+    monkeypatch.setattr(jobs, "layout_for_write", broken)
+    with pytest.raises(RuntimeError):
+        jobs.run_etl(spark, {**raw, "orders": raw["orders"].limit(10)}, wh)
+    tables = read_star(spark, wh)
+    assert tables["FAIT_VENTES"].count() == before and tables["DIM_TEMPS"].count() > 10
+
+
+def test_later_loads_replace_and_old_ones_go(spark):
+    import os
+    from etoile.sources.warehouse import KEEP_LOADS, read_star
+    wh = tempfile.mkdtemp(prefix="etoile-wh-", dir="/tmp") + "/warehouse"
+    raw = raw_from_testdata(spark, SF_SMALL)
+    for n in (5, 6, 7):
+        jobs.run_etl(spark, {**raw, "sellers": raw["sellers"].limit(n)}, wh)
+    assert read_star(spark, wh)["DIM_VENDEUR"].count() == 7
+    assert sum(x.startswith("load-") for x in os.listdir(wh)) == KEEP_LOADS
+
+
+def test_submitted_settings_survive_and_a_cluster_needs_a_shared_folder():
+    import os
+    import subprocess
+    import sys
+    code = ("from etoile.session import build_session, checkpoint_root\n"
+            "s = build_session()\n"
+            "print('GOT', s.sparkContext.master, s.conf.get('spark.sql.shuffle.partitions'))\n")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = os.environ | {"PYSPARK_SUBMIT_ARGS": "--master local[2] --conf spark.sql.shuffle.partitions=64 --conf spark.ui.enabled=false pyspark-shell", "PYTHONPATH": root}
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=120)
+    assert "GOT local[2] 64" in out.stdout, out.stderr[-2000:]
+
+
+def test_materialize_on_a_cluster_without_a_shared_folder_is_an_error():
+    import pytest
+    from etoile import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Spark:
+        conf, sparkContext = Conf(), Context()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Spark())
+
+
+def test_timestamps_are_read_alike_in_any_time_zone(spark):
+    from etoile.functions.dates import parse_timestamp
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([("2018-03-25 02:30:00",), ("2018-11-04 00:15:00",), ("nothing",)], "t string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+        got = [r.t for r in df.select(parse_timestamp(F.col("t")).cast("string").alias("t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == ["2018-03-25 02:30:00", "2018-11-04 00:15:00", None]

@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as E  # noqa: E402
 from check_oracle import TABLES, rows_of  # noqa: E402
 
-ORACLE = E.oracle_sql()
+from etoile.plans.registry import ORACLE, QUERIES  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -34,13 +34,13 @@ def duck():
 
 def test_every_query_is_registered_with_a_callable():
     qs = E.queries()
-    assert len(qs) >= 60
-    assert set(ORACLE) <= set(qs)
+    assert len(QUERIES) >= 90 and set(QUERIES) <= set(qs)
+    assert set(ORACLE) <= set(QUERIES) and set(E.oracle_sql()) <= set(qs)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]
     res = duck.sql(ORACLE[name])
     drows = res.fetchall()

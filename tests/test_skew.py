@@ -7,6 +7,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 import etoile.plans.jobs as jobs
+from etoile.sources.warehouse import read_star
 
 CONF = {"spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -61,7 +62,7 @@ def test_hot_order_join_is_split_and_complete(spark, monkeypatch):
         assert len(fact.collect()) == 30_000
         plan = fact._jdf.queryExecution().executedPlan().toString()
         assert "isFinalPlan=true" in plan and "SortMergeJoin(skew=true)" in plan
-        hot = spark.read.parquet(f"{wh}/FAIT_VENTES").filter("commande_id = 'hot'")
+        hot = read_star(spark, wh)["FAIT_VENTES"].filter("commande_id = 'hot'")
         assert hot.count() == 10_000 and hot.select("score_satisfaction").distinct().collect()[0][0] == 4.0
     finally:
         for k, v in old.items():
@@ -104,3 +105,34 @@ def test_hot_client_kpi_join_is_split_and_equal(spark):
                 spark.conf.set(k, v)
     assert "SortMergeJoin(skew=true)" in plan
     assert got == expected
+
+
+def test_hot_seller_and_product_are_combined_before_the_join(spark):
+    """A seller and a product with a third of the rows: what reaches the joins is one row per key."""
+    from etoile.operators import kpis, quality
+    ids = spark.range(30_000)
+    key = lambda p, n: F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit(p), (F.col("id") % n).cast("string")))
+    fact = ids.select(F.concat(F.lit("o"), (F.col("id") % 9000).cast("string")).alias("commande_id"), key("s", 300).alias("vendeur_id"),
+                      key("p", 200).alias("produit_id"), key("c", 50).alias("client_id"), (F.col("id") % 28 + 1).cast("int").alias("temps_id"),
+                      (F.col("id") % 97 + 1).cast("double").alias("prix_unitaire"), (F.col("id") % 5 + 1).cast("double").alias("score_satisfaction"))
+    dim = lambda p, n, out, extra: (spark.range(n).select(F.concat(F.lit(p), F.col("id").cast("string")).alias(out))
+                                    .union(spark.createDataFrame([("hot",)], "k string")).withColumn(extra, F.lit("x")))
+    sellers, products = dim("s", 300, "vendeur_id", "etat"), dim("p", 200, "produit_id", "categorie")
+    old = {k: spark.conf.get(k, None) for k in CONF}
+    for k, v in CONF.items():
+        spark.conf.set(k, v)
+    try:
+        k3 = kpis.kpi3_top_vendeurs(fact, sellers, limit=400)
+        rows = {r.vendeur_id: r for r in k3.collect()}
+        assert len(rows) == 301 - 100 and rows["hot"].nb_commandes == 3000
+        k5 = kpis.kpi5_top_categories_satisfaction(fact, products).first()
+        assert k5.nb_evaluations == 30_000 and k5.score_moyen == 3.0
+        fk = quality.foreign_key_orphans({"FAIT_VENTES": fact, "DIM_VENDEUR": sellers.where("vendeur_id <> 'hot'")},
+                                         fks=[("vendeur_id", "DIM_VENDEUR", "vendeur_id")])
+        assert fk.first().nb_violations == 10_000
+        for df in (k3, fk):
+            joined = df._jdf.queryExecution().executedPlan().toString().split("Join", 1)[1]
+            assert "Aggregate" in joined
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
