@@ -12,7 +12,7 @@ every place it stands in any text is a span of kind ``term``: removed where its
 least ``remove_at``, else generalised to a placeholder.
 
 Plan. One scan keeps the texts with entities (a small share) with their terms; grouped counts give the pairs
-that occur together often enough. Their terms mark a bitmap of fixed size (2^22 bits, the only broadcast), and a
+that occur together often enough, and whose terms are not already too common among these texts. Their terms mark a bitmap of fixed size (2^22 bits, the only broadcast), and a
 second scan finds base spans and the words that pass the bitmap; joins on the exact word keys then count n(t) over
 all texts and pick the spans. A copy of a text is no further evidence: counts are over distinct texts.
 
@@ -172,10 +172,13 @@ def disclosures(docs: DataFrame, min_together: int = MIN_TOGETHER, min_disclosur
                           .dropDuplicates(["digest"]), "private")
     held = private.select("digest", F.explode("entities").alias("entity"))
     known = held.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= min_together)
-    pairs = materialize(held.join(known, "entity").join(private.select("digest", "terms"), "digest")
-                        .select("entity", "n_entity", F.explode("terms").alias("key"))
-                        .groupBy("entity", "n_entity", "key").agg(F.count("*").alias("together"))
-                        .where(F.col("together") >= min_together), "pairs")
+    together = (held.join(known, "entity").join(private.select("digest", "terms"), "digest")
+                .select("entity", "n_entity", F.explode("terms").alias("key"))
+                .groupBy("entity", "n_entity", "key").agg(F.count("*").alias("together")).where(F.col("together") >= min_together))
+    # a term's texts with entities are some of all its texts: too many of these alone rule it out (all common words)
+    n_private = private.select(F.explode("terms").alias("key")).groupBy("key").agg(F.count("*").alias("n_private"))
+    pairs = materialize(together.join(n_private, "key").where(F.col("together") >= F.lit(min_disclosure) * F.col("n_private"))
+                        .drop("n_private"), "pairs")
     bitmap = np.zeros(BITS, dtype=bool)
     marks = pairs.select(F.col("key").bitwiseAND(BITS - 1).alias("bit")).distinct().toPandas()["bit"]     # at most BITS rows
     bitmap[marks.to_numpy(dtype=np.int64)] = True
