@@ -8,7 +8,6 @@ import tempfile
 import uuid
 import weakref
 
-from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 
@@ -20,25 +19,21 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
                   extra: dict | None = None) -> SparkSession:
     """The session of a job, a test or the bench.
 
-    Settings that were submitted (``spark-submit --master``, ``--conf``) stand: master, shuffle
-    partitions and driver memory get a default only where nothing was submitted. Explicit arguments win.
+    Settings that were submitted (``spark-submit``, or ``PYSPARK_SUBMIT_ARGS`` with a master) stand: the defaults
+    here are for runs without. Explicit arguments win.
     """
-    submitted = SparkConf()
+    submitted = "PYSPARK_GATEWAY_PORT" in os.environ or "--master" in os.environ.get("PYSPARK_SUBMIT_ARGS", "")
     builder = SparkSession.builder
-    settings = {
+    defaults = {
         "spark.app.name": app,
         "spark.master": "local[*]",
+        "spark.driver.memory": os.environ.get("ETOILE_DRIVER_MEMORY", "16g"),
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.session.timeZone": "UTC",
     }
-    if not submitted.contains("spark.master"):
-        settings["spark.driver.memory"] = os.environ.get("ETOILE_DRIVER_MEMORY", "16g")
     chosen = {"spark.master": master, "spark.sql.shuffle.partitions": shuffle_partitions}
-    for k, v in settings.items():
-        if not submitted.contains(k):
-            builder = builder.config(k, v)
-    for k, v in {**chosen, **(extra or {})}.items():
+    for k, v in {**({} if submitted else defaults), **chosen, **(extra or {})}.items():
         if v is not None:
             builder = builder.config(k, str(v))
     spark = builder.getOrCreate()
