@@ -14,17 +14,17 @@ WITH RECURSIVE w AS (
   FROM documents),
 s AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(generate_series(1, len(w) - 2), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+    ELSE list_distinct(list_transform(generate_series(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
   FROM w),
 n AS (SELECT doc_id, len(s) AS n FROM s),
 t AS (SELECT doc_id, unnest(s) AS t FROM s),
 pairs AS (
-  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS both FROM t a JOIN t b ON a.t = b.t AND a.doc_id <> b.doc_id GROUP BY ALL),
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS shared FROM t a JOIN t b ON a.t = b.t AND a.doc_id <> b.doc_id GROUP BY ALL),
 links AS MATERIALIZED (
-  SELECT u, v FROM pairs JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * both >= 90 * (x.n + y.n - both)),
-reach(doc_id, at) AS (
-  SELECT doc_id, doc_id FROM n UNION SELECT r.doc_id, l.v FROM reach r JOIN links l ON l.u = r.at)
-SELECT r.doc_id, any_value(n.n) AS n_shingles, min(r.at) AS component_id FROM reach r JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+  SELECT u, v FROM pairs JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * shared >= 90 * (x.n + y.n - shared)),
+reach(doc_id, node) AS (
+  SELECT doc_id, doc_id FROM n UNION SELECT r.doc_id, l.v FROM reach r JOIN links l ON l.u = r.node)
+SELECT r.doc_id, any_value(n.n) AS n_shingles, min(r.node) AS component_id FROM reach r JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
 """
 
 ORACLE["op5_exact_dedup"] = """
@@ -45,7 +45,7 @@ gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 12)) AS i FROM ag
 lists AS (SELECT doc_id, list(i) AS g FROM gone GROUP BY doc_id),
 kept AS (
   SELECT w.doc_id, len(w) AS n_words, coalesce(len(g), 0) AS n_removed,
-    CASE WHEN g IS NULL THEN w ELSE list_transform(list_filter(generate_series(1, len(w)), i -> NOT list_contains(g, i)), i -> w[i]) END AS k
+    CASE WHEN g IS NULL THEN w ELSE list_transform(list_filter(generate_series(1, len(w)), lambda i: NOT list_contains(g, i)), lambda i: w[i]) END AS k
   FROM w LEFT JOIN lists USING (doc_id))
 SELECT doc_id, n_words, n_removed, sha256(array_to_string(k, ' ')) AS kept_sha256 FROM kept
 """
