@@ -113,7 +113,7 @@ def main(argv=None) -> int:
     spark = build_session()
     if a.cmd == "etl":
         files = dict(f.split("=", 1) for f in a.files)
-        raw = read_raw_csv(spark, a.csv, files) if a.csv else raw_from_testdata(spark, a.testdata)
+        raw = read_raw_csv(spark, a.csv, files) if a.csv else raw_from_testdata(spark, a.testdata, delivered_only=True)
         run_etl(spark, raw, a.warehouse)
         counts = read_star(spark, a.warehouse)
         for n, df in counts.items():

@@ -59,7 +59,7 @@ def raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def star_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    return Tables(star.build_star(raw(spark, sf_dir)))
+    return Tables(star.build_star(raw_from_testdata(spark, sf_dir, delivered_only=True)))
 
 
 # ------------------------------------------------------------------ A: raw sources
@@ -115,7 +115,7 @@ def q_warehouse_fact(spark, sf):
 
 @register("delivered_orders", O.with_star("SELECT * FROM delivered"))
 def q_delivered(spark, sf):
-    return star.delivered_orders(raw(spark, sf)["orders"])
+    return star.delivered_orders(raw_from_testdata(spark, sf, delivered_only=True)["orders"])
 
 
 sql_only("dim_temps", O.with_star("SELECT * FROM dim_temps"))
