@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from etoile.llm.components import sized
 from etoile.session import materialize
 
 SWEEPS = 12
@@ -99,6 +100,7 @@ def probabilities(docs: DataFrame, languages: dict[str, float] = LANGUAGES, topi
         rows = materialize(rows, "mix-rows")              # short columns: the texts are scanned once
     cells = materialize(rows.groupBy(*keys).agg(F.sum("mix_tokens").alias("tokens"))
                         .toDF("source", "language", "topic", "tokens"), "cells")
+    cells = sized(cells, cells.count())            # few cells are one partition, which the sweeps need not shuffle
     raked = rake(cells, languages, topics, source_power, sweeps).where("tokens > 0").withColumn("ratio", F.col("weight") / F.col("tokens"))
     raked = materialize(raked.select("source", "language", "topic", "ratio"), "ratios")
     most = raked.agg(F.max("ratio")).first()[0] or 1.0
