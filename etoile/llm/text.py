@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 4 << 20      # texts handled together; a longer text is a chunk of its own
+CHUNK_BYTES = 1 << 20      # texts handled together; a longer text is a chunk of its own
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
