@@ -11,7 +11,7 @@ Distributed plan.
 1. Equal sets are one *representative* (a grouped key), so that copies cost one row.
 2. Routing. With t = num / den, sets that link share one of the first |X| - ceil(t |X|) + 1 tokens of both, in any order of tokens that all sets share. The
    order is by how often a token occurs, in classes from a count-min sketch of fixed size (4 MB, a broadcast), then by key: what many documents share comes last.
-   Only tokens that two representatives have as such a token make buckets: a bitmap of fixed size of the tokens met twice lets most others
+   A bucket is such a token in a band of sizes. Only buckets that two representatives are in are made: a bitmap of fixed size of those met twice lets most others
    go before anything is shuffled. Buckets hold bitmaps and sizes, not sets.
 3. In each bucket one tree is traversed with itself, and the surviving pairs' *coarse* components go on as at most one edge per member (never as pairs).
    A bucket of more than ``BUCKET`` members is cut; a task takes two parts of it.
@@ -348,22 +348,43 @@ def _two_parts(rows: DataFrame, key: str) -> DataFrame:
     return out.withColumn("pair", pair).withColumn("part", (F.col("part") > F.col("other")).cast("int")).drop("other", "parts")
 
 
-def _routed(often):
-    """(token, rep, size) of the routing tokens that others may have too."""
+def _bucket_keys(batch, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key) of the buckets of each representative: one per routing token and band of sizes, its own band and the next.
+
+    A band is a factor den / num wide (and a little more, for rounding): sets that link are in one band or in neighbours.
+    """
+    route = batch.column("route")
+    tokens = route.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+    row = np.repeat(np.arange(batch.num_rows), np.diff(route.offsets.to_numpy()))
+    size = batch.column("size").to_numpy()
+    step = max(np.log(den / num) * (1 + 1e-9), 1e-9)
+    band = np.floor(np.log(np.maximum(size, 1)) / step).astype(np.uint64)[row]
+    keys = [mix(tokens ^ mix(band + np.uint64(k))).view(np.int64) for k in (0, 1)]
+    return np.concatenate([row, row]), np.concatenate(keys)
+
+
+def _all_keys(num: int, den: int):
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_bucket_keys(batch, num, den)[1])], ["token"])
+    return run
+
+
+def _routed(often, num: int, den: int):
+    """(token, rep, size): the buckets that others may be in too."""
     def run(batches):
         for batch in batches:
-            route = batch.column("route")
-            tokens = route.flatten().to_numpy(zero_copy_only=False)
-            row = np.repeat(np.arange(batch.num_rows), np.diff(route.offsets.to_numpy()))
-            some = passes(often.value, tokens)
-            yield pa.RecordBatch.from_arrays([pa.array(tokens[some]), batch.column("rep").take(pa.array(row[some])),
-                                              batch.column("size").take(pa.array(row[some]))], ["token", "rep", "size"])
+            row, keys = _bucket_keys(batch, num, den)
+            some = passes(often.value, keys)
+            row = pa.array(row[some])
+            yield pa.RecordBatch.from_arrays([pa.array(keys[some]), batch.column("rep").take(row), batch.column("size").take(row)],
+                                             ["token", "rep", "size"])
     return run
 
 
 def coarse_edges(reps: DataFrame, num: int, den: int) -> DataFrame:
-    often = sieve(reps.select(F.explode("route").alias("token")), twice=True)
-    routed = materialize(reps.select("rep", "size", "route").mapInArrow(_routed(often), "token long, rep long, size long"), "routed")
+    often = sieve(reps.select("size", "route").mapInArrow(_all_keys(num, den), "token long"), twice=True)
+    routed = materialize(reps.select("rep", "size", "route").mapInArrow(_routed(often, num, den), "token long, rep long, size long"), "routed")
     who = [F.count("*").alias("members"), F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.bit_xor(F.xxhash64("rep")).alias("x"),
            F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y"), F.min("size").alias("least"), F.max("size").alias("most")]
     # two members of sizes too far apart are no bucket; buckets of the same members (two texts share many tokens) are one
