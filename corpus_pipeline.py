@@ -40,8 +40,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id and token ids of every text."""
-    return bpe.encode(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, offsets=False)
+    """doc_id, token ids of every text, their offsets, and the text decoded from the ids."""
+    return bpe.round_trip(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
 STAGES = [("quality_classifier", good_documents), ("exact_dedup", drop_copies), ("ngram_jaccard_join", drop_near_copies),

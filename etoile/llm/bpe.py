@@ -142,6 +142,17 @@ def encode(docs: DataFrame, path: str, pattern: str, offsets: bool = True) -> Da
     return _two(docs).mapInArrow(run, "doc_id long, " + ", ".join(f"{n} array<int>" for n in names))
 
 
+def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """doc_id, ids, starts, ends as ``encode`` gives them, and ``text``: the text decoded from the ids, for each row's text."""
+    def make(codec, ids):
+        data = codec.decode(ids)
+        return (ids.astype(np.int32), *codec.offsets(ids, data), data.decode("utf-8", "replace"))
+
+    def run(batches):
+        return _each(batches, path, pattern, make, ["ids", "starts", "ends", "text"], [pa.list_(pa.int32())] * 3 + [pa.string()])
+    return _two(docs).mapInArrow(run, "doc_id long, ids array<int>, starts array<int>, ends array<int>, text string")
+
+
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, data (binary), text (string; bytes that are no whole character become U+FFFD) from ``ids``; null ids: empty."""
     def run(batches):

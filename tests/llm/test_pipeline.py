@@ -70,6 +70,18 @@ def test_encoding_stage(spark):
     assert out == {i: enc.encode_ordinary(t or "") for i, t, *_ in rows}
 
 
+def test_encoding_stage_decodes_and_gives_offsets(spark):
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.read_ranks(P.path(cp.VOCABULARY)), special_tokens={})
+    rows = [*fixture(), (600, "naïve 日本語 🙂🙃 ñandú\n\t  x", "en", "s0")]
+    out = cp.encode_texts(spark, docs(spark, rows), "")
+    assert out.columns == ["doc_id", "ids", "starts", "ends", "text"]
+    out = {r.doc_id: r for r in out.collect()}
+    assert {i: r.text for i, r in out.items()} == {i: t or "" for i, t, *_ in rows}
+    for i, t, *_ in rows:
+        assert list(out[i].starts) == enc.decode_with_offsets(enc.encode_ordinary(t or ""))[1]
+        assert len(out[i].ends) == len(out[i].ids) and max(out[i].ends, default=0) == len(t or "")
+
+
 def test_quality_stage_keeps_good_documents(spark):
     sf = "/root/testdata/sf0.01"
     d = spark.read.parquet(f"{sf}/documents.parquet")
