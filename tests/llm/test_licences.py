@@ -83,3 +83,65 @@ def test_empty_tables_and_no_headers(spark):
 def test_no_python_on_the_executors(spark):
     plan = licences.scan(frame(spark, ROWS[:5]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+REAL = [
+    ("a/1.c", "// SPDX-License-Identifier: MIT\nint a;", "MIT", "own"),
+    ("a/2.py", "# SPDX-License-Identifier: apache-2.0\n", "Apache-2.0", "own"),
+    ("a/3.c", "/* SPDX-License-Identifier: (GPL-3.0-or-later OR mit) AND LicenseRef-Own */", "(GPL-3.0-or-later OR MIT) AND LicenseRef-Own", "own"),
+    ("a/4.c", "/* SPDX-License-Identifier: GPL-2.0-only WITH Linux-syscall-note */", "GPL-2.0-only WITH Linux-syscall-note", "own"),
+    ("a/5.c", "# SPDX-License-Identifier: NOASSERTION", None, "none"),
+    ("b/1.py", "#!/usr/bin/python\n\n# BSD 3-Clause License\nimport os\n", "BSD-3-Clause", "own"),
+    ("b/2.py", "Mozilla Public License Version 2.0", "MPL-2.0", "own"),
+    ("b/3.java", """/*
+ * Copyright 2019 The Authors
+ *
+ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at
+ *
+ *     http://www.apache.org/licenses/LICENSE-2.0
+ *
+ * Unless required by applicable law or agreed to in writing, software
+ * distributed under the License is distributed on an "AS IS" BASIS,
+ * WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+ * See the License for the specific language governing permissions and
+ * limitations under the License.
+ */
+package a;
+""" + "int and = more * code;\n" * 200, "Apache-2.0", "own"),
+    ("b/4.c", """# This file is part of Thing.
+#
+# Thing is free software: you can redistribute it and/or modify it under the terms of
+# the GNU Lesser General Public License as published by the Free Software Foundation, either
+# version 3 of the License, or (at your option) any later version.
+#
+# Thing is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without
+# even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the
+# GNU Lesser General Public License for more details.
+x = 1
+""", "LGPL-3.0", "own"),
+    ("c/LICENSE", """Copyright 2021 Someone
+
+Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES
+WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS.""", "ISC", "own"),
+    ("c/d/e.c", "int main", "ISC", "inherited"),
+    ("e/1.c", "see the license of the thing before you use any of it, or ask whoever holds the copyright", None, "none"),
+]
+
+
+def test_real_headers_texts_and_spdx_expressions(spark):
+    full = (licences.Path(licences.__file__).parent / "license_texts" / "GPL-2.0.txt").read_text().split("\n")
+    rows = [*REAL, ("g/7", "\n".join(full[8:-60]), "GPL-2.0", "own"), ("g/h/8", "plain", "GPL-2.0", "inherited")]         # no name: most of its words
+    out = {r.path: (r.license, r.origin) for r in licences.scan(frame(spark, [(i, p, t) for i, (p, t, *_) in enumerate(rows)])).collect()}
+    assert out == {p: (license, origin) for p, _, license, origin in rows}
+
+
+def test_a_long_run_of_lines_is_one_block(spark):
+    text = "# licence\n" * 30_000 + "\n" + "licence x\n" * 30_000
+    out = licences.passages(frame(spark, [(1, "a", text)]).select("file", "path", "text")).collect()
+    assert sorted((r.passage, r.words) for r in out) == [(-1, 120_000), (0, 30_000), (1, 60_000)]
