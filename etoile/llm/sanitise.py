@@ -7,7 +7,8 @@ that occur together in ``n(t,e)`` texts have
     disclosure  P(e|t) = n(t,e) / n(t)
     information I(t;e) = log2( n(t,e) N / (n(t) n(e)) )     bits
 
-A term that meets ``min_together``, ``min_disclosure`` and ``min_bits`` for some entity reveals it, and
+No term has more information of an entity than the entity's own, log2( N / n(e) ) bits. A term that meets ``min_together``,
+``min_disclosure`` and ``min_bits`` (or half of the entity's own bits, if that is less) for some entity reveals it, and
 every place it stands in any text is a span of kind ``term``: removed where its disclosure is at
 least ``remove_at``, else generalised to a placeholder.
 
@@ -16,8 +17,9 @@ that occur together often enough, and whose terms are not already too common amo
 second scan finds base spans and the words that pass the bitmap; joins on the exact word keys then count n(t) over
 all texts and pick the spans. A copy of a text is no further evidence: counts are over distinct texts.
 
-A term is a run of ASCII letters, digits and non-ASCII characters, of at least ``MIN_BYTES`` bytes, A-Z
-lower-cased, outside base spans; its key is a 64-bit hash.
+A term is a run of ASCII letters, digits and non-ASCII characters outside base spans, A-Z lower-cased; its key is a 64-bit hash.
+One of fewer than ``MIN_BYTES`` bytes keeps its case and is a term only if it has a capital, a digit or a non-ASCII character, as
+names and codes have; short words all in small letters are never terms.
 
 Rules. Null text counts as empty and has no spans. Null ids, repeated ids and repeated rows are rows like others.
 Order of spans: kind as listed, then start; ties do not occur, as spans of a kind never overlap. Other
@@ -52,6 +54,8 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _TERM = np.zeros(256, dtype=bool)
 _TERM[[*map(ord, string.ascii_letters + string.digits), *range(128, 256)]] = True
+_NAMED = _TERM.copy()
+_NAMED[[*map(ord, string.ascii_lowercase)]] = False
 
 
 def _emails(text: str) -> list[tuple[int, int]]:
@@ -102,8 +106,12 @@ def _blank(text: str, spans: dict) -> str:
 
 
 def _terms(texts: list[bytes]) -> tuple[Words, np.ndarray, np.ndarray]:
-    words = Words(texts, _TERM)
-    return words, np.flatnonzero(words.size >= MIN_BYTES), words.hashes(seed=101).view(np.int64)
+    """(words, indices of the terms, keys). A short word is a term if it is written like a name or a code; its key keeps its case."""
+    words, lower = Words(texts, _TERM), Words([t.lower() for t in texts], _TERM)
+    named = np.concatenate([[0], np.cumsum(_NAMED[words.buffer])])
+    long = words.size >= MIN_BYTES
+    keys = np.where(long, lower.hashes(seed=101), words.hashes(seed=102)).view(np.int64)
+    return words, np.flatnonzero(long | (named[words.start + words.size] > named[words.start])), keys
 
 
 def _texts(batch) -> list[str]:
@@ -121,7 +129,7 @@ def _with_entities(batches):
         for text in _texts(batch):
             spans = base_spans(text)
             if any(spans.values()):
-                _, long, keys = _terms([_blank(text, spans).encode().lower()])
+                _, long, keys = _terms([_blank(text, spans).encode()])
                 digests.append(_digest(text))
                 entities.append(_entities(text, spans))
                 terms.append(np.unique(keys[long]))
@@ -137,7 +145,7 @@ def _found(bitmap):
         for batch in batches:
             texts = _texts(batch)
             base = [base_spans(t) for t in texts]
-            blank = [_blank(t, s).encode().lower() for t, s in zip(texts, base)]
+            blank = [_blank(t, s).encode() for t, s in zip(texts, base)]
             places = [([], [], []) for _ in texts]
             for i, j in chunked(blank):
                 words, long, keys = _terms(blank[i:j])
@@ -187,10 +195,11 @@ def disclosures(docs: DataFrame, min_together: int = MIN_TOGETHER, min_disclosur
     total = found.agg(F.count_distinct("digest")).first()[0]
     n_term = (found.where(F.size("keys") > 0).groupBy("digest").agg(F.first("keys").alias("keys"))
               .select(F.explode(F.array_distinct("keys")).alias("key")).groupBy("key").agg(F.count("*").alias("n_term")))
+    own = F.log2(F.lit(float(total)) / F.col("n_entity"))             # of the entity; no term has more
     terms = (pairs.join(n_term, "key")
              .withColumn("disclosure", F.col("together") / F.col("n_term"))
              .withColumn("bits", F.log2(F.col("together") * F.lit(float(total)) / F.col("n_term") / F.col("n_entity")))
-             .where((F.col("disclosure") >= min_disclosure) & (F.col("bits") >= min_bits))
+             .where((F.col("disclosure") >= min_disclosure) & (F.col("bits") >= F.least(F.lit(float(min_bits)), own / 2)))
              .groupBy("key").agg(F.max("disclosure").alias("disclosure"), F.max("bits").alias("bits")))
     terms = materialize(terms, "terms")
     dematerialize(private)

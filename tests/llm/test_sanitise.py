@@ -82,3 +82,22 @@ def test_sanitised_text(spark):
     assert "orblax" not in out[100] and "without the address é" in out[100]
     assert out[102] == "" and out[1] == rows[1][1]
     assert sanitise.find_spans(documents(spark, [])).collect() == []
+
+
+def test_short_names_and_codes_are_terms(spark):
+    rnd = random.Random(5)
+    rows = [(i, " ".join(rnd.choice(["ann", "The", "of", "lee", *(f"word{k}" for k in range(99))]) for _ in range(40))) for i in range(400)]
+    rows = [(i, t + f" Ann Lee X7Q 李 ann.lee@mail.example.com {i} was here") if i % 80 == 0 else (i, t) for i, t in rows]
+    rows += [(900, "so Ann and X7Q met"), (901, "so ann and x7q met")]
+    out = {r.doc_id: r for r in sanitise.find_spans(documents(spark, rows)).collect()}
+    found = {i: {t[p.starts:p.ends] for p in out[i].terms} for i, t in rows}
+    assert found[80] >= {"Ann", "Lee", "X7Q", "李"} and not found[80] & {"ann", "The", "of", "lee"}
+    assert found[900] == {"Ann", "X7Q"} and found[901] == set()
+
+
+def test_terms_beside_an_entity_of_a_third_of_the_texts(spark):
+    rnd = random.Random(6)
+    rows = [(i, " ".join(f"word{rnd.randrange(30)}" for _ in range(30)) + (" zorblax hot@x.example.org" if i % 3 == 0 else "")) for i in range(90)]
+    out = sanitise.find_spans(documents(spark, rows)).collect()
+    terms = {r.doc_id: {rows[r.doc_id][1][p.starts:p.ends] for p in r.terms} for r in out}
+    assert all(terms[i] == ({"zorblax"} if i % 3 == 0 else set()) for i, _ in rows)
