@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 from etoile.plans import jobs
 from etoile.plans.registry import QUERIES

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 from etoile.operators import kmeans
 from etoile.plans import reports

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 from etoile.plans.registry import ORACLE, QUERIES
 

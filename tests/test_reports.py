@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from conftest import SF_SMALL, collect_sorted
+from helpers import SF_SMALL, collect_sorted
 from pyspark.sql import functions as F
 
 from etoile.operators import classify, dashboard, forecast, segments

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from conftest import collect_sorted, item, order, raw_tables
+from helpers import collect_sorted, item, order, raw_tables
 from pyspark.sql import functions as F
 
 from etoile.operators import kpis, star
