@@ -130,3 +130,13 @@ FROM files f LEFT JOIN own o USING (file) LEFT JOIN near n USING (file)
 
 
 ORACLE["op3_licenses"] = _licenses()
+
+ORACLE["op11_topk"] = """
+WITH plain AS (SELECT vec_id, embedding AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS MATERIALIZED (SELECT vec_id, row_number() OVER () AS row, list_transform(e, lambda x: floor(256 * x::DOUBLE)) AS v FROM plain),
+scored AS (SELECT q.row, q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.row <> c.row AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id NULLS LAST)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""

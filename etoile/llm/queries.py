@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from etoile.llm import bpe, ctw, exact_dedup, forest, licences, mixing, ordinal, repeats, sanitise, signature_join
+from etoile.llm import bpe, ctw, exact_dedup, forest, licences, mixing, ordinal, repeats, sanitise, signature_join, topk
 from etoile.llm.oracle import ORACLE  # noqa: F401 (part of this module's interface)
 from etoile.session import ship_package
 
@@ -88,3 +88,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.neighbours(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"))
