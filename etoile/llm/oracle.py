@@ -140,3 +140,54 @@ scored AS (SELECT q.row, q.vec_id AS query_id, c.vec_id, list_inner_product(q.v,
 ranked AS (SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id NULLS LAST)::INTEGER AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit."""
+    return f"""xor(list_reduce(list_transform(string_split({text}, ''), lambda c: ord(c)::BIGINT),
+      lambda crc, b: list_reduce(range(8), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(crc, b)), 4294967295::BIGINT), 4294967295)"""
+
+
+def _merkle() -> str:
+    def field(column: str) -> str:
+        return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen({column}::VARCHAR) || ':' || {column}::VARCHAR END"
+
+    def leaf(n: str) -> str:
+        return f"sha256({' || '.join(field(c) for c in ('doc_id', 'source', 'lang', n, 'text'))})"
+
+    # a level of every tree from the one below, and the path of every leaf, up to the root
+    return f"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT doc_id, coalesce('=' || lang, '') AS tree, {leaf('n_chars')} AS leaf,
+    CASE WHEN {_crc32('doc_id::VARCHAR')} % 7 = 0 THEN {leaf('(n_chars + 1)')} END AS other FROM documents),
+numbered AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY tree) AS size FROM d),
+low(tree, level, i, size, h) AS (
+  SELECT tree, 0, i, size, leaf FROM numbered
+  UNION ALL
+  SELECT tree, any_value(level) + 1, i // 2, (any_value(size) + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM low WHERE size > 1 GROUP BY tree, i // 2),
+lows AS MATERIALIZED (SELECT * FROM low),
+roots AS MATERIALIZED (SELECT tree, h, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS size FROM lows WHERE size = 1),
+top(level, i, size, h) AS (
+  SELECT 0, i, size, h FROM roots
+  UNION ALL
+  SELECT any_value(level) + 1, i // 2, (any_value(size) + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM top WHERE size > 1 GROUP BY i // 2),
+tops AS MATERIALIZED (SELECT * FROM top),
+climb(doc_id, leaf, tree, level, i, size, folded, proof) AS (
+  SELECT doc_id, leaf, tree, 0, i, size, coalesce(other, leaf), '' FROM numbered
+  UNION ALL
+  SELECT c.doc_id, c.leaf, c.tree, c.level + 1, c.i // 2, (c.size + 1) // 2,
+    sha256(CASE WHEN s.h IS NULL THEN folded WHEN c.i % 2 = 0 THEN folded || s.h ELSE s.h || folded END), proof || coalesce(s.h, '')
+  FROM climb c LEFT JOIN lows s ON s.tree = c.tree AND s.level = c.level AND s.i = xor(c.i, 1) WHERE c.size > 1),
+under AS MATERIALIZED (SELECT * FROM climb WHERE size = 1),
+over(doc_id, leaf, subroot, level, i, size, folded, proof) AS (
+  SELECT doc_id, leaf, r.h, 0, r.i, r.size, folded, proof FROM under u JOIN roots r USING (tree)
+  UNION ALL
+  SELECT c.doc_id, c.leaf, c.subroot, c.level + 1, c.i // 2, (c.size + 1) // 2,
+    sha256(CASE WHEN s.h IS NULL THEN folded WHEN c.i % 2 = 0 THEN folded || s.h ELSE s.h || folded END), proof || coalesce(s.h, '')
+  FROM over c LEFT JOIN tops s ON s.level = c.level AND s.i = xor(c.i, 1) WHERE c.size > 1)
+SELECT doc_id, leaf, subroot, r.h AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = r.h AS verified
+FROM over o, (SELECT h FROM tops WHERE size = 1) r WHERE o.size = 1
+"""
+
+
+ORACLE["op13_merkle"] = _merkle()

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from etoile.llm import bpe, ctw, exact_dedup, forest, licences, mixing, ordinal, repeats, sanitise, signature_join, topk
+from etoile.llm import bpe, ctw, exact_dedup, forest, licences, merkle, mixing, ordinal, repeats, sanitise, signature_join, topk
 from etoile.llm.oracle import ORACLE  # noqa: F401 (part of this module's interface)
 from etoile.session import ship_package
 
@@ -93,3 +93,17 @@ def op10_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents under a tree per language; rows whose id's checksum is divisible by seven are checked with one more in n_chars."""
+    key, n = F.col("doc_id"), F.col("n_chars")
+    fields = [key, F.col("source"), F.col("lang"), n, F.col("text")]
+    tampered = F.crc32(key.cast("string")) % 7 == 0
+    docs = table(spark, sf_dir, "documents").select(
+        merkle.tree_name(F.col("lang")).alias("tree"), key.alias("key"), merkle.digest(*fields).alias("leaf"),
+        F.when(tampered, merkle.digest(*fields[:3], n + 1, *fields[4:])).alias("other"))
+    out = merkle.prove(merkle.build(docs))
+    return out.select(F.col("key").alias("doc_id"), "leaf", "subroot", "root", F.sha2(F.concat_ws("", "proof"), 256).alias("proof_sha256"), "folded_root",
+                      (F.col("folded_root") == F.col("root")).alias("verified"))
