@@ -191,3 +191,58 @@ FROM over o, (SELECT h FROM tops WHERE size = 1) r WHERE o.size = 1
 
 
 ORACLE["op13_merkle"] = _merkle()
+
+
+def _repair() -> str:
+    """Forward dynamic programming over four states, each with its least cost, letters and repaired rows."""
+    never = 1000000000
+
+    def add(s: str, cost, letter: str, row: str | None = None) -> str:
+        rows = f"list_append({s}.t, {row})" if row else f"{s}.t"
+        return f"{{'c': {s}.c + {cost}, 'a': {s}.a || '{letter}', 't': {rows}}}"
+
+    def least(*ways: str) -> str:
+        return f"list_min([{', '.join(ways)}])"
+
+    def keep(initial: str) -> str:
+        return f"(CASE WHEN r.r = '{initial}' AND NOT r.gone THEN 3 * r.cut ELSE {never} END)"
+    change = f"(CASE WHEN NOT r.gone THEN 3 + 3 * r.cut ELSE {never} END)"
+
+    def inserted(source: str) -> str:
+        for _ in range(3):
+            user = least("s2", *[add(s, 3, "I", "'user:'") for s in ("s0", "s1", "s3")])
+            source = f"(SELECT conv_id, i, s0, s1, {user} AS s2, {least('s3', add('s2', 3, 'I', chr(39) + 'assistant:' + chr(39)))} AS s3 FROM {source})"
+        return source
+    own, user, assistant = "r.role || ':' || r.text", "'user:' || r.text", "'assistant:' || r.text"
+    row = ", ".join([
+        add("s0", 4, "D"), least(add("s1", 4, "D"), add("s0", keep("s"), "K", own)),
+        least(add("s2", 4, "D"), *[x for s in ("s0", "s1", "s3") for x in (add(s, keep("u"), "K", own), add(s, change, "R", user))]),
+        least(add("s3", 4, "D"), add("s2", keep("a"), "K", own), add("s2", change, "R", assistant))])
+    far = f"{{'c': {never}::BIGINT, 'a': '', 't': []::VARCHAR[]}}"
+    code = _crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")
+    space = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+WITH RECURSIVE coded AS MATERIALIZED (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {code} % 20 AS code FROM conversations),
+rows AS (SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+    CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT *, unnest(CASE WHEN code = 3 THEN [0, 1] ELSE [0] END) AS copy FROM coded WHERE code <> 0)),
+placed AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM rows),
+said AS (SELECT *, rtrim(text, {space}) = '' AS blank, right(rtrim(text, {space}), 1) NOT IN ('.', '!', '?') AS open,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+    left(lag(role) OVER o, 1) || left(role, 1) NOT IN ('su', 'ua', 'au') AS odd
+  FROM placed WINDOW o AS (PARTITION BY conv_id ORDER BY i)),
+r AS MATERIALIZED (SELECT *, left(role, 1) AS r, blank OR again AS gone, open::BIGINT AS cut FROM said),
+conv AS MATERIALIZED (SELECT c.conv_id, count(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (NOT blank AND again) AS duplicate, count(*) FILTER (NOT blank AND NOT again AND open) AS truncated, count(*) FILTER (odd) AS illegal
+  FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM c.conv_id GROUP BY c.conv_id),
+dp(conv_id, i, s0, s1, s2, s3) AS (
+  SELECT conv_id, 0::BIGINT, {{'c': 0::BIGINT, 'a': '', 't': []::VARCHAR[]}}, {far}, {far}, {far} FROM conv
+  UNION ALL
+  SELECT d.conv_id, d.i + 1, {row} FROM {inserted("dp")} d JOIN r ON r.conv_id IS NOT DISTINCT FROM d.conv_id AND r.i = d.i + 1),
+ended AS (SELECT conv_id, {least("s0", "s3")} AS s FROM {inserted("(SELECT dp.* FROM dp JOIN conv ON conv.conv_id IS NOT DISTINCT FROM dp.conv_id AND conv.n = dp.i)")})
+SELECT c.conv_id, gaps, blank, duplicate, truncated, illegal, s.c AS cost, s.a AS audit, sha256(coalesce(array_to_string(s.t, chr(10)), '')) AS repaired_sha256
+FROM conv c JOIN ended e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+ORACLE["op12_repair"] = _repair()

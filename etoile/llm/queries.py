@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from etoile.llm import bpe, ctw, exact_dedup, forest, licences, merkle, mixing, ordinal, repeats, sanitise, signature_join, topk
+from etoile.llm import bpe, conversations, ctw, exact_dedup, forest, licences, merkle, mixing, ordinal, repeats, sanitise, signature_join, topk
 from etoile.llm.oracle import ORACLE  # noqa: F401 (part of this module's interface)
 from etoile.session import ship_package
 
@@ -95,6 +95,23 @@ def op11_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"))
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with the faults that the checksum of ``conv_id:turn`` gives each row; nulls are one space."""
+    def plain(column: str):
+        return F.coalesce(F.col(column).cast("string"), F.lit(" "))
+    code = F.crc32(F.concat(plain("conv_id"), F.lit(":"), plain("turn"))) % 20
+    text = F.when(F.col("code") == 1, "").when(F.col("code") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    copies = F.explode(F.when(F.col("code") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    rows = rows.select("conv_id", "turn", plain("role").alias("role"), plain("text").alias("text"), code.alias("code")).where("code <> 0")
+    return rows.select("conv_id", "turn", F.when(F.col("code") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+@query
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.report(conversations.repair(damaged(rows), rows.select("conv_id")))
+
+
 @query
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents under a tree per language; rows whose id's checksum is divisible by seven are checked with one more in n_chars."""

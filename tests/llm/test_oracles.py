@@ -15,14 +15,16 @@ COLUMNS = {
     1: ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"], 2: ["doc_id", "n_shingles", "component_id"],
     5: ["doc_id", "keep_id", "group_size", "kept", "text_sha256"], 6: ["doc_id", "n_words", "n_removed", "kept_sha256"],
     7: ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-    8: ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"], 10: ["query_id", "rank", "vec_id", "score"]}
+    8: ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"], 10: ["query_id", "rank", "vec_id", "score"],
+    11: ["query_id", "rank", "vec_id", "score"], 12: ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
+    13: ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]}
 LONG = {"doc_id", "n_email", "n_ip", "n_card", "n_phone", "n_shingles", "component_id", "keep_id", "group_size", "n_words", "n_removed", "n_tokens",
-        "n_known", "train_tokens", "query_id", "vec_id"}
+        "n_known", "train_tokens", "query_id", "vec_id", "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost"}
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = E.queries()
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13 and "pipeline" in names
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -32,7 +34,9 @@ def test_contract_columns(spark, name):
     assert df.columns[:len(COLUMNS.get(n, []))] == COLUMNS.get(n, [])
     types = dict(df.dtypes)
     assert all(types[c] == "bigint" for c in COLUMNS.get(n, []) if c in LONG)
-    if n != 10:
+    if n == 12:
+        assert df.count() == spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id").distinct().count()
+    elif n not in (10, 11):
         assert df.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
 
 
