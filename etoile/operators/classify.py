@@ -3,19 +3,17 @@
 * Training set: fact ⋈ product ⋈ client, rated items with a positive delay; label
   ``bonne_note = score >= 4`` on the order-averaged score (items of one order share it).
 * One-hot with the first level (alphabetical) of each categorical dropped, as the source's
-  dummies: ``StringIndexer(alphabetDesc)`` puts that level last and ``OneHotEncoder``
-  drops the last index. Like the source, the levels come from all rows, before the split.
+  dummies. Like the source, the levels come from all rows, before the split.
 * Stratified split (exact per-class test sizes ``ceil(share * n_class)``, seeded and
   engine independent): each row's rank inside its class is by ``md5(key || seed)``. Rather
   than a window over a whole class (half the data in one task), the cut is found digit by digit: a
   count of the next hex digit below the current prefix (16 rows per class, combined map-side) says
   in which bucket the cut lies, until that bucket has at most ``EDGE_BUCKET_ROWS`` rows; only these
   are ranked by a window.
-* Class weights ``n / (2 n_class)`` (the "balanced" rule) go in as ``weightCol``.
-* Tree: ``DecisionTreeClassifier(maxDepth=5, seed=42, maxBins=MAX_BINS)``. The library bins continuous features: it
-  picks at most ``max_bins`` thresholds per feature from a bounded sample of rows. The number of bins is a parameter (it must not
-  be below the number of levels of a categorical; dummies have two). Reports are aggregates over the
-  predictions (accuracy, per-class precision/recall/F1/support, confusion, importances).
+* Class weights ``n / (2 n_class)`` (the "balanced" rule) weigh the classes in the tree.
+* Tree: every threshold of every feature is tried (``operators.tree``), depth 5; the tree is a relation, predictions are joins down its
+  levels, importances an aggregate over it. Reports are aggregates over the predictions (accuracy, per-class
+  precision/recall/F1/support, confusion).
 """
 
 from __future__ import annotations
@@ -23,14 +21,10 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import DecisionTreeClassifier
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from etoile.operators import kpis
+from etoile.operators import kpis, tree
 from etoile.session import materialize
 
 NUMERIC = ["prix_unitaire", "frais_livraison", "delai_livraison_jours"]
@@ -44,7 +38,6 @@ TOP_FEATURES = 10
 GOOD_SCORE = 4
 EDGE_BUCKET_ROWS = 100_000   # rows ranked by the one window (the bucket holding the cut)
 MAX_HEX_DIGITS = 32
-MAX_BINS = 32                # thresholds per continuous feature
 # The report's class names.
 CLASS_NAMES = {0: "Mauvaise note (< 4)", 1: "Bonne note (≥ 4)"}
 
@@ -130,41 +123,20 @@ def class_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
             .orderBy(label))
 
 
-def _encoder() -> Pipeline:
-    """Dummies as the source's: every level of each categorical, the alphabetically first
-    dropped (``alphabetDesc`` puts it last, ``dropLast`` removes it), then the numeric columns."""
-    idx = StringIndexer(inputCols=CATEGORICAL, outputCols=[f"{c}_idx" for c in CATEGORICAL],
-                        stringOrderType="alphabetDesc")   # one pass for all columns
-    ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in CATEGORICAL], outputCols=[f"{c}_vec" for c in CATEGORICAL],
-                        dropLast=True)
-    vec = VectorAssembler(inputCols=NUMERIC + [f"{c}_vec" for c in CATEGORICAL], outputCol="features")
-    return Pipeline(stages=[idx, ohe, vec])
+def grower(split: DataFrame) -> tree.Grower:
+    """M13, M15 for the tree: each categorical's first level (over all rows, as the source encodes before splitting) and the class weights of the training part."""
+    first = split.agg(*[F.min(F.col(c).cast("string")).alias(c) for c in CATEGORICAL]).first()
+    weights = {r[LABEL]: r["poids"] for r in class_weights(split.filter(~F.col("is_test"))).collect()}      # one row per class
+    return tree.Grower(LABEL, {c: weights.get(c, 0.0) for c in CLASS_NAMES}, NUMERIC, {c: first[c] for c in CATEGORICAL})
 
 
-def fit_tree(split: DataFrame, max_depth: int = MAX_DEPTH, seed: int = SEED, max_bins: int = MAX_BINS) -> tuple[PipelineModel, DataFrame]:
-    """Dummies over all rows (the source encodes before splitting), a balanced-weight
-    tree fitted on the training part, predictions on the test part.
-
-    The split is persisted during the fit (the encoder and each tree level read it); its own
-    input is already materialized, so later reads of the predictions recompute only the
-    cheap split step, never the star.
-    Returns the fitted pipeline (encoder stages + tree) and
-    ``(commande_id, item_id, bonne_note, prediction)`` on the test part.
-    """
-    split = split.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        encoder = _encoder().fit(split)
-        train = encoder.transform(split.filter(~F.col("is_test")))
-        weights = class_weights(train).select(LABEL, "poids")
-        train = train.join(F.broadcast(weights), LABEL)  # one row per class
-        tree = DecisionTreeClassifier(labelCol=LABEL, featuresCol="features", weightCol="poids",
-                                      maxDepth=max_depth, maxBins=max_bins, seed=seed).fit(train)
-    finally:
-        split.unpersist()
-    model = PipelineModel(stages=[*encoder.stages, tree])
-    test = split.filter(F.col("is_test"))
-    pred = model.transform(test).select(*KEY, LABEL, F.col("prediction").cast("int").alias("prediction"))
-    return model, pred
+def fit_tree(split: DataFrame, max_depth: int = MAX_DEPTH) -> tuple[DataFrame, DataFrame]:
+    """The balanced-weight tree of the training part (a relation, see ``operators.tree``) and
+    ``(commande_id, item_id, bonne_note, prediction)`` on the test part."""
+    g = grower(split)
+    nodes = g.grow(split.filter(~F.col("is_test")), max_depth)
+    pred = g.predict(split.filter(F.col("is_test")), nodes, max_depth)
+    return nodes, pred.select(*KEY, LABEL, "prediction")
 
 
 def accuracy(pred: DataFrame, label: str = LABEL) -> DataFrame:
@@ -217,14 +189,10 @@ def report(pred: DataFrame, label: str = LABEL, classes=(0, 1)) -> DataFrame:
     return per.unionByName(right).unionByName(macro).unionByName(weighted)
 
 
-def feature_names(model: PipelineModel, pred_frame: DataFrame) -> list[str]:
-    """Names of the assembled feature slots, from the vector's ML attribute metadata."""
-    meta = model.transform(pred_frame.limit(0)).schema["features"].metadata["ml_attr"]["attrs"]
-    slots = sorted((a["idx"], a["name"]) for group in meta.values() for a in group)
-    names = [name for _i, name in slots]
-    for c in CATEGORICAL:   # dummy names as in ``onehot_levels``: <variable>_<level>
-        names = [f"{c}_{n[len(c) + 5:]}" if n.startswith(f"{c}_vec_") else n for n in names]
-    return names
+def feature_names(split: DataFrame) -> DataFrame:
+    """``(variable)``: the numeric columns and the dummies, named as in ``onehot_levels``."""
+    numeric = split.sparkSession.createDataFrame([(c,) for c in NUMERIC], "variable string")
+    return numeric.unionByName(onehot_levels(split).select(F.col("colonne").alias("variable")))
 
 
 def rule_predictions(split: DataFrame, max_delay: float) -> DataFrame:
@@ -233,11 +201,7 @@ def rule_predictions(split: DataFrame, max_delay: float) -> DataFrame:
     return split.filter(F.col("is_test")).select(*KEY, LABEL, good.alias("prediction"))
 
 
-def importances(model: PipelineModel, sample: DataFrame, top: int = TOP_FEATURES) -> DataFrame:
+def importances(nodes: DataFrame, split: DataFrame, top: int = TOP_FEATURES) -> DataFrame:
     """The ``top`` feature importances, 4 decimals, largest first."""
-    names = feature_names(model, sample)
-    imp = model.stages[-1].featureImportances.toArray().tolist()
-    rows = [(n, float(v)) for n, v in zip(names, imp)]
-    df = sample.sparkSession.createDataFrame(rows, "variable string, importance double")
-    return (df.orderBy(F.desc("importance"), F.asc("variable")).limit(top)
-            .select("variable", F.round("importance", 4).alias("importance")))
+    shares = tree.importances(nodes, feature_names(split)).select("variable", F.round("importance", 4).alias("importance"))
+    return shares.orderBy(F.desc("importance"), F.asc("variable")).limit(top)

@@ -522,29 +522,89 @@ sql_only("class_weights", O.with_star("""
 SELECT bonne_note, COUNT(*) AS nb,
        CAST(SUM(COUNT(*)) OVER () AS DOUBLE) / CAST(COUNT(*) OVER () * COUNT(*) AS DOUBLE) AS poids
 FROM split WHERE NOT is_test GROUP BY bonne_note""", _TRAIN))
-mining("tree_predictions")
-mining("tree_accuracy")
-mining("tree_report")
-mining("tree_confusion")
-mining("tree_importances")
-
-_RULE = _TRAIN + [f"""rule AS (
-  SELECT bonne_note AS y, CAST(delai_livraison_jours <= {reports.RULE_DELAY} AS INTEGER) AS p FROM split WHERE is_test)""",
-                  "per AS (" + " UNION ALL ".join(f"""
+
+
+def _tree_ctes() -> list[str]:
+    """The tree grown level by level: ``node`` of every row after each level, every threshold of every feature, the best per node."""
+    numeric, w = classify.NUMERIC, ("w0", "w1")
+    features = [*numeric, *classify.CATEGORICAL]
+    first = {c: f"(SELECT MIN({c}) FROM training)" for c in classify.CATEGORICAL}
+
+    def side(a: str, b: str) -> str:
+        x, y = f"({a} * {w[0]})", f"({b} * {w[1]})"
+        return f"({x} * {x} + {y} * {y}) / ({x} + {y})"
+
+    def row(d: int, extra: str) -> str:
+        return (f"SELECT node, {d} AS depth, {extra}, n0, n1, n0 * w0 + n1 * w1 AS poids, "
+                "1 - (n0 * w0 / (n0 * w0 + n1 * w1)) * (n0 * w0 / (n0 * w0 + n1 * w1)) - (n1 * w1 / (n0 * w0 + n1 * w1)) * (n1 * w1 / (n0 * w0 + n1 * w1)) AS gini, "
+                "CAST(n1 * w1 > n0 * w0 AS INTEGER) AS prediction")
+    out = ["""w AS MATERIALIZED (SELECT CAST(n0 + n1 AS DOUBLE) / CAST(2 * n0 AS DOUBLE) AS w0, CAST(n0 + n1 AS DOUBLE) / CAST(2 * n1 AS DOUBLE) AS w1 FROM (
+  SELECT COUNT(*) FILTER (bonne_note = 0) AS n0, COUNT(*) FILTER (bonne_note = 1) AS n1 FROM split WHERE NOT is_test))""",
+           "at0 AS MATERIALIZED (SELECT *, 1 AS node FROM split)"]
+    for d in range(classify.MAX_DEPTH + 1):
+        out.append(f"""tot{d} AS MATERIALIZED (SELECT node, COUNT(*) FILTER (bonne_note = 0) AS n0, COUNT(*) FILTER (bonne_note = 1) AS n1
+  FROM at{d} WHERE NOT is_test AND node >= {2 ** d} GROUP BY node)""")
+        if d == classify.MAX_DEPTH:
+            break
+        rows = f"FROM at{d} a JOIN tot{d} t USING (node) WHERE NOT is_test AND n0 > 0 AND n1 > 0"
+        per = "COUNT(*) FILTER (bonne_note = 0) AS a0, COUNT(*) FILTER (bonne_note = 1) AS a1, ANY_VALUE(n0) AS n0, ANY_VALUE(n1) AS n1"
+        long = " UNION ALL ".join(f"SELECT node, {i} AS f, {c} AS v, {per} {rows} GROUP BY node, {c}" for i, c in enumerate(numeric))
+        dummies = " UNION ALL ".join(f"SELECT node, {len(numeric) + i} AS f, {c} AS niveau, {per} {rows} AND {c} <> {first[c]} GROUP BY node, {c}"
+                                     for i, c in enumerate(classify.CATEGORICAL))
+        out.append(f"""cut{d} AS (
+  SELECT node, f, CAST(NULL AS VARCHAR) AS niveau, (v + next) / 2 AS seuil, l0, l1, n0, n1 FROM (
+    SELECT *, LEAD(v) OVER o AS next, SUM(a0) OVER o AS l0, SUM(a1) OVER o AS l1 FROM ({long}) WINDOW o AS (PARTITION BY node, f ORDER BY v)) WHERE next IS NOT NULL
+  UNION ALL SELECT node, f, niveau, 0.5, n0 - a0, n1 - a1, n0, n1 FROM ({dummies}) WHERE n0 + n1 > a0 + a1)""")
+        out.append(f"""best{d} AS MATERIALIZED (SELECT node, f, niveau, seuil, [{", ".join("'" + c + "'" for c in features)}][f + 1] AS variable FROM cut{d}, w
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY node ORDER BY {side("CAST(l0 AS BIGINT)", "CAST(l1 AS BIGINT)")} + {side("CAST(n0 - l0 AS BIGINT)", "CAST(n1 - l1 AS BIGINT)")} DESC,
+    f, niveau NULLS FIRST, seuil) = 1)""")
+        value = " ".join(f"WHEN {i} THEN {c}" for i, c in enumerate(numeric)) + " " + " ".join(
+            f"WHEN {len(numeric) + i} THEN CAST(COALESCE({c} = b.niveau, FALSE) AS INTEGER)" for i, c in enumerate(classify.CATEGORICAL))
+        out.append(f"""at{d + 1} AS MATERIALIZED (SELECT a.* REPLACE (CASE WHEN b.node IS NULL THEN a.node ELSE 2 * a.node + CAST((CASE b.f {value} END) > b.seuil AS INTEGER) END AS node)
+  FROM at{d} a LEFT JOIN best{d} b ON a.node = b.node)""")
+    levels = [row(d, "variable, niveau, seuil, variable IS NULL AS feuille") + f" FROM tot{d} LEFT JOIN best{d} USING (node), w" for d in range(classify.MAX_DEPTH)]
+    levels.append(row(classify.MAX_DEPTH, "NULL, NULL, NULL, TRUE") + f" FROM tot{classify.MAX_DEPTH}, w")
+    out.append("nodes AS MATERIALIZED (" + " UNION ALL ".join(levels) + ")")
+    out.append(f"""predicted AS (SELECT commande_id, item_id, bonne_note, prediction FROM at{classify.MAX_DEPTH} JOIN nodes USING (node) WHERE is_test)""")
+    return out
+
+
+_TREE = _TRAIN + _tree_ctes()
+sql_only("tree_nodes", O.with_star("""
+SELECT CAST(node AS INTEGER) AS node, CAST(depth AS INTEGER) AS depth, variable, niveau, CAST(seuil AS DOUBLE) AS seuil, feuille, n0 AS n_0, n1 AS n_1,
+  ROUND(poids, 6) AS poids, ROUND(gini, 9) AS gini, prediction FROM nodes""", _TREE))
+sql_only("tree_predictions", O.with_star("SELECT * FROM predicted", _TREE))
+sql_only("tree_importances", O.with_star(f"""
+SELECT variable, ROUND(COALESCE(taken / total, 0), 4) AS importance FROM (
+  SELECT unnest([{", ".join("'" + c + "'" for c in classify.NUMERIC)}]) AS variable
+  {"".join(f"UNION ALL SELECT '{c}_' || niveau FROM (SELECT DISTINCT {c} AS niveau FROM training) WHERE niveau <> (SELECT MIN({c}) FROM training) " for c in classify.CATEGORICAL)}) names
+LEFT JOIN (
+  SELECT CASE WHEN niveau IS NULL THEN variable ELSE variable || '_' || niveau END AS variable, SUM(poids * gini - below) AS taken, SUM(SUM(poids * gini - below)) OVER () AS total
+  FROM nodes JOIN (SELECT node // 2 AS node, SUM(poids * gini) AS below FROM nodes WHERE node > 1 GROUP BY node // 2) USING (node) WHERE NOT feuille GROUP BY 1) USING (variable)
+ORDER BY importance DESC, variable LIMIT {classify.TOP_FEATURES}""", _TREE))
+
+
+def _prediction_reports(prefix: str, ctes: list[str], predictions: str) -> None:
+    """M17-M19 over (y, p) of the test part."""
+    ctes = ctes + [f"rule AS MATERIALIZED ({predictions})", "per AS (" + " UNION ALL ".join(f"""
   SELECT '{classify.CLASS_NAMES[c]}' AS classe, COALESCE(CAST(SUM(CAST(y = {c} AND p = {c} AS INTEGER)) AS DOUBLE) / NULLIF(SUM(CAST(p = {c} AS INTEGER)), 0), 0) AS precision,
     COALESCE(CAST(SUM(CAST(y = {c} AND p = {c} AS INTEGER)) AS DOUBLE) / NULLIF(SUM(CAST(y = {c} AS INTEGER)), 0), 0) AS rappel,
     CAST(SUM(CAST(y = {c} AS INTEGER)) AS BIGINT) AS support FROM rule""" for c in (0, 1)) + ")",
-                  """scored AS (SELECT *, CASE WHEN precision + rappel > 0 THEN 2 * precision * rappel / (precision + rappel) ELSE 0 END AS f1 FROM per)"""]
-sql_only("rule_accuracy", O.with_star("SELECT AVG(CAST(y = p AS DOUBLE)) AS precision_globale FROM rule", _RULE))
-sql_only("rule_confusion", O.with_star("""
+                   """scored AS (SELECT *, CASE WHEN precision + rappel > 0 THEN 2 * precision * rappel / (precision + rappel) ELSE 0 END AS f1 FROM per)"""]
+    sql_only(f"{prefix}_accuracy", O.with_star("SELECT AVG(CAST(y = p AS DOUBLE)) AS precision_globale FROM rule", ctes))
+    sql_only(f"{prefix}_confusion", O.with_star("""
 SELECT CAST(a AS INTEGER) AS bonne_note, CAST(b AS INTEGER) AS prediction, COUNT(y) AS nb
-FROM (SELECT a, b FROM range(2) x(a), range(2) w(b)) g LEFT JOIN rule ON y = a AND p = b GROUP BY a, b""", _RULE))
-sql_only("rule_report", O.with_star("""
+FROM (SELECT a, b FROM range(2) x(a), range(2) z(b)) g LEFT JOIN rule ON y = a AND p = b GROUP BY a, b""", ctes))
+    sql_only(f"{prefix}_report", O.with_star("""
 SELECT classe, precision, rappel, support, f1 FROM scored
 UNION ALL SELECT 'accuracy', AVG(CAST(y = p AS DOUBLE)), AVG(CAST(y = p AS DOUBLE)), COUNT(*), AVG(CAST(y = p AS DOUBLE)) FROM rule
 UNION ALL SELECT 'macro avg', AVG(precision), AVG(rappel), CAST(SUM(support) AS BIGINT), AVG(f1) FROM scored
 UNION ALL SELECT 'weighted avg', SUM(precision * support) / SUM(support), SUM(rappel * support) / SUM(support), CAST(SUM(support) AS BIGINT),
-  SUM(f1 * support) / SUM(support) FROM scored""", _RULE))
+  SUM(f1 * support) / SUM(support) FROM scored""", ctes))
+
+
+_prediction_reports("rule", _TRAIN, f"SELECT bonne_note AS y, CAST(delai_livraison_jours <= {reports.RULE_DELAY} AS INTEGER) AS p FROM split WHERE is_test")
+_prediction_reports("tree", _TREE, "SELECT bonne_note AS y, prediction AS p FROM predicted")
 
 
 # ------------------------------------------------------------------ Q: the checks over inputs that break them

@@ -34,7 +34,7 @@ class Tables(dict[str, DataFrame]):
 REPORTS: dict[str, Callable[[Tables], DataFrame]] = {}
 
 # Reports that fit models (rows-only checks; minutes, not seconds, at scale).
-MINING = ("elbow_curve", "client_segments", "segment_summary", "segment_sizes", "segment_sample", "tree_predictions",
+MINING = ("elbow_curve", "client_segments", "segment_summary", "segment_sizes", "segment_sample", "tree_nodes", "tree_predictions",
           "tree_accuracy", "tree_report", "tree_confusion", "tree_importances")
 
 
@@ -162,10 +162,10 @@ def _split(t: Tables) -> DataFrame:
 
 
 def _tree(t: Tables):
-    """(model, stored predictions): one fit for all reports of a job."""
+    """(tree, stored predictions): one fit for all reports of a job."""
     def fit():
-        model, pred = classify.fit_tree(_split(t))
-        return model, materialize(pred, "predictions")
+        nodes, pred = classify.fit_tree(_split(t))
+        return nodes, materialize(pred, "predictions")
     return t.once("tree", fit)
 
 
@@ -180,6 +180,7 @@ REPORTS["order_training_set"] = _training
 REPORTS["onehot_levels"] = lambda t: classify.onehot_levels(_training(t))
 REPORTS["stratified_split"] = _split
 REPORTS["class_weights"] = lambda t: classify.class_weights(_split(t).filter(~F.col("is_test")))
+REPORTS["tree_nodes"] = lambda t: _tree(t)[0].withColumn("poids", F.round("poids", 6)).withColumn("gini", F.round("gini", 9))
 REPORTS["tree_predictions"] = lambda t: _tree(t)[1]
 REPORTS["tree_accuracy"] = lambda t: classify.accuracy(_tree(t)[1])
 REPORTS["tree_report"] = lambda t: classify.report(_tree(t)[1])
