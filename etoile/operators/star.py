@@ -20,9 +20,11 @@ from pyspark.sql import types as T
 from etoile.functions.dates import date_parts, delay_days, parse_timestamp
 from etoile.functions.lookups import DEFAULT_CATEGORY, region_of
 from etoile.functions.numeric import MONEY_SCALE
+from etoile.sources.csv import POSITION
 from etoile.sources.schemas import TIMESTAMP_COLUMNS
 
 DELIVERED = "delivered"
+POSITIONS = [POSITION, "_translation_position"]      # order of the rows in the source files, where the reader gives it
 
 
 # ---------------------------------------------------------------- generic building blocks
@@ -40,12 +42,12 @@ def parse_order_timestamps(orders: DataFrame) -> DataFrame:
 def keep_first(df: DataFrame, key: str, order_by: list[str] | None = None) -> DataFrame:
     """One row per key value, the smallest by ``order_by`` (default: all other columns).
 
-    The source keeps the first row in file order; Spark has no file order, so the tie-break
-    is an explicit total order on the row's own values (nulls first). Null keys form one
+    The source keeps the first row in file order. Rows that carry their position (``sources.csv``) go by it; others have no file order,
+    and the tie-break is an explicit total order on the row's own values (nulls first). Null keys form one
     group, as in the source. Implemented as an aggregate so it combines map-side.
     """
-    others = [c for c in df.columns if c != key]
-    order_by = order_by or others
+    others = [c for c in df.columns if c not in (key, *POSITIONS)]
+    order_by = [*[c for c in POSITIONS if c in df.columns], *(order_by or others)]
     first = F.min_by(F.struct(*[F.col(c) for c in others]), F.struct(*[F.col(c) for c in order_by]))
     return (df.groupBy(key).agg(first.alias("_row"))
             .select(key, *[F.col(f"_row.{c}").alias(c) for c in others]))
@@ -59,9 +61,13 @@ def delivered_orders(orders: DataFrame) -> DataFrame:
     return o.filter((F.col("order_status") == DELIVERED) & F.col("order_purchase_timestamp").isNotNull())
 
 
+def _placed(df: DataFrame) -> list[str]:
+    return [c for c in POSITIONS if c in df.columns]
+
+
 def translated_products(products: DataFrame, translation: DataFrame) -> DataFrame:
     """English category name, else the raw name, else 'unknown'."""
-    t = translation.select("product_category_name", "product_category_name_english")
+    t = translation.withColumnRenamed(POSITION, POSITIONS[1]).select("product_category_name", "product_category_name_english", *(POSITIONS[1:] if POSITION in translation.columns else []))
     p = products.join(t, on="product_category_name", how="left")
     return p.withColumn("product_category_name_english",
                         F.coalesce("product_category_name_english", "product_category_name",
@@ -69,15 +75,20 @@ def translated_products(products: DataFrame, translation: DataFrame) -> DataFram
 
 
 def dim_temps(delivered: DataFrame) -> DataFrame:
-    """One row per distinct purchase date, temps_id = 1..n in date order.
+    """One row per distinct purchase date. temps_id = 1..n by first appearance, as the source numbers them, if the orders carry
+    their position in the file; else in date order.
 
     Only the distinct dates (bounded by the calendar) reach the single-partition window.
     """
-    dates = delivered.select(F.to_date("order_purchase_timestamp").alias("date_achat")).distinct()
+    day = F.to_date("order_purchase_timestamp").alias("date_achat")
+    if POSITION in delivered.columns:
+        dates, order = delivered.groupBy(day).agg(F.min(POSITION).alias("_first")), ["_first"]
+    else:
+        dates, order = delivered.select(day).distinct(), ["date_achat"]
     parts = date_parts(F.col("date_achat"))
     return dates.select(
         "date_achat",
-        F.row_number().over(Window.orderBy("date_achat")).alias("temps_id"),
+        F.row_number().over(Window.orderBy(*order)).alias("temps_id"),
         parts["jour"].alias("jour"), parts["mois"].alias("mois"),
         parts["trimestre"].alias("trimestre"), parts["annee"].alias("annee"),
         parts["nom_mois"].alias("nom_mois"), parts["date_str"].alias("date_str"),
@@ -87,23 +98,22 @@ def dim_temps(delivered: DataFrame) -> DataFrame:
 def dim_client(customers: DataFrame) -> DataFrame:
     """B12, B13, B14, B15."""
     c = customers.select(F.col("customer_id").alias("client_id"), F.col("customer_city").alias("ville"),
-                         F.col("customer_state").alias("etat"))
+                         F.col("customer_state").alias("etat"), *_placed(customers))
     c = c.withColumn("region", region_of(F.col("etat")))
     return keep_first(c, "client_id", ["ville", "etat"]).select("client_id", "ville", "etat", "region")
 
 
 def dim_produit(products: DataFrame, translation: DataFrame) -> DataFrame:
     """B16."""
-    p = translated_products(products, translation).select(
-        F.col("product_id").alias("produit_id"), F.col("product_category_name_english").alias("categorie"),
-        F.col("product_weight_g").alias("poids_g"))
+    p = translated_products(products, translation)
+    p = p.select(F.col("product_id").alias("produit_id"), F.col("product_category_name_english").alias("categorie"), F.col("product_weight_g").alias("poids_g"), *_placed(p))
     return keep_first(p, "produit_id", ["categorie", "poids_g"]).select("produit_id", "categorie", "poids_g")
 
 
 def dim_vendeur(sellers: DataFrame) -> DataFrame:
     """B17."""
     s = sellers.select(F.col("seller_id").alias("vendeur_id"), F.col("seller_city").alias("ville"),
-                       F.col("seller_state").alias("etat"))
+                       F.col("seller_state").alias("etat"), *_placed(sellers))
     return keep_first(s, "vendeur_id", ["ville", "etat"]).select("vendeur_id", "ville", "etat")
 
 

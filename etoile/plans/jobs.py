@@ -10,7 +10,7 @@ etoile/plans/jobs.py ...``; master, memory and shuffle settings are the submitte
 
 Usage::
 
-    python -m etoile.plans.jobs etl --csv RAW_DIR --warehouse OUT_DIR [--files orders=olist_orders.csv ...]
+    python -m etoile.plans.jobs etl --csv RAW_DIR --warehouse OUT_DIR [--files orders=my_orders.csv ...] [--rejects FOLDER]
     python -m etoile.plans.jobs etl --testdata SF_DIR --warehouse OUT_DIR
     python -m etoile.plans.jobs reports --warehouse OUT_DIR --out REPORT_DIR [names...]
     python -m etoile.plans.jobs dashboard --warehouse OUT_DIR --out CHART_DIR [--region Sudeste]
@@ -29,7 +29,7 @@ from etoile.operators import star
 from etoile.operators.dashboard import dashboard_frames
 from etoile.plans.reports import MINING, REPORTS, Tables
 from etoile.session import clear_materialized, materialize
-from etoile.sources.csv import read_raw_csv
+from etoile.sources.csv import read_raw_csv, reject_counts, rejected_of_all
 from etoile.sources.testdata import raw_from_testdata
 from etoile.sources.warehouse import STAR_NAMES, name_load, new_load, read_star
 
@@ -101,6 +101,7 @@ def main(argv=None) -> int:
     src.add_argument("--testdata")
     e.add_argument("--warehouse", required=True)
     e.add_argument("--files", nargs="*", default=[], metavar="TABLE=FILE", help="names of the CSV files that differ from TABLE.csv")
+    e.add_argument("--rejects", help="folder for the records and cells of the CSV files that could not be read, as Parquet")
     r = sub.add_parser("reports")
     r.add_argument("--warehouse", required=True)
     r.add_argument("--out", required=True)
@@ -115,6 +116,10 @@ def main(argv=None) -> int:
         files = dict(f.split("=", 1) for f in a.files)
         raw = read_raw_csv(spark, a.csv, files) if a.csv else raw_from_testdata(spark, a.testdata, delivered_only=True)
         run_etl(spark, raw, a.warehouse)
+        if a.csv and a.rejects:
+            rejected_of_all(spark, a.csv, files).write.mode("overwrite").parquet(a.rejects)
+            for row in reject_counts(spark.read.parquet(a.rejects)).orderBy("table_name", "column_name", "reason").collect():     # a row per column
+                print("rejected", *row)
         counts = read_star(spark, a.warehouse)
         for n, df in counts.items():
             print(n, df.agg(F.count(F.lit(1))).first()[0])

@@ -18,7 +18,7 @@ from etoile.operators import classify, quality, segments, star
 from etoile.plans import jobs, reports
 from etoile.plans.reports import REPORTS, Tables
 from etoile.session import checkpoint_root
-from etoile.sources.csv import read_csv_table
+from etoile.sources.csv import read_csv_table, reject_counts, rejected
 from etoile.sources.schemas import FOREIGN_KEYS, PRIMARY_KEYS, RANGE_CHECKS, RAW_COLUMNS, not_null_columns
 from etoile.sources.testdata import load_test_tables, raw_from_testdata
 from etoile.sources.warehouse import read_star
@@ -103,6 +103,108 @@ for _name in _RAW_SQL:
     register(f"csv_{_name}", _csv_sql(_name))(lambda spark, sf, _n=_name: _csv(spark, sf, _n))
 
 
+# CSV files whose order matters: some keys are there twice with other values, and the lines stand in the order of a hash, over several part files.
+# The dimensions keep the first line of a key and number dates by first appearance.
+AGAIN_EVERY = 3
+_AGAIN = {"customers": ("customer_id", "customer_city"), "sellers": ("seller_id", "seller_city"), "products": ("product_id", "product_category_name"),
+          "orders": ("order_id", None), "translation": ("product_category_name", "product_category_name_english")}
+
+
+def _line(key: str, copy: int) -> F.Column:
+    return F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(copy))))
+
+
+def _in_order(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The CSV of a source with repeated keys, written line by line in the order of ``_line``, read back with positions."""
+    key, other = _AGAIN[name]
+    df = raw(spark, sf_dir)[name].withColumn("_line", _line(key, 0))
+    if other:
+        again = df.where(F.length(F.col(key).cast("string")) % AGAIN_EVERY != 1)
+        df = df.unionByName(again.withColumn(other, F.concat(F.lit("again "), F.col(key).cast("string"))).withColumn("_line", _line(key, 1)))
+    folder = f"{checkpoint_root(spark).rstrip('/')}/etoile-csv-{uuid.uuid4().hex}"
+    df.repartitionByRange("_line").sortWithinPartitions("_line").drop("_line").write.option("header", True).csv(f"{folder}/{name}")
+    return read_csv_table(spark, f"{folder}/{name}", name, position=True)
+
+
+def _lines_sql(name: str) -> str:
+    key, other = _AGAIN[name]
+    line = f"md5(CAST({key} AS VARCHAR) || '|' || "
+    sql = f"SELECT *, {line}'0') AS line FROM src_{name}"
+    if other:
+        sql += (f" UNION ALL SELECT * REPLACE ('again ' || CAST({key} AS VARCHAR) AS {other}), {line}'1') AS line FROM src_{name} "
+                f"WHERE length(CAST({key} AS VARCHAR)) % {AGAIN_EVERY} <> 1")
+    return f"lines_{name} AS ({sql})"
+
+
+def _first(name: str) -> str:
+    key = _AGAIN[name][0]
+    return f"QUALIFY ROW_NUMBER() OVER (PARTITION BY {key} ORDER BY line) = 1"
+
+
+@register("csv_first_client", O.with_star(f"""
+SELECT CAST(customer_id AS VARCHAR) AS client_id, customer_city AS ville, customer_state AS etat, region FROM lines_customers
+JOIN (SELECT client_id, region FROM dim_client) d ON d.client_id = customer_id {_first("customers")}""", [_lines_sql("customers")]))
+def q_first_client(spark, sf):
+    """B14, B15 over a file with repeated clients: the first line counts."""
+    return star.dim_client(_in_order(spark, sf, "customers"))
+
+
+@register("csv_first_vendeur", O.with_star(f"""
+SELECT CAST(seller_id AS VARCHAR) AS vendeur_id, seller_city AS ville, seller_state AS etat FROM lines_sellers {_first("sellers")}""", [_lines_sql("sellers")]))
+def q_first_vendeur(spark, sf):
+    """B14, B17 over a file with repeated sellers."""
+    return star.dim_vendeur(_in_order(spark, sf, "sellers"))
+
+
+@register("csv_first_produit", O.with_star("""
+SELECT CAST(product_id AS VARCHAR) AS produit_id, COALESCE(t.product_category_name_english, p.product_category_name, 'unknown') AS categorie, product_weight_g AS poids_g
+FROM lines_products p LEFT JOIN lines_translation t ON p.product_category_name = t.product_category_name
+QUALIFY ROW_NUMBER() OVER (PARTITION BY product_id ORDER BY p.line, t.line) = 1""", [_lines_sql("products"), _lines_sql("translation")]))
+def q_first_produit(spark, sf):
+    """B14, B16 over files with repeated products and translations: the first line of the product, then of the translation."""
+    return star.dim_produit(_in_order(spark, sf, "products"), _in_order(spark, sf, "translation"))
+
+
+@register("csv_first_temps", O.with_star("""
+SELECT d.* REPLACE (CAST(ROW_NUMBER() OVER (ORDER BY f.line) AS INTEGER) AS temps_id) FROM dim_temps d JOIN (
+  SELECT CAST(order_purchase_timestamp AS DATE) AS date_achat, MIN(line) AS line FROM lines_orders
+  WHERE order_status = 'delivered' AND order_purchase_timestamp IS NOT NULL GROUP BY 1) f USING (date_achat)""", [_lines_sql("orders")]))
+def q_first_temps(spark, sf):
+    """Dates numbered in order of their first delivered order in the file."""
+    return star.dim_temps(star.delivered_orders(_in_order(spark, sf, "orders")))
+
+
+# CSV files with records of a wrong number of fields and cells that are no values
+SHORT_EVERY, LONG_EVERY, BAD_PRICE_EVERY = 11, 17, 7
+
+
+def _flawed(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Path of a source written line by line (its rows have no quotes or separators), some lines with a field too few or too many."""
+    df = raw(spark, sf_dir)[name]
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
+    if name == "orders":
+        cells[df.columns.index("order_purchase_timestamp")] = F.when(F.col("order_id") % BAD_EVERY == 0, "not a time").otherwise(cells[df.columns.index("order_purchase_timestamp")])
+    line = F.concat_ws(",", *cells)
+    if name == "items":
+        bad = F.col("product_id") % BAD_PRICE_EVERY == 0
+        line = F.concat_ws(",", *[F.when(bad, "n/a").otherwise(x) if c == "price" else x for c, x in zip(df.columns, cells)])
+        short = F.concat_ws(",", *cells[:-1])
+        line = F.when(F.col("order_id") % SHORT_EVERY == 0, short).when(F.col("order_id") % LONG_EVERY == 0, F.concat(line, F.lit(",more"))).otherwise(line)
+    path = f"{checkpoint_root(spark).rstrip('/')}/etoile-csv-{uuid.uuid4().hex}/{name}"
+    # one column named as the header line, and a separator that no line holds: lines are written as they are
+    df.select(line.alias(",".join(df.columns))).write.option("header", True).option("sep", "\u0001").csv(path)
+    return path
+
+
+@register("csv_rejects", O.with_star(f"""
+SELECT 'orders' AS table_name, 'order_purchase_timestamp' AS column_name, 'cast' AS reason, COUNT(*) AS nb FROM src_orders WHERE order_id % {BAD_EVERY} = 0
+UNION ALL SELECT 'items', NULL, 'fields', COUNT(*) FROM src_items WHERE order_id % {SHORT_EVERY} = 0 OR order_id % {LONG_EVERY} = 0
+UNION ALL SELECT 'items', 'price', 'cast', COUNT(*) FROM src_items WHERE order_id % {SHORT_EVERY} <> 0 AND product_id % {BAD_PRICE_EVERY} = 0"""))
+def q_rejects(spark, sf):
+    """What the CSV reader could not read, by table, column and reason."""
+    return reject_counts(rejected(spark, _flawed(spark, sf, "orders"), "orders").unionByName(rejected(spark, _flawed(spark, sf, "items"), "items")))
+
+
 @register("warehouse_fait_ventes", O.with_star("SELECT * FROM fait_ventes"))
 def q_warehouse_fact(spark, sf):
     """The ETL job's fact, written to a warehouse in the checkpoint folder and read back."""
