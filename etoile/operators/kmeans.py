@@ -14,22 +14,30 @@ fit (about 70 x 40 passes). Here every fit advances in the same pass:
   mean feature variance (the source's rule); the loop ends when all have converged or after
   ``max_iter`` passes; a last pass computes each model's cost.
 
-Initialisation is k-means++ (as the source's default) over all points, also in shared passes: the
-c-th center of every model is drawn in one pass. A point's key is ``-ln(u) / d2``, with ``u`` a hash of
-the point's id, the model's seed and the step, and ``d2`` its squared distance to the centers so far;
-the point with the smallest key is a draw with probability proportional to ``d2`` (the first center:
-``d2 = 1``). A partition sends one point per model. An empty cluster keeps its previous center.
+Initialisation, for all models in shared passes: a few rounds draw points with probability proportional to their squared distance from the points drawn
+so far (one uniform draw, then ``ROUNDS`` times ``OVERSAMPLE * k`` of them), one more pass weighs each drawn point by the points nearest to it, and the
+k centers are chosen among these weighted candidates on the driver (at most 1 + ROUNDS x OVERSAMPLE x k a model) by the source's default, greedy k-means++: at each step several candidates are drawn and the
+one that leaves the smallest weighted potential is taken; Lloyd steps over the candidates follow. That is ROUNDS + 2 passes whatever k is. A draw: a
+point's key is ``-ln(u) / d2``, with ``u`` a hash of the point's id, the model's seed and the round, and ``d2`` its squared distance to the points drawn; the smallest keys are
+drawn. A partition sends that many points per model.
+
+An empty cluster moves, as the source's do, to the point farthest from its center (several to as many farthest points; equal distances by the
+id's hash), which then no longer counts where it was. Only models with an empty cluster ask for these points: a top-k per model, in a pass of its own.
+If every point is on a center, an empty cluster keeps its place.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+ROUNDS, OVERSAMPLE = 2, 4             # rounds of draws, and points drawn in each, per center
+
 
 @dataclass
 class KMeansFit:
@@ -51,45 +59,115 @@ def uniform(h: np.ndarray, seed: int, step: int) -> np.ndarray:
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0 ** 53
 
 
-def draw_keys(x: np.ndarray, h: np.ndarray, seed: int, chosen: np.ndarray) -> np.ndarray:
-    """Keys of the points for the next center after ``chosen`` (rows); the smallest is drawn. All points on a center: by hash alone."""
-    race = -np.log(uniform(h, seed, len(chosen)))
-    if not len(chosen):
+def draw_keys(x: np.ndarray, h: np.ndarray, seed: int, drawn: np.ndarray, step: int) -> np.ndarray:
+    """Keys of the points for the draw of round ``step`` after ``drawn`` (rows); the smallest are drawn. Points on a drawn one: never, unless nothing else is left."""
+    race = -np.log(uniform(h, seed, step))
+    if not len(drawn):
         return race
-    d2 = ((x[:, None, :] - chosen[None, :, :]) ** 2).sum(2).min(1)
+    d2 = _square_distances(x, drawn).min(1)
     with np.errstate(divide="ignore"):
         return np.where(d2 > 0, race / d2, np.inf)
 
 
-def _drawn(cols: list[str], fits: list[KMeansFit]):
-    """mapInPandas function: per model, the partition's point of smallest key (infinite keys by race alone)."""
-    models = [(m, f.seed, f.centers) for m, f in enumerate(fits)]
+def _square_distances(x: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """(points, centers); summed over the coordinates in turn, so that equal points have distance 0."""
+    out = np.zeros((len(x), len(c)))
+    for i in range(x.shape[1]):
+        out += (x[:, i, None] - c[None, :, i]) ** 2
+    return out
+
+
+def _drawn(cols: list[str], fits: list[KMeansFit], wanted: list[int], step: int):
+    """mapInPandas function: per model, the partition's points of smallest keys (infinite keys by hash)."""
+    models = [(m, f.seed, f.centers, n) for m, (f, n) in enumerate(zip(fits, wanted))]
 
     def fn(batches):
-        best: dict[int, tuple] = {}
+        best: dict[int, list] = {}
         for pdf in batches:
             if not len(pdf):
                 continue
             x, h = pdf[cols].to_numpy(dtype=float), pdf["_h"].to_numpy()
-            for m, seed, chosen in models:
-                key, race = draw_keys(x, h, seed, chosen), uniform(h, seed, len(chosen))
-                i = int(np.lexsort((h, race, key))[0])
-                cand = (float(key[i]), float(race[i]), int(h[i]), *x[i].tolist())
-                best[m] = min(best.get(m, cand), cand)
-        yield pd.DataFrame([(m, *c) for m, c in sorted(best.items())], columns=["model", "key", "race", "h", *cols])
+            for m, seed, drawn, n in models:
+                key = draw_keys(x, h, seed, drawn, step)
+                some = np.lexsort((h, key))[:n] if n >= len(key) else np.flatnonzero(key <= np.partition(key, n - 1)[n - 1])
+                best[m] = sorted(best.get(m, []) + [(float(key[i]), int(h[i]), *x[i].tolist()) for i in some])[:n]
+        yield pd.DataFrame([(m, *p) for m, points in sorted(best.items()) for p in points], columns=["model", "key", "h", *cols])
+    return fn
+
+
+def _weighed(cols: list[str], fits: list[KMeansFit]):
+    """mapInPandas function: per model and drawn point, how many points of the partition are nearest to it (ties: the first)."""
+    models = [f.centers for f in fits]
+
+    def fn(batches):
+        counts = [np.zeros(len(c), dtype=np.int64) for c in models]
+        for pdf in batches:
+            x = pdf[cols].to_numpy(dtype=float)
+            for n, c in zip(counts, models):
+                if len(x):
+                    n += np.bincount(_square_distances(x, c).argmin(1), minlength=len(c))
+        yield pd.DataFrame([(m, i, int(v)) for m, n in enumerate(counts) for i, v in enumerate(n) if v], columns=["model", "point", "n"])
     return fn
 
 
+def greedy_centers(points: np.ndarray, weights: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """Greedy k-means++ over weighted points: 2 + ln k candidates a step, the one that leaves the smallest potential is taken."""
+    rng, trials = np.random.default_rng(seed), 2 + int(np.log(k))
+    d2 = _square_distances(points, points)
+    chosen = [int(rng.choice(len(points), p=weights / weights.sum()))]
+    left = d2[chosen[0]]
+    while len(chosen) < k:
+        mass = left * weights
+        if mass.sum() > 0:
+            tried = rng.choice(len(points), size=trials, p=mass / mass.sum())
+        else:
+            tried = np.arange(1)                                    # every point is on a center
+        after = np.minimum(left[None, :], d2[tried])
+        best = int(np.argmin((after * weights).sum(1)))
+        chosen.append(int(tried[best]))
+        left = after[best]
+    return points[chosen]
+
+
+def _settled(points: np.ndarray, weights: np.ndarray, centers: np.ndarray, steps: int = 100) -> np.ndarray:
+    """Lloyd steps over weighted points, until nothing moves."""
+    for _ in range(steps):
+        near = _square_distances(points, centers).argmin(1)
+        mass = np.bincount(near, weights=weights, minlength=len(centers))
+        sums = np.stack([np.bincount(near, weights=weights * points[:, i], minlength=len(centers)) for i in range(points.shape[1])], axis=1)
+        new = np.where(mass[:, None] > 0, sums / np.maximum(mass, 1)[:, None], centers)
+        if np.array_equal(new, centers):
+            break
+        centers = new
+    return centers
+
+
+def candidates(data: DataFrame, cols: list[str], fits: list[KMeansFit]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Each model's drawn points and their weights, in ROUNDS + 2 passes over ``data`` (columns ``_h`` and ``cols``)."""
+    schema = "model int, key double, h long, " + ", ".join(f"`{c}` double" for c in cols)
+    drawn = [KMeansFit(f.k, f.seed, np.zeros((0, len(cols)))) for f in fits]
+    for step in range(ROUNDS + 1):
+        wanted = [OVERSAMPLE * f.k if step else 1 for f in drawn]
+        limit = reduce(lambda e, m: e.when(F.col("model") == m, wanted[m]), range(1, len(fits)), F.when(F.col("model") == 0, wanted[0]))
+        rank = F.row_number().over(Window.partitionBy("model").orderBy("key", "h"))
+        rows = (data.select("_h", *cols).mapInPandas(_drawn(cols, drawn, wanted, step), schema).withColumn("_rank", rank).where(F.col("_rank") <= limit).collect())
+        fresh: dict[int, list] = {}                                                      # OVERSAMPLE * k rows per model
+        for r in sorted(rows, key=lambda r: (r.model, r["_rank"])):
+            if r.key < np.inf:
+                fresh.setdefault(r.model, []).append([r[c] for c in cols])
+        for m, points in fresh.items():
+            drawn[m].centers = np.vstack([drawn[m].centers, points])
+    rows = (data.select(*cols).mapInPandas(_weighed(cols, drawn), "model int, point int, n long").groupBy("model", "point").agg(F.sum("n").alias("n")).collect())
+    weights = [np.zeros(len(f.centers)) for f in drawn]
+    for r in rows:
+        weights[r.model][r.point] = r.n
+    return [(f.centers, w) for f, w in zip(drawn, weights)]
+
+
 def seed_centers(data: DataFrame, cols: list[str], fits: list[KMeansFit]) -> None:
-    """k-means++ centers of every fit, one pass over ``data`` (columns ``_h`` and ``cols``) per center."""
-    schema = "model int, key double, race double, h long, " + ", ".join(f"`{c}` double" for c in cols)
-    point = F.struct("key", "race", "h", *cols)
-    for step in range(max(f.k for f in fits)):
-        todo = [f for f in fits if f.k > step]
-        rows = (data.select("_h", *cols).mapInPandas(_drawn(cols, todo), schema)
-                .groupBy("model").agg(F.min(point).alias("p")).collect())              # one row per model
-        for r in rows:
-            todo[r.model].centers = np.vstack([todo[r.model].centers, [r.p[c] for c in cols]])
+    """Starting centers of every fit: greedy k-means++ among its weighted candidates, settled over them."""
+    for f, (points, weights) in zip(fits, candidates(data, cols, fits)):
+        f.centers = _settled(points, weights, greedy_centers(points, weights, f.k, f.seed))
 
 
 def _groups(layout: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
@@ -155,12 +233,55 @@ def _pass(data: DataFrame, cols: list[str], fits: list[KMeansFit]):
             .collect())                                             # sum(k) rows
 
 
+def _far(cols: list[str], fits: list[KMeansFit], wanted: list[int]):
+    """mapInPandas function: per model, the partition's points farthest from their centers."""
+    models = [(m, f.centers, n) for m, (f, n) in enumerate(zip(fits, wanted))]
+
+    def fn(batches):
+        best: dict[int, list] = {}
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            x, h = pdf[cols].to_numpy(dtype=float), pdf["_h"].to_numpy()
+            for m, centers, n in models:
+                d2 = _square_distances(x, centers)
+                near, least = d2.argmin(1), d2.min(1)
+                some = np.lexsort((h, -least))[:n]
+                best[m] = sorted(best.get(m, []) + [(-float(least[i]), int(h[i]), int(near[i]), *x[i].tolist()) for i in some])[:n]
+        yield pd.DataFrame([(m, *p) for m, points in sorted(best.items()) for p in points], columns=["model", "worse", "h", "cluster", *cols])
+    return fn
+
+
+def _farthest(data: DataFrame, cols: list[str], fits: list[KMeansFit], wanted: list[int]) -> dict[int, list]:
+    """Per model, the ``wanted`` points farthest from their centers: (cluster, coordinates). ``data`` has ``_h``."""
+    schema = "model int, worse double, h long, cluster int, " + ", ".join(f"`{c}` double" for c in cols)
+    rank = F.row_number().over(Window.partitionBy("model").orderBy("worse", "h"))
+    rows = (data.select("_h", *cols).mapInPandas(_far(cols, fits, wanted), schema).withColumn("_rank", rank)
+            .where(F.col("_rank") <= max(wanted)).collect())                                           # k rows per model at most
+    out: dict[int, list] = {}
+    for r in sorted(rows, key=lambda r: (r.model, r["_rank"])):
+        if r.worse < 0:
+            out.setdefault(r.model, []).append((r.cluster, np.array([r[c] for c in cols])))
+    return {m: points[:wanted[m]] for m, points in out.items()}
+
+
 def _step(data: DataFrame, cols: list[str], fits: list[KMeansFit]) -> list[float]:
     """One Lloyd step of every fit; the squared shift of each one's centers."""
-    new = [f.centers.copy() for f in fits]
+    counts = [np.zeros(f.k) for f in fits]
+    sums = [np.zeros((f.k, len(cols))) for f in fits]
     for r in _pass(data, cols, fits):
-        if r.n > 0:
-            new[r.model][r.cluster] = np.array([r[f"s_{i}"] for i in range(len(cols))]) / r.n
+        counts[r.model][r.cluster] = r.n
+        sums[r.model][r.cluster] = [r[f"s_{i}"] for i in range(len(cols))]
+    lacking = [m for m, n in enumerate(counts) if (n == 0).any()]
+    if lacking:
+        empty = [np.flatnonzero(counts[m] == 0) for m in lacking]
+        for i, points in _farthest(data, cols, [fits[m] for m in lacking], [len(e) for e in empty]).items():
+            for to, (cluster, x) in zip(empty[i], points):
+                m = lacking[i]
+                counts[m][cluster] -= 1
+                sums[m][cluster] -= x
+                counts[m][to], sums[m][to] = 1, x
+    new = [np.where(n[:, None] > 0, s / np.maximum(n, 1)[:, None], f.centers) for n, s, f in zip(counts, sums, fits)]
     shifts = [float(((n - f.centers) ** 2).sum()) for n, f in zip(new, fits)]
     for n, f in zip(new, fits):
         f.centers = n
@@ -218,9 +339,10 @@ def inertia(df: DataFrame, cols: list[str], centers: np.ndarray) -> DataFrame:
     return df.agg(F.sum(F.array_min(_distances(cols, centers))).alias("inertie"))
 
 
-def lloyd(df: DataFrame, cols: list[str], centers: np.ndarray, steps: int) -> np.ndarray:
-    """The centers after so many steps from given ones; an empty cluster keeps its center."""
+def lloyd(df: DataFrame, cols: list[str], centers: np.ndarray, steps: int, id_col: str = "client_id") -> np.ndarray:
+    """The centers after so many steps from given ones."""
     fits = [KMeansFit(len(centers), 0, np.asarray(centers, dtype=float))]
+    data = df.select(F.xxhash64(id_col).alias("_h"), *cols)
     for _ in range(steps):
-        _step(df, cols, fits)
+        _step(data, cols, fits)
     return fits[0].centers
