@@ -20,6 +20,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
+import os
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +29,9 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-CACHE_PIECES = 400_000        # pieces kept between batches; then the cache starts anew
+from etoile.llm.text import small
+
+CACHE_PIECES = 400_000        # pieces kept between batches; then the older half goes
 GROUP_CHARS = 2_000_000       # code points encoded together
 
 
@@ -67,6 +71,7 @@ class Codec:
         return cls._kept[path, pattern]
 
     def __init__(self, path: str, pattern: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"       # a task has one core: the library's threads would only wait for each other
         ranks = read_ranks(path)
         table = byte_table()
         as_text = lambda b: "".join(map(table.__getitem__, b))
@@ -75,9 +80,10 @@ class Codec:
         self.model = Tokenizer(models.BPE(vocab={as_text(t): r for t, r in ranks.items()}, merges=merges))
         self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.cut = regex.compile(pattern).findall
-        self.bytes_of = {r: t for t, r in ranks.items()}
-        self.size_of = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
-        for t, r in ranks.items():
+        back = {c: b for b, c in table.items()}
+        self.bytes_of = {r: bytes(map(back.__getitem__, t)) for t, r in self.model.get_vocab().items()}      # the byte table, reversed
+        self.size_of = np.zeros(max(self.bytes_of) + 1, dtype=np.int64)
+        for r, t in self.bytes_of.items():
             self.size_of[r] = len(t)
         self.cache: dict[str, bytes] = {}
 
@@ -86,7 +92,8 @@ class Codec:
         pieces = [self.cut(t) for t in texts]
         fresh = list({p for ps in pieces for p in ps if p not in self.cache})
         if len(self.cache) + len(fresh) > CACHE_PIECES:
-            self.cache, fresh = {}, list({p for ps in pieces for p in ps})
+            self.cache = dict(itertools.islice(self.cache.items(), len(self.cache) // 2, None))              # the older half goes
+            fresh = list({p for ps in pieces for p in ps if p not in self.cache})
         for i in range(0, len(fresh), 20_000):
             part = fresh[i:i + 20_000]
             for piece, e in zip(part, self.model.encode_batch_fast(part, add_special_tokens=False)):
@@ -122,7 +129,7 @@ def _groups(texts: list[str]):
 
 def _each(batches, path: str, pattern: str, make, names: list[str], schema: list):
     codec = Codec.of(path, pattern)
-    for batch in batches:
+    for batch in small(batches):
         texts = ["" if t is None else t for t in batch.column("text").to_pylist()]
         for i, j in _groups(texts):
             made = [make(codec, ids) for ids in codec.encode(texts[i:j])]

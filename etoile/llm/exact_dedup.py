@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from etoile.llm.sieve import passes, sieve
-from etoile.llm.text import utf8
+from etoile.llm.text import small, utf8
 from etoile.session import dematerialize, materialize
 
 BLOCK_BYTES = 4096
@@ -46,7 +46,7 @@ def _key(text: bytes) -> int:
 def _marks(block_bytes: int):
     """Of each row: a key of the text, and the fingerprints of its blocks."""
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             texts = utf8(batch.column("text"), lower=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([_key(t) for t in texts], pa.int64()),
@@ -57,7 +57,7 @@ def _marks(block_bytes: int):
 def _blocks(block_bytes: int, wanted):
     """Of each row: its columns, the digest of the text, and its blocks if its key may be wanted."""
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             texts = utf8(batch.column("text"), lower=True)
             some = passes(wanted.value, np.array([_key(t) for t in texts], dtype=np.int64))
             yield pa.RecordBatch.from_arrays(

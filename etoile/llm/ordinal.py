@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from etoile.llm.text import Words, chunked, mix, utf8
+from etoile.llm.text import Words, chunked, mix, small, utf8
 
 SAMPLE_ROWS = 20_000
 MIN_TEXTS, SCREEN = 5, 4.0
@@ -96,7 +96,7 @@ def _shape(text: bytes) -> bytes:
 
 
 def _sample_features(batches):
-    for batch in batches:
+    for batch in small(batches):
         buckets, shares = features(utf8(batch.column("text")))
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("grade"), pa.array([b.tobytes() for b in buckets], pa.binary()),
@@ -187,7 +187,7 @@ def predict(model: Model, texts: list[bytes]) -> np.ndarray:
 
 def _scores(shared):
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             above = predict(shared.value, utf8(batch.column("text")))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(above.sum(1)), pa.array(above[:, -1])],
                                              [*batch.schema.names, "expected_grade", "tail"])

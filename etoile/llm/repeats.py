@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from etoile.llm.lists import pack, unpack
-from etoile.llm.text import Words, chunked, inside, utf8, window_hashes
+from etoile.llm.text import Words, chunked, inside, small, utf8, window_hashes
 from etoile.session import materialize
 
 WINDOW = 13
@@ -73,7 +73,7 @@ def _partial_sketch(k: int):
 
     def run(batches):
         hashes, held = [], 0
-        for batch in batches:
+        for batch in small(batches):
             texts = utf8(batch.column("text"))
             for i, j in chunked(texts):
                 words = Words(texts[i:j])
@@ -159,7 +159,7 @@ def _candidates(k: int, shared, ranges: int):
 
     def run(batches):
         bitmaps, parts, held, seen = _bitmaps(shared.value), [], 0, 0
-        for batch in batches:
+        for batch in small(batches):
             texts, ids = utf8(batch.column("text")), _ids(batch)
             marks = batch.column("mark").to_numpy()
             for i, j in chunked(texts):
@@ -212,7 +212,7 @@ def _resolve(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def _cover(k: int, digests: bool):
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             texts = utf8(batch.column("text"))
             n_words, n_removed, out = [], [], []
             for text, blobs in zip(texts, batch.column("starts").to_pylist()):

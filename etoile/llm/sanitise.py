@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from etoile.llm.text import Words, chunked
+from etoile.llm.text import Words, chunked, small
 from etoile.session import dematerialize, materialize
 
 KINDS = ("email", "ip", "card", "phone")
@@ -124,7 +124,7 @@ def _digest(text: str) -> int:
 
 def _with_entities(batches):
     """(digest, entities, terms) of the texts that have an entity."""
-    for batch in batches:
+    for batch in small(batches):
         digests, entities, terms = [], [], []
         for text in _texts(batch):
             spans = base_spans(text)
@@ -142,7 +142,7 @@ def _found(bitmap):
     """Base spans of every row, and the places of the words that pass the bitmap."""
     def run(batches):
         marked = np.unpackbits(np.frombuffer(bitmap.value, dtype=np.uint8)).astype(bool)
-        for batch in batches:
+        for batch in small(batches):
             texts = _texts(batch)
             base = [base_spans(t) for t in texts]
             blank = [_blank(t, s).encode() for t, s in zip(texts, base)]
@@ -226,7 +226,7 @@ def find_spans(docs: DataFrame, **thresholds) -> DataFrame:
 
 def _clean(remove_at: float):
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             out = []
             for text, terms in zip(_texts(batch), batch.column("terms").to_pylist()):
                 cuts = [(a, b, f"[{k.upper()}]") for k, found in base_spans(text).items() for a, b in found]
@@ -252,6 +252,6 @@ def sanitise(docs: DataFrame, remove_at: float = REMOVE_AT, **thresholds) -> Dat
 
 
 def _keyed(batches):
-    for batch in batches:
+    for batch in small(batches):
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([_digest(t) for t in _texts(batch)], pa.int64())],
                                          ["doc_id", "text", "digest"])

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from etoile.llm.components import components, sized
 from etoile.llm.lists import pack, unpack
 from etoile.llm.sieve import passes, sieve
-from etoile.llm.text import Words, chunked, mix, utf8, window_hashes
+from etoile.llm.text import Words, chunked, mix, small, utf8, window_hashes
 from etoile.session import dematerialize, materialize
 
 SKETCH_BITS = 20            # counters of the order's sketch (32 bits each)
@@ -76,7 +76,7 @@ def _token_counts(k: int):
     """(slice, counts): this task's counters, in 16 slices."""
     def run(batches):
         total = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
-        for batch in batches:
+        for batch in small(batches):
             texts = _texts(batch)
             for i, j in chunked(texts):
                 cells, n = np.unique(_cells(np.concatenate(shingle_sets(texts[i:j], k))), return_counts=True)
@@ -127,7 +127,7 @@ def _describe(k: int, shared, num: int, den: int):
     """Of each row: id, size of its set, 128-bit key of the set, routing tokens and bitmap."""
     def run(batches):
         classes = shared.value
-        for batch in batches:
+        for batch in small(batches):
             sets = shingle_sets(_texts(batch), k)
             keys = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
             halves = np.frombuffer(b"".join(keys), dtype=np.int64).reshape(-1, 2)
@@ -499,7 +499,7 @@ def _sets_of(k: int, wanted):
     """(key1, key2, tokens) of the distinct sets whose key may be wanted, once per task and batch."""
     def run(batches):
         seen: set[bytes] = set()
-        for batch in batches:
+        for batch in small(batches):
             rows = []
             for s in shingle_sets(_texts(batch), k):
                 digest = xxhash.xxh3_128_digest(s.tobytes())

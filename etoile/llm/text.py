@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 CHUNK_BYTES = 1 << 20      # texts handled together; a longer text is a chunk of its own
 
@@ -33,6 +34,17 @@ def utf8(column: pa.ChunkedArray | pa.Array, lower: bool = False) -> list[bytes]
     return [b.lower() for b in out] if lower else out
 
 
+def small(batches, limit: int = 4 * CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches, cut where their texts pass ``limit`` bytes (one row at least): a whole batch may be far larger than what a task should copy at once."""
+    for batch in batches:
+        size = np.asarray(pc.fill_null(pc.binary_length(batch.column("text")), 0), dtype=np.int64)
+        ends, i = np.cumsum(size), 0
+        while i < batch.num_rows:
+            j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + limit, side="right")))
+            yield batch.slice(i, j - i)
+            i = j
+
+
 def chunked(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges ``[i, j)`` of ``texts`` of about ``limit`` bytes, each at least one text."""
     i, size = 0, 0

@@ -46,8 +46,10 @@ def test_raking_equals_brute_force(spark):
     cells = out.groupby(["mix_source", "mix_language", "mix_topic"])["mix_tokens"].sum().astype(float)
     w = cells.copy()
     def targets(level, given):
-        there = {k: given.get(k, 0.0) for k in w.index.get_level_values(level).unique()}
-        return {k: v / sum(there.values()) for k, v in there.items()}
+        seen = dict(cells.groupby(level=level).sum() / cells.sum())
+        free = {k: v for k, v in seen.items() if k not in given}                     # no target: the observed share stays
+        named = sum(given[k] for k in seen if k in given)
+        return free | {k: given[k] / named * (1 - sum(free.values())) for k in seen if k in given}
     share = cells.groupby(level=0).sum() / cells.sum()
     aims = [dict((share ** 0.7) / (share ** 0.7).sum()), targets(1, mixing.LANGUAGES), targets(2, mixing.TOPICS)]
     for _ in range(5):

@@ -39,14 +39,41 @@ def test_held_out_grades(spark):
     assert mean[0] < mean[1] < mean[2] and all(0 <= out[i].tail <= out[i].expected_grade <= 2 for i, _ in truth)
 
 
-def test_gradient_of_the_likelihood():
-    """The fit is no worse than small moves of its own parameters."""
+def loss(p, x, text, column, columns, grade):
+    """Penalised negative log likelihood per row, from the definition: weights, share weights, then the thresholds."""
+    w, u, theta = p[:columns], p[columns:columns + x.shape[1]], p[columns + x.shape[1]:]
+    score = np.bincount(text, weights=w[column], minlength=len(grade)) + x @ u
+    above = np.concatenate([np.ones((len(grade), 1)), 1 / (1 + np.exp(theta - score[:, None])), np.zeros((len(grade), 1))], axis=1)
+    prob = above[np.arange(len(grade)), grade] - above[np.arange(len(grade)), grade + 1]
+    return -np.log(prob).mean() + 0.5 * ordinal.RIDGE * ((w ** 2).sum() + (u ** 2).sum())
+
+
+def test_fit_is_no_worse_than_small_moves_of_its_parameters():
+    """By finite differences of the likelihood in every parameter."""
+    rnd = np.random.default_rng(0)
+    buckets = [np.unique(rnd.integers(0, 30, 8)) for _ in range(400)]
+    text, column = np.repeat(np.arange(400), [len(b) for b in buckets]), np.concatenate(buckets)
+    grade = np.digitize(np.array([(b < 6).sum() - (b > 24).sum() for b in buckets]) + rnd.normal(size=400), [-0.5, 1.0])
+    x = rnd.normal(size=(400, 3))
+    p = np.concatenate(ordinal._fit(x, text, column, 30, grade))
+    least = loss(p, x, text, column, 30, grade)
+    for i in range(len(p)):
+        for move in (-0.05, 0.05):
+            moved = p.copy()
+            moved[i] += move
+            assert loss(moved, x, text, column, 30, grade) > least - 1e-6
+    assert p[:6].min() > 0.3 and p[25:30].max() < -0.3
+
+
+def test_screened_buckets_and_ordered_thresholds(monkeypatch):
+    monkeypatch.setattr(ordinal, "SCREEN", 0.0)
     rnd = np.random.default_rng(0)
     buckets = [np.unique(rnd.integers(0, 30, 8)).astype(np.int32) for _ in range(400)]
     score = np.array([(b < 6).sum() - (b > 24).sum() for b in buckets]) + rnd.normal(size=400)
     grade = np.digitize(score, [-0.5, 1.0])
     model = ordinal._optimise(buckets, rnd.normal(size=(400, len(ordinal.SHARES))), grade)
     assert (np.diff(model.thresholds) > 0).all()
+    assert model.buckets.tolist() == list(range(30))                # nothing is screened off
     low, high = (model.weights[np.isin(model.buckets, r)].mean() for r in (range(6), range(25, 30)))
     assert low > 0.3 and high < -0.3
 
