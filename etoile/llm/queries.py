@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from etoile.llm import bpe, conversations, ctw, exact_dedup, forest, licences, merkle, mixing, ordinal, repeats, sanitise, signature_join, topk
 from etoile.llm.oracle import ORACLE  # noqa: F401 (part of this module's interface)
+from etoile.llm.text import small_batches
 from etoile.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +22,7 @@ def query(fn):
     @functools.wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
+        small_batches(spark)
         return fn(spark, sf_dir)
     QUERIES[fn.__name__] = run
     return run

@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+BATCH_ROWS, BATCH_BYTES = 1000, 1 << 22
 CHUNK_BYTES = 1 << 20      # texts handled together; a longer text is a chunk of its own
 
 _SPACE = np.zeros(256, dtype=bool)
@@ -34,6 +35,12 @@ def utf8(column: pa.ChunkedArray | pa.Array, lower: bool = False) -> list[bytes]
     return [b.lower() for b in out] if lower else out
 
 
+def small_batches(spark) -> None:
+    """Arrow batches of at most BATCH_ROWS rows and about BATCH_BYTES in this session: Spark's own bounds let every task hold tens of MB of texts on both sides."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def small(batches, limit: int = 4 * CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches, cut where their texts pass ``limit`` bytes (one row at least): a whole batch may be far larger than what a task should copy at once."""
     for batch in batches:
