@@ -1,21 +1,36 @@
 """The corpus pipeline: documents through five operators, each stage written and read again by the next.
 
 Every stage works on all rows of the stage before; all but the last return the columns of ``documents``.
+
+Rules of all stages: null texts count as empty, texts of any length are whole, an empty table gives an empty result, other columns are left out. Quality classifier: repeated rows and ties are judged
+alike; without labels all stay. Exact dedup: empty and null texts are equal; of equal texts the row with the largest id stays (null ids last), of equal rows one. Near copies: documents without words are linked with nothing; rows
+are dropped by id, so a row without id always stays, and rows that share an id go together. Mixing: equal ids are drawn alike. Encoding: each row is on its own.
 """
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from etoile.llm import bpe, exact_dedup, mixing, ordinal, signature_join
 from etoile.llm.queries import VOCABULARY
 from etoile.llm.sieve import without
+from etoile.llm.text import small_batches
 from etoile.session import materialize, ship_package
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def stage(fn):
+    @functools.wraps(fn)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return fn(spark, docs, sf_dir)
+    return run
+
+
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose top grade (good and not toxic) is more likely than not; the others go."""
     labels = ordinal.graded(spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -44,8 +59,8 @@ def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return bpe.round_trip(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
-STAGES = [("quality_classifier", good_documents), ("exact_dedup", drop_copies), ("ngram_jaccard_join", drop_near_copies),
-          ("mix_sources", mix_sources), ("byte_bpe", encode_texts)]
+STAGES = [(name, stage(fn)) for name, fn in (
+    ("quality_classifier", good_documents), ("exact_dedup", drop_copies), ("ngram_jaccard_join", drop_near_copies), ("mix_sources", mix_sources), ("byte_bpe", encode_texts))]
 
 #: The fitted classifier and the token ids are beyond SQL; tests/llm compares the stages with brute force.
 ORACLE_SQL = None
@@ -55,6 +70,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage, from all of ``documents``."""
     ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), "stage")
+    for _, make in STAGES[:-1]:
+        docs = materialize(make(spark, docs, sf_dir), "stage")
     return STAGES[-1][1](spark, docs, sf_dir)
