@@ -115,8 +115,8 @@ def slowest_states_for(delays: DataFrame, region: str = ALL_REGIONS, top: int =
 
 
 def dashboard_frames(fact: DataFrame, dim_temps: DataFrame, dim_client: DataFrame, dim_produit: DataFrame,
-                     region: str = ALL_REGIONS) -> dict[str, DataFrame]:
-    """Every chart's data at once, as the source's dashboard loads it at start.
+                     region: str = ALL_REGIONS, orders: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Every chart's data at once, as the source's dashboard loads it at start; ``orders``: the order roll-up, if there is one.
 
     The base aggregates (monthly x region, per state, top categories, scores, quarters, global sums) are
     persisted: they are bounded by the calendar, the states, the score values and the top-k,
@@ -124,11 +124,11 @@ def dashboard_frames(fact: DataFrame, dim_temps: DataFrame, dim_client: DataFram
     derived frames then read these small frames and never the fact again.
     """
     base = {
-        "dash_ca": monthly_revenue(fact, dim_temps, dim_client),
+        "dash_ca": monthly_revenue(fact if orders is None else orders, dim_temps, dim_client),
         "dash_delai": delay_by_state(fact, dim_client),
         "dash_top_categories": top_categories(fact, dim_produit),
         "dash_scores": score_distribution(fact),
-        "dash_trend": quarterly_trend(fact, dim_temps),
+        "dash_trend": quarterly_trend(fact if orders is None else orders, dim_temps),
         "sums": global_sums(fact),
     }
     base = {k: v.persist() for k, v in base.items()}

@@ -18,6 +18,10 @@ dimensions grow with the data: they are left to the planner's size check
 threshold on the real shuffle size); beyond it the join is a shuffle join, with AQE's
 skew-join split for a hot key.
 
+Grain. What is grouped by month, region, quarter or client and not by item attributes (K1, K6, and with them D1, D5, M1, M21) reads the fact or, where a
+warehouse has it, the per-order roll-up ``order_rollup``: there an order is a row, so distinct orders are a plain count and nothing is grouped by the order
+again. ``measures`` has the same exact measures for both grains.
+
 Rounding follows ``etoile.functions.numeric``: exact DECIMAL sums, engine-stable averages.
 """
 
@@ -82,13 +86,34 @@ def merged_avg(total: str, count: str, digits: int) -> Column:
     return average_of(F.sum(total).cast("double"), F.sum(count), digits)
 
 
+def order_rollup(fact: DataFrame) -> DataFrame:
+    """The fact per order: client, date, items, and exact sums and counts of what the reports average.
+
+    An order has one client and one purchase date (they come from the order, see ``star.order_level``), so it is one row here; were it not, each
+    (order, client, date) would be.
+    """
+    money, score = f"decimal(18,{MONEY_SCALE})", f"decimal(28,{SCORE_SCALE})"
+    return fact.groupBy("commande_id", "client_id", "temps_id").agg(
+        F.count(F.lit(1)).alias("nb_articles"), F.sum(revenue()).alias("ca_exact"),
+        F.sum(price().cast(money)).alias("prix_exact"), F.count(price()).alias("nb_prix"),
+        F.sum(F.col("score_satisfaction").cast(score)).alias("score_exact"), F.count("score_satisfaction").alias("nb_scores"),
+        F.sum(F.col("delai_livraison_jours").cast(money)).alias("delai_exact"), F.count("delai_livraison_jours").alias("nb_delais"))
+
+
+def measures(rows: DataFrame) -> dict[str, Column]:
+    """Aggregates over items (the fact) or orders (``order_rollup``): revenue, orders, mean item price, mean score, mean delay."""
+    if "nb_articles" in rows.columns:
+        return {"ca": merged_sum("ca_exact"), "commandes": F.count("commande_id"), "panier": merged_avg("prix_exact", "nb_prix", 2),
+                "score": merged_avg("score_exact", "nb_scores", 2), "delai": merged_avg("delai_exact", "nb_delais", 1)}
+    return {"ca": revenue_total(), "commandes": nb_orders(), "panier": rounded_avg(price(), 2),
+            "score": rounded_avg("score_satisfaction", 2, SCORE_SCALE), "delai": rounded_avg("delai_livraison_jours", 1)}
+
+
 def kpi1_ca_mensuel_region(fact: DataFrame, dim_temps: DataFrame, dim_client: DataFrame) -> DataFrame:
     """K1: revenue (price + freight), distinct orders and mean item price per month and region."""
-    f = with_clients(with_dates(fact, dim_temps, "annee", "mois", "nom_mois"), dim_client, "region")
+    f, m = with_clients(with_dates(fact, dim_temps, "annee", "mois", "nom_mois"), dim_client, "region"), measures(fact)
     return (f.groupBy("annee", "mois", "nom_mois", "region")
-            .agg(revenue_total().alias("ca_total"),
-                 nb_orders().alias("nb_commandes"),
-                 rounded_avg(price(), 2).alias("panier_moyen"))
+            .agg(m["ca"].alias("ca_total"), m["commandes"].alias("nb_commandes"), m["panier"].alias("panier_moyen"))
             .orderBy("annee", "mois", F.desc("ca_total")))
 
 
@@ -149,9 +174,9 @@ def periode_trimestre(annee="annee", trimestre="trimestre") -> Column:
 
 def quarterly_revenue(fact: DataFrame, dim_temps: DataFrame, with_orders: bool = True) -> DataFrame:
     """Revenue (and distinct orders) per quarter: K6, and the series of D5 and M21."""
-    aggs = [revenue_total().alias("ca_total")]
+    aggs = [measures(fact)["ca"].alias("ca_total")]
     if with_orders:
-        aggs.append(nb_orders().alias("nb_commandes"))
+        aggs.append(measures(fact)["commandes"].alias("nb_commandes"))
     g = with_dates(fact, dim_temps, "annee", "trimestre").groupBy("annee", "trimestre").agg(*aggs)
     return (g.select("annee", "trimestre", periode_trimestre().alias("periode"), *[a for a in g.columns[2:]])
             .orderBy("annee", "trimestre"))

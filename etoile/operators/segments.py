@@ -19,7 +19,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from etoile.functions.numeric import SCORE_SCALE, rounded_avg
 from etoile.operators import kmeans, kpis
 from etoile.session import materialize
 
@@ -46,12 +45,10 @@ def client_profile(fact: DataFrame) -> DataFrame:
 
     The mean delay has no positive-delay filter here (unlike the KPIs), as in the source.
     """
+    m = kpis.measures(fact)
     return (fact.groupBy("client_id").agg(
-        kpis.nb_orders().alias("freq_achat"),
-        rounded_avg(kpis.price(), 2).alias("montant_moyen"),
-        kpis.revenue_total().alias("ca_total"),
-        rounded_avg("score_satisfaction", 2, SCORE_SCALE).alias("score_moyen"),
-        rounded_avg("delai_livraison_jours", 1).alias("delai_moyen"))
+        m["commandes"].alias("freq_achat"), m["panier"].alias("montant_moyen"), m["ca"].alias("ca_total"),
+        m["score"].alias("score_moyen"), m["delai"].alias("delai_moyen"))
         .filter(F.col("freq_achat") >= 1))
 
 

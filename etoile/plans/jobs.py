@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from etoile.functions.lookups import ALL_REGIONS
-from etoile.operators import star
+from etoile.operators import kpis, star
 from etoile.operators.dashboard import dashboard_frames
 from etoile.plans.reports import MINING, REPORTS, Tables
 from etoile.session import clear_materialized, materialize
@@ -48,7 +48,7 @@ def layout_for_write(name: str, df: DataFrame) -> DataFrame:
 
 
 def run_etl(spark: SparkSession, raw: dict[str, DataFrame], warehouse: str) -> dict[str, str]:
-    """B26 + A9: build the five tables, write them and make them the current load (see ``sources.warehouse``).
+    """B26 + A9: build the five tables, write them and the order roll-up, and make them the current load (see ``sources.warehouse``).
 
     A load that fails leaves the tables of the load before it readable. The date dimension is written first and read back to key the fact (its surrogate keys
     are then exactly the written ones, and the dates are not derived twice). The per-order
@@ -67,6 +67,9 @@ def run_etl(spark: SparkSession, raw: dict[str, DataFrame], warehouse: str) -> d
         path = f"{root}/{name}"
         layout_for_write(name, tables[name]).write.parquet(path)
         paths[name] = path
+    orders = kpis.order_rollup(spark.read.parquet(paths["FAIT_VENTES"]))
+    paths["FAIT_COMMANDES"] = f"{root}/FAIT_COMMANDES"
+    orders.sortWithinPartitions("temps_id", "client_id").write.parquet(paths["FAIT_COMMANDES"])
     name_load(spark, root)
     return paths
 
@@ -82,7 +85,7 @@ def dashboard(spark: SparkSession, warehouse: str, region: str = ALL_REGIONS) ->
     """The dashboard's frames over the written warehouse: base aggregates computed once and
     persisted, every chart derived from them (see ``dashboard.dashboard_frames``)."""
     t = read_star(spark, warehouse)
-    return dashboard_frames(t["FAIT_VENTES"], t["DIM_TEMPS"], t["DIM_CLIENT"], t["DIM_PRODUIT"], region)
+    return dashboard_frames(t["FAIT_VENTES"], t["DIM_TEMPS"], t["DIM_CLIENT"], t["DIM_PRODUIT"], region, t["FAIT_COMMANDES"])
 
 
 def write_reports(frames: dict[str, DataFrame], out: str) -> None:

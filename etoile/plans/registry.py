@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from etoile import oracle as O
-from etoile.operators import classify, quality, segments, star
+from etoile.operators import classify, kpis, quality, segments, star
 from etoile.plans import jobs, reports
 from etoile.plans.reports import REPORTS, Tables
-from etoile.session import checkpoint_root
+from etoile.session import checkpoint_root, materialize
 from etoile.sources.csv import read_csv_table, reject_counts, rejected
 from etoile.sources.schemas import FOREIGN_KEYS, PRIMARY_KEYS, RANGE_CHECKS, RAW_COLUMNS, not_null_columns
 from etoile.sources.testdata import load_test_tables, raw_from_testdata
@@ -475,6 +475,35 @@ sql_only("dash_delai_region", _delai_region_sql(None))
 sql_only("dash_delai_region_sudeste", _delai_region_sql("Sudeste"))
 
 
+# ------------------------------------------------------------------ the same reports from the stored order roll-up
+
+def _with_orders(spark: SparkSession, sf_dir: str) -> Tables:
+    t = star_tables(spark, sf_dir)
+    t["FAIT_COMMANDES"] = materialize(kpis.order_rollup(t["FAIT_VENTES"]), "commandes")
+    return t
+
+
+@register("commandes", O.with_star(f"""
+SELECT commande_id, client_id, temps_id, COUNT(*) AS nb_articles, CAST(SUM({O.REV}) AS DOUBLE) AS ca_exact, CAST(SUM({O.dec('prix_unitaire')}) AS DOUBLE) AS prix_exact,
+  COUNT(prix_unitaire) AS nb_prix, CAST(SUM({O.dec('score_satisfaction', O.SCORE)}) AS DOUBLE) AS score_exact, COUNT(score_satisfaction) AS nb_scores,
+  CAST(SUM({O.dec('delai_livraison_jours')}) AS DOUBLE) AS delai_exact, COUNT(delai_livraison_jours) AS nb_delais
+FROM fait_ventes GROUP BY commande_id, client_id, temps_id"""))
+def q_orders(spark, sf):
+    """The order roll-up; its exact decimals as doubles."""
+    orders = kpis.order_rollup(star_tables(spark, sf)["FAIT_VENTES"])
+    return orders.select(*[F.col(c).cast("double").alias(c) if c.endswith("_exact") else c for c in orders.columns])
+
+
+def from_orders(name: str) -> None:
+    """A report over the stored order roll-up: the same rows as from the fact."""
+    QUERIES[f"commandes_{name}"] = lambda spark, sf, _n=name: REPORTS[_n](_with_orders(spark, sf))
+    ORACLE[f"commandes_{name}"] = ORACLE[name]
+
+
+for _name in ("kpi1_ca_mensuel_region", "kpi6_ca_trimestriel", "dash_ca", "dash_trend"):
+    from_orders(_name)
+
+
 # ------------------------------------------------------------------ M21-M28: forecast
 
 _TREND = [f"""trend AS (
@@ -519,6 +548,9 @@ FROM (SELECT t AS t_last, annee, trimestre FROM trend ORDER BY t DESC LIMIT 1) l
      (SELECT * FROM range(1, 3) r(step)) s, model m""", _TREND))
 
 
+from_orders("trend_index")
+
+
 # ------------------------------------------------------------------ M1-M10: segments
 
 _PROFILE = [f"""profile AS (
@@ -531,6 +563,7 @@ _PROFILE = [f"""profile AS (
 
 
 sql_only("client_profile", O.with_star("SELECT * FROM profile", _PROFILE))
+from_orders("client_profile")
 
 
 _Z = ", ".join(

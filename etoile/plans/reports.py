@@ -49,20 +49,25 @@ def _f(t: Tables) -> DataFrame:
     return t["FAIT_VENTES"]
 
 
+def _orders(t: Tables) -> DataFrame:
+    """The order roll-up where the warehouse has it, else the fact: for reports that do not look at items."""
+    return t.get("FAIT_COMMANDES", _f(t))
+
+
 # star tables themselves
 for _n, _t in (("dim_temps", "DIM_TEMPS"), ("dim_client", "DIM_CLIENT"), ("dim_produit", "DIM_PRODUIT"),
                ("dim_vendeur", "DIM_VENDEUR"), ("fait_ventes", "FAIT_VENTES")):
     REPORTS[_n] = lambda t, _t=_t: t[_t]
 
 # K: KPI queries
-REPORTS["kpi1_ca_mensuel_region"] = lambda t: kpis.kpi1_ca_mensuel_region(_f(t), t["DIM_TEMPS"], t["DIM_CLIENT"])
+REPORTS["kpi1_ca_mensuel_region"] = lambda t: kpis.kpi1_ca_mensuel_region(_orders(t), t["DIM_TEMPS"], t["DIM_CLIENT"])
 REPORTS["kpi2_ca_mensuel_categorie"] = lambda t: kpis.kpi2_ca_mensuel_categorie(_f(t), t["DIM_TEMPS"],
                                                                                 t["DIM_PRODUIT"])
 REPORTS["kpi3_top_vendeurs"] = lambda t: kpis.kpi3_top_vendeurs(_f(t), t["DIM_VENDEUR"])
 REPORTS["kpi4_delai_etat"] = lambda t: kpis.kpi4_delai_etat(_f(t), t["DIM_CLIENT"])
 REPORTS["kpi5_top_categories_satisfaction"] = lambda t: kpis.kpi5_top_categories_satisfaction(_f(t),
                                                                                               t["DIM_PRODUIT"])
-REPORTS["kpi6_ca_trimestriel"] = lambda t: kpis.kpi6_ca_trimestriel(_f(t), t["DIM_TEMPS"])
+REPORTS["kpi6_ca_trimestriel"] = lambda t: kpis.kpi6_ca_trimestriel(_orders(t), t["DIM_TEMPS"])
 
 # Q: data quality
 REPORTS["dq_pk"] = quality.primary_key_duplicates
@@ -76,7 +81,7 @@ REPORTS["table_counts"] = quality.table_counts
 
 # D: dashboard data
 def _monthly(t: Tables) -> DataFrame:
-    return dashboard.monthly_revenue(_f(t), t["DIM_TEMPS"], t["DIM_CLIENT"])
+    return dashboard.monthly_revenue(_orders(t), t["DIM_TEMPS"], t["DIM_CLIENT"])
 
 
 def _delays(t: Tables) -> DataFrame:
@@ -92,7 +97,7 @@ REPORTS["dash_top_categories"] = _top_categories
 REPORTS["dash_categories_chart"] = lambda t: dashboard.categories_chart(_top_categories(t))
 REPORTS["dash_delai"] = _delays
 REPORTS["dash_scores"] = lambda t: dashboard.score_distribution(_f(t))
-REPORTS["dash_trend"] = lambda t: dashboard.quarterly_trend(_f(t), t["DIM_TEMPS"])
+REPORTS["dash_trend"] = lambda t: dashboard.quarterly_trend(_orders(t), t["DIM_TEMPS"])
 REPORTS["dash_headline"] = lambda t: dashboard.headline(_monthly(t), dashboard.global_sums(_f(t)))
 REPORTS["dash_regions"] = lambda t: dashboard.region_choices(_monthly(t))
 REPORTS["dash_ca_region"] = lambda t: dashboard.monthly_revenue_for(_monthly(t))
@@ -101,17 +106,17 @@ REPORTS["dash_delai_region"] = lambda t: dashboard.slowest_states_for(_delays(t)
 REPORTS["dash_delai_region_sudeste"] = lambda t: dashboard.slowest_states_for(_delays(t), "Sudeste")
 
 # forecast
-REPORTS["trend_index"] = lambda t: forecast.trend_index(_f(t), t["DIM_TEMPS"])
-REPORTS["forecast_model"] = lambda t: forecast.forecast_model(_f(t), t["DIM_TEMPS"])
-REPORTS["forecast_series"] = lambda t: forecast.forecast_series(_f(t), t["DIM_TEMPS"])
+REPORTS["trend_index"] = lambda t: forecast.trend_index(_orders(t), t["DIM_TEMPS"])
+REPORTS["forecast_model"] = lambda t: forecast.forecast_model(_orders(t), t["DIM_TEMPS"])
+REPORTS["forecast_series"] = lambda t: forecast.forecast_series(_orders(t), t["DIM_TEMPS"])
 
 # segments
-REPORTS["client_profile"] = lambda t: segments.client_profile(_f(t))
-REPORTS["client_sample"] = lambda t: segments.client_sample(segments.client_profile(_f(t)))
+REPORTS["client_profile"] = lambda t: segments.client_profile(_orders(t))
+REPORTS["client_sample"] = lambda t: segments.client_sample(segments.client_profile(_orders(t)))
 
 
 def _z(t: Tables) -> DataFrame:
-    return t.once("z", lambda: segments.client_zscores(_f(t)))
+    return t.once("z", lambda: segments.client_zscores(_orders(t)))
 
 
 REPORTS["client_zscores"] = lambda t: _z(t).select(
@@ -126,7 +131,7 @@ def _segments(t: Tables) -> DataFrame:
 REPORTS["client_segments"] = _segments
 REPORTS["segment_summary"] = lambda t: segments.segment_summary(_segments(t))
 REPORTS["segment_sizes"] = lambda t: segments.segment_sizes(_segments(t))
-REPORTS["segment_sample"] = lambda t: segments.segment_sample(segments.client_profile(_f(t)), _segments(t))
+REPORTS["segment_sample"] = lambda t: segments.segment_sample(segments.client_profile(_orders(t)), _segments(t))
 
 # the same steps from stated centers: what a fit leaves to be done, without the draw
 CENTERS = [[-0.5, -0.5, -0.5], [0.0, 0.75, 0.25], [1.0, -0.25, 0.5], [1.5, 0.5, 2.0]]
@@ -140,7 +145,7 @@ def _given(t: Tables) -> DataFrame:
 REPORTS["segments_given"] = lambda t: _given(t).select("client_id", "segment", "segment_label")
 REPORTS["segment_summary_given"] = lambda t: segments.segment_summary(_given(t))
 REPORTS["segment_sizes_given"] = lambda t: segments.segment_sizes(_given(t))
-REPORTS["segment_sample_given"] = lambda t: segments.segment_sample(segments.client_profile(_f(t)), _given(t))
+REPORTS["segment_sample_given"] = lambda t: segments.segment_sample(segments.client_profile(_orders(t)), _given(t))
 REPORTS["inertia_given"] = lambda t: segments.inertia(_z(t), CENTERS).select(F.round("inertie", 6).alias("inertie"))
 
 

@@ -1,6 +1,6 @@
 """Warehouse of Parquet tables: loads in versions, the reader of the current one, SQL views.
 
-Each load writes its five tables under a folder of its own, ``load-<id>``, and is then named by one small row
+Each load writes its five tables and the order roll-up under a folder of its own, ``load-<id>``, and is then named by one small row
 appended to ``_loads``. Readers take the load named last. A load that fails is never named, so the tables before it stay readable as a whole.
 """
 
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 STAR_NAMES = ("DIM_TEMPS", "DIM_CLIENT", "DIM_PRODUIT", "DIM_VENDEUR", "FAIT_VENTES")
+ROLLUPS = ("FAIT_COMMANDES",)     # derived from the fact: one row per order, for reports by month, region, quarter or client
 KEEP_LOADS = 2          # the current load and the one before it (for readers that began on it)
 
 
@@ -37,7 +38,7 @@ def name_load(spark: SparkSession, folder: str) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
-def read_star(spark: SparkSession, root: str, names=STAR_NAMES) -> dict[str, DataFrame]:
+def read_star(spark: SparkSession, root: str, names=(*STAR_NAMES, *ROLLUPS)) -> dict[str, DataFrame]:
     """The tables of the current load."""
     folder = _named(spark, root)[0]
     return {n: spark.read.parquet(f"{folder}/{n}") for n in names}
