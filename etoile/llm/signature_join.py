@@ -40,6 +40,7 @@ from etoile.llm.text import Words, chunked, mix, small, utf8, window_hashes
 from etoile.session import dematerialize, materialize
 
 SKETCH_BITS = 20            # counters of the order's sketch (32 bits each)
+COMPARED_BYTES = 1 << 23          # bitmaps of node pairs compared at once, on each side
 BUCKET = 4096               # members of a bucket that meet in one task
 BLOCK = 1024                # whole sets that meet in one task
 FANOUT = 8
@@ -169,8 +170,9 @@ def _possible(s: Tree, t: Tree, level: int, a: np.ndarray, b: np.ndarray, num: i
     fits = (high_a * den >= num * low_b) & (high_b * den >= num * low_a)
     out = np.zeros(len(a), dtype=bool)
     at = np.flatnonzero(fits)
-    for i in range(0, len(at), 1 << 17):
-        p = at[i:i + (1 << 17)]
+    step = max(256, COMPARED_BYTES // (8 * s.words[level].shape[1]))
+    for i in range(0, len(at), step):
+        p = at[i:i + step]
         both = np.bitwise_count(s.words[level][a[p]] & t.words[level][b[p]]).sum(1, dtype=np.int64)
         beyond_a = np.maximum(s.ones[level][a[p]] - both, 0)      # tokens of any set of a that no set of b has, at least
         beyond_b = np.maximum(t.ones[level][b[p]] - both, 0)
@@ -214,8 +216,8 @@ def traverse(s: Tree, t: Tree, num: int, den: int, apart):
         if level == 0:
             yield a, b
             continue
-        for i in range(0, len(a), 1 << 14):                      # at most 2^20 pairs at once
-            c = _children((a[i:i + (1 << 14)], b[i:i + (1 << 14)]), len(s.words[level - 1]), len(t.words[level - 1]), same)
+        for i in range(0, len(a), 1 << 12):                      # at most 2^18 pairs at once
+            c = _children((a[i:i + (1 << 12)], b[i:i + (1 << 12)]), len(s.words[level - 1]), len(t.words[level - 1]), same)
             stack.append((level - 1, *c))
 
 
