@@ -23,8 +23,10 @@ pairs AS (
 links AS MATERIALIZED (
   SELECT u, v FROM pairs JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * shared >= 90 * (x.n + y.n - shared)),
 reach(doc_id, node) AS (
-  SELECT doc_id, doc_id FROM n UNION SELECT r.doc_id, l.v FROM reach r JOIN links l ON l.u = r.node)
-SELECT r.doc_id, any_value(n.n) AS n_shingles, min(r.node) AS component_id FROM reach r JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+  SELECT doc_id, doc_id FROM n UNION SELECT r.doc_id, l.v FROM reach r JOIN links l ON l.u = r.node),
+linked AS (SELECT u AS doc_id, count(*) AS n_links FROM links GROUP BY u)
+SELECT r.doc_id, any_value(n.n) AS n_shingles, min(r.node) AS component_id, coalesce(any_value(l.n_links), 0) AS n_links
+FROM reach r JOIN n ON n.doc_id = r.doc_id LEFT JOIN linked l ON l.doc_id = r.doc_id GROUP BY r.doc_id
 """
 
 ORACLE["op5_exact_dedup"] = """

@@ -41,7 +41,7 @@ def op1_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return signature_join.jaccard_components(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+    return signature_join.jaccard_components(table(spark, sf_dir, "documents"), k=3, num=90, den=100).drop("class_id")
 
 
 @query

@@ -15,9 +15,9 @@ Distributed plan.
    go before anything is shuffled. Buckets hold bitmaps and sizes, not sets.
 3. In each bucket one tree is traversed with itself, and the surviving pairs' *coarse* components go on as at most one edge per member (never as pairs).
    A bucket of more than ``BUCKET`` members is cut; a task takes two parts of it.
-4. Representatives of a coarse component meet once with their whole sets: a tree again, then exact counts for pairs that are not yet connected.
-   Components of more than ``BLOCK`` representatives meet in blocks: first each block, then a few of each component found
-   so far, then those pairs of blocks that still hold different components. So a link is only left unchecked if its two ends are already in one component.
+4. Representatives of a coarse component meet with their whole sets: a tree again, then the exact overlap of every pair that it leaves, each pair once.
+   Components of more than ``BLOCK`` representatives meet in blocks and pairs of blocks. A task keeps the number of links of each member and one edge to the smallest
+   member it reaches, not the pairs. Link counts are weighted by copies, so copies are never expanded.
 
 Rules. Null text counts as empty. With fewer than ``k`` words the whole sequence is one shingle; without words the set is empty and links with
 nothing. The component's id is its smallest ``doc_id`` (nulls aside; null if it has no other). Repeated rows are equal sets, a row each. Ties do not matter: a component does not depend on
@@ -44,6 +44,7 @@ COMPARED_BYTES = 1 << 23          # bitmaps of node pairs compared at once, on e
 BUCKET = 4096               # members of a bucket that meet in one task
 BLOCK = 1024                # whole sets that meet in one task
 FANOUT = 8
+GATHERED = 1 << 21          # tokens of sets compared with one set at once (and a set more)
 
 
 # ------------------------------------------------------------------ sets
@@ -124,8 +125,8 @@ def bitmap(tokens: np.ndarray) -> bytes:
     return np.packbits(at, bitorder="little").tobytes()
 
 
-def _describe(k: int, shared, num: int, den: int):
-    """Of each row: id, size of its set, 128-bit key of the set, routing tokens and bitmap."""
+def _describe(k: int, shared, num: int, den: int, carry: tuple[str, ...] = ()):
+    """Of each row: id, size of its set, 128-bit key of the set, routing tokens, bitmap and the columns of ``carry``."""
     def run(batches):
         classes = shared.value
         for batch in small(batches):
@@ -136,8 +137,8 @@ def _describe(k: int, shared, num: int, den: int):
                 batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy()),
                 pa.array([_prefix(s, classes, num, den).view(np.int64) if len(s) else [] for s in sets], pa.list_(pa.int64())),
-                pa.array([bitmap(s) if len(s) else b"" for s in sets], pa.binary())],
-                ["doc_id", "size", "key1", "key2", "route", "bits"])
+                pa.array([bitmap(s) if len(s) else b"" for s in sets], pa.binary()), *(batch.column(c) for c in carry)],
+                ["doc_id", "size", "key1", "key2", "route", "bits", *carry])
     return run
 
 
@@ -252,8 +253,11 @@ class Groups:
         self.label = label
 
 
-def pairs_of(size: np.ndarray, raw: list[bytes], num: int, den: int, groups: Groups, part: np.ndarray | None = None):
-    """Yield arrays (a, b) of members that may link and are of different ``groups``. With ``part`` (0 or 1), only pairs of one of each."""
+def pairs_of(size: np.ndarray, raw: list[bytes], num: int, den: int, groups: Groups | None, part: np.ndarray | None = None):
+    """Yield arrays (a, b) of members that may link, each pair once. With ``groups``, only pairs of different ones; with ``part`` (0 or 1), only of one of each."""
+    def apart_in(at, other):
+        return lambda a, b: groups.label[at[a]] != groups.label[other[b]] if groups else np.ones(len(a), dtype=bool)
+
     wide = np.array([width_bits(int(n)) for n in size])
     sides = range(2) if part is not None else [None]
     by = {(g, w): np.flatnonzero((wide == w) & (part == g if g is not None else True)) for g in sides for w in np.unique(wide)}
@@ -272,7 +276,7 @@ def pairs_of(size: np.ndarray, raw: list[bytes], num: int, den: int, groups: Gro
                 continue
             s = tree(at, least)
             t = s if other is at else tree(other, least)
-            for a, b in traverse(s, t, num, den, lambda a, b, x=at, y=other: groups.label[x[a]] != groups.label[y[b]]):
+            for a, b in traverse(s, t, num, den, apart_in(at, other)):
                 yield at[a], other[b]
 
 
@@ -416,85 +420,87 @@ def coarse_edges(reps: DataFrame, num: int, den: int) -> DataFrame:
 
 # ------------------------------------------------------------------ exact links in coarse components
 
-def _link(sets: list[np.ndarray], groups: Groups, a: np.ndarray, b: np.ndarray, num: int, den: int) -> None:
-    """Join the groups of linked pairs; pairs that are in one group by then are not counted."""
-    while True:
-        apart = groups.label[a] != groups.label[b]
-        a, b = a[apart], b[apart]
-        if not len(a):
-            return
-        # one pair for each a at a time: a hit makes many of the others needless
-        first = np.unique(a, return_index=True)[1]
-        hit = np.zeros(len(first), dtype=bool)
-        for i, p in enumerate(first):
-            x, y = sorted((sets[a[p]], sets[b[p]]), key=len)
-            both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-            hit[i] = both * den >= num * (len(x) + len(y) - both)
-        groups.join(a[first[hit]], b[first[hit]])
-        left = np.ones(len(a), dtype=bool)
-        left[first] = False
-        a, b = a[left], b[left]
-
-
-def _exact_edges(num: int, den: int, key: list[str], cross: bool):
-    """Edges (u, v) of exact links in groups of whole sets; ``known`` is each member's component so far."""
+class Overlap:
+    """Exact sizes of intersections of the sets of one task's group; memory is linear in the sets."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.size = np.array([len(s) for s in sets], dtype=np.int64)
+        tokens, at = np.unique(np.concatenate(sets), return_inverse=True)
+        again = (np.bincount(at) > 1)[at]                         # a token of one set is in no intersection
+        self.at = at[again]
+        self.first = np.concatenate([[0], np.cumsum(np.add.reduceat(again.astype(np.int64), np.cumsum(self.size) - self.size))])
+        self.marked = np.zeros(len(tokens), dtype=np.uint8)
+
+    def __call__(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """|A n B| of each pair (a, b): the tokens of an a are marked once for all its b."""
+        out = np.zeros(len(a), dtype=np.int64)
+        order = np.argsort(a, kind="stable")
+        starts = np.flatnonzero(np.concatenate([[True], np.diff(a[order]) != 0]))
+        for i, j in zip(starts, np.append(starts[1:], len(a))):
+            mine = self.at[self.first[a[order[i]]]:self.first[a[order[i]] + 1]]
+            self.marked[mine] = 1
+            ends = np.cumsum(np.diff(self.first)[b[order[i:j]]])
+            cuts = np.unique(np.append(np.searchsorted(ends, np.arange(0, ends[-1], GATHERED)), j - i))
+            for p, q in zip(np.append(0, cuts), cuts):
+                out[order[i + p:i + q]] = self._hits(b[order[i + p:i + q]])
+            self.marked[mine] = 0
+        return out
+
+    def _hits(self, b: np.ndarray) -> np.ndarray:
+        n = self.first[b + 1] - self.first[b]
+        begin = np.cumsum(n) - n
+        hits = np.cumsum(self.marked[self.at[np.repeat(self.first[b] - begin, n) + np.arange(n.sum())]], dtype=np.int64)
+        hits = np.append(0, hits)
+        return hits[begin + n] - hits[begin]
+
+
+def _exact_links(num: int, den: int, key: list[str], cross: bool):
+    """(u, v, links) of the members of each group that have links there: the smallest member reached, and the rows linked with."""
     def run(batches):
         for _, g in _grouped(batches, key):
             rep = g.column("rep").to_numpy()
             if len(rep) < 2:
                 continue
+            copies = g.column("copies").to_numpy()
             sets = [unpack(t, np.uint64)[0] for t in g.column("tokens").to_pylist()]
-            known = np.unique(g.column("known").to_numpy(), return_inverse=True)[1]
-            firsts = np.unique(known, return_index=True)[1]
-            groups = Groups(firsts[known])
             part = g.column("part").to_numpy() if cross else None
             size = np.array([len(s) for s in sets])
-            for a, b in pairs_of(size, [bitmap(s) for s in sets], num, den, groups, part):
-                _link(sets, groups, a, b, num, den)
-            out = np.flatnonzero(groups.label != firsts[known])
-            if len(out):
-                yield pa.RecordBatch.from_arrays([pa.array(rep[out]), pa.array(rep[groups.label[out]])], ["u", "v"])
+            bits = [bitmap(s) for s in sets]
+            overlap = Overlap(sets)
+            del sets
+            groups, links = Groups(np.arange(len(rep))), np.zeros(len(rep), dtype=np.int64)
+            for a, b in pairs_of(size, bits, num, den, None, part):
+                both = overlap(a, b)
+                hit = both * den >= num * (size[a] + size[b] - both)
+                a, b = a[hit], b[hit]
+                np.add.at(links, a, copies[b])
+                np.add.at(links, b, copies[a])
+                groups.join(a, b)
+            some = np.flatnonzero(links)
+            if len(some):
+                yield pa.RecordBatch.from_arrays([pa.array(rep[some]), pa.array(rep[groups.label[some]]), pa.array(links[some])], ["u", "v", "links"])
     return run
 
 
 def _meet(rows: DataFrame, key: list[str], num: int, den: int, cross: bool = False) -> DataFrame:
-    columns = [*key, "rep", "known", "tokens", *(["part"] if cross else [])]
+    columns = [*key, "rep", "copies", "tokens", *(["part"] if cross else [])]
     return (rows.select(*columns).repartition(*key).sortWithinPartitions(*key)
-            .mapInArrow(_exact_edges(num, den, key, cross), "u long, v long"))
-
+            .mapInArrow(_exact_links(num, den, key, cross), "u long, v long, links long"))
 
-def _known(members: DataFrame, edges: DataFrame) -> DataFrame:
-    """Members with ``known``: the component of the edges so far, or themselves."""
-    found = components(edges).select(F.col("node").alias("rep"), F.col("label").alias("found"))
-    return members.join(found, "rep", "left").withColumn("known", F.coalesce("found", "rep")).drop("found")
 
+def exact_links(members: DataFrame, num: int, den: int) -> DataFrame:
+    """``members``: rep, copies, cluster, n (members of the cluster), tokens.
 
-def exact_edges(members: DataFrame, count: int, num: int, den: int) -> DataFrame:
-    """``members``: rep, cluster, n (members of the cluster), tokens; ``count`` of them at most. Edges (u, v) whose components are those of all links."""
+    (u, v, links): edges u - v whose components are those of all links, and how many rows of other sets u links with (to be added up by u).
+    """
     parts = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
     rows = (members.withColumn("parts", parts).withColumn("part", _part_of(F.col("rep"), F.col("parts")))
-            .withColumn("known", F.col("rep")).withColumn("block", F.xxhash64("cluster", "part")))
-    edges = materialize(_meet(rows, ["block"], num, den), "links")
-    large = rows.where("parts > 1")
-    if large.isEmpty():
-        return edges
-    large = materialize(large.drop("known", "block"), "large")
-    # two of each component of each block
-    now = materialize(_known(large, edges), "known")
-    ends = now.groupBy("cluster", "part", "known").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"))
-    lead = materialize(sized(ends.select("cluster", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("rep")), count), "leads")
-    rounds = lead.groupBy("cluster").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("rounds"))
-    few = (now.join(lead.join(rounds, "cluster").select("rep", "rounds"), "rep")
-           .withColumn("block", F.xxhash64("cluster", _part_of(F.col("known"), F.col("rounds")))))
-    edges = materialize(edges.union(_meet(few, ["block"], num, den)), "links")
-    # pairs of blocks that still hold different components
-    now = materialize(_known(large, edges), "known")
-    two = _two_parts(now, "cluster")
-    open_ = two.groupBy("cluster", "pair").agg(F.min("known").alias("lo"), F.max("known").alias("hi")).where("lo < hi").select("cluster", "pair")
-    if open_.isEmpty():
-        return edges
-    rest = two.join(open_, ["cluster", "pair"], "left_semi")
-    return materialize(edges.union(_meet(rest, ["cluster", "pair"], num, den, cross=True)), "links")
+            .withColumn("block", F.xxhash64("cluster", "part")))
+    links = _meet(rows, ["block"], num, den)
+    large = rows.where("parts > 1").drop("block")
+    if not large.isEmpty():
+        links = links.union(_meet(_two_parts(large, "cluster"), ["cluster", "pair"], num, den, cross=True))
+    return materialize(links, "links")
 
 
 def _sets_of(k: int, wanted):
@@ -518,29 +524,41 @@ def _sets_of(k: int, wanted):
 
 # ------------------------------------------------------------------ operator
 
-def jaccard_components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def jaccard_components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id, n_links, class_id, and the columns of ``carry`` (longs).
+
+    ``n_links``: other rows that the row links with. ``class_id`` names the row's component also where ids are null or repeated (null for an empty set); its
+    values differ from run to run.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry)
     context = docs.sparkSession.sparkContext
     classes = context.broadcast(token_classes(docs, k))
-    described = materialize(docs.mapInArrow(_describe(k, classes, num, den), _DESCRIBED), "described")
+    schema = ", ".join([_DESCRIBED, *(f"{c} long" for c in carry)])
+    described = materialize(docs.mapInArrow(_describe(k, classes, num, den, carry), schema), "described")
     reps = (described.where("size > 0").groupBy("key1", "key2")
-            .agg(F.min("doc_id").alias("least"), F.first("size").alias("size"), F.first("route").alias("route"), F.first("bits").alias("bits"))
+            .agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("route").alias("route"),
+                 F.first("bits").alias("bits"))
             .withColumn("rep", F.monotonically_increasing_id()))
     reps = materialize(reps, "reps")
     coarse = coarse_edges(reps, num, den)
     rows = 2 * coarse.count()                                                                 # its nodes, at most
     clusters = components(coarse).select(F.col("node").alias("rep"), F.col("label").alias("cluster"))
     counted = clusters.join(clusters.groupBy("cluster").agg(F.count("*").alias("n")), "cluster")
-    placed = materialize(sized(counted.join(reps.select("rep", "key1", "key2"), "rep"), rows), "placed")
+    placed = materialize(sized(counted.join(reps.select("rep", "key1", "key2", "copies"), "rep"), rows), "placed")
     sets = docs.select("text").mapInArrow(_sets_of(k, sieve(placed.select("key1"))), "key1 long, key2 long, tokens binary")
     members = materialize(placed.join(sets.dropDuplicates(["key1", "key2"]), ["key1", "key2"]).drop("key1", "key2"), "sets")
-    linked = components(exact_edges(members, rows, num, den)).select(F.col("node").alias("rep"), "label")
-    linked = materialize(sized(linked, rows), "linked")
+    links = exact_links(members, num, den)
     dematerialize(members)
-    labelled = reps.select("rep", "key1", "key2", "least").join(linked, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    least = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = labelled.join(least, "label").select("key1", "key2", "component_id")
-    full = described.where("size > 0").select("doc_id", "size", "key1", "key2").join(named, ["key1", "key2"])
-    empty = described.where("size = 0").select("doc_id", "size", F.col("doc_id").alias("component_id"))
-    return full.select("doc_id", "size", "component_id").union(empty).withColumnRenamed("size", "n_shingles")
+    label = components(links.select("u", "v")).select(F.col("node").alias("rep"), "label")
+    count = links.groupBy(F.col("u").alias("rep")).agg(F.sum("links").alias("links"))
+    linked = materialize(sized(label.join(count, "rep"), rows), "linked")
+    labelled = (reps.select("rep", "key1", "key2", "least", "copies").join(linked, "rep", "left")
+                .withColumn("class_id", F.coalesce("label", "rep"))
+                .withColumn("n_links", F.col("copies") - 1 + F.coalesce("links", F.lit(0))))
+    least = labelled.groupBy("class_id").agg(F.min("least").alias("component_id"))
+    named = labelled.join(least, "class_id").select("key1", "key2", "component_id", "n_links", "class_id")
+    full = described.where("size > 0").join(named, ["key1", "key2"])
+    empty = (described.where("size = 0").withColumn("component_id", F.col("doc_id"))
+             .withColumn("n_links", F.lit(0).cast("long")).withColumn("class_id", F.lit(None).cast("long")))
+    columns = ["doc_id", F.col("size").alias("n_shingles"), "component_id", "n_links", "class_id", *carry]
+    return full.select(*columns).union(empty.select(*columns))

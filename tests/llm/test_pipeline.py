@@ -52,7 +52,7 @@ def test_exact_dedup_stage(spark):
 def test_near_duplicate_stage(spark):
     rows = fixture()
     groups = near_groups([(i, t) for i, t, *_ in rows], 5, 80, 100)
-    assert ids(cp.drop_near_copies(spark, docs(spark, rows), "")) == sorted(i for i, _, c in groups if i == c)
+    assert ids(cp.drop_near_copies(spark, docs(spark, rows), "")) == sorted(i for i, _, c, _ in groups if i == c)
 
 
 def test_mixing_stage_draws_by_probability(spark):

@@ -25,15 +25,22 @@ def expected(rows, k, num, den):
         while label[a] != a:
             a = label[a]
         return a
+    links = [0] * len(s)
     for a in range(len(s)):
         for b in range(a):
             x, y = s[a][1], s[b][1]
             if x and y and den * len(x & y) >= num * len(x | y):
                 label[find(a)] = find(b)
+                links[a] += 1
+                links[b] += 1
     groups = {}
     for a, (i, x) in enumerate(s):
         groups.setdefault(find(a), []).append(i)
-    return sorted((i, len(x), min((g for g in groups[find(a)] if g is not None), default=None)) for a, (i, x) in enumerate(s))
+    return sorted((i, len(x), min((g for g in groups[find(a)] if g is not None), default=None), links[a]) for a, (i, x) in enumerate(s))
+
+
+def rows_of(df):
+    return sorted(((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in df.collect()), key=str)
 
 
 def corpus(seed, n=150):
@@ -58,8 +65,7 @@ def corpus(seed, n=150):
 @pytest.mark.parametrize(("k", "num", "den"), [(3, 90, 100), (5, 80, 100)])
 def test_components_equal_brute_force(spark, k, num, den):
     rows = corpus(1)
-    got = sorted(tuple(r) for r in sj.jaccard_components(documents(spark, rows), k, num, den).collect())
-    assert got == expected(rows, k, num, den)
+    assert rows_of(sj.jaccard_components(documents(spark, rows), k, num, den)) == sorted(expected(rows, k, num, den), key=str)
 
 
 def test_hot_groups_meet_in_parts_and_blocks(spark, monkeypatch):
@@ -75,17 +81,37 @@ def test_hot_groups_meet_in_parts_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(sj, "BUCKET", 16)
     monkeypatch.setattr(sj, "BLOCK", 16)
     for num in (90, 93, 95):
-        got = sorted(tuple(r) for r in sj.jaccard_components(documents(spark, rows), 3, num, 100).collect())
-        assert got == expected(rows, 3, num, 100)
+        assert rows_of(sj.jaccard_components(documents(spark, rows), 3, num, 100)) == sorted(expected(rows, 3, num, 100), key=str)
 
 
 def test_repeated_rows_null_ids_and_empty_table(spark):
     rows = [(5, "a b c d"), (5, "a b c d"), (5, "x y z"), (None, "A b c d"), (None, "q r s"), (4, "a b c d")]
-    got = [tuple(r) for r in sj.jaccard_components(documents(spark, rows)).collect()]
-    assert sorted(got, key=str) == sorted([(5, 2, 4), (5, 2, 4), (5, 1, 5), (None, 2, 4), (None, 1, None), (4, 2, 4)], key=str)
+    out = sj.jaccard_components(documents(spark, rows))
+    assert rows_of(out) == sorted([(5, 2, 4, 3), (5, 2, 4, 3), (5, 1, 5, 0), (None, 2, 4, 3), (None, 1, None, 0), (4, 2, 4, 3)], key=str)
+    assert len({r.class_id for r in out.collect()}) == 3
     assert sj.jaccard_components(documents(spark, [])).collect() == []
 
 
+def test_overlaps_are_exact(monkeypatch):
+    rnd = np.random.default_rng(4)
+    some = [np.unique(rnd.integers(0, 200, n).astype(np.uint64)) for n in rnd.integers(1, 150, 40)] + [np.array([10 ** 9], dtype=np.uint64)]
+    a, b = (x.reshape(-1) for x in np.meshgrid(np.arange(41), np.arange(41)))
+    truth = [len(np.intersect1d(some[i], some[j])) for i, j in zip(a, b)]
+    for gathered in (1 << 21, 100, 1):
+        monkeypatch.setattr(sj, "GATHERED", gathered)
+        got = sj.Overlap(some)(a, b)
+        assert all(x == t for x, t, i, j in zip(got, truth, a, b) if i != j)
+
+
+def test_very_long_texts_link(spark):
+    base = [f"w{i % 7919}x{i % 101}" for i in range(200_000)]
+    other = base[:]
+    other[1000] = "edit"
+    rows = [(1, " ".join(base)), (2, " ".join(other)), (3, " ".join(base[:150_000])), (4, "short text here")]
+    got = rows_of(sj.jaccard_components(documents(spark, rows)))
+    assert [r[0::2] for r in got] == [(1, 1), (2, 1), (3, 3), (4, 4)] and [r[3] for r in got] == [1, 1, 0, 0]
+
+
 def test_traversal_keeps_every_link():
     rnd = np.random.default_rng(0)
     base = [np.unique(rnd.integers(0, 1 << 63, n).astype(np.uint64)) for n in rnd.integers(1, 400, 60)]
