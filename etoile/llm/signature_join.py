@@ -10,7 +10,7 @@ Distributed plan.
 
 1. Equal sets are one *representative* (a grouped key), so that copies cost one row.
 2. Routing. With t = num / den, sets that link share one of the first |X| - ceil(t |X|) + 1 tokens of both, in any order of tokens that all sets share. The
-   order is by how often a token occurs, in classes from a count-min sketch of fixed size (4 MB, a broadcast), then by key: what many documents share comes last.
+   order is by how often a token occurs, in fine classes from a count-min sketch of fixed size (8 MB, a broadcast), then by key: what many documents share comes last.
    A bucket is such a token in a band of sizes. Only buckets that two representatives are in are made: a bitmap of fixed size of those met twice lets most others
    go before anything is shuffled. Buckets hold bitmaps and sizes, not sets.
 3. In each bucket one tree is traversed with itself, and the surviving pairs' *coarse* components go on as at most one edge per member (never as pairs).
@@ -39,7 +39,8 @@ from etoile.llm.sieve import passes, sieve
 from etoile.llm.text import Words, chunked, mix, small, utf8, window_hashes
 from etoile.session import dematerialize, materialize
 
-SKETCH_BITS = 20            # counters of the order's sketch (32 bits each)
+SKETCH_BITS = 22            # counters of the order's sketch (32 bits each)
+STEPS = 64                  # classes of counts per doubling
 COMPARED_BYTES = 1 << 23          # bitmaps of node pairs compared at once, on each side
 BUCKET = 4096               # members of a bucket that meet in one task
 BLOCK = 1024                # whole sets that meet in one task
@@ -96,14 +97,13 @@ def _sum_counts(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def token_classes(docs: DataFrame, k: int) -> np.ndarray:
-    """Class of each counter: 0 up to twice the mean count, then by doublings."""
+    """Class of each counter, in ``STEPS`` to a doubling: below the mean too, low counters hold fewer of the tokens that several documents share."""
     rows = (docs.select("text").mapInArrow(_token_counts(k), "slice int, counts binary").groupBy("slice")
-            .applyInPandas(_sum_counts, "slice int, counts binary").collect())            # 16 rows, 8 MB in all
+            .applyInPandas(_sum_counts, "slice int, counts binary").collect())            # 16 rows, 32 MB in all
     total = np.zeros((16, 1 << (SKETCH_BITS - 4)), dtype=np.uint64)
     for r in rows:
         total[r.slice] = np.frombuffer(r.counts, dtype=np.uint64)
-    mean = max(1.0, total.mean())
-    return np.log2(np.maximum(total.reshape(-1) / mean, 1.0)).astype(np.uint8)
+    return (STEPS * np.log2(1.0 + total.reshape(-1))).astype(np.uint16)
 
 
 def _prefix(tokens: np.ndarray, classes: np.ndarray, num: int, den: int) -> np.ndarray:
