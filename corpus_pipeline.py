@@ -3,8 +3,8 @@
 Every stage works on all rows of the stage before; all but the last return the columns of ``documents``.
 
 Rules of all stages: null texts count as empty, texts of any length are whole, an empty table gives an empty result, other columns are left out. Quality classifier: repeated rows and ties are judged
-alike; without labels all stay. Exact dedup: empty and null texts are equal; of equal texts the row with the largest id stays (null ids last), of equal rows one. Near copies: documents without words are linked with nothing; rows
-are dropped by id, so a row without id always stays, and rows that share an id go together. Mixing: equal ids are drawn alike. Encoding: each row is on its own.
+alike; without labels all stay. Exact dedup: empty and null texts are equal; of equal texts the row with the largest id stays (null ids last), of equal rows one. Near copies: documents without words are linked with nothing and
+stay; of each group exactly one row stays, that of the smallest id (null ids last, ties by a hash of the row), whatever other rows share its id. Mixing: equal ids are drawn alike. Encoding: each row is on its own.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import functools
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from etoile.llm import bpe, exact_dedup, mixing, ordinal, signature_join
 from etoile.llm.queries import VOCABULARY
@@ -43,10 +44,22 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by five-word shingles with similarity 0.8 or more, the one with the smallest id stays."""
-    groups = signature_join.jaccard_components(docs, k=5, num=80, den=100)
-    gone = materialize(groups.where("doc_id <> component_id").select("doc_id"), "near-copies")
-    return without(docs.select(*COLUMNS), "doc_id", gone)
+    """Of documents linked by five-word shingles with similarity 0.8 or more, one row stays: that of the smallest id.
+
+    Rows are told apart by a 64-bit hash of all their columns, not by id. Of rows equal in every column that are to stay, one does.
+    """
+    docs = docs.select(*COLUMNS, F.xxhash64(*COLUMNS).alias("row_key"))
+    groups = materialize(signature_join.jaccard_components(docs, k=5, num=80, den=100, carry=("row_key",))
+                         .where("class_id IS NOT NULL").select("doc_id", "row_key", "class_id", "n_links"), "near-copies").where("n_links > 0")
+    first = F.min_by("row_key", F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("kept_key")
+    firsts = groups.groupBy("class_id").agg(first)
+    gone = materialize(groups.join(firsts, "class_id").where("row_key <> kept_key").select("row_key").distinct(), "near-copies")
+    again = (groups.groupBy("row_key", "class_id").count().where("count > 1").join(firsts, "class_id").where("row_key = kept_key").select("row_key"))
+    again = materialize(again, "equal-rows")
+    out = without(docs, "row_key", gone.union(again))
+    if not again.isEmpty():
+        out = out.union(docs.join(again, "row_key", "left_semi").dropDuplicates(["row_key"]).select(out.columns))
+    return out.select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
