@@ -55,6 +55,21 @@ def test_near_duplicate_stage(spark):
     assert ids(cp.drop_near_copies(spark, docs(spark, rows), "")) == sorted(i for i, _, c, _ in groups if i == c)
 
 
+def test_near_duplicate_stage_decides_by_row(spark):
+    near = "a b c d e f g h i j k l m n o p q r s t u v w x y z"
+    other = "one two three four five six seven eight nine ten eleven"
+    rows = [(7, near + " end", "en", "s0"), (7, near, "en", "s0"), (None, near, "en", "s0"), (7, other, "en", "s1"), (3, other + " twelve", "en", "s1"),
+            (7, "a clean text that is like no other one here", "en", "s2"), (None, near + " end", "de", "s0"), (None, None, "en", None), (None, "", "en", None),
+            (9, "equal rows are one row in the end, said twice", "en", "s0"), (9, "equal rows are one row in the end, said twice", "en", "s0"),
+            (None, "without id and with a copy of the same kind", "en", "s4"), (None, "without id and with a copy of the same kind", "de", "s4")]
+    got = [(r.doc_id, r.text) for r in cp.drop_near_copies(spark, docs(spark, rows), "").collect()]
+    texts = [t for _, t in got]
+    assert sum((t or "").startswith("a b c") for t in texts) == 1 and next(i for i, t in got if (t or "").startswith("a b c")) == 7
+    assert (3, other + " twelve") in got and (7, other) not in got
+    assert sum(t == rows[5][1] for t in texts) == 1 and sum(not t for t in texts) == 2
+    assert texts.count(rows[9][1]) == 1 and texts.count(rows[11][1]) == 1 and len(got) == 7
+
+
 def test_mixing_stage_draws_by_probability(spark):
     from etoile.llm import mixing
     d = docs(spark, fixture())
