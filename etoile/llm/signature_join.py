@@ -40,6 +40,7 @@ from etoile.llm.text import Words, chunked, mix, small, utf8, window_hashes
 from etoile.session import dematerialize, materialize
 
 SKETCH_BITS = 22            # counters of the order's sketch (32 bits each)
+SLICE_BITS = 16             # counters that are added up in one row
 STEPS = 64                  # classes of counts per doubling
 COMPARED_BYTES = 1 << 23          # bitmaps of node pairs compared at once, on each side
 BUCKET = 4096               # members of a bucket that meet in one task
@@ -76,7 +77,7 @@ def _cells(tokens: np.ndarray) -> np.ndarray:
 
 
 def _token_counts(k: int):
-    """(slice, counts): this task's counters, in 16 slices."""
+    """(slice, counts): this task's counters, in slices."""
     def run(batches):
         total = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
         for batch in small(batches):
@@ -84,26 +85,28 @@ def _token_counts(k: int):
             for i, j in chunked(texts):
                 cells, n = np.unique(_cells(np.concatenate(shingle_sets(texts[i:j], k))), return_counts=True)
                 total[cells] += n.astype(np.uint32)
-        parts = total.reshape(16, -1)
-        yield pa.RecordBatch.from_arrays([pa.array(range(16), pa.int32()), pa.array([pack(p) for p in parts], pa.binary())], ["slice", "counts"])
+        for i, part in enumerate(total.reshape(-1, 1 << SLICE_BITS)):
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([pack(part)], pa.binary())], ["slice", "counts"])
     return run
 
 
 def _sum_counts(pdf: pd.DataFrame) -> pd.DataFrame:
-    total = np.zeros(1 << (SKETCH_BITS - 4), dtype=np.uint64)
+    """Class of each counter of a slice, in ``STEPS`` to a doubling: below the mean too, low counters hold fewer of the tokens that several documents share."""
+    total = np.zeros(1 << SLICE_BITS, dtype=np.uint64)
     for blob in pdf["counts"]:
         total += unpack(blob, np.uint32)[0]
-    return pd.DataFrame({"slice": [int(pdf["slice"].iloc[0])], "counts": [total.tobytes()]})
+    classes = (STEPS * np.log2(1.0 + total)).astype(np.uint16)
+    return pd.DataFrame({"slice": [int(pdf["slice"].iloc[0])], "classes": [classes.tobytes()]})
 
 
 def token_classes(docs: DataFrame, k: int) -> np.ndarray:
-    """Class of each counter, in ``STEPS`` to a doubling: below the mean too, low counters hold fewer of the tokens that several documents share."""
+    """Class of each counter of the sketch, over all documents."""
     rows = (docs.select("text").mapInArrow(_token_counts(k), "slice int, counts binary").groupBy("slice")
-            .applyInPandas(_sum_counts, "slice int, counts binary").collect())            # 16 rows, 32 MB in all
-    total = np.zeros((16, 1 << (SKETCH_BITS - 4)), dtype=np.uint64)
+            .applyInPandas(_sum_counts, "slice int, classes binary").collect())            # 64 rows, 8 MB in all
+    out = np.zeros((1 << (SKETCH_BITS - SLICE_BITS), 1 << SLICE_BITS), dtype=np.uint16)
     for r in rows:
-        total[r.slice] = np.frombuffer(r.counts, dtype=np.uint64)
-    return (STEPS * np.log2(1.0 + total.reshape(-1))).astype(np.uint16)
+        out[r.slice] = np.frombuffer(r.classes, dtype=np.uint16)
+    return out.reshape(-1)
 
 
 def _prefix(tokens: np.ndarray, classes: np.ndarray, num: int, den: int) -> np.ndarray:
