@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from etoile.llm.lists import pack, unpack
-from etoile.llm.text import mix
+from etoile.llm.text import mix, release
 
 BITS, SLICE_BITS = 27, 21          # 16 MB, in 64 slices
 
@@ -82,6 +82,7 @@ def _split(column: str, shared, kept: bool):
             keys = batch.column(column)
             some = passes(shared.value, keys.fill_null(0).to_numpy(zero_copy_only=False)) & keys.is_valid().to_numpy(zero_copy_only=False)
             yield batch.filter(pa.array(some == kept))
+        release()
     return run
 
 

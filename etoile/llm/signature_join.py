@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from etoile.llm.components import components, sized
 from etoile.llm.lists import pack, unpack
 from etoile.llm.sieve import passes, sieve
-from etoile.llm.text import Words, chunked, mix, small, utf8, window_hashes
+from etoile.llm.text import Words, chunked, mix, release, small, utf8, window_hashes
 from etoile.session import dematerialize, materialize
 
 SKETCH_BITS = 22            # counters of the order's sketch (32 bits each)
@@ -303,6 +303,8 @@ def _grouped(batches, key: list[str]):
             held_key = here
     if held:
         yield held_key, pa.Table.from_batches(held)
+    del held
+    release()
 
 
 def _bucket_edges(num: int, den: int, cross: bool):

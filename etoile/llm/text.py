@@ -6,6 +6,7 @@ megabytes of whole texts are laid end to end; all per-word work is vectorised ov
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,6 +51,15 @@ def small(batches, limit: int = 4 * CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
             j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + limit, side="right")))
             yield batch.slice(i, j - i)
             i = j
+    release()
+
+
+def release() -> None:
+    """Give a task's freed memory back to the system at its end: reused Python workers would else keep their peak through the stages that follow."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
+    if trim:
+        trim(0)
 
 
 def chunked(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
