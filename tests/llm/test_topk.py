@@ -62,3 +62,19 @@ def test_bins_blocks_and_chunks_do_not_change_the_result(spark, monkeypatch, bin
     for name, value in (("BINS", bins), ("BLOCK_QUERIES", queries), ("CHUNK_ROWS", chunk)):
         monkeypatch.setattr(topk, name, value)
     assert found(topk.search(vectors(spark, rows).repartition(5), every=30)) == brute(rows, 30, 5)
+
+
+def test_close_scores_of_many_rows_give_whole_answers(spark):
+    rnd = random.Random(5)
+    rows = [(i, [1.0 + rnd.random() / 8 for _ in range(16)]) for i in range(3000)]
+    assert found(topk.search(vectors(spark, rows).repartition(3), every=500)) == brute(rows, 500, 5)
+
+
+def test_scores_of_the_whole_64_bit_range_and_huge_components_are_exact(spark):
+    rows = [(50, [2.0 ** 23]), (1, [2.0 ** 24 - 1]), (2, [2.0 ** 23 + 0.5]), (3, [-2.0 ** 24]), (4, [0.0]), (5, [1.0])]
+    want = brute(rows, 50, 5)
+    assert 2 ** 62 < max(r[3] for r in want) < 2 ** 63 and min(r[3] for r in want) == -2 ** 63
+    assert found(topk.search(vectors(spark, rows))) == want
+    rows = [(50, [2.0, -1.0, 0.25]), (1, [1e300, 2e300, 7.0]), (2, [3e300, 6e300, 9.5]), (3, [0.5, 0.25, 0.0]), (4, [1.7e308 / 2, 1.7e308, -3.0])]
+    want = [(50, 1, 2, 64 * 2432), (50, 2, 1, 64 * 1792), (50, 3, 3, 512 * 128 - 256 * 64), (50, 4, 4, -64 * 768)]
+    assert found(topk.search(vectors(spark, rows))) == sorted(want, key=str)
