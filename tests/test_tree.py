@@ -110,3 +110,31 @@ def test_importances_are_shares_of_the_impurity_taken_away(spark):
     got = {r.variable: round(r.importance, 9) for r in tree.importances(nodes, names).collect()}
     a, kind = 10 * 0.5 - 6 * 0.4, 6 * 0.4 - 3 * 0.2
     assert got == {"a": round(a / (a + kind), 9), "b": 0.0, "kind_y": round(kind / (a + kind), 9)}
+
+
+@pytest.mark.parametrize("slices", [2, 5, 50])
+def test_few_slices_give_the_same_tree(spark, monkeypatch, slices):
+    rows, weights = some_rows(300, 7), {0: 0.75, 1: 1.5}
+    df = spark.createDataFrame(rows, "y int, a double, b double, kind string, zone string").repartition(3)
+    monkeypatch.setattr(tree, "SLICES", slices)
+    nodes = tree.Grower("y", weights, NUMERIC, {"kind": "x", "zone": "n"}).grow(df, 3)
+    assert {r.node: (r.variable, r.niveau, r.seuil, (r.n_0, r.n_1)) for r in nodes.collect()} == brute(rows, weights, ("x", "n"), 3)
+
+
+def test_search_opens_few_values_where_a_split_is_clear(spark, monkeypatch):
+    """Stored and exchanged counts follow the slices, not the distinct values."""
+    rnd, stored = random.Random(4), []
+    rows = [(int(i % 1000 > 400), float(i % 1000) + rnd.random() / 2, rnd.random(), "x", "n") for i in range(6000)]
+    df = spark.createDataFrame(rows, "y int, a double, b double, kind string, zone string")
+    real = tree.materialize
+
+    def spy(frame, name="table"):
+        out = real(frame, name)
+        if name != "tree-rows":
+            stored.append(out.count())
+        return out
+    monkeypatch.setattr(tree, "SLICES", 64)
+    monkeypatch.setattr(tree, "materialize", spy)
+    nodes = tree.Grower("y", {0: 1.0, 1: 1.0}, NUMERIC, {"kind": "x", "zone": "n"}).grow(df, 2).collect()
+    assert (nodes[0].variable, nodes[0].n_0, nodes[0].n_1) == ("a", 2406, 3594) and 400.5 < nodes[0].seuil < 401
+    assert max(stored) <= 2 * 64 + 2
