@@ -19,7 +19,7 @@ from etoile.llm import bpe, exact_dedup, mixing, ordinal, signature_join
 from etoile.llm.queries import VOCABULARY
 from etoile.llm.sieve import without
 from etoile.llm.text import small_batches
-from etoile.session import materialize, ship_package
+from etoile.session import dematerialize, materialize, ship_package
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -49,13 +49,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Rows are told apart by a 64-bit hash of all their columns, not by id. Of rows equal in every column that are to stay, one does.
     """
     docs = docs.select(*COLUMNS, F.xxhash64(*COLUMNS).alias("row_key"))
-    groups = materialize(signature_join.jaccard_components(docs, k=5, num=80, den=100, carry=("row_key",))
-                         .where("class_id IS NOT NULL").select("doc_id", "row_key", "class_id", "n_links"), "near-copies").where("n_links > 0")
+    linked = signature_join.jaccard_components(docs, k=5, num=80, den=100, carry=("row_key",))
+    groups = linked.where("class_id IS NOT NULL and n_links > 0").select("doc_id", "row_key", "class_id")
     first = F.min_by("row_key", F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("kept_key")
     firsts = groups.groupBy("class_id").agg(first)
     gone = materialize(groups.join(firsts, "class_id").where("row_key <> kept_key").select("row_key").distinct(), "near-copies")
     again = (groups.groupBy("row_key", "class_id").count().where("count > 1").join(firsts, "class_id").where("row_key = kept_key").select("row_key"))
     again = materialize(again, "equal-rows")
+    dematerialize(linked)
     out = without(docs, "row_key", gone.union(again))
     if not again.isEmpty():
         out = out.union(docs.join(again, "row_key", "left_semi").dropDuplicates(["row_key"]).select(out.columns))
@@ -84,5 +85,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, make in STAGES[:-1]:
-        docs = materialize(make(spark, docs, sf_dir), "stage")
+        before, docs = docs, materialize(make(spark, docs, sf_dir), "stage")
+        dematerialize(before)
     return STAGES[-1][1](spark, docs, sf_dir)

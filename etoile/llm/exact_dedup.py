@@ -114,6 +114,7 @@ def _identified(docs: DataFrame, block_bytes: int, keep: list[str]) -> tuple[Dat
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes) + ", text_sha256 string, parts array<binary>"
     rows = materialize(docs.mapInArrow(_blocks(block_bytes, wanted), schema).select(*keep, "text_sha256", "parts")
                        .withColumn("row", F.monotonically_increasing_id()), "blocks")
+    wanted.destroy()
     dematerialize(marks)
     dematerialize(often)
     some = rows.where("parts is not null")

@@ -8,11 +8,13 @@ pair of sets with sizes x, y and d such bits can link only if x - d >= t / (1 +
 
 Distributed plan.
 
-1. Equal sets are one *representative* (a grouped key), so that copies cost one row.
+1. Equal sets are one *representative* (a grouped key), so that copies cost one row. Sets whose key nothing else may have are their own, and are not shuffled.
 2. Routing. With t = num / den, sets that link share one of the first |X| - ceil(t |X|) + 1 tokens of both, in any order of tokens that all sets share. The
    order is by how often a token occurs, in fine classes from a count-min sketch of fixed size (8 MB, a broadcast), then by key: what many documents share comes last.
-   A bucket is such a token in a band of sizes. Only buckets that two representatives are in are made: a bitmap of fixed size of those met twice lets most others
-   go before anything is shuffled. Buckets hold bitmaps and sizes, not sets.
+   A bucket is such a token in a band of sizes. A band is ``BAND`` times as wide as sizes that link can be apart, so most representatives are in one; those near its upper
+   end are also in the next, there with the first |X| - ceil(2t / (1 + t) |X|) + 1 tokens, which are enough for the smaller of two sets. Only buckets that two
+   representatives are in are made: bitmaps of fixed size of those met twice, of two hashes, let most others go before anything is shuffled, and what is left is counted by
+   token alone, so that buckets of one cost a shuffled token each at most, however full the bitmaps are. Buckets hold bitmaps and sizes, not sets.
 3. In each bucket one tree is traversed with itself, and the surviving pairs' *coarse* components go on as at most one edge per member (never as pairs).
    A bucket of more than ``BUCKET`` members is cut; a task takes two parts of it.
 4. Representatives of a coarse component meet with their whole sets: a tree again, then the exact overlap of every pair that it leaves, each pair once.
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 
 from etoile.llm.components import components, sized
 from etoile.llm.lists import pack, unpack
-from etoile.llm.sieve import passes, sieve
+from etoile.llm.sieve import passes, sieve, split
 from etoile.llm.text import Words, chunked, mix, release, small, utf8, window_hashes
 from etoile.session import dematerialize, materialize
 
@@ -45,6 +47,7 @@ STEPS = 64                  # classes of counts per doubling
 COMPARED_BYTES = 1 << 23          # bitmaps of node pairs compared at once, on each side
 BUCKET = 4096               # members of a bucket that meet in one task
 BLOCK = 1024                # whole sets that meet in one task
+BAND = 4                    # factors of den / num in a band of sizes
 FANOUT = 8
 GATHERED = 1 << 21          # tokens of sets compared with one set at once (and a set more)
 
@@ -360,42 +363,71 @@ def _two_parts(rows: DataFrame, key: str) -> DataFrame:
 
 
 def _bucket_keys(batch, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key) of the buckets of each representative: one per routing token and band of sizes, its own band and the next.
-
-    A band is a factor den / num wide (and a little more, for rounding): sets that link are in one band or in neighbours.
+    """(row, key) of the buckets of each representative: one per routing token in its band of sizes and, if a larger set of the next band may link with it, one there
+    for each of the tokens that the smaller of two needs.
     """
     route = batch.column("route")
     tokens = route.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-    row = np.repeat(np.arange(batch.num_rows), np.diff(route.offsets.to_numpy()))
+    n = np.diff(route.offsets.to_numpy())
+    row = np.repeat(np.arange(batch.num_rows), n)
     size = batch.column("size").to_numpy()
-    step = max(np.log(den / num) * (1 + 1e-9), 1e-9)
-    band = np.floor(np.log(np.maximum(size, 1)) / step).astype(np.uint64)[row]
-    keys = [mix(tokens ^ mix(band + np.uint64(k))).view(np.int64) for k in (0, 1)]
-    return np.concatenate([row, row]), np.concatenate(keys)
-
-
-def _all_keys(num: int, den: int):
+    step = max(np.log(den / num) * (1 + 1e-9), 1e-9)             # a little more, for rounding
+    at = np.log(np.maximum(size, 1))
+    band, upper = (np.floor(x / (BAND * step)).astype(np.uint64) for x in (at, at + step))
+    fewer = size - 2 * num * size // (num + den) + 1             # at least as many as with the quotient rounded up
+    nth = np.arange(len(tokens)) - np.repeat(np.cumsum(n) - n, n)
+    also = np.flatnonzero((upper > band)[row] & (nth < fewer[row]))
+    keys = [mix(tokens ^ mix(band)[row]), mix(tokens[also] ^ mix(upper)[row[also]])]
+    return np.concatenate([row, row[also]]), np.concatenate(keys).view(np.int64)
+
+
+def _passing(keys: np.ndarray, sieves) -> np.ndarray:
+    """Which keys all sieves let through; the seed of each is its place."""
+    some = np.arange(len(keys))
+    for seed, bitmap in enumerate(sieves):
+        some = some[passes(bitmap.value, keys[some], seed)]
+    return some
+
+
+def _all_keys(num: int, den: int, *sieves):
+    """(token): the buckets that all sieves let through."""
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(_bucket_keys(batch, num, den)[1])], ["token"])
+            keys = _bucket_keys(batch, num, den)[1]
+            yield pa.RecordBatch.from_arrays([pa.array(keys[_passing(keys, sieves)])], ["token"])
     return run
 
 
-def _routed(often, num: int, den: int):
+def _routed(shared, num: int, den: int):
     """(token, rep, size): the buckets that others may be in too."""
     def run(batches):
         for batch in batches:
             row, keys = _bucket_keys(batch, num, den)
-            some = passes(often.value, keys)
+            some = _passing(keys, [shared])
             row = pa.array(row[some])
             yield pa.RecordBatch.from_arrays([pa.array(keys[some]), batch.column("rep").take(row), batch.column("size").take(row)],
                                              ["token", "rep", "size"])
     return run
 
 
+def routes(reps: DataFrame, num: int, den: int) -> DataFrame:
+    """(token, rep, size) of the buckets that two representatives or more are in."""
+    routing = reps.select("size", "route")
+    often = sieve(routing.mapInArrow(_all_keys(num, den), "token long"), twice=True)
+    again = sieve(routing.mapInArrow(_all_keys(num, den, often), "token long"), twice=True, seed=1)
+    left = routing.mapInArrow(_all_keys(num, den, often, again), "token long")
+    shared = materialize(left.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token"), "shared")
+    known = sieve(shared)
+    some = reps.select("rep", "size", "route").mapInArrow(_routed(known, num, den), "token long, rep long, size long")
+    out = materialize(some.join(shared, "token", "left_semi"), "routed")
+    dematerialize(shared)
+    for bitmap in (often, again, known):
+        bitmap.destroy()
+    return out
+
+
 def coarse_edges(reps: DataFrame, num: int, den: int) -> DataFrame:
-    often = sieve(reps.select("size", "route").mapInArrow(_all_keys(num, den), "token long"), twice=True)
-    routed = materialize(reps.select("rep", "size", "route").mapInArrow(_routed(often, num, den), "token long, rep long, size long"), "routed")
+    routed = routes(reps, num, den)
     who = [F.count("*").alias("members"), F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.bit_xor(F.xxhash64("rep")).alias("x"),
            F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y"), F.min("size").alias("least"), F.max("size").alias("most")]
     # two members of sizes too far apart are no bucket; buckets of the same members (two texts share many tokens) are one
@@ -530,7 +562,7 @@ def _sets_of(k: int, wanted):
 # ------------------------------------------------------------------ operator
 
 def jaccard_components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id, n_links, class_id, and the columns of ``carry`` (longs).
+    """Per row: doc_id, n_shingles, component_id, n_links, class_id, and the columns of ``carry`` (longs); a table of ``materialize``.
 
     ``n_links``: other rows that the row links with. ``class_id`` names the row's component also where ids are null or repeated (null for an empty set); its
     values differ from run to run.
@@ -540,30 +572,48 @@ def jaccard_components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 10
     classes = context.broadcast(token_classes(docs, k))
     schema = ", ".join([_DESCRIBED, *(f"{c} long" for c in carry)])
     described = materialize(docs.mapInArrow(_describe(k, classes, num, den, carry), schema), "described")
-    reps = (described.where("size > 0").groupBy("key1", "key2")
-            .agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("route").alias("route"),
-                 F.first("bits").alias("bits"))
+    rows = materialize(described.select("doc_id", "size", "key1", "key2", *carry), "rows")
+    full = described.where("size > 0").drop(*carry)
+    repeated = sieve(full.select("key1"), twice=True)
+    own, maybe = split(full, "key1", repeated)                  # most sets are of one row, and stay where they are
+    reps = (own.select("key1", "key2", F.col("doc_id").alias("least"), F.lit(1).cast("long").alias("copies"), "size", "route", "bits")
+            .union(maybe.groupBy("key1", "key2")
+                   .agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("route").alias("route"),
+                        F.first("bits").alias("bits")))
             .withColumn("rep", F.monotonically_increasing_id()))
-    reps = materialize(reps, "reps")
-    coarse = coarse_edges(reps, num, den)
-    rows = 2 * coarse.count()                                                                 # its nodes, at most
+    routing = materialize(reps, "routing")
+    dematerialize(described)
+    classes.destroy()
+    repeated.destroy()
+    reps = materialize(routing.select("rep", "key1", "key2", "least", "copies"), "reps")
+    coarse = coarse_edges(routing, num, den)
+    dematerialize(routing)
+    nodes = 2 * coarse.count()                                                                # at most
     clusters = components(coarse).select(F.col("node").alias("rep"), F.col("label").alias("cluster"))
     counted = clusters.join(clusters.groupBy("cluster").agg(F.count("*").alias("n")), "cluster")
-    placed = materialize(sized(counted.join(reps.select("rep", "key1", "key2", "copies"), "rep"), rows), "placed")
-    sets = docs.select("text").mapInArrow(_sets_of(k, sieve(placed.select("key1"))), "key1 long, key2 long, tokens binary")
+    placed = materialize(sized(counted.join(reps.select("rep", "key1", "key2", "copies"), "rep"), nodes), "placed")
+    dematerialize(coarse)
+    wanted = sieve(placed.select("key1"))
+    sets = docs.select("text").mapInArrow(_sets_of(k, wanted), "key1 long, key2 long, tokens binary")
     members = materialize(placed.join(sets.dropDuplicates(["key1", "key2"]), ["key1", "key2"]).drop("key1", "key2"), "sets")
+    dematerialize(placed)
+    wanted.destroy()
     links = exact_links(members, num, den)
     dematerialize(members)
     label = components(links.select("u", "v")).select(F.col("node").alias("rep"), "label")
     count = links.groupBy(F.col("u").alias("rep")).agg(F.sum("links").alias("links"))
-    linked = materialize(sized(label.join(count, "rep"), rows), "linked")
+    linked = materialize(sized(label.join(count, "rep"), nodes), "linked")
+    dematerialize(links)
     labelled = (reps.select("rep", "key1", "key2", "least", "copies").join(linked, "rep", "left")
                 .withColumn("class_id", F.coalesce("label", "rep"))
                 .withColumn("n_links", F.col("copies") - 1 + F.coalesce("links", F.lit(0))))
     least = labelled.groupBy("class_id").agg(F.min("least").alias("component_id"))
     named = labelled.join(least, "class_id").select("key1", "key2", "component_id", "n_links", "class_id")
-    full = described.where("size > 0").join(named, ["key1", "key2"])
-    empty = (described.where("size = 0").withColumn("component_id", F.col("doc_id"))
+    full = rows.where("size > 0").join(named, ["key1", "key2"])
+    empty = (rows.where("size = 0").withColumn("component_id", F.col("doc_id"))
              .withColumn("n_links", F.lit(0).cast("long")).withColumn("class_id", F.lit(None).cast("long")))
     columns = ["doc_id", F.col("size").alias("n_shingles"), "component_id", "n_links", "class_id", *carry]
-    return full.select(*columns).union(empty.select(*columns))
+    out = materialize(full.select(*columns).union(empty.select(*columns)), "classes")
+    for table in (rows, reps, linked):
+        dematerialize(table)
+    return out

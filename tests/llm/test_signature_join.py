@@ -3,8 +3,10 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from etoile import session
 from etoile.llm import signature_join as sj
 from etoile.llm.components import components
 from llm_helpers import documents
@@ -92,6 +94,51 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     assert sj.jaccard_components(documents(spark, [])).collect() == []
 
 
+def test_only_shared_buckets_are_written_when_sieves_are_full(spark, monkeypatch):
+    rows, sieve, write, tables = corpus(5), sj.sieve, sj.materialize, {}
+
+    def full(keys, **kind):
+        out = sieve(keys, **kind)
+        return spark.sparkContext.broadcast(type(out.value)(np.full(1 << 24, 255, dtype=np.uint8)))
+
+    def kept(df, name="table"):
+        out = write(df, name)
+        if name == "routed":
+            tables[name] = out.groupBy("token").count().collect()
+        return out
+
+    monkeypatch.setattr(sj, "sieve", full)
+    monkeypatch.setattr(sj, "materialize", kept)
+    got = rows_of(sj.jaccard_components(documents(spark, rows), 5, 80, 100))
+    assert got == sorted(expected(rows, 5, 80, 100), key=str)
+    assert tables["routed"] and all(r["count"] > 1 for r in tables["routed"])
+
+
+def test_only_the_result_and_components_stay_written(spark):
+    before = set(session._FOLDERS)
+    out = sj.jaccard_components(documents(spark, corpus(6)), 5, 80, 100)
+    names = sorted(f.rsplit("/", 1)[1].split("-")[1] for f in session._FOLDERS - before)
+    assert set(names) <= {"classes", "edges", "small"} and names.count("classes") == 1
+    assert out.count() == len(corpus(6))
+
+
+@pytest.mark.parametrize(("num", "den"), [(80, 100), (90, 100), (99, 100), (1, 2)])
+def test_linked_sets_share_a_bucket(num, den):
+    rnd = np.random.default_rng(11)
+    classes = rnd.integers(0, 50, 1 << sj.SKETCH_BITS).astype(np.uint16)
+    for size in [*range(1, 60), *rnd.integers(60, 3000, 150).tolist()]:
+        a = np.unique(rnd.integers(0, 1 << 62, size).astype(np.uint64))
+        most = int(len(a) * (1 - num / den) / 2)
+        gone, new = rnd.integers(0, 2 * most + 1), rnd.integers(0, most + 1)
+        b = np.unique(np.concatenate([rnd.permutation(a)[gone:], rnd.integers(0, 1 << 62, new).astype(np.uint64)]))
+        both = len(np.intersect1d(a, b))
+        if not len(b) or both * den < num * (len(a) + len(b) - both):
+            continue
+        batch = pa.RecordBatch.from_arrays([pa.array([len(a), len(b)]), pa.array([sj._prefix(s, classes, num, den).view(np.int64) for s in (a, b)])], ["size", "route"])
+        row, keys = sj._bucket_keys(batch, num, den)
+        assert np.intersect1d(keys[row == 0], keys[row == 1]).size
+
+
 def test_overlaps_are_exact(monkeypatch):
     rnd = np.random.default_rng(4)
     some = [np.unique(rnd.integers(0, 200, n).astype(np.uint64)) for n in rnd.integers(1, 150, 40)] + [np.array([10 ** 9], dtype=np.uint64)]
